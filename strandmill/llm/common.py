@@ -3,6 +3,7 @@ vectorised word hashing over whole Arrow string columns."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,10 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    release(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more; it
+    waits for the driver's garbage collector, which a small driver may not run for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser; bijective."""
     h = h ^ (h >> np.uint64(30))

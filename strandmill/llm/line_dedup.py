@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import LOWER, NOT_SPACE, Words, bitset_of, in_bitset, mix, multi_arange, runs, stored, text_slices
 from .ngram_join import CHUNK, SEEN, _often, fingerprint, frequent_order, prefix_length
@@ -23,6 +25,12 @@ KEPT = 3
 NEWLINE = 10
 
 
+#: Words are told apart by this many bits of their hashes, so that a word and the number of its
+#: line within a slice sort as one integer. Two different words of a pair of lines are taken for
+#: one with a probability of about 1e-10.
+TOKEN_BITS = 44
+
+
 class Lines:
     """The lines of a slice with their word sets: for line k, tokens[edge[k]:edge[k+1]] sorted and
     distinct, its row ``doc`` and its number ``line`` in the row. Lines without words are left out."""
@@ -32,24 +40,54 @@ class Lines:
         breaks = np.flatnonzero(data == NEWLINE)
         before = np.searchsorted(breaks, w.starts)  # line breaks before each word
         at_row = np.searchsorted(breaks, offs[:-1])
-        line = before - at_row[w.doc] if len(w.doc) else before
-        key = before + w.doc  # rises with each line and each row
-        order = np.lexsort((w.hash, key))
-        key, tok = key[order], w.hash[order]
-        new = np.ones(len(tok), bool)
-        new[1:] = (key[1:] != key[:-1]) | (tok[1:] != tok[:-1])
-        self.tokens = tok[new]
-        self.edge = runs(key[new])
-        first = order[new][self.edge[:-1]]
-        self.doc, self.line = w.doc[first], line[first].astype(np.int64)
+        begins = runs(before + w.doc)[:-1] if len(w.doc) else np.zeros(0, int)  # rises with each line and each row
+        self.doc = w.doc[begins]
+        self.line = (before[begins] - at_row[self.doc]).astype(np.int64) if len(begins) else np.zeros(0, np.int64)
+        number = np.repeat(np.arange(len(begins), dtype=np.uint64), np.diff(np.append(begins, len(w.doc))))
+        if len(begins) < 1 << (64 - TOKEN_BITS):
+            packed = np.sort((number << np.uint64(TOKEN_BITS)) | (w.hash >> np.uint64(64 - TOKEN_BITS)))
+            new = np.ones(len(packed), bool)
+            new[1:] = packed[1:] != packed[:-1]
+            packed = packed[new]
+            self.tokens, number = packed & np.uint64((1 << TOKEN_BITS) - 1), packed >> np.uint64(TOKEN_BITS)
+        else:
+            tokens = w.hash >> np.uint64(64 - TOKEN_BITS)
+            order = np.lexsort((tokens, number))
+            tokens, number = tokens[order], number[order]
+            new = np.ones(len(tokens), bool)
+            new[1:] = (tokens[1:] != tokens[:-1]) | (number[1:] != number[:-1])
+            self.tokens, number = tokens[new], number[new]
+        self.edge = runs(number)
         self.n = np.diff(self.edge)
+        self.number = number.astype(np.int64)
         mixed = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         self.fp = mix(mixed[self.edge[1:]] - mixed[self.edge[:-1]] + self.n.astype(np.uint64)).view(np.int64) if len(self.n) else np.zeros(0, np.int64)
 
+    def prefixes(self, p: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the token, its line, its place) of the first p[k] tokens of each line k, rare
+        ones first: those that ``order`` lacks by hash, then by their counts there."""
+        if len(order[0]):
+            at = np.minimum(np.searchsorted(order[0], self.tokens), len(order[0]) - 1)
+            count = np.where(order[0][at] == self.tokens, order[1][at], 0)
+        else:
+            count = np.zeros(len(self.tokens), np.int64)
+        rare = count == 0
+        upto = np.concatenate([[0], np.cumsum(rare)])
+        place = upto[1:] - 1 - upto[self.edge[:-1]][self.number]
+        first = np.flatnonzero(rare & (place < p[self.number]))
+        n_rare = np.diff(upto[self.edge])
+        short = np.flatnonzero(~rare & (n_rare < p)[self.number])
+        ranked = short[np.lexsort((self.tokens[short], count[short], self.number[short]))]
+        edge = runs(self.number[ranked])
+        nth = np.arange(len(ranked)) - np.repeat(edge[:-1], np.diff(edge)) + n_rare[self.number[ranked]]
+        more = nth < p[self.number[ranked]]
+        index = np.concatenate([first, ranked[more]])
+        return index, self.number[index], np.concatenate([place[first], nth[more]])
+
     def parity(self) -> np.ndarray:
         if not len(self.n):
             return np.zeros(0, np.uint64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(58)), self.edge[:-1])
+        return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(TOKEN_BITS - 6)), self.edge[:-1])
 
 
 def _frequencies(rows: DataFrame) -> DataFrame:
@@ -59,7 +97,7 @@ def _frequencies(rows: DataFrame) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for _, _, data, offs in text_slices(batch):
-                held.append(Words(LOWER[data], offs, NOT_SPACE).hash)
+                held.append(Words(LOWER[data], offs, NOT_SPACE).hash >> np.uint64(64 - TOKEN_BITS))
                 size += len(held[-1])
                 if size >= CHUNK:
                     tokens, n = _often(held, SEEN)
@@ -94,17 +132,9 @@ def _blobs(rows: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
                 once[by_set[runs(x.fp[by_set])[:-1]]] = True
                 once &= x.n >= 4
                 p = np.where(once, prefix_length(x.n, percent), 0)
-                which = np.repeat(np.arange(len(x.n)), x.n)
-                if len(order[0]):
-                    at = np.minimum(np.searchsorted(order[0], x.tokens), len(order[0]) - 1)
-                    count = np.where(order[0][at] == x.tokens, order[1][at], 0)
-                else:
-                    count = np.zeros(len(x.tokens), np.int64)
-                ranked = np.lexsort((x.tokens, count, which))
-                take = multi_arange(x.edge[:-1], p)
-                tok, of = x.tokens[ranked[take]], which[take]
-                pos = (take - x.edge[:-1][of]).astype(np.uint16)
-                cols = ((tok >> np.uint64(32)).astype(np.uint32), (x.fp[of].view(np.uint64) >> np.uint64(32)).astype(np.uint32), x.parity()[of], x.n[of].astype(np.uint32), pos, doc[of], x.line[of].astype(np.uint32))
+                index, of, pos = x.prefixes(p, order)
+                tok = x.tokens[index]
+                cols = ((tok >> np.uint64(TOKEN_BITS - 32)).astype(np.uint32), (x.fp[of].view(np.uint64) >> np.uint64(32)).astype(np.uint32), x.parity()[of], x.n[of].astype(np.uint32), np.minimum(pos, 65535).astype(np.uint16), doc[of], x.line[of].astype(np.uint32))
                 posted = _split((tok % np.uint64(n_buckets)).astype(np.int64), n_buckets, cols)
                 rows = [(b, *p, *w) for b, (p, w) in enumerate(zip(posted, whole)) if p[0] or w[0]]
                 parts = list(zip(*rows))
@@ -230,7 +260,8 @@ def _word_sets(rows: DataFrame, wanted) -> DataFrame:
                     raw = [x.tokens[x.edge[k] : x.edge[k + 1]].tobytes() for k in at.tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(x.line[at]), pa.array(raw, pa.binary())], ["doc", "line", "tokens"])
 
-    return rows.mapInArrow(read, "doc long, line long, tokens binary").dropDuplicates(["doc", "line"])
+    # a repeated row gives its lines again, and its pairs, which are made distinct in the end
+    return rows.mapInArrow(read, "doc long, line long, tokens binary")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -271,8 +302,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_buckets = n_buckets or max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = spark.sparkContext.broadcast(frequent_order(_frequencies(rows)))
-    blobs = _blobs(rows, order, percent, n_buckets)
-    found = stored(_candidates(blobs, percent, KEPT, None))
+    found = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, KEPT, None))
     equal = found.where(F.col("kind") == EQUAL).select("doc", "line")
     pairs = stored(found.where(F.col("kind") != EQUAL).groupBy("doc", "line", "with_doc", "with_line").agg(F.max("kind").alias("kind")))
     gone = stored(_verified(pairs.drop("kind"), rows, percent))
@@ -281,7 +311,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = equal.union(gone)
     if not left.isEmpty():
         bits = spark.sparkContext.broadcast(bitset_of(left.select(line_key_column("doc", "line").alias("key")), "key"))
-        rest = stored(_candidates(blobs, percent, None, bits).drop("kind").distinct().join(pairs, ["doc", "line", "with_doc", "with_line"], "left_anti"))
+        rest = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, None, bits).drop("kind").distinct().join(pairs, ["doc", "line", "with_doc", "with_line"], "left_anti"))
         out = out.union(_verified(rest, rows, percent))
     return out.distinct().select(F.col("doc").alias(id_col), "line")
 
@@ -292,12 +322,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     No row goes: a text all of whose lines go becomes empty, a null text stays null. The columns
     n_lines and n_removed are added.
     """
+    spark = docs.sparkSession
     gone = duplicate_lines(docs, id_col, text_col, percent, n_buckets)
-    per_row = gone.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("line").alias("__gone"))
+    per_row = stored(gone.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("line").alias("__gone")))
+    touched = spark.sparkContext.broadcast(bitset_of(per_row.select("__id"), "__id"))
+
+    def mark(batches):
+        for batch in batches:
+            hit = in_bitset(touched.value, pc.fill_null(batch.column("__id"), 0).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], [*batch.schema.names, "__hit"])
+
+    with_id = docs.withColumn("__id", F.col(id_col).cast("long"))
+    marked = with_id.mapInArrow(mark, T.StructType([*with_id.schema.fields, T.StructField("__hit", T.BooleanType())]))
+    # only rows that may have lost a line are joined; the texts of the others are not shuffled
     lines = F.split(F.col(text_col), "\n")
-    whole = docs.join(per_row, F.col(id_col).cast("long") == F.col("__id"), "left")
     left = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size(lines) - 1).alias("i"), lines.alias("l")), lambda x: ~F.array_contains("__gone", x["i"].cast("long")))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda x: x["l"]), "\n"))
     n = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone"))
-    out = whole.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1), "n_removed": n, text_col: text})
-    return out.drop("__id", "__gone")
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
+    joined = marked.where("__hit").join(per_row, "__id", "left")
+    same = marked.where("not __hit").withColumn("__gone", F.lit(None).cast("array<bigint>"))
+    whole = joined.unionByName(same)
+    return whole.withColumns({"n_lines": n_lines, "n_removed": n, text_col: text}).drop("__id", "__gone", "__hit")

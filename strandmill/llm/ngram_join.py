@@ -22,7 +22,7 @@ WIDTH, PERCENT = 5, 80
 #: The frequent shingles whose exact place in the rarity order is kept: the bound of what is broadcast.
 FREQUENT = 1 << 16
 #: Shingles seen less often in a stretch of CHUNK shingles count as rare.
-CHUNK, SEEN = 1 << 22, 8
+CHUNK, SEEN = 1 << 22, 4
 #: Leaders tried for each group of candidates, and seeds of the further orders.
 LEADERS, SEEDS = 4, (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -53,6 +53,16 @@ def fingerprint(tokens: np.ndarray) -> int:
     return int(mix(mix(tokens ^ np.uint64(SEEDS[0])).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(tokens))).astype(np.int64)[0])
 
 
+#: Bits of a set's parity sketch: each token flips one. Two sketches differ in no more places than
+#: their sets do, so pairs whose sketches differ in more than a link allows need no comparison.
+SKETCH_BITS = 2048
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    flips = np.bincount((tokens >> np.uint64(40)).astype(np.int64) & (SKETCH_BITS - 1), minlength=SKETCH_BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
 def prefix_length(n, percent: int):
     return n - -(-n * percent // 100) + 1
 
@@ -94,22 +104,22 @@ def rare_prefix(tokens: np.ndarray, length: int, order: tuple[np.ndarray, np.nda
     return tokens[:length] if not n[:length].any() else tokens[np.argsort(n, kind="stable")[:length]]
 
 
-def _profile(docs: DataFrame, width: int, fn_rows) -> DataFrame:
-    """Rows (id, n, fp, hot): one for each text, and (null, count, token, true) for frequent shingles."""
+def _profile(docs: DataFrame, width: int) -> DataFrame:
+    """Rows (id, n, fp, hot, sketch): one for each text, and (null, count, token, true) for frequent shingles."""
 
     def read(batches):
         held, size = [], 0
 
         def often():
             tokens, n = _often(held, SEEN)
-            return pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), pa.array(n.astype(np.int64)), pa.array(tokens.view(np.int64)), pa.array(np.ones(len(n), bool))], ["id", "n", "fp", "hot"])
+            return pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), pa.array(n.astype(np.int64)), pa.array(tokens.view(np.int64)), pa.array(np.ones(len(n), bool)), pa.nulls(len(n), pa.binary())], ["id", "n", "fp", "hot", "sketch"])
 
         for batch in batches:
             for lo, hi, data, offs in text_slices(batch):
                 sets = shingle_sets(data, offs, width)
                 n = np.array([len(s) for s in sets], np.int64)
                 fps = np.array([fingerprint(s) for s in sets], np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(fps), pa.array(np.zeros(len(n), bool))], ["id", "n", "fp", "hot"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(fps), pa.array(np.zeros(len(n), bool)), pa.array([sketch(s) for s in sets], pa.binary())], ["id", "n", "fp", "hot", "sketch"])
                 held += sets
                 size += int(n.sum())
                 if size >= CHUNK:
@@ -118,7 +128,7 @@ def _profile(docs: DataFrame, width: int, fn_rows) -> DataFrame:
         if held:
             yield often()
 
-    return docs.mapInArrow(read, "id long, n long, fp long, hot boolean")
+    return docs.mapInArrow(read, "id long, n long, fp long, hot boolean, sketch binary")
 
 
 def _postings(docs: DataFrame, width: int, percent: int, shared, n_buckets: int) -> DataFrame:
@@ -189,11 +199,32 @@ def _sets(docs: DataFrame, width: int, shared) -> DataFrame:
                 if keep:
                     yield pa.RecordBatch.from_arrays([pa.array(fps[keep]), pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["fp", "tokens"])
 
-    return docs.mapInArrow(read, "fp long, tokens binary").dropDuplicates(["fp"])
+    # a set may come from several tasks; pairs are made distinct in the end
+    return docs.mapInArrow(read, "fp long, tokens binary")
+
+
+def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sketches differ in no more places than linked sets may."""
+    a = sketches.select(F.col("fp").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("na"))
+    b = sketches.select(F.col("fp").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("nb"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y", "na", "nb")
+
+    def compare(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(len(batch), -1) for k in (2, 3))
+            total = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            most = total - 2 * -(-total * percent // (100 + percent))
+            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= most))
+
+    return both.mapInArrow(compare, "a long, b long")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that share prefix tokens under each further order and, then, enough tokens."""
+    ends = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    sets = stored(_sets(rows, width, rows.sparkSession.sparkContext.broadcast(bitset_of(ends, "fp"))))
     x = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("x")), "a")
     both = x.join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -233,19 +264,18 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     n_buckets = n_buckets or max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    profile = stored(_profile(rows, width, None))
+    profile = stored(_profile(rows, width))
     nodes = profile.where("not hot").select("id", "n", "fp")
     order = spark.sparkContext.broadcast(frequent_order(profile.where("hot").select(F.col("fp").alias("token"), "n")))
     groups = stored(_postings(rows, width, percent, order, n_buckets))
     fits = groups.where("fp <> leader").where(_fits("n", "leader_n", percent))
     stars = stored(fits.select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct())
-    wanted = spark.sparkContext.broadcast(bitset_of(groups.select("fp").distinct(), "fp"))
-    sets = stored(_sets(rows, width, wanted))
-    links = stored(_linked(stars, sets, percent))
+    sketches = stored(profile.where("not hot and n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    links = stored(_linked(stored(_close(stars, sketches, percent)), rows, width, percent).distinct())
     comp = stored(components(links))
-    rest = stored(_apart(groups, comp, percent).join(stars, ["a", "b"], "left_anti"))
+    rest = stored(_close(_apart(groups, comp, percent).join(stars, ["a", "b"], "left_anti"), sketches, percent))
     if not rest.isEmpty():
-        comp = stored(components(links.union(_linked(rest, sets, percent))))
+        comp = stored(components(links.union(_linked(rest, rows, width, percent))))
     member = nodes.join(comp, nodes.fp == comp.node, "left").select("id", "n", F.coalesce("component", "fp").alias("c"))
     least = member.where("n > 0").groupBy("c").agg(F.min("id").alias("component_id"))
     joined = member.where("n > 0").join(least, "c").select("id", "n", "component_id")
