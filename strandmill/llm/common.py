@@ -47,7 +47,14 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     release(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Empty the files of a :func:`stored` table that nothing reads any more."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.stored_at)
 
 
 def release(spark: SparkSession) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_SPACE, Words, bitset_of, in_bitset, mix, multi_arange, runs, stored, text_slices
+from .common import LOWER, NOT_SPACE, Words, bitset_of, discard, in_bitset, mix, release, runs, stored, text_slices
 from .ngram_join import CHUNK, SEEN, _often, fingerprint, frequent_order, prefix_length
 
 PERCENT = 80
@@ -166,7 +166,7 @@ def _candidates(blobs: DataFrame, percent: int, kept: int | None, wanted) -> Dat
             at = np.lexsort((line, doc, fp))
             edge = runs(fp[at])
             first = np.repeat(at[edge[:-1]], np.diff(edge))
-            later = first != at
+            later = (doc[first] != doc[at]) | (line[first] != line[at])
             a, b = at[later], first[later]
             out.append((doc[a], line[a].astype(np.int64), doc[b], line[b].astype(np.int64), np.full(len(a), EQUAL, np.int32)))
         tok, fp, parity, n, pos, doc, line = (read(c, t) for c, t in _POSTED)
@@ -245,6 +245,17 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
     return [(doc[x], line[x], doc[y], line[y], np.where(more[a], MORE, CANDIDATE).astype(np.int32))]
 
 
+def packed_tokens(tokens: np.ndarray) -> bytes:
+    """TOKEN_BITS-bit tokens at 6 bytes each."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_tokens(raw) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _word_sets(rows: DataFrame, wanted) -> DataFrame:
     """(doc, line, tokens) of the lines in the bit set."""
 
@@ -257,7 +268,7 @@ def _word_sets(rows: DataFrame, wanted) -> DataFrame:
                 doc = ids[lo:hi][x.doc].astype(np.int64) if len(x.n) else np.zeros(0, np.int64)
                 at = np.flatnonzero(in_bitset(bits, line_key(doc, x.line)) & (x.n >= 4)) if len(x.n) else np.zeros(0, int)
                 if len(at):
-                    raw = [x.tokens[x.edge[k] : x.edge[k + 1]].tobytes() for k in at.tolist()]
+                    raw = [packed_tokens(x.tokens[x.edge[k] : x.edge[k + 1]]) for k in at.tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(x.line[at]), pa.array(raw, pa.binary())], ["doc", "line", "tokens"])
 
     # a repeated row gives its lines again, and its pairs, which are made distinct in the end
@@ -278,12 +289,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for p, q in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
+                x, y = unpacked_tokens(p.as_py()), unpacked_tokens(q.as_py())
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["doc", "line"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("doc", "line", "x", "y").mapInArrow(verify, "doc long, line long").distinct()
+    out = stored(both.select("doc", "line", "x", "y").mapInArrow(verify, "doc long, line long").distinct())
+    discard(sets)
+    return out
 
 
 def line_key_column(doc: str, line: str):
@@ -305,7 +318,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, KEPT, None))
     equal = found.where(F.col("kind") == EQUAL).select("doc", "line")
     pairs = stored(found.where(F.col("kind") != EQUAL).groupBy("doc", "line", "with_doc", "with_line").agg(F.max("kind").alias("kind")))
-    gone = stored(_verified(pairs.drop("kind"), rows, percent))
+    gone = _verified(pairs.drop("kind"), rows, percent)
     left = pairs.where(F.col("kind") == MORE).select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
     left = stored(left)
     out = equal.union(gone)
@@ -325,6 +338,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     gone = duplicate_lines(docs, id_col, text_col, percent, n_buckets)
     per_row = stored(gone.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("line").alias("__gone")))
+    del gone
+    release(spark)
     touched = spark.sparkContext.broadcast(bitset_of(per_row.select("__id"), "__id"))
 
     def mark(batches):

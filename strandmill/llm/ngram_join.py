@@ -20,11 +20,11 @@ from .components import components
 
 WIDTH, PERCENT = 5, 80
 #: The frequent shingles whose exact place in the rarity order is kept: the bound of what is broadcast.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 17
 #: Shingles seen less often in a stretch of CHUNK shingles count as rare.
-CHUNK, SEEN = 1 << 22, 4
-#: Leaders tried for each group of candidates, and seeds of the further orders.
-LEADERS, SEEDS = 4, (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+CHUNK, SEEN = 1 << 22, 3
+#: Leaders tried for each group of candidates, rounds of peeling, seeds of the further orders.
+LEADERS, PEELS, SEEDS = 4, 2, (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -67,6 +67,19 @@ def prefix_length(n, percent: int):
     return n - -(-n * percent // 100) + 1
 
 
+def long_prefix(n, percent: int):
+    """The prefix that is posted: longer by half the tokens a link may lack, so that sets that link
+    share not one token of their prefixes but :func:`least_shared` or more."""
+    return np.minimum(n, prefix_length(n, percent) + n * (100 - percent) // 200)
+
+
+def least_shared(n, percent: int):
+    """The j-th shared token stands at most n - o places after the j-th of either set, o being the
+    overlap a link needs: no less than percent/100 of either set's size. So of a set of n tokens
+    long_prefix - (n - o) are shared with any set it links to, under each order."""
+    return F.greatest(F.lit(1), F.floor(n * (100 - percent) / 200))
+
+
 def hot_tokens(stream, chunk: int = CHUNK, seen: int = SEEN):
     """Collects arrays of tokens by ``send``; yields (token, count) arrays of the frequent ones."""
     held, size = [], 0
@@ -132,7 +145,7 @@ def _profile(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _postings(docs: DataFrame, width: int, percent: int, shared, n_buckets: int) -> DataFrame:
-    """(token, fp, n, leader, leader_n) of every token that prefixes of two or more sets share."""
+    """(token, fp, n) of every token that prefixes of two or more sets share."""
 
     def emit(batches):
         order, seen = shared.value, set()
@@ -143,7 +156,7 @@ def _postings(docs: DataFrame, width: int, percent: int, shared, n_buckets: int)
                     if not len(s) or (fp := fingerprint(s)) in seen:
                         continue
                     seen.add(fp)  # a task posts copies once
-                    toks.append(rare_prefix(s, prefix_length(len(s), percent), order))
+                    toks.append(rare_prefix(s, int(long_prefix(len(s), percent)), order))
                     fps.append(fp)
                     ns.append(len(s))
                 if not toks:
@@ -171,17 +184,11 @@ def _postings(docs: DataFrame, width: int, percent: int, shared, n_buckets: int)
         size = np.diff(edge)
         keep = np.repeat(size >= 2, size)
         tok, fp, n = tok[keep], fp[keep], n[keep]
-        if not len(tok):
-            return pa.table({"token": pa.array([], pa.int64()), "fp": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "leader": pa.array([], pa.int64()), "leader_n": pa.array([], pa.int64())})
-        edge = runs(tok)
-        group = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-        draw = mix(fp.view(np.uint64) ^ (tok % LEADERS).astype(np.uint64))
-        lead = np.lexsort((draw, group))[edge[:-1]][group]
         token = (np.int64(bucket) << 32) | tok.astype(np.int64)
-        return pa.table({"token": token, "fp": fp, "n": n.astype(np.int64), "leader": fp[lead], "leader_n": n[lead].astype(np.int64)})
+        return pa.table({"token": token, "fp": fp, "n": n.astype(np.int64)})
 
     blobs = docs.mapInArrow(emit, "bucket int, tok binary, fp binary, n binary")
-    return blobs.groupBy("bucket").applyInArrow(groups, "token long, fp long, n long, leader long, leader_n long")
+    return blobs.groupBy("bucket").applyInArrow(groups, "token long, fp long, n long")
 
 
 def _sets(docs: DataFrame, width: int, shared) -> DataFrame:
@@ -268,8 +275,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = profile.where("not hot").select("id", "n", "fp")
     order = spark.sparkContext.broadcast(frequent_order(profile.where("hot").select(F.col("fp").alias("token"), "n")))
     groups = stored(_postings(rows, width, percent, order, n_buckets))
-    fits = groups.where("fp <> leader").where(_fits("n", "leader_n", percent))
-    stars = stored(fits.select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct())
+    for _ in range(PEELS):
+        groups = stored(_peeled(groups, percent))
+    led = groups.groupBy("token").agg(F.min(F.struct(F.xxhash64("fp", F.col("token") % LEADERS).alias("draw"), F.col("fp").alias("leader"), F.col("n").alias("leader_n"))).alias("l"))
+    near = groups.join(led, "token").select("fp", "n", "l.leader", "l.leader_n").where("fp <> leader").where(_fits("n", "leader_n", percent))
+    stars = stored(near.select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct())
     sketches = stored(profile.where("not hot and n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     links = stored(_linked(stored(_close(stars, sketches, percent)), rows, width, percent).distinct())
     comp = stored(components(links))
@@ -283,6 +293,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def _peeled(groups: DataFrame, percent: int) -> DataFrame:
+    """Without the sets that share too few prefix tokens with all others together to link to any,
+    and then without the tokens that one set alone is left with."""
+    enough = groups.groupBy("fp").agg(F.count("*").alias("r"), F.first("n").alias("m")).where(F.col("r") >= least_shared(F.col("m"), percent)).select("fp")
+    left = groups.join(enough, "fp", "left_semi")
+    shared = left.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
+    return left.join(shared, "token", "left_semi").select("token", "fp", "n")
+
+
 def _apart(groups: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs that the components so far leave apart."""
     marked = groups.join(comp, groups.fp == comp.node, "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("c"))

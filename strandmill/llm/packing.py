@@ -22,7 +22,7 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 #: A worker's memory of words already encoded is emptied at this many.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 2_000_000
 #: New words are encoded this many at a time, as one text with a mark between them. The mark is a
 #: token of its own; the few words that hold it are encoded alone.
 JOINED_WORDS, MARK = 500, "~"
@@ -46,9 +46,15 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[int, bytes] = {}
+        self.forget()
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
 
+    def forget(self) -> None:
+        """Words known so far: sorted hashes, and where in ``flat`` the ids of each begin, and how many."""
+        self.hashes = np.zeros(0, np.uint64)
+        self.begin, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         plain = [k for k, w in enumerate(words) if MARK not in w]
         texts = [f" {MARK} ".join(words[k] for k in plain[i : i + JOINED_WORDS]) + f" {MARK}" for i in range(0, len(plain), JOINED_WORDS)]
@@ -71,22 +77,27 @@ class WordEncoder:
         """All ids of a slice of texts, each text followed by END_ID, and where each text begins."""
         w = Words(data, offs, NOT_SPACE)
         distinct, at, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        keys = distinct.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.known]
-        if new:
+        begin, sizes = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+        place = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+        new = np.ones(len(distinct), bool) if not len(self.hashes) else self.hashes[place] != distinct
+        begin[~new], sizes[~new] = self.begin[place[~new]], self.sizes[place[~new]]
+        if new.any():
             raw = data.tobytes()
-            starts, ends = w.starts[at].tolist(), w.ends[at].tolist()
-            words = [raw[starts[k] : ends[k]].decode() for k in new]
-            for k, ids in zip(new, self.encode_words(words)):
-                self.known[keys[k]] = ids
-        pieces = [self.known[h] for h in keys]
-        sizes = np.array([len(p) >> 2 for p in pieces], np.int64)
-        flat = np.frombuffer(b"".join(pieces), np.uint32)
-        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+            words = [raw[s:e].decode() for s, e in zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist())]
+            pieces = self.encode_words(words)
+            n = np.array([len(p) >> 2 for p in pieces], np.int64)
+            begin[new], sizes[new] = len(self.flat) + np.cumsum(n) - n, n
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(pieces), np.uint32)])
+            known = np.concatenate([self.hashes, distinct[new]])
+            order = np.argsort(known, kind="stable")
+            self.hashes = known[order]
+            self.begin = np.concatenate([self.begin, begin[new]])[order]
+            self.sizes = np.concatenate([self.sizes, sizes[new]])[order]
+        flat = self.flat
         lens = sizes[inverse]
         ids = flat[multi_arange(begin[inverse], lens)]
+        if len(self.hashes) > CACHED_WORDS:
+            self.forget()
         # a text's ids come after those of the texts before it and their END_IDs
         total = np.concatenate([[0], np.cumsum(lens)])[w.first]
         n = len(offs) - 1
