@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text is hashed in slices of about this many bytes, so that a task's memory
 #: does not follow the size of its Arrow batches. One longer document is a slice of its own.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -75,7 +75,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, 2 * SLICE_BYTES)
+        n = max(n, SLICE_BYTES + SLICE_BYTES // 8)
         inverse = np.uint64(pow(int(_MUL), -1, 1 << 64))
         up, down = np.full(n, _MUL), np.full(n, inverse)
         up[0] = down[0] = 1
@@ -102,18 +102,19 @@ class Words:
     """All words of a slice: byte ``starts`` and ``ends``, 64-bit ``hash``, ``doc`` (row in the slice),
     and ``first`` (index of each row's first word, one more at the end)."""
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, keep: np.ndarray = NOT_SPACE):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, keep: np.ndarray = NOT_SPACE, cuts: np.ndarray = np.zeros(0, np.int64)):
+        """``keep`` has the bytes of words; words end at ``cuts`` (byte positions), too."""
         inside = keep[data]
         n = len(data)
         before = np.empty(n + 1, bool)
         before[0] = False
         before[1:] = inside
-        before[offs] = False
+        before[offs] = before[cuts] = False
         self.starts = np.flatnonzero(inside & ~before[:n])
         after = np.empty(n + 1, bool)
         after[n] = False
         after[:n] = inside
-        after[offs] = False
+        after[offs] = after[cuts] = False
         self.ends = np.flatnonzero(inside & ~after[1:]) + 1
         up, down = _powers(n + 1)
         total = np.zeros(n + 1, np.uint64)

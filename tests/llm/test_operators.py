@@ -264,7 +264,7 @@ def test_word_encoder_on_odd_texts():
 
     tok = Tokenizer.from_file(packing.tokenizer_path())
     tok.encode_special_tokens = True
-    texts = ["", "~ ~a b~c", "İstanbul ǅ é x́", "a b c　d", "don't WE'LL 12 3.4", "<|endoftext|> x", "日本語 テスト", "\U0001f600 x"]
+    texts = ["", "~ ~a b~c", "İstanbul ǅ é x́", "a b c　d", "don't WE'LL. x's! (a're) .'sb é.x x—.y _a_b 12 3.4", "<|endoftext|> x", "日本語 テスト", "\U0001f600 x"]
     raw = [t.encode() for t in texts]
     offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     ids, first = packing.WordEncoder(packing.tokenizer_path()).encode(np.frombuffer(b"".join(raw), np.uint8), offs)
