@@ -2,10 +2,11 @@
 
 Texts become sets of 5-word shingles. Two sets of Jaccard similarity t or more share a token
 among their first n - ceil(t n) + 1 under any one order of all tokens. The first order puts rare
-shingles first and gives candidates; the others (hash orders) must agree before a pair's sets are
-compared. In each candidate group, stars to a few leaders are tried first; only pairs that the
-resulting components leave apart are compared one by one, so large groups of copies cost about
-their size, and no link is lost.
+shingles first and gives longer prefixes; a second, by how many prefixes hold a token, cuts them
+again and gives candidates; the others (hash orders) must agree before a pair's sets are compared.
+In each candidate group, stars to a few leaders are tried first; only pairs that the resulting
+components leave apart are compared one by one, so large groups of copies cost about their size,
+and no link is lost.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, NOT_SPACE, Words, bitset_of, in_bitset, mix, multi_arange, runs, stored, text_slices
@@ -25,6 +27,8 @@ FREQUENT = 1 << 17
 CHUNK, SEEN = 1 << 22, 3
 #: Leaders tried for each group of candidates, rounds of peeling, seeds of the further orders.
 LEADERS, PEELS, SEEDS = 4, 2, (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+#: The tokens of a set by which its pairs are told apart early: see :func:`_apart`.
+LEADING = 8
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -277,6 +281,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = stored(_postings(rows, width, percent, order, n_buckets))
     for _ in range(PEELS):
         groups = stored(_peeled(groups, percent))
+    groups = stored(_rarest(groups, percent))
     led = groups.groupBy("token").agg(F.min(F.struct(F.xxhash64("fp", F.col("token") % LEADERS).alias("draw"), F.col("fp").alias("leader"), F.col("n").alias("leader_n"))).alias("l"))
     near = groups.join(led, "token").select("fp", "n", "l.leader", "l.leader_n").where("fp <> leader").where(_fits("n", "leader_n", percent))
     stars = stored(near.select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct())
@@ -302,12 +307,27 @@ def _peeled(groups: DataFrame, percent: int) -> DataFrame:
     return left.join(shared, "token", "left_semi").select("token", "fp", "n")
 
 
+def _rarest(groups: DataFrame, percent: int) -> DataFrame:
+    """Each set without its least_shared - 1 most common posted tokens, by the exact number of sets
+    that post them. Linked sets share least_shared tokens of the larger one or more, so the rarest
+    token they share has that many less one above it in either set, and both keep it. The LEADING
+    most common that a set keeps are marked."""
+    size = groups.groupBy("token").agg(F.count("*").alias("k"))
+    common_first = Window.partitionBy("fp").orderBy(F.desc("k"), F.desc("token"))
+    nth = groups.join(size, "token").withColumn("nth", F.row_number().over(common_first))
+    least = least_shared(F.col("n"), percent)
+    return nth.where(F.col("nth") >= least).select("token", "fp", "n", (F.col("nth") < least + LEADING).alias("leading"))
+
+
 def _apart(groups: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs that the components so far leave apart."""
-    marked = groups.join(comp, groups.fp == comp.node, "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("c"))
-    mixed = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
+    """Candidate pairs that the components so far leave apart. A pair that shares leading tokens is
+    taken at the least of these only, not again at each token it shares."""
+    leading = groups.where("leading").groupBy("fp").agg(F.sort_array(F.collect_set("token")).alias("lead"))
+    marked = groups.join(leading, "fp").join(comp, groups.fp == comp.node, "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("c"), "lead")
+    mixed = groups.join(comp, groups.fp == comp.node, "left").groupBy("token").agg(F.min(F.coalesce("component", "fp")).alias("lo"), F.max(F.coalesce("component", "fp")).alias("hi")).where("lo <> hi").select("token")
     left = marked.join(mixed, "token")
-    a = left.select("token", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    b = left.select("token", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = a.join(b, "token").where("a < b and ca <> cb").where(_fits("na", "nb", percent))
+    a = left.select("token", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("lead").alias("la"))
+    b = left.select("token", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("lead").alias("lb"))
+    here = F.coalesce(F.get(F.array_intersect("la", "lb"), F.lit(0)) == a.token, F.lit(True))
+    pairs = a.join(b, (a.token == b.token) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits("na", "nb", percent) & here)
     return pairs.select("a", "b").distinct()
