@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .functions import seq
 from .operators import geometry, joins, rules, stats, windows
+from .sources import tables
+from .streaming import metrics
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -556,3 +558,151 @@ def geo_superpose_rmsd(spark, d):
     e = t(spark, d, "embeddings")
     p = e.select("label", *[(F.get("embedding", F.lit(k)).cast("double") * 50).alias(c) for k, c in enumerate(["px", "py", "pz", "tx", "ty", "tz"])])
     return geometry.superpose_rmsd(p, "label")
+
+
+# sources and sinks
+
+
+@query("SELECT o_orderkey, o_custkey, 0::bigint AS depth, o_totalprice FROM orders")
+def schema_conform(spark, d):
+    from pyspark.sql.types import StructType
+
+    target = StructType.fromDDL("o_orderkey bigint, o_custkey bigint, depth bigint, o_totalprice double")
+    return tables.conform(t(spark, d, "orders"), target)
+
+
+@query("SELECT l_orderkey, l_linenumber, upper(l_returnflag) AS flag FROM lineitem")
+def src_nested_metadata(spark, d):
+    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_returnflag")).alias("items"))
+    return tables.flatten(nested, "l_orderkey", "items").select("l_orderkey", "l_linenumber", F.upper("l_returnflag").alias("flag"))
+
+
+@query("SELECT o_orderkey AS name, m.o AS \"offset\", m.s AS size, m IS NOT NULL AS found FROM orders LEFT JOIN (SELECT l_orderkey, max({'f': l_linenumber, 'o': l_partkey, 's': l_suppkey}) AS m FROM lineitem WHERE l_quantity > 25 GROUP BY 1) ON l_orderkey = o_orderkey")
+def src_member_index(spark, d):
+    size = F.when(F.col("l_quantity") > 25, F.col("l_suppkey")).otherwise(-1)
+    rows = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("name"), F.col("l_linenumber").alias("file_no"), F.col("l_partkey").alias("offset"), size.alias("size"))
+    return tables.member_index(rows, t(spark, d, "orders").select(F.col("o_orderkey").alias("name")))
+
+
+@query("SELECT page_id, len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS links FROM pages")
+def src_html_json_array(spark, d):
+    found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    return t(spark, d, "pages").select("page_id", F.size(found).cast("long").alias("links"))
+
+
+@query(f"SELECT CASE split WHEN 'test' THEN 'held' ELSE 'open' END AS side, split, count(*) AS n FROM {SPLITS_SQL} GROUP BY 1, 2")
+def sink_split_partitions(spark, d):
+    a, b = tables.write_splits(split_orders(spark, d).select("o_orderkey", "split"), tables.shared_path(spark), "split", "test")
+    sides = spark.read.parquet(a).select(F.lit("open").alias("side"), "split").union(spark.read.parquet(b).select(F.lit("held"), "split"))
+    return stats.counter(sides, "side", "split")
+
+
+@query(f"SELECT split, o_orderkey FROM {SPLITS_SQL}")
+def sink_id_lists(spark, d):
+    path = tables.shared_path(spark)
+    tables.write_id_lists(split_orders(spark, d), path, "split", "o_orderkey")
+    return spark.read.schema("value string, split string").text(path).select("split", F.col("value").cast("long").alias("o_orderkey"))
+
+
+@query("SELECT event_type, user_id % 4 AS step, count(*) AS n FROM events GROUP BY 1, 2")
+def sink_step_snapshots(spark, d):
+    path = tables.shared_path(spark)
+    n = stats.counter(t(spark, d, "events").select("event_type", (F.col("user_id") % 4).alias("step")), "event_type", "step")
+    tables.write_snapshots(n.where("step < 3").withColumn("n", F.lit(0).cast("long")), path, ["event_type", "step"])
+    tables.write_snapshots(n, path, ["event_type", "step"])
+    return spark.read.schema("n long, event_type string, step long").parquet(path).select("event_type", "step", "n")
+
+
+# streams over the files of events
+
+
+def _stream(spark, d):
+    return spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+@query("SELECT event_type, round(sum(value * (user_id % 3 + 1)) / sum(user_id % 3 + 1), 6) AS mean, count(value) AS n FROM events WHERE value IS NOT NULL GROUP BY 1")
+def st_running_metrics(spark, d):
+    sums = metrics.running_metrics(_stream(spark, d), "event_type", "value", F.col("user_id") % 3 + 1)
+    out = metrics.run_available(sums, tables.shared_path(spark), "complete")
+    return out.select("event_type", F.round(F.col("total") / F.col("weight"), 6).alias("mean"), F.col("rows").alias("n"))
+
+
+@query("SELECT user_id, max(value) AS peak FROM events GROUP BY 1")
+def st_running_peak(spark, d):
+    return metrics.run_available(metrics.running_peak(_stream(spark, d), "user_id", "value"), tables.shared_path(spark), "complete")
+
+
+@query("SELECT event_id, CASE WHEN value IS NULL THEN 'no value' WHEN value > 50 THEN 'too far' END AS reason FROM events")
+def st_append_rows(spark, d):
+    rows = metrics.with_reason(_stream(spark, d), [(F.col("value").isNull(), "no value"), (F.col("value") > 50, "too far")])
+    return metrics.run_available(rows.select("event_id", "reason"), tables.shared_path(spark))
+
+
+# checks
+
+
+@query("SELECT count(*) FILTER (a AND b) AS passed, count(*) AS total FROM (SELECT o_custkey IN (SELECT c_custkey FROM customer) AS a, o_orderkey IN (SELECT l_orderkey FROM lineitem) AS b FROM orders)")
+def chk_provenance(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")).distinct().withColumn("a", F.lit(True))
+    l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("b", F.lit(True))
+    both = o.join(c, "o_custkey", "left").join(l, "o_orderkey", "left")
+    return both.agg(F.count_if(F.col("a") & F.col("b")).alias("passed"), F.count("*").alias("total"))
+
+
+@query("SELECT count(*) FILTER (ok) AS passed, count(*) AS total FROM (SELECT bool_or(l_returnflag = 'A' AND l_quantity > 10) AS ok FROM lineitem GROUP BY l_orderkey)")
+def chk_role_present(spark, d):
+    ok = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.bool_or((F.col("l_returnflag") == "A") & (F.col("l_quantity") > 10)).alias("ok"))
+    return ok.agg(F.count_if("ok").alias("passed"), F.count("*").alias("total"))
+
+
+@query("SELECT count(*) FILTER (NOT lost) AS passed, count(*) AS total FROM (SELECT doc_id NOT IN (SELECT doc_id FROM documents) AS lost FROM labels)")
+def chk_references(spark, d):
+    have = t(spark, d, "documents").select("doc_id").distinct().withColumn("has", F.lit(True))
+    return t(spark, d, "labels").join(have, "doc_id", "left").agg(F.count("has").alias("passed"), F.count("*").alias("total"))
+
+
+@query(f"SELECT o_orderpriority, o_custkey FROM {SPLITS_SQL} GROUP BY 1, 2 HAVING count(DISTINCT split) > 1")
+def chk_leakage(spark, d):
+    g = split_orders(spark, d).groupBy("o_orderpriority", "o_custkey").agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
+    return g.where("lo <> hi").select("o_orderpriority", "o_custkey")
+
+
+@query("SELECT count(*) = count(DISTINCT event_id) AND count(event_id) = count(*) AS ids_ok, count(*) FILTER (value >= 0 AND value < 30) AS in_range, count(*) AS total FROM events")
+def chk_eval_rows(spark, d):
+    e = t(spark, d, "events")
+    ids = (F.count("*") == F.count_distinct("event_id")) & (F.count("event_id") == F.count("*"))
+    return e.agg(ids.alias("ids_ok"), F.count_if((F.col("value") >= 0) & (F.col("value") < 30)).alias("in_range"), F.count("*").alias("total"))
+
+
+# further joins and geometry
+
+
+@query("SELECT c_custkey, o_orderkey, o_totalprice FROM customer JOIN (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) ON o_custkey = c_custkey WHERE r = 1")
+def join_exact_sequence(spark, d):
+    o = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    return tables.last_wins(t(spark, d, "customer").select("c_custkey"), o, ["c_custkey"], "o_orderkey")
+
+
+@query("SELECT round(avg((list_contains(u, user_id % 7))::int), 6) AS rate, count(*) AS n FROM events JOIN (SELECT event_type, list(DISTINCT event_id % 7) AS u FROM events WHERE value > 30 GROUP BY 1) USING (event_type)")
+def join_name_crosscheck(spark, d):
+    e = t(spark, d, "events")
+    ids = e.where("value > 30").groupBy("event_type").agg(F.collect_set(F.col("event_id") % 7).alias("u"))
+    hit = F.array_contains("u", F.col("user_id") % 7).cast("int")
+    return e.join(ids, "event_type").agg(F.round(F.avg(hit), 6).alias("rate"), F.count("*").alias("n"))
+
+
+@query("SELECT label, count(*) AS atoms, count(*) FILTER (vec_id % 190 < 90) > 0 AND count(*) FILTER (vec_id % 190 >= 90) > 0 AS in_groove FROM embeddings GROUP BY 1")
+def geo_groove_halves(spark, d):
+    pos = F.col("vec_id") % 190
+    both = (F.count_if(pos < 90) > 0) & (F.count_if(pos >= 90) > 0)
+    return t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("atoms"), both.alias("in_groove"))
+
+
+@query(f"SELECT DISTINCT b.label FROM {POINTS_SQL} b WHERE b.label <> 0 AND b.label NOT IN (SELECT q.label FROM {POINTS_SQL} p, {POINTS_SQL} q WHERE p.label = 0 AND q.label <> 0 AND (p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)+(p.z-q.z)*(p.z-q.z) <= 0.25)")
+def geo_detached(spark, d):
+    p = points(spark, d)
+    rest = p.where("label <> 0")
+    near = joins.radius_join(p.where("label = 0"), rest, 0.5).select(F.col("b_id").alias("id")).distinct()
+    touched = rest.join(near, "id", "left_semi").select("label").distinct()
+    return rest.select("label").distinct().join(touched, "label", "left_anti")
