@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ PERCENT = 80
 #: candidates match, and which had more, get all of theirs in a second pass.
 KEPT = 3
 NEWLINE = 10
+#: Rows that are unpacked at once.
+CUT_ROWS = 256
 
 
 #: Words are told apart by this many bits of their hashes, so that a word and the number of its
@@ -256,8 +259,17 @@ def unpacked_tokens(raw) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+#: Bits of a line's wide parity sketch; like the narrow one of the postings, it drops no match.
+WIDE_BITS = 512
+
+
+def wide_parity(tokens: np.ndarray) -> bytes:
+    flips = np.bincount((tokens >> np.uint64(16)).astype(np.int64) & (WIDE_BITS - 1), minlength=WIDE_BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
 def _word_sets(rows: DataFrame, wanted) -> DataFrame:
-    """(doc, line, tokens) of the lines in the bit set."""
+    """(doc, line, n, wide, tokens) of the lines in the bit set."""
 
     def read(batches):
         bits = wanted.value
@@ -268,34 +280,71 @@ def _word_sets(rows: DataFrame, wanted) -> DataFrame:
                 doc = ids[lo:hi][x.doc].astype(np.int64) if len(x.n) else np.zeros(0, np.int64)
                 at = np.flatnonzero(in_bitset(bits, line_key(doc, x.line)) & (x.n >= 4)) if len(x.n) else np.zeros(0, int)
                 if len(at):
-                    raw = [packed_tokens(x.tokens[x.edge[k] : x.edge[k + 1]]) for k in at.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(x.line[at]), pa.array(raw, pa.binary())], ["doc", "line", "tokens"])
+                    sets = [x.tokens[x.edge[k] : x.edge[k + 1]] for k in at.tolist()]
+                    packed = [pa.array(map(f, sets), pa.binary()) for f in (wide_parity, packed_tokens)]
+                    yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(x.line[at]), pa.array(x.n[at]), *packed], ["doc", "line", "n", "wide", "tokens"])
 
     # a repeated row gives its lines again, and its pairs, which are made distinct in the end
-    return rows.mapInArrow(read, "doc long, line long, tokens binary")
+    return rows.mapInArrow(read, "doc long, line long, n long, wide binary, tokens binary")
+
+
+def _ends(pairs: DataFrame) -> np.ndarray:
+    """A bit set of the lines of the pairs."""
+    ends = pairs.select("doc", "line").union(pairs.select("with_doc", "with_line")).distinct()
+    return bitset_of(ends.select(line_key_column("doc", "line").alias("key")), "key", 25)
+
+
+def _with_both(pairs: DataFrame, lines: DataFrame, *cols: str) -> DataFrame:
+    """The pairs with ``cols`` of their first line and, as other_..., of their second."""
+    x = lines.select("doc", "line", *cols)
+    y = lines.select(F.col("doc").alias("with_doc"), F.col("line").alias("with_line"), *[F.col(c).alias("other_" + c) for c in cols])
+    return pairs.join(x, ["doc", "line"]).join(y, ["with_doc", "with_line"])
+
+
+PAIR = ["doc", "line", "with_doc", "with_line"]
+
+
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide sketches differ in no more places than those of matching lines may."""
+
+    def compare(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("wide", "other_wide"))
+            total = batch.column("n").to_numpy() + batch.column("other_n").to_numpy()
+            most = total - 2 * -(-total * percent // (100 + percent))
+            yield batch.select(PAIR).filter(pa.array(np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= most))
+
+    return _with_both(pairs, sets, "n", "wide").mapInArrow(compare, ", ".join(f"{c} long" for c in PAIR))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """(doc, line) of the pairs' later lines that match their earlier one."""
-    spark = rows.sparkSession
-    ends = pairs.select("doc", "line").union(pairs.select("with_doc", "with_line")).distinct()
-    bits = bitset_of(ends.select(line_key_column("doc", "line").alias("key")), "key", 25)
-    sets = stored(_word_sets(rows, spark.sparkContext.broadcast(bits)))
-    both = pairs.join(sets.withColumnRenamed("tokens", "x"), ["doc", "line"]).join(
-        sets.select(F.col("doc").alias("with_doc"), F.col("line").alias("with_line"), F.col("tokens").alias("y")), ["with_doc", "with_line"]
-    )
+    share = rows.sparkSession.sparkContext.broadcast
+    sets = stored(_word_sets(rows, share(_ends(pairs))))
+    near = stored(_close(pairs, sets, percent))
+    wanted = share(_ends(near))
+
+    def few(batches):
+        for batch in batches:
+            key = (batch.column("doc").to_numpy() & 0xFFFFFFFF) * 1021 + batch.column("line").to_numpy()
+            yield batch.filter(pa.array(in_bitset(wanted.value, key)))
+
+    both = _with_both(near, sets.select("doc", "line", "tokens").mapInArrow(few, "doc long, line long, tokens binary"), "tokens")
 
     def verify(batches):
         for batch in batches:
             keep = []
-            for p, q in zip(batch.column(2), batch.column(3)):
+            for p, q in zip(batch.column("tokens"), batch.column("other_tokens")):
                 x, y = unpacked_tokens(p.as_py()), unpacked_tokens(q.as_py())
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["doc", "line"]).filter(pa.array(keep, pa.bool_()))
 
-    out = stored(both.select("doc", "line", "x", "y").mapInArrow(verify, "doc long, line long").distinct())
+    out = stored(both.select("doc", "line", "tokens", "other_tokens").mapInArrow(verify, "doc long, line long").distinct())
     discard(sets)
+    discard(near)
     return out
 
 
@@ -341,21 +390,56 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     del gone
     release(spark)
     touched = spark.sparkContext.broadcast(bitset_of(per_row.select("__id"), "__id"))
+    with_id = docs.withColumn("__id", F.col(id_col).cast("long"))
+    # only rows that may have lost a line are joined; the texts of the others are not shuffled. The
+    # hash table is of line numbers, so texts need no sort
+    hit = _marked(with_id, text_col, touched, True).join(per_row.hint("shuffle_hash"), "__id", "left").select(*docs.columns, "__gone")
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
+    same = _marked(with_id, text_col, touched, False).withColumns({"n_lines": n_lines, "n_removed": F.lit(0)}).drop("__id")
+    return _cut(hit, same.schema, text_col).unionByName(same)
+
+
+def _marked(rows: DataFrame, text_col: str, touched, hit: bool) -> DataFrame:
+    """The rows whose __id is in the bit set, their texts compressed, or the others as they are."""
+    fields = [T.StructField(f.name, T.BinaryType()) if hit and f.name == text_col else f for f in rows.schema.fields]
 
     def mark(batches):
+        small = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            hit = in_bitset(touched.value, pc.fill_null(batch.column("__id"), 0).to_numpy())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], [*batch.schema.names, "__hit"])
+            found = in_bitset(touched.value, pc.fill_null(batch.column("__id"), 0).to_numpy())
+            batch = batch.filter(pa.array(found == hit))
+            if hit:
+                at = batch.schema.get_field_index(text_col)
+                texts = batch.column(at).cast(pa.large_binary())
+                raw = pa.array([small.compress(x.as_buffer()) if x.is_valid else None for x in texts], pa.binary())
+                batch = pa.RecordBatch.from_arrays([raw if k == at else c for k, c in enumerate(batch.columns)], batch.schema.names)
+            yield batch
+
+    return rows.mapInArrow(mark, T.StructType(fields))
+
+
+def _cut(rows: DataFrame, schema: T.StructType, text_col: str) -> DataFrame:
+    """Texts unpacked, without the lines numbered in __gone (null: none); n_lines and n_removed added."""
+
+    def cut(batches):
+        whole = zstandard.ZstdDecompressor()
+
+        def text(packed, gone):
+            if not packed.is_valid:
+                return None, 0, 0
+            raw = whole.decompress(packed.as_buffer())
+            lines = raw.split(b"\n")
+            if gone.is_valid:
+                lost = set(gone.as_py())
+                raw = b"\n".join(x for k, x in enumerate(lines) if k not in lost)
+            return raw, len(lines), len(gone.as_py()) if gone.is_valid else 0
 
-    with_id = docs.withColumn("__id", F.col(id_col).cast("long"))
-    marked = with_id.mapInArrow(mark, T.StructType([*with_id.schema.fields, T.StructField("__hit", T.BooleanType())]))
-    # only rows that may have lost a line are joined; the texts of the others are not shuffled
-    lines = F.split(F.col(text_col), "\n")
-    left = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size(lines) - 1).alias("i"), lines.alias("l")), lambda x: ~F.array_contains("__gone", x["i"].cast("long")))
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda x: x["l"]), "\n"))
-    n = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone"))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
-    joined = marked.where("__hit").join(per_row, "__id", "left")
-    same = marked.where("not __hit").withColumn("__gone", F.lit(None).cast("array<bigint>"))
-    whole = joined.unionByName(same)
-    return whole.withColumns({"n_lines": n_lines, "n_removed": n, text_col: text}).drop("__id", "__gone", "__hit")
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            for lo in range(0, len(batch), CUT_ROWS):
+                part = batch.slice(lo, CUT_ROWS)
+                texts, n, lost = zip(*map(text, part.column(at), part.column("__gone")))
+                cols = [pa.array(texts, pa.binary()).cast(pa.string()) if k == at else c for k, c in enumerate(part.columns[:-1])]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int32()), pa.array(lost, pa.int32())], schema.names)
+
+    return rows.mapInArrow(cut, schema)
