@@ -6,10 +6,11 @@ rounded alike on both sides.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions import seq
-from .operators import geometry, joins, rules, stats, windows
+from .operators import alignment, geometry, joins, rules, stats, windows
 from .sources import tables
 from .streaming import metrics
 
@@ -706,3 +707,188 @@ def geo_detached(spark, d):
     near = joins.radius_join(p.where("label = 0"), rest, 0.5).select(F.col("b_id").alias("id")).distinct()
     touched = rest.join(near, "id", "left_semi").select("label").distinct()
     return rest.select("label").distinct().join(touched, "label", "left_anti")
+
+
+# sequences against a catalogue
+
+_SEQ = "string_agg(CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'R' ELSE 'X' END, '' ORDER BY l_linenumber, CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'R' ELSE 'X' END)"
+_SEQS_SQL = f"s AS (SELECT l_orderkey AS o, l_orderkey % 199 AS entry, {_SEQ} AS seq FROM lineitem GROUP BY 1)"
+_IDENTITY = "len(list_filter(range(1, length(x) + 1), lambda i: x[i] <> 'X' AND y[i] <> 'X' AND x[i] = y[i])) / nullif(len(list_filter(range(1, length(x) + 1), lambda i: x[i] <> 'X' AND y[i] <> 'X')), 0)"
+_STAGES_SQL = f"""{_SEQS_SQL},
+ e AS (SELECT entry, seq AS y, max(o) AS ent FROM s WHERE o % 10 = 0 GROUP BY 1, 2),
+ c AS (SELECT DISTINCT entry, seq AS x FROM s WHERE o % 10 <> 0),
+ w AS (SELECT entry, x, ent, {_IDENTITY} AS v FROM c JOIN e USING (entry) WHERE length(x) = length(y)),
+ b AS (SELECT entry, x, ent, v FROM w WHERE v >= 0.9 QUALIFY row_number() OVER (PARTITION BY entry, x ORDER BY v DESC, ent) = 1)"""
+
+
+def _sequences(spark, d):
+    s = rules.category_sequence(t(spark, d, "lineitem"), "l_orderkey", "l_linenumber", "l_returnflag", {"A": "A", "R": "R"})
+    s = s.select(F.col("l_orderkey").alias("o"), (F.col("l_orderkey") % 199).alias("entry"), "seq")
+    return s.where("o % 10 <> 0"), s.where("o % 10 = 0").select("entry", F.col("o").alias("ent"), "seq")
+
+
+@query(f"WITH {_STAGES_SQL} SELECT entry, x, ent, round(v, 6) AS value FROM b")
+def join_wildcard_sequence(spark, d):
+    x, e = alignment._sequences(*_sequences(spark, d), "entry", "seq", "ent")
+    return alignment.wildcard_match(x, e, "entry", "ent").withColumn("value", F.round("value", 6))
+
+
+@query()
+def join_alignment_fallback(spark, d):
+    x, e = alignment._sequences(*_sequences(spark, d), "entry", "seq", "ent")
+    return alignment.alignment_match(x, e, "entry", "ent")
+
+
+@query()
+def seq_local_alignment(spark, d):
+    chains, entities = _sequences(spark, d)
+    x, e = alignment._sequences(chains, entities, "entry", "seq", "ent")
+    return alignment.align_pairs(x.join(e, "entry"))
+
+
+@query(f"""WITH {_STAGES_SQL}
+ SELECT CASE WHEN k.y IS NOT NULL THEN 'exact' WHEN b.x IS NOT NULL THEN 'wildcard' ELSE 'later' END AS stage, count(*) AS n, sum(coalesce(k.ent, b.ent))::bigint AS ents
+ FROM s LEFT JOIN e k ON k.entry = s.entry AND k.y = s.seq LEFT JOIN b ON b.entry = s.entry AND b.x = s.seq AND k.y IS NULL WHERE s.o % 10 <> 0 GROUP BY 1""")
+def join_match_cascade(spark, d):
+    out = alignment.match_cascade(*_sequences(spark, d), "entry", "seq", "ent")
+    early = F.col("evidence").isin("exact", "wildcard")
+    return out.groupBy(F.when(early, F.col("evidence")).otherwise("later").alias("stage")).agg(F.count("*").alias("n"), F.sum(F.when(early, F.col("ent"))).alias("ents"))
+
+
+@query("""SELECT l_orderkey, CASE WHEN len(a) <> len(b) THEN 'count' WHEN a <> b THEN 'name' ELSE 'ok' END AS kind,
+ array_to_string(list_filter(range(0, greatest(len(a), len(b))), lambda i: a[i + 1] IS DISTINCT FROM b[i + 1])[1:4], ',') AS bad
+ FROM (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) AS a, coalesce(list(l_linenumber ORDER BY l_linenumber) FILTER (l_quantity < 45), []) AS b FROM lineitem GROUP BY 1)""")
+def join_positional_align(spark, d):
+    lists = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("a"), F.array_sort(F.collect_list(F.when(F.col("l_quantity") < 45, F.col("l_linenumber")))).alias("b"))
+    return alignment.positional_align(lists, "l_orderkey", "a", "b").withColumn("bad", F.array_join(F.col("bad").cast("array<string>"), ","))
+
+
+_AGREE = "replace(a, 'X', '')"
+
+
+@query(f"""SELECT count(*) FILTER (contains(replace(b, 'X', ''), {_AGREE}) OR coalesce(v, 0) >= 0.9) AS passed, count(*) AS total FROM (
+ SELECT a, b, len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: a[i] <> 'X' AND a[i] = b[i])) / nullif(len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: a[i] <> 'X')), 0) AS v
+ FROM (SELECT seq AS a, CASE WHEN o % 3 = 0 THEN replace(seq, 'R', 'A') WHEN o % 3 = 1 THEN seq[2:] ELSE 'A' || seq END AS b FROM (WITH {_SEQS_SQL} SELECT * FROM s)))""")
+def chk_sequence_match(spark, d):
+    chains, entities = _sequences(spark, d)
+    s = chains.select("o", "seq").union(entities.select("ent", "seq"))
+    b = F.when(F.col("o") % 3 == 0, F.replace("seq", F.lit("R"), F.lit("A"))).when(F.col("o") % 3 == 1, F.substring("seq", 2, 1 << 20)).otherwise(F.concat(F.lit("A"), "seq"))
+    return s.agg(F.count_if(seq.agrees(F.col("seq"), b)).alias("passed"), F.count("*").alias("total"))
+
+
+# curves and tables of runs
+
+_CUTS = "[0, n // 8, n // 4, n // 2, 3 * n // 4, n, n + 1]"
+
+
+@query(f"""WITH m AS (SELECT max(event_id) AS n FROM events), e AS (SELECT *, list_max(list_filter({_CUTS}, lambda x: x <= event_id)) AS bucket FROM events, m)
+ SELECT bucket, count(*) AS n, round(avg(value), 6) AS mean, count(*) FILTER (value IS NULL) AS non_finite, max_by(user_id, event_id) AS rate, round(quantile_cont(value, .5), 6) AS secs FROM e GROUP BY 1""")
+def agg_progress_buckets(spark, d):
+    out = stats.progress_buckets(t(spark, d, "events"), "event_id", "value", "user_id", "value")
+    return out.withColumns({"mean": F.round("mean", 6), "secs": F.round("secs", 6)})
+
+
+@query("""WITH s AS (SELECT event_type, user_id, event_id, CASE WHEN value > 5 THEN value END AS v FROM events),
+ r AS (SELECT user_id, avg(value) AS ref FROM events GROUP BY 1),
+ p AS (SELECT event_type, user_id, min(v) AS best, avg(v) AS m, min_by(coalesce(v, -1), event_id) AS first, any_value(ref) AS ref FROM s LEFT JOIN r USING (user_id) GROUP BY 1, 2)
+ SELECT event_type, round(pooled, 6) AS pooled_median, round(mean, 6) AS mean, ok, failed, round(fm, 6) AS first_median, round(bm, 6) AS best_median, round(dm, 6) AS delta
+ FROM (SELECT event_type, quantile_cont(v, .5) AS pooled, avg(v) AS mean FROM s GROUP BY 1)
+ JOIN (SELECT event_type, count(m) AS ok, count(*) FILTER (m IS NULL) AS failed, quantile_cont(nullif(first, -1), .5) AS fm, quantile_cont(best, .5) AS bm, quantile_cont(m - ref, .5) AS dm FROM p GROUP BY 1) USING (event_type)""")
+def agg_validation_curve(spark, d):
+    e = t(spark, d, "events")
+    samples = e.select("event_type", "user_id", "event_id", F.when(F.col("value") > 5, F.col("value")).alias("v"))
+    out = stats.validation_curve(samples, e.groupBy("user_id").agg(F.avg("value").alias("ref")), "event_type", "user_id", "event_id", "v")
+    return out.withColumns({c: F.round(c, 6) for c in ("pooled_median", "mean", "first_median", "best_median", "delta")})
+
+
+_RECORDS_SQL = "(SELECT event_type, user_id, avg(value) AS m, user_id % 3 = 0 AS held, (user_id % 4)::varchar AS bucket FROM events GROUP BY 1, 2)"
+_BUCKETS = ["0", "1", "2", "3"]
+
+
+def _records(spark, d):
+    r = t(spark, d, "events").groupBy("event_type", "user_id").agg(F.avg("value").alias("m"))
+    return r.withColumns({"held": F.col("user_id") % 3 == 0, "bucket": (F.col("user_id") % 4).cast("string")})
+
+
+@query(f"SELECT event_type, count(m) AS n, round(quantile_cont(m, .5), 6) AS median, round(quantile_cont(m, .5) FILTER (held), 6) AS held_median, {', '.join(f'''round(quantile_cont(m, .5) FILTER (bucket = '{b}'), 6) AS m_{b}''' for b in _BUCKETS)} FROM {_RECORDS_SQL} GROUP BY 1")
+def agg_eval_table(spark, d):
+    out = stats.eval_table(_records(spark, d), "event_type", "m", "held", "bucket", _BUCKETS)
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c not in ("event_type", "n")})
+
+
+@query(f"SELECT bucket, round(quantile_cont(m, .5) FILTER (event_type = 'click'), 6) AS click, round(quantile_cont(m, .5) FILTER (event_type = 'view'), 6) AS view FROM {_RECORDS_SQL} GROUP BY 1")
+def agg_bucket_pivot(spark, d):
+    out = stats.bucket_pivot(_records(spark, d), "bucket", "event_type", "m", ["click", "view"])
+    return out.withColumns({c: F.round(c, 6) for c in ("click", "view")})
+
+
+@query("SELECT event_type, user_id, round(avg(value), 6) AS mean, count(value) AS n FROM events WHERE event_id % 5 IN (0, 1) GROUP BY 1, 2")
+def agg_pooled_draws(spark, d):
+    e = t(spark, d, "events")
+    return stats.pooled_draws([e.where("event_id % 5 = 0"), e.where("event_id % 5 = 1")], "event_type", "user_id", "value").withColumn("mean", F.round("mean", 6))
+
+
+# scores, further checks and sinks
+
+
+@query()
+def geo_structure_scores(spark, d):
+    e = t(spark, d, "embeddings")
+    p = e.select("label", (F.col("vec_id") % 3 > 0).alias("fit"), *[(F.get("embedding", F.lit(k)).cast("double") * 50).alias(c) for k, c in enumerate(["px", "py", "pz", "tx", "ty", "tz"])])
+    return geometry.structure_scores(p, "label", "fit")
+
+
+@query("SELECT label, n >= 20 AND lo > 0 AND hi > 0 AS ok, CASE WHEN n < 20 THEN 'contacts' WHEN lo = 0 OR hi = 0 THEN 'halves' END AS review FROM (SELECT label, count(*) AS n, count(*) FILTER (vec_id % 190 < 90) AS lo, count(*) FILTER (vec_id % 190 >= 90) AS hi FROM embeddings GROUP BY 1)")
+def chk_groove(spark, d):
+    pos = F.col("vec_id") % 190
+    g = t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.count_if(pos < 90).alias("lo"), F.count_if(pos >= 90).alias("hi"))
+    review = F.when(F.col("n") < 20, "contacts").when((F.col("lo") == 0) | (F.col("hi") == 0), "halves")
+    return g.select("label", review.isNull().alias("ok"), review.alias("review"))
+
+
+@query("SELECT (SELECT count(DISTINCT label) FROM embeddings WHERE label <> 0) - count(*) AS passed, (SELECT count(DISTINCT label) FROM embeddings WHERE label <> 0) AS total FROM (" + _SQL["geo_detached"] + ")")
+def chk_connected(spark, d):
+    kept = t(spark, d, "embeddings").where("label <> 0").select("label").distinct()
+    lost = geo_detached(spark, d).withColumn("lost", F.lit(1))
+    return kept.join(lost, "label", "left").agg(F.count_if(F.col("lost").isNull()).alias("passed"), F.count("*").alias("total"))
+
+
+@query("SELECT count(*) FILTER (n = hi AND n = k AND lo = 1) AS passed, count(*) AS total FROM (SELECT count(*) AS n, count(DISTINCT l_linenumber) AS k, min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM lineitem GROUP BY l_orderkey)")
+def chk_integrity(spark, d):
+    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_distinct("l_linenumber").alias("k"), F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
+    return g.agg(F.count_if((F.col("n") == F.col("hi")) & (F.col("n") == F.col("k")) & (F.col("lo") == 1)).alias("passed"), F.count("*").alias("total"))
+
+
+@query("SELECT count(*) FILTER (a = b) AS passed, count(*) AS total FROM (SELECT coalesce(list(l_linenumber ORDER BY l_linenumber) FILTER (l_returnflag <> 'N'), []) AS a, coalesce(list(l_linenumber ORDER BY l_linenumber) FILTER (l_linestatus = 'F'), []) AS b FROM lineitem GROUP BY l_orderkey)")
+def chk_flag_consistency(spark, d):
+    kept = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("l_linenumber"))))
+    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(kept(F.col("l_returnflag") != "N").alias("a"), kept(F.col("l_linestatus") == "F").alias("b"))
+    return g.agg(F.count_if(F.col("a") == F.col("b")).alias("passed"), F.count("*").alias("total"))
+
+
+_CAPS = [8, 4, 2, 1]
+
+
+@query(f"SELECT epoch, max(n) = {_CAPS}[epoch + 1] AS at_cap, max(n) <= {_CAPS}[epoch + 1] AS ok FROM (SELECT conv_id % 4 AS epoch, least(count(*), {_CAPS}[conv_id % 4 + 1]) AS n FROM conversations GROUP BY conv_id) GROUP BY epoch")
+def chk_schedule_depth(spark, d):
+    cap = F.element_at(F.array(*map(F.lit, _CAPS)), (F.least(F.col("epoch"), F.lit(len(_CAPS) - 1)) + 1).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    rows = t(spark, d, "conversations").withColumn("epoch", F.col("conv_id") % 4).withColumn("r", rank).where(F.col("r") <= cap)
+    seen = rows.groupBy("epoch", "conv_id").agg(F.count("*").alias("n")).groupBy("epoch").agg(F.max("n").alias("n"))
+    return seen.select("epoch", (F.col("n") == cap).alias("at_cap"), (F.col("n") <= cap).alias("ok"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'A' OR l_linenumber IN (1, 2)")
+def sink_fixed_width(spark, d):
+    path = tables.shared_path(spark)
+    tables.write_fixed_width(t(spark, d, "lineitem"), path, (F.col("l_returnflag") == "A") | F.col("l_linenumber").isin(1, 2), [("l_orderkey", "%12d"), ("l_linenumber", "%4d"), ("l_quantity", "%10.3f")])
+    cut = lambda at, n, kind: F.trim(F.substring("value", at, n)).cast(kind)
+    return spark.read.text(path).select(cut(1, 12, "long").alias("l_orderkey"), cut(13, 4, "int").alias("l_linenumber"), cut(17, 10, "double").alias("l_quantity"))
+
+
+@query(f"SELECT count(*) AS rows, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'test') AS test FROM {SPLITS_SQL}")
+def sink_stage_report(spark, d):
+    path = tables.shared_path(spark)
+    tables.write_report(split_orders(spark, d), path, "split")
+    report = spark.read.schema("rows long, by map<string, long>").json(path)
+    return report.select("rows", F.col("by")["train"].alias("train"), F.col("by")["test"].alias("test"))

@@ -35,3 +35,14 @@ def prefix_identity(a: Column, b: Column) -> Column:
     n = F.least(F.length(a), F.length(b))
     x, y = F.split(F.substring(a, F.lit(1), n), ""), F.split(F.substring(b, F.lit(1), n), "")
     return F.when(n > 0, F.size(F.filter(F.zip_with(x, y, lambda p, q: p == q), lambda t: t)) / n)
+
+
+def agrees(s: Column, full: Column, least: float = 0.9) -> Column:
+    """Whether ``s`` without X is part of ``full`` without X, or is identical to its beginning in a
+    share ``least`` or more of the positions where ``s`` has no X."""
+    part = F.contains(F.replace(full, F.lit("X"), F.lit("")), F.replace(s, F.lit("X"), F.lit("")))
+    n = F.least(F.length(s), F.length(full))
+    pairs = F.arrays_zip(F.split(F.substring(s, F.lit(1), n), "").alias("x"), F.split(F.substring(full, F.lit(1), n), "").alias("y"))
+    used = F.filter(pairs, lambda p: p["x"] != "X")
+    same = F.size(F.filter(used, lambda p: p["x"] == p["y"]))
+    return part | F.coalesce((F.size(used) > 0) & (n > 0) & (same >= least * F.size(used)), F.lit(False))

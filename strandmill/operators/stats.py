@@ -131,3 +131,49 @@ def argmax_constraint(df: DataFrame, arg: str, peak: str, capacity: float, frac:
 def seeded_subset(df: DataFrame, key: str, k: int, seed: str) -> DataFrame:
     """k rows, the same on every cluster."""
     return df.orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), key).limit(k)
+
+
+def progress_buckets(df: DataFrame, step: str, value: str, rate: str, secs: str) -> DataFrame:
+    """A curve over eighths, quarters and halves of the steps: (bucket, n, mean, non_finite, rate, secs).
+
+    Half-open buckets between the distinct integer edges; the last step is a bucket of its own. Only
+    the last step reaches the driver."""
+    last = df.agg(F.max(step)).first()[0] or 0
+    edges = sorted({0, last // 8, last // 4, last // 2, 3 * last // 4, last, last + 1})
+    bucket = F.lit(None).cast("long")
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        bucket = F.when((F.col(step) >= lo) & (F.col(step) < hi), lo).otherwise(bucket)
+    good = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    return df.groupBy(bucket.cast("long").alias("bucket")).agg(
+        F.count("*").alias("n"), F.avg(F.when(good, F.col(value))).alias("mean"), F.count_if(~good).alias("non_finite"), F.max_by(rate, step).alias("rate"), F.percentile(secs, 0.5).alias("secs")
+    )
+
+
+def validation_curve(samples: DataFrame, reference: DataFrame, step: str, record: str, sample: str, value: str) -> DataFrame:
+    """For each step: records with values and without, the pooled median, the medians of the first
+    and the best sample of a record, the mean, and the median difference of record means to
+    ``reference`` (record, ref)."""
+    per = samples.groupBy(step, record).agg(F.min(value).alias("best"), F.avg(value).alias("m"), F.min_by(value, sample).alias("first")).join(reference, record, "left")
+    records = per.groupBy(step).agg(
+        F.count("m").alias("ok"), F.count_if(F.col("m").isNull()).alias("failed"), F.percentile("first", 0.5).alias("first_median"), F.percentile("best", 0.5).alias("best_median"), F.percentile(F.col("m") - F.col("ref"), 0.5).alias("delta")
+    )
+    return samples.groupBy(step).agg(F.percentile(value, 0.5).alias("pooled_median"), F.avg(value).alias("mean")).join(records, step)
+
+
+def eval_table(records: DataFrame, run: str, value: str, held: str, bucket: str, buckets: list) -> DataFrame:
+    """For each run: records, medians over all and over held-out ones, and one for each bucket."""
+    cuts = [F.percentile(F.when(F.col(bucket) == b, F.col(value)), 0.5).alias(f"m_{b}") for b in buckets]
+    return records.groupBy(run).agg(F.count(value).alias("n"), F.percentile(value, 0.5).alias("median"), F.percentile(F.when(F.col(held), F.col(value)), 0.5).alias("held_median"), *cuts)
+
+
+def bucket_pivot(records: DataFrame, bucket: str, run: str, value: str, runs: list) -> DataFrame:
+    """The median of each bucket, one column for each run."""
+    return records.groupBy(bucket).pivot(run, runs).agg(F.percentile(value, 0.5))
+
+
+def pooled_draws(draws: list[DataFrame], arm: str, record: str, value: str) -> DataFrame:
+    """(arm, record, mean, n): record means over the samples of all draws of an arm."""
+    rows = draws[0]
+    for d in draws[1:]:
+        rows = rows.unionByName(d)
+    return rows.groupBy(arm, record).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))

@@ -59,3 +59,14 @@ def last_wins(left: DataFrame, right: DataFrame, on: list[str], order: str) -> D
     """Equi-join; of the right rows that match one key, the last by ``order``."""
     w = Window.partitionBy(*on).orderBy(F.desc(order))
     return left.join(right.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r"), on)
+
+
+def write_fixed_width(df: DataFrame, path: str, keep, columns: list[tuple[str, str]]) -> None:
+    """One fixed-width line for each row that ``keep`` holds for; columns as (name, printf format)."""
+    df.where(keep).select(F.format_string("".join(f for _, f in columns), *[F.col(c) for c, _ in columns]).alias("value")).write.text(path)
+
+
+def write_report(df: DataFrame, path: str, by: str) -> None:
+    """One JSON line: all rows, and a map of the rows of each value of ``by`` (one entry a value)."""
+    n = df.groupBy(by).agg(F.count("*").alias("n"))
+    n.agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct(by, "n"))).alias("by")).write.json(path)

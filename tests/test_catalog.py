@@ -60,3 +60,61 @@ def test_superposition_of_moved_and_mirrored_points(spark):
     rows = [(1, *a, *b) for a, b in zip((x @ q + 50).tolist(), x.tolist())] + [(2, *a, *b) for a, b in zip((x * [1, 1, -1]).tolist(), x.tolist())]
     out = {r.g: r for r in superpose_rmsd(spark.createDataFrame(rows, "g int, px double, py double, pz double, tx double, ty double, tz double"), "g").collect()}
     assert out[1].rmsd < 1e-4 and out[2].rmsd > 5 and out[2].rmsd_mirror < 1e-4
+
+
+def test_structure_scores_of_moved_mirrored_and_small_groups(spark):
+    import numpy as np
+
+    from strandmill.operators.geometry import structure_scores
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 3)) * 10
+    q, _ = np.linalg.qr(rng.normal(size=(3, 3)))
+    q *= np.linalg.det(q)
+    moved = x.copy()
+    moved[30:] += [1.0, 0, 0]  # the scored points stand 1 beside their place
+    sets = {1: (moved @ q + 50, x), 2: ((x * [1, 1, -1]) @ q, x), 3: (x[:2], x[:2])}
+    rows = [(g, k < 30, *a, *b) for g, (p, t) in sets.items() for k, (a, b) in enumerate(zip(p.tolist(), t.tolist()))]
+    df = spark.createDataFrame(rows, "g int, fit boolean, px double, py double, pz double, tx double, ty double, tz double")
+    out = {r.g: r for r in structure_scores(df, "g", "fit").collect()}
+    assert abs(out[1].transfer_rmsd - 1) < 1e-3 and out[1].fit_rmsd < 1e-3 and not out[1].mirrored and out[1].n_scored == 10
+    assert out[2].mirrored and out[2].mirror_rmsd < 1e-3
+    assert out[3].reason and out[3].fit_rmsd is None
+
+
+def best_score(a, b, match=5, mismatch=-4):
+    """The best local score by trying every gap length at every place."""
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    gap = lambda n: -11 - (n - 1)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d = h[i - 1][j - 1] + (match if a[i - 1] == b[j - 1] else mismatch)
+            h[i][j] = max([0, d, *(h[i - n][j] + gap(n) for n in range(1, i + 1)), *(h[i][j - n] + gap(n) for n in range(1, j + 1))])
+    return max(map(max, h))
+
+
+def test_local_alignment_against_all_gap_lengths():
+    import random
+
+    from strandmill.operators.alignment import local_align
+
+    rng = random.Random(4)
+    for _ in range(60):
+        a = "".join(rng.choices("ACD", k=rng.randint(1, 25)))
+        cut = rng.randint(0, len(a))
+        b = a[:cut] + "".join(rng.choices("ACD", k=rng.randint(0, 6))) + a[min(len(a), cut + rng.randint(0, 3)) :]
+        if b:
+            score, identity, length = local_align(a, b)
+            assert score == best_score(a, b) and 0 <= identity <= 1 and length <= len(a) + len(b)
+    assert local_align("", "A") == (0, 0.0, 0) and local_align("ACDA", "ACDA") == (20, 1.0, 4)
+
+
+def test_match_cascade_stages(spark):
+    from strandmill.operators.alignment import match_cascade
+
+    long = "ACDEFGHIKLMNPQRSTVWY" * 3
+    e = spark.createDataFrame([(1, 7, long), (1, 8, "AACCA"), (1, 9, "AACCA"), (2, 1, long)], "entry int, ent int, seq string")
+    seqs = ["AACCA", "AXCCA", long[:40] + long[43:], "WWWWW", "", None]
+    out = match_cascade(spark.createDataFrame([(1, k, s) for k, s in enumerate(seqs)], "entry int, k int, seq string"), e, "entry", "seq", "ent")
+    got = {r.k: (r.ent, r.evidence) for r in out.collect()}
+    assert got == {0: (9, "exact"), 1: (9, "wildcard"), 2: (7, "alignment"), 3: (None, "unmatched"), 4: (None, "unmatched"), 5: (None, "unmatched")}
