@@ -9,6 +9,7 @@ there are; what is placed by a run is found for each piece from its rank in its
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -22,7 +23,7 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 #: A worker's memory of words already encoded is emptied at this many.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 #: 1 for ASCII letters, 2 for ASCII signs but the apostrophe. The tokenizer always cuts between the
 #: two kinds, so a word and the signs around it are encoded apart, which leaves fewer distinct words.
 KINDS = np.zeros(256, np.uint8)
@@ -114,12 +115,18 @@ class WordEncoder:
         return out, total + np.arange(n + 1)
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """A worker's encoder: the tokenizer is read once, not for each of its tasks."""
+    return WordEncoder(path)
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of each row; only texts beyond the capacity are cut."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches):
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             for lo, hi, data, offs in text_slices(batch):
                 ids, first = encoder.encode(data, offs)
