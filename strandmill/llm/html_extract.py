@@ -21,6 +21,10 @@ _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 _CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: Elements whose content is no text.
 RAW = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title".split())
+#: Those of them whose content is no markup either, up to their end tag.
+RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW_TEXT}
+_SCRIPT = re.compile(r"<!(?=--)|-->|</?script(?=[\s/>]|\Z)", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Kinds of region by tag, and by words in class, id or role.
@@ -81,6 +85,32 @@ class Block:
     text: str = ""
 
 
+def past_raw(page: str, at: int, tag: str) -> int:
+    """Where the page goes on after the end tag of the raw text that begins at ``at``.
+
+    In a script, end tags of scripts opened within "<!--" do not count, unless none is left then.
+    """
+    end = first = _RAW_END[tag].search(page, at)
+    if tag == "script" and first:
+        hidden = opened = False
+        for end in _SCRIPT.finditer(page, at):
+            mark = end[0].lower()
+            if mark == "<!":
+                hidden = True
+            elif mark == "-->":
+                hidden = opened = False
+            elif mark == "<script":
+                opened = hidden
+            elif opened:
+                opened = False
+            else:
+                break
+        else:
+            end = first
+    close = page.find(">", end.end()) if end else -1
+    return close + 1 if close >= 0 else len(page)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The flat blocks of a page, in order, white space in each made one space; empty ones go."""
     out: list[Block] = []
@@ -95,11 +125,16 @@ def blocks_of(page: str) -> list[Block]:
             out.append(block)
         block = Block()
 
-    for m in _PIECE.finditer(page):
+    at = 0
+    while m := _PIECE.match(page, at):
+        at = m.end()
         tag = m[2]
         if raw:
-            if tag and m[1] and tag.lower() == raw:
+            tag = tag.lower() if tag and m[4] else None
+            if tag == raw and m[1]:
                 raw = None
+            elif tag in RAW_TEXT and not m[1] and not m[3].rstrip().endswith("/"):
+                at = past_raw(page, at, tag)
             continue
         if tag is None:
             piece = m[0]
@@ -124,16 +159,21 @@ def blocks_of(page: str) -> list[Block]:
         if tag in RAW and not m[1]:
             if tag != "title":
                 block.parts and block.parts.append(" ")
-            raw = None if m[3].rstrip().endswith("/") else tag
+            if m[3].rstrip().endswith("/"):
+                continue
+            if tag in RAW_TEXT:
+                at = past_raw(page, at, tag)
+            else:
+                raw = tag
             continue
         if tag in INLINE:
             continue
         close()
         links = links if tag == "a" else 0
         if m[1]:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if at is not None:
-                del stack[at:]
+            opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+            if opened is not None:
+                del stack[opened:]
             continue
         if tag in VOID:
             continue

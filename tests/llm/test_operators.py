@@ -240,6 +240,20 @@ def test_html_extract(spark):
     assert [r.text for r in out if r.page_id == 4] == [LONG.strip()]
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        "<script>for(i=0;i<n;i++){}</script>", "<script>if(a<b)t='it';u=\"</p>\"</SCRIPT >", "<STYLE>a<n{content:'</p>'}</STYLE>", "<style>p>a{}<!-- </style>", "<script>x='<!--';</script>", "<script>it's a<b</script\n>",
+        "<script><!-- w('<script>a</script>') --></script>", "<script><!--> '<script>'</script>", "<script>'<!--<script>'</script>", "<script>'</scripts>',a<n</script>", "<textarea>a<n 'b</textarea>", "<svg><style>a<n'</style><p>x</p></svg>", "<script>a<n",
+    ],
+)
+def test_raw_elements_of_html(raw):
+    tree = html_extract.trained()
+    page = f"<article><p>Before, with words.</p>{raw}<p>The main text goes on after it.</p></article>"
+    ended = "</" in raw
+    assert html_extract.main_text(page, tree) == "Before, with words." + "\nThe main text goes on after it." * ended
+
+
 def test_packing(docs, edge, none):
     from tokenizers import Tokenizer
 
