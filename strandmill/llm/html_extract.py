@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|[^<]+|<", re.S)
 _CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: The marker of the labelled table.
+_KEEP = re.compile(r"(?:^|\s)data-keep=([01])(?=[\s/]|$)")
 #: Elements whose content is no text.
 RAW = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title".split())
 #: Those of them whose content is no markup either, up to their end tag.
@@ -111,8 +113,11 @@ def past_raw(page: str, at: int, tag: str) -> int:
     return close + 1 if close >= 0 else len(page)
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The flat blocks of a page, in order, white space in each made one space; empty ones go."""
+def blocks_of(page: str, labelled: bool = True) -> list[Block]:
+    """The flat blocks of a page, in order, white space in each made one space; empty ones go.
+
+    ``labelled``: the page is of the labelled table, and data-keep is read; else it means nothing.
+    """
     out: list[Block] = []
     stack: list[tuple[str, frozenset]] = []
     block, links, raw = Block(), 0, None
@@ -154,8 +159,8 @@ def blocks_of(page: str) -> list[Block]:
             links = 0 if m[1] else 1
         if tag == "br" and block.parts:
             block.parts.append(" ")
-        if "data-keep" in m[3]:
-            keep = m[3].split("data-keep=")[1][:1]
+        if labelled and (marker := _KEEP.search(m[3])):
+            keep = marker[1]
         if tag in RAW and not m[1]:
             if tag != "title":
                 block.parts and block.parts.append(" ")
@@ -249,7 +254,7 @@ def trained(labelled=LABELLED):
 
 
 def main_text(page: str, tree) -> str:
-    blocks = blocks_of(page)
+    blocks = blocks_of(page, labelled=False)
     rows = features_of(blocks).tolist()
     return "\n".join(b.text for b, row in zip(blocks, rows) if classify(tree, row) >= 0.5)
 

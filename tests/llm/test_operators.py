@@ -254,6 +254,14 @@ def test_raw_elements_of_html(raw):
     assert html_extract.main_text(page, tree) == "Before, with words." + "\nThe main text goes on after it." * ended
 
 
+@pytest.mark.parametrize("mark", ["data-keep", 'data-keepalive="true"', "data-keep=0", 'data-keep="0"', "data-keep= 1", 'title="data-keep"'])
+def test_marker_in_real_pages(mark):
+    tree = html_extract.trained()
+    page = "<nav><p>Home</p></nav><article><p>The main text stands here, in words.</p></article>"
+    assert html_extract.main_text(page.replace("<p>", f"<p {mark}>"), tree) == html_extract.main_text(page, tree) == "The main text stands here, in words."
+    assert [b.keep for b in html_extract.blocks_of(f"<p data-keep=1>a</p><p {mark}alive>b</p>")] == ["1", "1"]
+
+
 def test_packing(docs, edge, none):
     from tokenizers import Tokenizer
 
