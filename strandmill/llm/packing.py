@@ -10,6 +10,7 @@ there are; what is placed by a run is found for each piece from its rank in its
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 
 import numpy as np
@@ -45,13 +46,18 @@ class WordEncoder:
 
     The tokenizer drops white space and looks at nothing across it or across the cuts of KINDS, so
     the ids of a text are those of its words in order; each distinct word is encoded once.
+    ``added``: as the tokenizer does by default, an added token in a text (as <|endoftext|>) is its
+    one id, a word of its own; else it is encoded like other text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        contents = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = sorted(contents, key=len, reverse=True)
+        self.any_added = re.compile(b"|".join(map(re.escape, self.added)))
         self.forget()
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
 
@@ -79,10 +85,21 @@ class WordEncoder:
                 begin, at = end + 1, at + 1
         return out
 
+    def cuts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Where words end beside white space: between the KINDS, and at (not within) added tokens."""
+        kind = KINDS[data]
+        cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+        raw = data.tobytes() if self.added else b""
+        if not any(token in raw for token in self.added):
+            return cuts
+        found = [m.span() for lo, hi in zip(offs[:-1].tolist(), offs[1:].tolist()) for m in self.any_added.finditer(raw, lo, hi)]
+        begin, end = np.array(found, np.int64).reshape(-1, 2).T
+        within = np.searchsorted(begin, cuts) > np.searchsorted(end, cuts, "right")
+        return np.concatenate([cuts[~within], begin, end])
+
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice of texts, each text followed by END_ID, and where each text begins."""
-        kind = KINDS[data]
-        w = Words(data, offs, NOT_SPACE, np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1)
+        w = Words(data, offs, NOT_SPACE, self.cuts(data, offs))
         distinct, at, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
         begin, sizes = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
         place = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
@@ -118,7 +135,7 @@ class WordEncoder:
 @functools.lru_cache(maxsize=1)
 def encoder_of(path: str) -> WordEncoder:
     """A worker's encoder: the tokenizer is read once, not for each of its tasks."""
-    return WordEncoder(path)
+    return WordEncoder(path, added=True)
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int) -> DataFrame:
@@ -223,7 +240,9 @@ def plan(counts: np.ndarray, capacity: int) -> np.ndarray:
 def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Null and empty texts are the end id alone, one piece of length 1. Repeated rows are packed each;
+    Texts are encoded as the tokenizer does by default, without special tokens around them; added
+    tokens within them are one id each. Null and empty texts are the end id alone, one piece of
+    length 1. Repeated rows are packed each;
     an empty table gives no row. Other columns are not read. Ties in length go by id, then piece.
     The driver holds one count for each (sorted partition, length) and the plan over at most
     ``capacity`` lengths; pieces stay in Spark.

@@ -294,6 +294,18 @@ def test_word_encoder_on_odd_texts():
         assert list(ids[first[k] : first[k + 1]]) == [*tok.encode(t, add_special_tokens=False).ids, 1], t
 
 
+def test_packing_of_added_tokens(spark):
+    """As the tokenizer does by default; a token's parts in neighbouring texts are none."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|startoftext|>É<|endoftext|><|endoftext|>é~", "<|ENDOFTEXT|> <|endoftext| >", "x <|endof", "text|> y", "~<|<|endoftext|>|>'s don't", "", "<|endoftext|>", "a b. " * 3000 + "<|endoftext|>."]
+    want = [np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    assert want[0].tolist() == [320, 49407, 321, 1]
+    out = packing.best_fit_packing(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    assert {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in out} == {(k, s): (len(ids[s : s + 4096]), zlib.crc32(ids[s : s + 4096].tobytes())) for k, ids in enumerate(want) for s in range(0, len(ids), 4096)}
+
+
 def test_decontamination(spark, docs, edge, none):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
