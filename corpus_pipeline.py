@@ -27,9 +27,10 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each component of linked documents."""
-    kept = ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """Keeps the document of smallest id of each component of linked documents. Documents without
+    an id stay and link nothing."""
+    kept = ngram_join(docs.where("doc_id is not null")).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

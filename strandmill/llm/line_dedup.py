@@ -358,11 +358,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Earlier means a smaller id, then a smaller line number. A line matches one whose word set
     (words at ASCII white space, A-Z lower-cased) has Jaccard similarity percent/100 or more with
     its own. Lines without words match nothing and stay. Of repeated rows with one id the lines
-    count once: they share (id, line) and so their fate.
+    count once: they share (id, line) and so their fate. Rows without an id are not read: their
+    lines have no place in the order, and match nothing.
     """
     spark = docs.sparkSession
     n_buckets = n_buckets or max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     order = spark.sparkContext.broadcast(frequent_order(_frequencies(rows)))
     found = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, KEPT, None))
     equal = found.where(F.col("kind") == EQUAL).select("doc", "line")
@@ -381,8 +382,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n_buckets: int | None = None) -> DataFrame:
     """``docs`` with later matching lines taken out of the text; other columns as they are.
 
-    No row goes: a text all of whose lines go becomes empty, a null text stays null. The columns
-    n_lines and n_removed are added.
+    No row goes: a text all of whose lines go becomes empty, a null text stays null. Rows without
+    an id keep all their lines. The columns n_lines and n_removed are added.
     """
     spark = docs.sparkSession
     gone = duplicate_lines(docs, id_col, text_col, percent, n_buckets)

@@ -129,6 +129,25 @@ def test_line_dedup_second_pass(spark, monkeypatch):
     assert {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(df).collect()} == brute_lines(texts_of(df))
 
 
+def test_rows_without_an_id(spark, edge):
+    """Their lines stay and match nothing; the pipeline's stages keep the rows."""
+    import corpus_pipeline as p
+
+    lost = ["a b c d e f g h\na b c d e f g h\nq r s t u v", "q r s t u v", None]
+    both = edge.unionByName(spark.createDataFrame([(None, x, "en", None, None, 0, None, None, "x", None) for x in lost], SCHEMA))
+    plain = {tuple(r) for r in line_dedup.line_dedup(edge).collect()}
+    got = line_dedup.line_dedup(both).collect()
+    assert {tuple(r) for r in got if r.doc_id is not None} == plain
+    assert sorted((str(r.text), r.n_lines, r.n_removed) for r in got if r.doc_id is None) == sorted((str(x), 0 if x is None else x.count("\n") + 1, 0) for x in lost)
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (None, "a b c d e f g h"), (None, "a b c d e f g h\na b c d e f g h")]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = p.distinct_lines(spark, p.known_language(spark, docs, SF), SF)
+    assert sorted((str(r.doc_id), r.text) for r in lines.collect()) == sorted((str(i), "" if i == 2 else x) for i, x in rows)
+    one = p.one_of_near_copies(spark, docs, SF)
+    assert sorted((str(r.doc_id), r.text) for r in one.collect()) == sorted((str(i), x) for i, x in rows if i != 2)
+    assert p.packed(spark, p.uncontaminated(spark, one, SF), SF).where("doc_id is null").count() == 2
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact_dedup(docs, edge, weak):
     """With a digest of few values, too, where many unequal texts share a chain."""
