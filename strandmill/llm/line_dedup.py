@@ -8,6 +8,8 @@ match), and are verified on their word sets. A line with an earlier match goes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +26,10 @@ PERCENT = 80
 #: candidates match, and which had more, get all of theirs in a second pass.
 KEPT = 3
 NEWLINE = 10
+#: Postings of a bucket, about: one task sorts those of a bucket at once.
+BUCKET_POSTINGS = 1 << 19
+#: Candidate pairs of a bucket that are held at once.
+HELD_PAIRS = 2_000_000
 #: Rows that are unpacked at once.
 CUT_ROWS = 256
 
@@ -40,6 +46,7 @@ class Lines:
 
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         w = Words(LOWER[data], offs, NOT_SPACE)
+        self.words = w.hash >> np.uint64(64 - TOKEN_BITS)
         breaks = np.flatnonzero(data == NEWLINE)
         before = np.searchsorted(breaks, w.starts)  # line breaks before each word
         at_row = np.searchsorted(breaks, offs[:-1])
@@ -54,7 +61,7 @@ class Lines:
             packed = packed[new]
             self.tokens, number = packed & np.uint64((1 << TOKEN_BITS) - 1), packed >> np.uint64(TOKEN_BITS)
         else:
-            tokens = w.hash >> np.uint64(64 - TOKEN_BITS)
+            tokens = self.words
             order = np.lexsort((tokens, number))
             tokens, number = tokens[order], number[order]
             new = np.ones(len(tokens), bool)
@@ -66,6 +73,24 @@ class Lines:
         mixed = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         self.fp = mix(mixed[self.edge[1:]] - mixed[self.edge[:-1]] + self.n.astype(np.uint64)).view(np.int64) if len(self.n) else np.zeros(0, np.int64)
 
+    def repeats(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first line of each distinct word set, later lines of equal sets), by ``doc`` and line; a
+        first line that a repeated row gives again is neither."""
+        by_set = np.lexsort((self.line, doc, self.fp))
+        edge = runs(self.fp[by_set])
+        first = by_set[edge[:-1]]
+        head = np.repeat(first, np.diff(edge))
+        later = (doc[head] != doc[by_set]) | (self.line[head] != self.line[by_set])
+        return first, by_set[later]
+
+    def posted(self, first: np.ndarray, percent: int) -> np.ndarray:
+        """How many tokens each line posts: a slice posts equal lines once; sets of under 4 words
+        match equal sets only."""
+        p = np.zeros(len(self.n), np.int64)
+        first = first[self.n[first] >= 4]
+        p[first] = prefix_length(self.n[first], percent)
+        return p
+
     def prefixes(self, p: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of the token, its line, its place) of the first p[k] tokens of each line k, rare
         ones first: those that ``order`` lacks by hash, then by their counts there."""
@@ -93,29 +118,59 @@ class Lines:
         return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(TOKEN_BITS - 6)), self.edge[:-1])
 
 
-def _frequencies(rows: DataFrame) -> DataFrame:
-    """(token, n) of words seen often in some stretch of text, over all lines."""
+#: kind of a profile row: a word seen often in some stretch of text (key) and its count (doc); how
+#: many tokens a slice posts (doc); the first line of a word set (key: fingerprint) in its slice;
+#: a later line of that slice with an equal set
+FREQUENT, POSTED, FIRST, AGAIN = 0, 1, 2, 3
+
+
+def _profile(rows: DataFrame, percent: int) -> DataFrame:
+    """(kind, key, doc, line) of words, postings and equal lines."""
+
+    def part(kind, key, doc, line):
+        n = np.broadcast(key, doc, line).size
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *(pa.array(np.broadcast_to(np.asarray(c, np.int64), n)) for c in (key, doc, line))], ["kind", "key", "doc", "line"])
+
+    def often(held):
+        tokens, n = _often(held, SEEN)
+        return part(FREQUENT, tokens.view(np.int64), n, 0)
 
     def read(batches):
         held, size = [], 0
         for batch in batches:
-            for _, _, data, offs in text_slices(batch):
-                held.append(Words(LOWER[data], offs, NOT_SPACE).hash >> np.uint64(64 - TOKEN_BITS))
-                size += len(held[-1])
+            ids = batch.column(0).to_numpy()
+            for lo, hi, data, offs in text_slices(batch):
+                x = Lines(data, offs)
+                if not len(x.n):
+                    continue
+                doc = ids[lo:hi][x.doc].astype(np.int64)
+                first, again = x.repeats(doc)
+                yield part(POSTED, 0, x.posted(first, percent).sum(), 0)
+                yield part(FIRST, x.fp[first], doc[first], x.line[first])
+                if len(again):
+                    yield part(AGAIN, x.fp[again], doc[again], x.line[again])
+                held.append(x.words)
+                size += len(x.words)
                 if size >= CHUNK:
-                    tokens, n = _often(held, SEEN)
-                    yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+                    yield often(held)
                     held, size = [], 0
         if held:
-            tokens, n = _often(held, SEEN)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+            yield often(held)
+
+    return rows.mapInArrow(read, "kind int, key long, doc long, line long")
+
 
-    return rows.mapInArrow(read, "token long, n long")
+def _equal(profile: DataFrame) -> DataFrame:
+    """(doc, line) of the lines whose set an earlier line has. Slices have told their own repeats,
+    so a set has as many rows here as slices hold it."""
+    firsts = profile.where(F.col("kind") == FIRST).select("key", "doc", "line")
+    least = firsts.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("least"))
+    later = firsts.join(least, "key").where(F.struct("doc", "line") != F.col("least")).select("doc", "line")
+    return later.union(profile.where(F.col("kind") == AGAIN).select("doc", "line"))
 
 
-#: Columns of a bucket's postings, and of its whole lines (equal sets), as packed arrays.
+#: Columns of a bucket's postings, as packed arrays.
 _POSTED = (("tok", "u4"), ("fp", "u4"), ("parity", "u8"), ("n", "u4"), ("pos", "u2"), ("doc", "i8"), ("line", "u4"))
-_WHOLE = (("w_fp", "i8"), ("w_doc", "i8"), ("w_line", "u4"))
 
 
 def _blobs(rows: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
@@ -128,22 +183,18 @@ def _blobs(rows: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
                 if not len(x.n):
                     continue
                 doc = ids[lo:hi][x.doc].astype(np.int64)
-                whole = _split((x.fp.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64), n_buckets, (x.fp, doc, x.line.astype(np.uint32)))
-                # a slice posts equal lines once; sets of under 4 words match equal sets only
-                once = np.zeros(len(x.n), bool)
-                by_set = np.lexsort((x.line, doc, x.fp))
-                once[by_set[runs(x.fp[by_set])[:-1]]] = True
-                once &= x.n >= 4
-                p = np.where(once, prefix_length(x.n, percent), 0)
+                p = x.posted(x.repeats(doc)[0], percent)
                 index, of, pos = x.prefixes(p, order)
                 tok = x.tokens[index]
                 cols = ((tok >> np.uint64(TOKEN_BITS - 32)).astype(np.uint32), (x.fp[of].view(np.uint64) >> np.uint64(32)).astype(np.uint32), x.parity()[of], x.n[of].astype(np.uint32), np.minimum(pos, 65535).astype(np.uint16), doc[of], x.line[of].astype(np.uint32))
                 posted = _split((tok % np.uint64(n_buckets)).astype(np.int64), n_buckets, cols)
-                rows = [(b, *p, *w) for b, (p, w) in enumerate(zip(posted, whole)) if p[0] or w[0]]
+                rows = [(b, *p) for b, p in enumerate(posted) if p[0]]
+                if not rows:
+                    continue
                 parts = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int32()), *(pa.array(c, pa.binary()) for c in parts[1:])], ["bucket", *(c for c, _ in _POSTED + _WHOLE)])
+                yield pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int32()), *(pa.array(c, pa.binary()) for c in parts[1:])], ["bucket", *(c for c, _ in _POSTED)])
 
-    return rows.mapInArrow(emit, "bucket int, " + ", ".join(f"{c} binary" for c, _ in _POSTED + _WHOLE))
+    return rows.mapInArrow(emit, "bucket int, " + ", ".join(f"{c} binary" for c, _ in _POSTED))
 
 
 def _split(bucket: np.ndarray, n_buckets: int, cols) -> list[tuple[bytes, ...]]:
@@ -154,28 +205,21 @@ def _split(bucket: np.ndarray, n_buckets: int, cols) -> list[tuple[bytes, ...]]:
 
 
 FOUND = "doc long, line long, with_doc long, with_line long, kind int"
-#: kind of a found row: equal sets; a candidate; a candidate of a line that had more than are kept
-EQUAL, CANDIDATE, MORE = 0, 1, 2
+#: kind of a found row: a candidate; a candidate of a line that had more than are kept
+CANDIDATE, MORE = 1, 2
 
 
 def _candidates(blobs: DataFrame, percent: int, kept: int | None, wanted) -> DataFrame:
-    """Equal sets (each later line with the first one) and candidate pairs of first lines."""
-
-    def match(table: pa.Table) -> pa.Table:
-        read = lambda c, t: np.frombuffer(b"".join(table.column(c).to_pylist()), t)
-        out = []
-        if wanted is None:
-            fp, doc, line = (read(c, t) for c, t in _WHOLE)
-            at = np.lexsort((line, doc, fp))
-            edge = runs(fp[at])
-            first = np.repeat(at[edge[:-1]], np.diff(edge))
-            later = (doc[first] != doc[at]) | (line[first] != line[at])
-            a, b = at[later], first[later]
-            out.append((doc[a], line[a].astype(np.int64), doc[b], line[b].astype(np.int64), np.full(len(a), EQUAL, np.int32)))
-        tok, fp, parity, n, pos, doc, line = (read(c, t) for c, t in _POSTED)
-        out += _pairs(tok, fp, parity, n.astype(np.int64), pos.astype(np.int64), doc, line.astype(np.int64), percent, kept, wanted.value if wanted else None)
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.int32)]
-        return pa.table(dict(zip(["doc", "line", "with_doc", "with_line", "kind"], cols)))
+    """Candidate pairs of first lines; without ``kept``, a pair may come in several blocks."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = {c: [] for c, _ in _POSTED}
+        for batch in batches:
+            for c in raw:
+                raw[c] += batch.column(c).to_pylist()
+        tok, fp, parity, n, pos, doc, line = (np.frombuffer(b"".join(raw.pop(c)), t) for c, t in _POSTED)
+        for cols in _pairs(tok, fp, parity, n.astype(np.int64), pos.astype(np.int64), doc, line.astype(np.int64), percent, kept, wanted.value if wanted else None):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "line", "with_doc", "with_line", "kind"])
 
     return blobs.groupBy("bucket").applyInArrow(match, FOUND)
 
@@ -186,6 +230,7 @@ def line_key(doc, line):
 
 
 def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
+    """Blocks of columns of FOUND: one block if a limit holds pairs down, else one for HELD_PAIRS."""
     order = np.lexsort((line, doc, parity, fp, n, tok))
     tok, fp, parity, n, pos, doc, line = (c[order] for c in (tok, fp, parity, n, pos, doc, line))
     new = np.ones(len(tok), bool)
@@ -196,7 +241,7 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
     tok, parity, n, pos, doc, line = (c[keep] for c in (tok, parity, n, pos, doc, line))
     m = len(tok)
     if not m:
-        return []
+        return
     rank = np.empty(m, np.int64)
     by_place = np.lexsort((line, doc))
     fresh = np.ones(m, bool)
@@ -216,6 +261,11 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
             a, b = a[nth < kept], b[nth < kept]
         later_all[:], earlier_all[:], held = [a], [b], len(a)
 
+    def block():
+        squeeze()
+        x, y = place[later_all[0]], place[earlier_all[0]]
+        return doc[x], line[x], doc[y], line[y], np.where(more[later_all[0]], MORE, CANDIDATE).astype(np.int32)
+
     i, shift = np.arange(m), 0
     while len(i):
         shift += 1
@@ -238,14 +288,13 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
             later_all.append(a)
             earlier_all.append(b)
             held += len(a)
-            if held > 2_000_000 and kept is not None:
+            if held > HELD_PAIRS and kept is not None:
                 squeeze()
-    if not later_all:
-        return []
-    squeeze()
-    a, b = later_all[0], earlier_all[0]
-    x, y = place[a], place[b]
-    return [(doc[x], line[x], doc[y], line[y], np.where(more[a], MORE, CANDIDATE).astype(np.int32))]
+            elif held > HELD_PAIRS:
+                yield block()
+                later_all[:], earlier_all[:], held = [], [], 0
+    if later_all:
+        yield block()
 
 
 def packed_tokens(tokens: np.ndarray) -> bytes:
@@ -362,12 +411,16 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lines have no place in the order, and match nothing.
     """
     spark = docs.sparkSession
-    n_buckets = n_buckets or max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    order = spark.sparkContext.broadcast(frequent_order(_frequencies(rows)))
+    profile = stored(_profile(rows, percent))
+    if n_buckets is None:
+        n_posted = profile.where(F.col("kind") == POSTED).agg(F.sum("doc")).first()[0] or 0
+        n_buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_posted // BUCKET_POSTINGS))
+    order = spark.sparkContext.broadcast(frequent_order(profile.where(F.col("kind") == FREQUENT).select(F.col("key").alias("token"), F.col("doc").alias("n"))))
+    equal = stored(_equal(profile))
+    discard(profile)
     found = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, KEPT, None))
-    equal = found.where(F.col("kind") == EQUAL).select("doc", "line")
-    pairs = stored(found.where(F.col("kind") != EQUAL).groupBy("doc", "line", "with_doc", "with_line").agg(F.max("kind").alias("kind")))
+    pairs = stored(found.groupBy("doc", "line", "with_doc", "with_line").agg(F.max("kind").alias("kind")))
     gone = _verified(pairs.drop("kind"), rows, percent)
     left = pairs.where(F.col("kind") == MORE).select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
     left = stored(left)

@@ -129,6 +129,29 @@ def test_line_dedup_second_pass(spark, monkeypatch):
     assert {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(df).collect()} == brute_lines(texts_of(df))
 
 
+def test_line_dedup_of_a_common_line(spark, monkeypatch):
+    """A slice shuffles a line once, however often it has it; buckets follow the postings, and pairs
+    without a limit come out in blocks."""
+    monkeypatch.setattr(line_dedup, "KEPT", 1)
+    monkeypatch.setattr(line_dedup, "HELD_PAIRS", 20)
+    monkeypatch.setattr(line_dedup, "BUCKET_POSTINGS", 7)
+    line = "the same line is found in all of them"
+    df = copies(spark, 30).withColumn("text", F.concat_ws("\n", F.lit(line), "text", F.lit(line)))
+    rows = df.select(F.col("doc_id").alias("id"), "text").coalesce(2)
+    kinds = {r.kind: r.n for r in line_dedup._profile(rows, 80).groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds[line_dedup.AGAIN] >= 118 and kinds[line_dedup.FIRST] <= 62
+    made = []
+    blobs = line_dedup._blobs
+    monkeypatch.setattr(line_dedup, "_blobs", lambda r, o, p, n: made.append(n) or blobs(r, o, p, n))
+    assert {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(df).collect()} == brute_lines(texts_of(df))
+    assert made[0] > 64
+    n, size = 60, 40
+    fp, ends = np.arange(n, dtype=np.uint32), np.arange(n, dtype=np.int64)
+    blocks = list(line_dedup._pairs(np.ones(n, np.uint32), fp, np.zeros(n, np.uint64), np.full(n, size), np.zeros(n, np.int64), ends, ends * 0, 80, None, None))
+    assert len(blocks) > 5 and max(len(b[0]) for b in blocks) <= 20 + n
+    assert {(a, b) for block in blocks for a, b in zip(block[0].tolist(), block[2].tolist())} == {(a, b) for a in range(n) for b in range(a)}
+
+
 def test_rows_without_an_id(spark, edge):
     """Their lines stay and match nothing; the pipeline's stages keep the rows."""
     import corpus_pipeline as p
