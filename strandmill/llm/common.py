@@ -57,6 +57,14 @@ def discard(df: DataFrame) -> None:
     df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.stored_at)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more; it
     waits for the driver's garbage collector, which a small driver may not run for long."""

@@ -2,8 +2,13 @@
 
 Lines are sets of words. Words are ordered by rarity; two lines of Jaccard similarity t or more
 share a word among their first n - ceil(t n) + 1. Candidates of a shared prefix word pass the
-length filter, a positional filter and a bound from 64-bit parity sketches (none drops a true
+length filter, a positional filter and a bound from 128-bit parity sketches (none drops a true
 match), and are verified on their word sets. A line with an earlier match goes.
+
+Texts are cut into word sets once; the sets are written to the shared folder, and postings and
+verification read them there. A line needs one earlier match only: in each bucket of postings it
+looks for the nearest candidates first and then looks no further, so a large group of near copies
+costs about its size. Lines whose nearest candidates all fail are searched for to the end.
 """
 
 from __future__ import annotations
@@ -18,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_SPACE, Words, bitset_of, discard, in_bitset, mix, release, runs, stored, text_slices
-from .ngram_join import CHUNK, SEEN, _often, fingerprint, frequent_order, prefix_length
+from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, free_name, in_bitset, mix, release, runs, stored, text_slices
+from .ngram_join import CHUNK, SEEN, _often, frequent_order, prefix_length
 
 PERCENT = 80
-#: Earliest candidates kept for each line and bucket in the first pass; lines none of whose kept
-#: candidates match, and which had more, get all of theirs in a second pass.
+#: Candidates after which a line looks no further in a bucket; one that is near enough to be a match
+#: but for chance ends the search, too. Lines none of whose candidates match are searched for anew.
 KEPT = 3
 NEWLINE = 10
 #: Postings of a bucket, about: one task sorts those of a bucket at once.
@@ -33,16 +38,57 @@ HELD_PAIRS = 2_000_000
 #: Rows that are unpacked at once.
 CUT_ROWS = 256
 
-
 #: Words are told apart by this many bits of their hashes, so that a word and the number of its
 #: line within a slice sort as one integer. Two different words of a pair of lines are taken for
 #: one with a probability of about 1e-10.
 TOKEN_BITS = 44
+#: Sets of fewer words match equal sets only.
+LEAST_WORDS = 4
+#: 64-bit words of a line's parity sketch: each of its words flips one bit. Two sketches differ in
+#: no more places than their sets do.
+SKETCH = 2
 
 
-class Lines:
-    """The lines of a slice with their word sets: for line k, tokens[edge[k]:edge[k+1]] sorted and
-    distinct, its row ``doc`` and its number ``line`` in the row. Lines without words are left out."""
+class Sets:
+    """Word sets: set k is tokens[edge[k]:edge[k+1]], sorted and distinct; ``number`` has k for each token."""
+
+    def __init__(self, tokens: np.ndarray, edge: np.ndarray):
+        self.tokens, self.edge, self.n = tokens, edge, np.diff(edge)
+        self.number = np.repeat(np.arange(len(self.n)), self.n)
+
+    def prefixes(self, p: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the token, its set, its place) of the first p[k] tokens of each set k, rare
+        ones first: those that ``order`` lacks by hash, then by their counts there."""
+        if len(order[0]):
+            at = np.minimum(np.searchsorted(order[0], self.tokens), len(order[0]) - 1)
+            count = np.where(order[0][at] == self.tokens, order[1][at], 0)
+        else:
+            count = np.zeros(len(self.tokens), np.int64)
+        rare = count == 0
+        upto = np.concatenate([[0], np.cumsum(rare)])
+        place = upto[1:] - 1 - upto[self.edge[:-1]][self.number]
+        first = np.flatnonzero(rare & (place < p[self.number]))
+        n_rare = np.diff(upto[self.edge])
+        short = np.flatnonzero(~rare & (n_rare < p)[self.number])
+        ranked = short[np.lexsort((self.tokens[short], count[short], self.number[short]))]
+        edge = runs(self.number[ranked])
+        nth = np.arange(len(ranked)) - np.repeat(edge[:-1], np.diff(edge)) + n_rare[self.number[ranked]]
+        more = nth < p[self.number[ranked]]
+        index = np.concatenate([first, ranked[more]])
+        return index, self.number[index], np.concatenate([place[first], nth[more]])
+
+    def parity(self) -> np.ndarray:
+        if not len(self.n):
+            return np.zeros((0, SKETCH), np.uint64)
+        bit = self.tokens >> np.uint64(TOKEN_BITS - 7)
+        flips = np.uint64(1) << (bit & np.uint64(63))
+        word = bit >> np.uint64(6)
+        return np.stack([np.bitwise_xor.reduceat(np.where(word == np.uint64(k), flips, np.uint64(0)), self.edge[:-1]) for k in range(SKETCH)], 1)
+
+
+class Lines(Sets):
+    """The lines of a slice: line k is of row ``doc`` and its number there is ``line``. Lines without
+    words are left out."""
 
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         w = Words(LOWER[data], offs, NOT_SPACE)
@@ -55,21 +101,18 @@ class Lines:
         self.line = (before[begins] - at_row[self.doc]).astype(np.int64) if len(begins) else np.zeros(0, np.int64)
         number = np.repeat(np.arange(len(begins), dtype=np.uint64), np.diff(np.append(begins, len(w.doc))))
         if len(begins) < 1 << (64 - TOKEN_BITS):
-            packed = np.sort((number << np.uint64(TOKEN_BITS)) | (w.hash >> np.uint64(64 - TOKEN_BITS)))
+            packed = np.sort((number << np.uint64(TOKEN_BITS)) | self.words)
             new = np.ones(len(packed), bool)
             new[1:] = packed[1:] != packed[:-1]
             packed = packed[new]
-            self.tokens, number = packed & np.uint64((1 << TOKEN_BITS) - 1), packed >> np.uint64(TOKEN_BITS)
+            tokens, number = packed & np.uint64((1 << TOKEN_BITS) - 1), packed >> np.uint64(TOKEN_BITS)
         else:
-            tokens = self.words
-            order = np.lexsort((tokens, number))
-            tokens, number = tokens[order], number[order]
+            order = np.lexsort((self.words, number))
+            tokens, number = self.words[order], number[order]
             new = np.ones(len(tokens), bool)
             new[1:] = (tokens[1:] != tokens[:-1]) | (number[1:] != number[:-1])
-            self.tokens, number = tokens[new], number[new]
-        self.edge = runs(number)
-        self.n = np.diff(self.edge)
-        self.number = number.astype(np.int64)
+            tokens, number = tokens[new], number[new]
+        super().__init__(tokens, runs(number))
         mixed = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         self.fp = mix(mixed[self.edge[1:]] - mixed[self.edge[:-1]] + self.n.astype(np.uint64)).view(np.int64) if len(self.n) else np.zeros(0, np.int64)
 
@@ -83,53 +126,55 @@ class Lines:
         later = (doc[head] != doc[by_set]) | (self.line[head] != self.line[by_set])
         return first, by_set[later]
 
-    def posted(self, first: np.ndarray, percent: int) -> np.ndarray:
-        """How many tokens each line posts: a slice posts equal lines once; sets of under 4 words
-        match equal sets only."""
-        p = np.zeros(len(self.n), np.int64)
-        first = first[self.n[first] >= 4]
-        p[first] = prefix_length(self.n[first], percent)
-        return p
 
-    def prefixes(self, p: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index of the token, its line, its place) of the first p[k] tokens of each line k, rare
-        ones first: those that ``order`` lacks by hash, then by their counts there."""
-        if len(order[0]):
-            at = np.minimum(np.searchsorted(order[0], self.tokens), len(order[0]) - 1)
-            count = np.where(order[0][at] == self.tokens, order[1][at], 0)
-        else:
-            count = np.zeros(len(self.tokens), np.int64)
-        rare = count == 0
-        upto = np.concatenate([[0], np.cumsum(rare)])
-        place = upto[1:] - 1 - upto[self.edge[:-1]][self.number]
-        first = np.flatnonzero(rare & (place < p[self.number]))
-        n_rare = np.diff(upto[self.edge])
-        short = np.flatnonzero(~rare & (n_rare < p)[self.number])
-        ranked = short[np.lexsort((self.tokens[short], count[short], self.number[short]))]
-        edge = runs(self.number[ranked])
-        nth = np.arange(len(ranked)) - np.repeat(edge[:-1], np.diff(edge)) + n_rare[self.number[ranked]]
-        more = nth < p[self.number[ranked]]
-        index = np.concatenate([first, ranked[more]])
-        return index, self.number[index], np.concatenate([place[first], nth[more]])
+def packed_tokens(tokens: np.ndarray) -> np.ndarray:
+    """TOKEN_BITS-bit tokens at 6 bytes each."""
+    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
 
-    def parity(self) -> np.ndarray:
-        if not len(self.n):
-            return np.zeros(0, np.uint64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(TOKEN_BITS - 6)), self.edge[:-1])
+
+def unpacked_tokens(raw) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def binary_of(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column whose rows are the next ``sizes`` bytes of ``flat``."""
+    offs = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offs), pa.py_buffer(flat)])
+
+
+def sets_of(col: pa.Array) -> Sets:
+    """The sets of a column of :func:`packed_tokens`."""
+    offs = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
+    raw = np.frombuffer(col.buffers()[2], np.uint8)[offs[0] : offs[-1]] if col.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return Sets(unpacked_tokens(raw), (offs - offs[0]).astype(np.int64) // 6)
+
+
+def set_slices(batch: pa.RecordBatch, name: str = "tokens"):
+    """Parts of a batch of about SLICE_BYTES of ``name`` each; one longer row is a part of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy().astype(np.int64))
+    lo = 0
+    while lo < len(batch):
+        base = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 #: kind of a profile row: a word seen often in some stretch of text (key) and its count (doc); how
-#: many tokens a slice posts (doc); the first line of a word set (key: fingerprint) in its slice;
-#: a later line of that slice with an equal set
+#: many tokens a slice posts (doc); the first line of a word set (key: fingerprint) in its slice,
+#: with its tokens; a later line of that slice with an equal set
 FREQUENT, POSTED, FIRST, AGAIN = 0, 1, 2, 3
 
 
 def _profile(rows: DataFrame, percent: int) -> DataFrame:
-    """(kind, key, doc, line) of words, postings and equal lines."""
+    """(kind, key, doc, line, tokens) of words, postings and lines: the one pass over the texts."""
 
-    def part(kind, key, doc, line):
+    def part(kind, key, doc, line, tokens=None):
         n = np.broadcast(key, doc, line).size
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *(pa.array(np.broadcast_to(np.asarray(c, np.int64), n)) for c in (key, doc, line))], ["kind", "key", "doc", "line"])
+        cols = [pa.array(np.full(n, kind, np.int32)), *(pa.array(np.broadcast_to(np.asarray(c, np.int64), n)) for c in (key, doc, line))]
+        return pa.RecordBatch.from_arrays([*cols, pa.nulls(n, pa.binary()) if tokens is None else tokens], ["kind", "key", "doc", "line", "tokens"])
 
     def often(held):
         tokens, n = _often(held, SEEN)
@@ -145,8 +190,12 @@ def _profile(rows: DataFrame, percent: int) -> DataFrame:
                     continue
                 doc = ids[lo:hi][x.doc].astype(np.int64)
                 first, again = x.repeats(doc)
-                yield part(POSTED, 0, x.posted(first, percent).sum(), 0)
-                yield part(FIRST, x.fp[first], doc[first], x.line[first])
+                first = np.sort(first)
+                kept = np.where(x.n[first] >= LEAST_WORDS, x.n[first], 0)
+                yield part(POSTED, 0, prefix_length(kept[kept > 0], percent).sum(), 0)
+                mine = np.zeros(len(x.n), bool)
+                mine[first[kept > 0]] = True
+                yield part(FIRST, x.fp[first], doc[first], x.line[first], binary_of(packed_tokens(x.tokens[mine[x.number]]), 6 * kept))
                 if len(again):
                     yield part(AGAIN, x.fp[again], doc[again], x.line[again])
                 held.append(x.words)
@@ -157,69 +206,81 @@ def _profile(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield often(held)
 
-    return rows.mapInArrow(read, "kind int, key long, doc long, line long")
+    return rows.mapInArrow(read, "kind int, key long, doc long, line long, tokens binary")
 
 
 def _equal(profile: DataFrame) -> DataFrame:
     """(doc, line) of the lines whose set an earlier line has. Slices have told their own repeats,
     so a set has as many rows here as slices hold it."""
     firsts = profile.where(F.col("kind") == FIRST).select("key", "doc", "line")
-    least = firsts.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("least"))
+    least = firsts.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("least"), F.count("*").alias("n")).where("n > 1")
     later = firsts.join(least, "key").where(F.struct("doc", "line") != F.col("least")).select("doc", "line")
     return later.union(profile.where(F.col("kind") == AGAIN).select("doc", "line"))
 
 
 #: Columns of a bucket's postings, as packed arrays.
-_POSTED = (("tok", "u4"), ("fp", "u4"), ("parity", "u8"), ("n", "u4"), ("pos", "u2"), ("doc", "i8"), ("line", "u4"))
+_POSTED = (("tok", "u4"), ("fp", "u4"), ("parity", f"{SKETCH}u8"), ("n", "u4"), ("pos", "u2"), ("doc", "i8"), ("line", "u4"))
 
 
-def _blobs(rows: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
+def planes(a: np.ndarray) -> bytes:
+    """The bytes of an array, all first bytes before all second ones: high bytes hardly vary, and
+    are then compressed in the shuffle."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+
+
+def from_planes(parts: list[bytes], kind: str) -> np.ndarray:
+    kind = np.dtype(kind)
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(kind.itemsize, -1).T).view(kind.base).reshape(-1, *kind.shape) for p in parts])
+
+
+def _blobs(lines: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
+    """The prefix postings of stored ``lines`` by bucket. ``shared`` has the order of words and a bit
+    set of the tokens to post, if not all are."""
+
     def emit(batches):
-        order = shared.value
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for lo, hi, data, offs in text_slices(batch):
-                x = Lines(data, offs)
-                if not len(x.n):
+        order, asked = shared.value
+        for whole in batches:
+            for batch in set_slices(whole):
+                x = sets_of(batch.column("tokens"))
+                index, of, pos = x.prefixes(prefix_length(x.n, percent), order)
+                if asked is not None:
+                    few = in_bitset(asked, x.tokens[index].view(np.int64))
+                    index, of, pos = index[few], of[few], pos[few]
+                if not len(index):
                     continue
-                doc = ids[lo:hi][x.doc].astype(np.int64)
-                p = x.posted(x.repeats(doc)[0], percent)
-                index, of, pos = x.prefixes(p, order)
+                fp, doc, line = (batch.column(c).to_numpy() for c in ("key", "doc", "line"))
                 tok = x.tokens[index]
-                cols = ((tok >> np.uint64(TOKEN_BITS - 32)).astype(np.uint32), (x.fp[of].view(np.uint64) >> np.uint64(32)).astype(np.uint32), x.parity()[of], x.n[of].astype(np.uint32), np.minimum(pos, 65535).astype(np.uint16), doc[of], x.line[of].astype(np.uint32))
-                posted = _split((tok % np.uint64(n_buckets)).astype(np.int64), n_buckets, cols)
-                rows = [(b, *p) for b, p in enumerate(posted) if p[0]]
-                if not rows:
-                    continue
-                parts = list(zip(*rows))
+                cols = ((tok >> np.uint64(TOKEN_BITS - 32)).astype(np.uint32), (fp.view(np.uint64) >> np.uint64(32)).astype(np.uint32)[of], x.parity()[of], x.n[of].astype(np.uint32), np.minimum(pos, 65535).astype(np.uint16), doc[of], line[of].astype(np.uint32))
+                parts = list(zip(*_split((tok % np.uint64(n_buckets)).astype(np.int64), cols)))
                 yield pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int32()), *(pa.array(c, pa.binary()) for c in parts[1:])], ["bucket", *(c for c, _ in _POSTED)])
 
-    return rows.mapInArrow(emit, "bucket int, " + ", ".join(f"{c} binary" for c, _ in _POSTED))
+    return lines.mapInArrow(emit, "bucket int, " + ", ".join(f"{c} binary" for c, _ in _POSTED))
 
 
-def _split(bucket: np.ndarray, n_buckets: int, cols) -> list[tuple[bytes, ...]]:
+def _split(bucket: np.ndarray, cols) -> list[tuple]:
+    """(bucket, packed columns) of each bucket."""
     at = np.argsort(bucket, kind="stable")
-    edge = np.searchsorted(bucket[at], np.arange(n_buckets + 1)).tolist()
+    edge = runs(bucket[at]).tolist()
     cols = [c[at] for c in cols]
-    return [tuple(c[i:j].tobytes() for c in cols) for i, j in zip(edge[:-1], edge[1:])]
+    return [(int(bucket[at[i]]), *(planes(c[i:j]) for c in cols)) for i, j in zip(edge[:-1], edge[1:])]
 
 
-FOUND = "doc long, line long, with_doc long, with_line long, kind int"
-#: kind of a found row: a candidate; a candidate of a line that had more than are kept
+FOUND = "doc long, line long, with_doc long, with_line long, kind int, score int"
+#: kind of a found row: a candidate; a candidate of a line that may have more than were found
 CANDIDATE, MORE = 1, 2
 
 
 def _candidates(blobs: DataFrame, percent: int, kept: int | None, wanted) -> DataFrame:
-    """Candidate pairs of first lines; without ``kept``, a pair may come in several blocks."""
+    """Candidate pairs of first lines; without ``kept``, all of the wanted ones, in several blocks."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = {c: [] for c, _ in _POSTED}
         for batch in batches:
             for c in raw:
                 raw[c] += batch.column(c).to_pylist()
-        tok, fp, parity, n, pos, doc, line = (np.frombuffer(b"".join(raw.pop(c)), t) for c, t in _POSTED)
+        tok, fp, parity, n, pos, doc, line = (from_planes(raw.pop(c), t) for c, t in _POSTED)
         for cols in _pairs(tok, fp, parity, n.astype(np.int64), pos.astype(np.int64), doc, line.astype(np.int64), percent, kept, wanted.value if wanted else None):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "line", "with_doc", "with_line", "kind"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "line", "with_doc", "with_line", "kind", "score"])
 
     return blobs.groupBy("bucket").applyInArrow(match, FOUND)
 
@@ -229,12 +290,21 @@ def line_key(doc, line):
     return (doc & 0xFFFFFFFF) * 1021 + line
 
 
+def most_apart(total, percent: int):
+    """In how many tokens two sets of ``total`` tokens together may differ and still match."""
+    return total - 2 * -(-total * percent // (100 + percent))
+
+
 def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
-    """Blocks of columns of FOUND: one block if a limit holds pairs down, else one for HELD_PAIRS."""
-    order = np.lexsort((line, doc, parity, fp, n, tok))
+    """Blocks of columns of FOUND, a block for about HELD_PAIRS pairs."""
+    parity = parity.reshape(len(tok), -1)
+    bits = 64 * parity.shape[1]
+    # ln(1 - 2 d / bits): what differs in more places than half the bits has no telling difference
+    apart = np.append(-bits / 2 * np.log1p(-np.arange(bits // 2) * 2 / bits), np.inf)
+    order = np.lexsort((line, doc, *parity.T, fp, n, tok))
     tok, fp, parity, n, pos, doc, line = (c[order] for c in (tok, fp, parity, n, pos, doc, line))
     new = np.ones(len(tok), bool)
-    new[1:] = (tok[1:] != tok[:-1]) | (n[1:] != n[:-1]) | (fp[1:] != fp[:-1]) | (parity[1:] != parity[:-1])
+    new[1:] = (tok[1:] != tok[:-1]) | (n[1:] != n[:-1]) | (fp[1:] != fp[:-1]) | (parity[1:] != parity[:-1]).any(1)
     tok, parity, n, pos, doc, line = (c[new] for c in (tok, parity, n, pos, doc, line))  # the first line of equal sets
     edge = runs(tok)
     keep = np.repeat(np.diff(edge) >= 2, np.diff(edge))
@@ -248,159 +318,126 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
     fresh[1:] = (doc[by_place][1:] != doc[by_place][:-1]) | (line[by_place][1:] != line[by_place][:-1])
     rank[by_place] = np.cumsum(fresh) - 1
     place = by_place[fresh]
-    later_all, earlier_all, held, more = [], [], 0, np.zeros(len(place), bool)
-
-    def squeeze():
-        nonlocal held
-        pair = np.unique(np.concatenate(later_all) * len(place) + np.concatenate(earlier_all))
-        a, b = pair // len(place), pair % len(place)
-        if kept is not None:
-            edge = runs(a)
-            nth = np.arange(len(a)) - np.repeat(edge[:-1], np.diff(edge))
-            more[a[nth >= kept]] = True
-            a, b = a[nth < kept], b[nth < kept]
-        later_all[:], earlier_all[:], held = [a], [b], len(a)
+    got, near, more = np.zeros(len(place), np.int64), np.zeros(len(place), bool), np.zeros(len(place), bool)
+    later_all, earlier_all, score_all, held = [], [], [], 0
 
     def block():
-        squeeze()
-        x, y = place[later_all[0]], place[earlier_all[0]]
-        return doc[x], line[x], doc[y], line[y], np.where(more[later_all[0]], MORE, CANDIDATE).astype(np.int32)
+        a, b, s = (np.concatenate(x) for x in (later_all, earlier_all, score_all))
+        _, first = np.unique(a * len(place) + b, return_index=True)
+        a, b, s = a[first], b[first], s[first]
+        later_all[:], earlier_all[:], score_all[:] = [], [], []
+        x, y = place[a], place[b]
+        return doc[x], line[x], doc[y], line[y], np.where(more[a], MORE, CANDIDATE).astype(np.int32), s.astype(np.int32)
+
+    def tested(i, j):
+        """Takes the candidates among (i, j), postings of one token, i of the later line."""
+        nonlocal held
+        total, less, more_ = n[i] + n[j], np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        most = most_apart(total, percent)
+        # what comes before the shared word in either line, and from it on, bounds the overlap
+        close = np.minimum(n[i] - pos[i], n[j] - pos[j]) + np.minimum(pos[i], pos[j]) >= (total - most) // 2
+        close &= less * 100 >= more_ * percent
+        i, j, most = i[close], j[close], most[close]
+        differ = np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64)
+        ok = differ <= most
+        i, j, differ, most = i[ok], j[ok], differ[ok], most[ok]
+        if len(i):
+            likely = apart[np.minimum(differ, bits // 2)]
+            later_all.append(rank[i])
+            earlier_all.append(rank[j])
+            score_all.append(np.minimum(1000 * likely / (most + 1), 1e6))
+            np.add.at(got, rank[i], 1)
+            near[rank[i[likely <= 0.9 * most]]] = True
+            held += len(i)
 
-    i, shift = np.arange(m), 0
+    edge = runs(tok)
+    of_run = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    lo, hi = edge[of_run], edge[of_run + 1]
+    i = np.arange(m)
+    if wanted is not None:
+        i = i[in_bitset(wanted, line_key(doc, line))]
+    if kept is not None:
+        # all of a run are first compared with its earliest line: a pair of many tokens is then one pair
+        earliest = np.lexsort((rank, of_run))[edge[:-1]][of_run]
+        u = i[rank[earliest[i]] < rank[i]]
+        tested(u, earliest[u])
+    shift = 0
     while len(i):
+        if kept is not None:
+            done = near[rank[i]] | (got[rank[i]] >= kept)
+            more[rank[i[done]]] = True
+            i = i[~done]
         shift += 1
-        i = i[i + shift < m]
-        j = i + shift
         # sorted by length within a word: beyond the length bound nothing further fits
-        fits = (tok[i] == tok[j]) & (n[i] * 100 >= n[j] * percent)
-        i, j = i[fits], j[fits]
-        total = n[i] + n[j]
-        need = -(-total * percent // (100 + percent))
-        # what comes before the shared word in either line, and from it on, bounds the overlap
-        close = np.minimum(n[i] - pos[i], n[j] - pos[j]) + np.minimum(pos[i], pos[j]) >= need
-        differ = np.bitwise_count(parity[i] ^ parity[j]).astype(np.int64)
-        ok = close & (differ <= total - 2 * need)
-        a, b = np.maximum(rank[i[ok]], rank[j[ok]]), np.minimum(rank[i[ok]], rank[j[ok]])
-        if wanted is not None and len(a):
-            asked = in_bitset(wanted, line_key(doc[place[a]], line[place[a]]))
-            a, b = a[asked], b[asked]
-        if len(a):
-            later_all.append(a)
-            earlier_all.append(b)
-            held += len(a)
-            if held > HELD_PAIRS and kept is not None:
-                squeeze()
-            elif held > HELD_PAIRS:
+        down, up = i - shift, i + shift
+        below = (down >= lo[i]) & (n[np.maximum(down, 0)] * 100 >= n[i] * percent)
+        above = (up < hi[i]) & (n[i] * 100 >= n[np.minimum(up, m - 1)] * percent)
+        for side, other in ((below, down), (above, up)):
+            u, v = i[side], other[side]
+            earlier = rank[v] < rank[u]
+            tested(u[earlier], v[earlier])
+            if held > HELD_PAIRS and kept is None:
                 yield block()
-                later_all[:], earlier_all[:], held = [], [], 0
+                held = 0
+        i = i[below | above]
     if later_all:
         yield block()
 
 
-def packed_tokens(tokens: np.ndarray) -> bytes:
-    """TOKEN_BITS-bit tokens at 6 bytes each."""
-    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def unpacked_tokens(raw) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
-#: Bits of a line's wide parity sketch; like the narrow one of the postings, it drops no match.
-WIDE_BITS = 512
-
-
-def wide_parity(tokens: np.ndarray) -> bytes:
-    flips = np.bincount((tokens >> np.uint64(16)).astype(np.int64) & (WIDE_BITS - 1), minlength=WIDE_BITS)
-    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
-
-
-def _word_sets(rows: DataFrame, wanted) -> DataFrame:
-    """(doc, line, n, wide, tokens) of the lines in the bit set."""
-
-    def read(batches):
-        bits = wanted.value
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for lo, hi, data, offs in text_slices(batch):
-                x = Lines(data, offs)
-                doc = ids[lo:hi][x.doc].astype(np.int64) if len(x.n) else np.zeros(0, np.int64)
-                at = np.flatnonzero(in_bitset(bits, line_key(doc, x.line)) & (x.n >= 4)) if len(x.n) else np.zeros(0, int)
-                if len(at):
-                    sets = [x.tokens[x.edge[k] : x.edge[k + 1]] for k in at.tolist()]
-                    packed = [pa.array(map(f, sets), pa.binary()) for f in (wide_parity, packed_tokens)]
-                    yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(x.line[at]), pa.array(x.n[at]), *packed], ["doc", "line", "n", "wide", "tokens"])
-
-    # a repeated row gives its lines again, and its pairs, which are made distinct in the end
-    return rows.mapInArrow(read, "doc long, line long, n long, wide binary, tokens binary")
+PAIR = ["doc", "line", "with_doc", "with_line"]
 
 
 def _ends(pairs: DataFrame) -> np.ndarray:
     """A bit set of the lines of the pairs."""
-    ends = pairs.select("doc", "line").union(pairs.select("with_doc", "with_line")).distinct()
+    ends = pairs.select("doc", "line").union(pairs.select("with_doc", "with_line"))
     return bitset_of(ends.select(line_key_column("doc", "line").alias("key")), "key", 25)
 
 
-def _with_both(pairs: DataFrame, lines: DataFrame, *cols: str) -> DataFrame:
-    """The pairs with ``cols`` of their first line and, as other_..., of their second."""
-    x = lines.select("doc", "line", *cols)
-    y = lines.select(F.col("doc").alias("with_doc"), F.col("line").alias("with_line"), *[F.col(c).alias("other_" + c) for c in cols])
-    return pairs.join(x, ["doc", "line"]).join(y, ["with_doc", "with_line"])
-
-
-PAIR = ["doc", "line", "with_doc", "with_line"]
-
-
-def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose wide sketches differ in no more places than those of matching lines may."""
-
-    def compare(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("wide", "other_wide"))
-            total = batch.column("n").to_numpy() + batch.column("other_n").to_numpy()
-            most = total - 2 * -(-total * percent // (100 + percent))
-            yield batch.select(PAIR).filter(pa.array(np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= most))
-
-    return _with_both(pairs, sets, "n", "wide").mapInArrow(compare, ", ".join(f"{c} long" for c in PAIR))
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """(doc, line) of the pairs' later lines that match their earlier one."""
-    share = rows.sparkSession.sparkContext.broadcast
-    sets = stored(_word_sets(rows, share(_ends(pairs))))
-    near = stored(_close(pairs, sets, percent))
-    wanted = share(_ends(near))
+    wanted = lines.sparkSession.sparkContext.broadcast(_ends(pairs))
 
     def few(batches):
         for batch in batches:
-            key = (batch.column("doc").to_numpy() & 0xFFFFFFFF) * 1021 + batch.column("line").to_numpy()
+            key = line_key(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
             yield batch.filter(pa.array(in_bitset(wanted.value, key)))
 
-    both = _with_both(near, sets.select("doc", "line", "tokens").mapInArrow(few, "doc long, line long, tokens binary"), "tokens")
+    sets = lines.select("doc", "line", "tokens").mapInArrow(few, "doc long, line long, tokens binary")
+    other = sets.select(F.col("doc").alias("with_doc"), F.col("line").alias("with_line"), F.col("tokens").alias("others"))
+    both = sets.join(pairs.select(*PAIR).hint("shuffle_hash"), ["doc", "line"]).join(other.hint("shuffle_hash"), ["with_doc", "with_line"])
 
     def verify(batches):
-        for batch in batches:
-            keep = []
-            for p, q in zip(batch.column("tokens"), batch.column("other_tokens")):
-                x, y = unpacked_tokens(p.as_py()), unpacked_tokens(q.as_py())
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["doc", "line"]).filter(pa.array(keep, pa.bool_()))
+        for whole in batches:
+            for batch in set_slices(whole):
+                x, y = sets_of(batch.column("tokens")), sets_of(batch.column("others"))
+                packed = [(s.number.astype(np.uint64) << np.uint64(TOKEN_BITS)) | s.tokens for s in (x, y)]
+                flat = np.sort(np.concatenate(packed))
+                shared = np.bincount((flat[1:][flat[1:] == flat[:-1]] >> np.uint64(TOKEN_BITS)).astype(np.int64), minlength=len(batch))
+                keep = 100 * shared >= percent * (x.n + y.n - shared)
+                yield batch.select(["doc", "line"]).filter(pa.array(keep))
 
-    out = stored(both.select("doc", "line", "tokens", "other_tokens").mapInArrow(verify, "doc long, line long").distinct())
-    discard(sets)
-    discard(near)
-    return out
+    return stored(both.select("doc", "line", "tokens", "others").mapInArrow(verify, "doc long, line long").distinct())
 
 
 def line_key_column(doc: str, line: str):
     return F.col(doc).bitwiseAND(F.lit(0xFFFFFFFF)) * 1021 + F.col(line)
 
 
+def _tokens_of(lines: DataFrame, order, left, percent: int) -> np.ndarray:
+    """A bit set of the prefix tokens of the lines in the bit set ``left``."""
+
+    def read(batches):
+        for whole in batches:
+            for batch in set_slices(whole):
+                batch = batch.filter(pa.array(in_bitset(left.value, line_key(batch.column("doc").to_numpy(), batch.column("line").to_numpy()))))
+                if len(batch):
+                    x = sets_of(batch.column("tokens"))
+                    index, _, _ = x.prefixes(prefix_length(x.n, percent), order.value[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(x.tokens[index]).view(np.int64))], ["token"])
+
+    return bitset_of(lines.mapInArrow(read, "token long"), "token")
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n_buckets: int | None = None) -> DataFrame:
     """(id, line): the lines, numbered from 0, that match an earlier one of any row.
 
@@ -408,59 +445,72 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (words at ASCII white space, A-Z lower-cased) has Jaccard similarity percent/100 or more with
     its own. Lines without words match nothing and stay. Of repeated rows with one id the lines
     count once: they share (id, line) and so their fate. Rows without an id are not read: their
-    lines have no place in the order, and match nothing.
+    lines have no place in the order, and match nothing. Ids are integers; other columns are not
+    read. An empty table gives no row.
     """
     spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     profile = stored(_profile(rows, percent))
     if n_buckets is None:
         n_posted = profile.where(F.col("kind") == POSTED).agg(F.sum("doc")).first()[0] or 0
         n_buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_posted // BUCKET_POSTINGS))
-    order = spark.sparkContext.broadcast(frequent_order(profile.where(F.col("kind") == FREQUENT).select(F.col("key").alias("token"), F.col("doc").alias("n"))))
+    order = frequent_order(profile.where(F.col("kind") == FREQUENT).select(F.col("key").alias("token"), F.col("doc").alias("n")))
     equal = stored(_equal(profile))
-    discard(profile)
-    found = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, KEPT, None))
-    pairs = stored(found.groupBy("doc", "line", "with_doc", "with_line").agg(F.max("kind").alias("kind")))
-    gone = _verified(pairs.drop("kind"), rows, percent)
-    left = pairs.where(F.col("kind") == MORE).select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
-    left = stored(left)
-    out = equal.union(gone)
+    lines = profile.where((F.col("kind") == FIRST) & (F.octet_length("tokens") > 0)).select("key", "doc", "line", "tokens")
+    plain = share((order, None))
+    found = stored(_candidates(_blobs(lines, plain, percent, n_buckets), percent, KEPT, None))
+    # the likeliest candidate of each line is verified first; then, where it fails, the others found
+    nearest = F.min(F.struct("score", "with_doc", "with_line")).alias("x")
+    tried = stored(found.groupBy("doc", "line").agg(nearest, F.max("kind").alias("kind")))
+    first = _verified(tried.select("doc", "line", "x.with_doc", "x.with_line"), lines, percent)
+    failed = stored(tried.join(first, ["doc", "line"], "left_anti"))
+    others = stored(found.join(failed.select("doc", "line"), ["doc", "line"], "left_semi").select(*PAIR).distinct())
+    then = _verified(others, lines, percent)
+    left = stored(failed.where(F.col("kind") == MORE).select("doc", "line").join(then, ["doc", "line"], "left_anti"))
+    out = equal.union(first).union(then)
     if not left.isEmpty():
-        bits = spark.sparkContext.broadcast(bitset_of(left.select(line_key_column("doc", "line").alias("key")), "key"))
-        rest = stored(_candidates(_blobs(rows, order, percent, n_buckets), percent, None, bits).drop("kind").distinct().join(pairs, ["doc", "line", "with_doc", "with_line"], "left_anti"))
-        out = out.union(_verified(rest, rows, percent))
-    return out.distinct().select(F.col("doc").alias(id_col), "line")
+        bits = share(bitset_of(left.select(line_key_column("doc", "line").alias("key")), "key", 25))
+        asked = share((order, _tokens_of(lines, plain, bits, percent)))
+        rest = _candidates(_blobs(lines, asked, percent, n_buckets), percent, None, bits).select(*PAIR).distinct()
+        out = out.union(_verified(stored(rest), lines, percent))
+    out = stored(out.distinct())
+    discard(profile)
+    return out.select(F.col("doc").alias(id_col), "line")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n_buckets: int | None = None) -> DataFrame:
     """``docs`` with later matching lines taken out of the text; other columns as they are.
 
     No row goes: a text all of whose lines go becomes empty, a null text stays null. Rows without
-    an id keep all their lines. The columns n_lines and n_removed are added.
+    an id keep all their lines. The columns n_lines and n_removed are added; columns of these names
+    in ``docs`` give way to them.
     """
     spark = docs.sparkSession
+    docs = docs.drop(*({"n_lines", "n_removed"} - {id_col, text_col}))
+    key, lost = free_name(docs, "key"), free_name(docs, "lost")
     gone = duplicate_lines(docs, id_col, text_col, percent, n_buckets)
-    per_row = stored(gone.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("line").alias("__gone")))
+    per_row = stored(gone.groupBy(F.col(id_col).alias(key)).agg(F.collect_set("line").alias(lost)))
     del gone
     release(spark)
-    touched = spark.sparkContext.broadcast(bitset_of(per_row.select("__id"), "__id"))
-    with_id = docs.withColumn("__id", F.col(id_col).cast("long"))
+    touched = spark.sparkContext.broadcast(bitset_of(per_row.select(key), key))
+    with_id = docs.withColumn(key, F.col(id_col).cast("long"))
     # only rows that may have lost a line are joined; the texts of the others are not shuffled. The
     # hash table is of line numbers, so texts need no sort
-    hit = _marked(with_id, text_col, touched, True).join(per_row.hint("shuffle_hash"), "__id", "left").select(*docs.columns, "__gone")
+    hit = _marked(with_id, key, text_col, touched, True).join(per_row.hint("shuffle_hash"), key, "left").select(*docs.columns, lost)
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
-    same = _marked(with_id, text_col, touched, False).withColumns({"n_lines": n_lines, "n_removed": F.lit(0)}).drop("__id")
-    return _cut(hit, same.schema, text_col).unionByName(same)
+    same = _marked(with_id, key, text_col, touched, False).withColumns({"n_lines": n_lines, "n_removed": F.lit(0)}).drop(key)
+    return _cut(hit, same.schema, text_col, lost).unionByName(same)
 
 
-def _marked(rows: DataFrame, text_col: str, touched, hit: bool) -> DataFrame:
-    """The rows whose __id is in the bit set, their texts compressed, or the others as they are."""
+def _marked(rows: DataFrame, key: str, text_col: str, touched, hit: bool) -> DataFrame:
+    """The rows whose key is in the bit set, their texts compressed, or the others as they are."""
     fields = [T.StructField(f.name, T.BinaryType()) if hit and f.name == text_col else f for f in rows.schema.fields]
 
     def mark(batches):
         small = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            found = in_bitset(touched.value, pc.fill_null(batch.column("__id"), 0).to_numpy())
+            found = in_bitset(touched.value, pc.fill_null(batch.column(key), 0).to_numpy())
             batch = batch.filter(pa.array(found == hit))
             if hit:
                 at = batch.schema.get_field_index(text_col)
@@ -472,8 +522,8 @@ def _marked(rows: DataFrame, text_col: str, touched, hit: bool) -> DataFrame:
     return rows.mapInArrow(mark, T.StructType(fields))
 
 
-def _cut(rows: DataFrame, schema: T.StructType, text_col: str) -> DataFrame:
-    """Texts unpacked, without the lines numbered in __gone (null: none); n_lines and n_removed added."""
+def _cut(rows: DataFrame, schema: T.StructType, text_col: str, lost: str) -> DataFrame:
+    """Texts unpacked, without the lines numbered in ``lost`` (null: none); n_lines and n_removed added."""
 
     def cut(batches):
         whole = zstandard.ZstdDecompressor()
@@ -484,16 +534,16 @@ def _cut(rows: DataFrame, schema: T.StructType, text_col: str) -> DataFrame:
             raw = whole.decompress(packed.as_buffer())
             lines = raw.split(b"\n")
             if gone.is_valid:
-                lost = set(gone.as_py())
-                raw = b"\n".join(x for k, x in enumerate(lines) if k not in lost)
+                out = set(gone.as_py())
+                raw = b"\n".join(x for k, x in enumerate(lines) if k not in out)
             return raw, len(lines), len(gone.as_py()) if gone.is_valid else 0
 
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             for lo in range(0, len(batch), CUT_ROWS):
                 part = batch.slice(lo, CUT_ROWS)
-                texts, n, lost = zip(*map(text, part.column(at), part.column("__gone")))
+                texts, n, n_lost = zip(*map(text, part.column(at), part.column(lost)))
                 cols = [pa.array(texts, pa.binary()).cast(pa.string()) if k == at else c for k, c in enumerate(part.columns[:-1])]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int32()), pa.array(lost, pa.int32())], schema.names)
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int32()), pa.array(n_lost, pa.int32())], schema.names)
 
     return rows.mapInArrow(cut, schema)
