@@ -27,9 +27,10 @@ from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, fr
 from .ngram_join import CHUNK, SEEN, _often, frequent_order, prefix_length
 
 PERCENT = 80
-#: Candidates after which a line looks no further in a bucket; one that is near enough to be a match
-#: but for chance ends the search, too. Lines none of whose candidates match are searched for anew.
-KEPT = 3
+#: Candidates after which a line looks no further in a bucket; one that differs in no more than
+#: NEAR of what a match may, as far as sketches tell, ends the search, too. Lines none of whose
+#: candidates match are searched for anew.
+KEPT, NEAR = 8, 0.75
 NEWLINE = 10
 #: Postings of a bucket, about: one task sorts those of a bucket at once.
 BUCKET_POSTINGS = 1 << 19
@@ -58,19 +59,19 @@ class Sets:
 
     def prefixes(self, p: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of the token, its set, its place) of the first p[k] tokens of each set k, rare
-        ones first: those that ``order`` lacks by hash, then by their counts there."""
+        ones first: those that ``order`` lacks by hash, then by their ranks there (from 1)."""
         if len(order[0]):
             at = np.minimum(np.searchsorted(order[0], self.tokens), len(order[0]) - 1)
-            count = np.where(order[0][at] == self.tokens, order[1][at], 0)
+            rank = np.where(order[0][at] == self.tokens, order[1][at], 0)
         else:
-            count = np.zeros(len(self.tokens), np.int64)
-        rare = count == 0
+            rank = np.zeros(len(self.tokens), np.int64)
+        rare = rank == 0
         upto = np.concatenate([[0], np.cumsum(rare)])
         place = upto[1:] - 1 - upto[self.edge[:-1]][self.number]
         first = np.flatnonzero(rare & (place < p[self.number]))
         n_rare = np.diff(upto[self.edge])
         short = np.flatnonzero(~rare & (n_rare < p)[self.number])
-        ranked = short[np.lexsort((self.tokens[short], count[short], self.number[short]))]
+        ranked = short[np.argsort(self.number[short] << 32 | rank[short])]
         edge = runs(self.number[ranked])
         nth = np.arange(len(ranked)) - np.repeat(edge[:-1], np.diff(edge)) + n_rare[self.number[ranked]]
         more = nth < p[self.number[ranked]]
@@ -127,6 +128,13 @@ class Lines(Sets):
         return first, by_set[later]
 
 
+def ranked(order: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted tokens, their ranks by count from 1) of (sorted tokens, counts)."""
+    rank = np.empty(len(order[0]), np.int64)
+    rank[np.argsort(order[1], kind="stable")] = np.arange(1, len(rank) + 1)
+    return order[0], rank
+
+
 def packed_tokens(tokens: np.ndarray) -> np.ndarray:
     """TOKEN_BITS-bit tokens at 6 bytes each."""
     return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
@@ -242,6 +250,12 @@ def _blobs(lines: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
         for whole in batches:
             for batch in set_slices(whole):
                 x = sets_of(batch.column("tokens"))
+                if asked is not None:  # sets without such a token need no prefixes
+                    some = np.add.reduceat(in_bitset(asked, x.tokens.view(np.int64)), x.edge[:-1]) > 0
+                    batch = batch.filter(pa.array(some))
+                    if not len(batch):
+                        continue
+                    x = sets_of(batch.column("tokens"))
                 index, of, pos = x.prefixes(prefix_length(x.n, percent), order)
                 if asked is not None:
                     few = in_bitset(asked, x.tokens[index].view(np.int64))
@@ -301,14 +315,21 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
     bits = 64 * parity.shape[1]
     # ln(1 - 2 d / bits): what differs in more places than half the bits has no telling difference
     apart = np.append(-bits / 2 * np.log1p(-np.arange(bits // 2) * 2 / bits), np.inf)
-    order = np.lexsort((line, doc, *parity.T, fp, n, tok))
-    tok, fp, parity, n, pos, doc, line = (c[order] for c in (tok, fp, parity, n, pos, doc, line))
-    new = np.ones(len(tok), bool)
-    new[1:] = (tok[1:] != tok[:-1]) | (n[1:] != n[:-1]) | (fp[1:] != fp[:-1]) | (parity[1:] != parity[:-1]).any(1)
-    tok, parity, n, pos, doc, line = (c[new] for c in (tok, parity, n, pos, doc, line))  # the first line of equal sets
-    edge = runs(tok)
-    keep = np.repeat(np.diff(edge) >= 2, np.diff(edge))
-    tok, parity, n, pos, doc, line = (c[keep] for c in (tok, parity, n, pos, doc, line))
+    key = tok.astype(np.uint64) << np.uint64(32) | n.astype(np.uint64)
+    order = np.lexsort((fp, key))
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order[1:]] != key[order[:-1]]) | (fp[order[1:]] != fp[order[:-1]])
+    edge = np.append(np.flatnonzero(new), len(order))
+    alike = np.flatnonzero(np.repeat(np.diff(edge) > 1, np.diff(edge)))
+    if len(alike):  # of equal sets the first line stays
+        these = order[alike]
+        order[alike] = these[np.lexsort((line[these], doc[these], fp[these], key[these]))]
+        head = order[np.repeat(edge[:-1], np.diff(edge))[alike]]
+        again = (head != order[alike]) & (parity[head] == parity[order[alike]]).all(1)
+        order = np.delete(order, alike[again])
+    edge = runs(tok[order])
+    order = order[np.repeat(np.diff(edge) >= 2, np.diff(edge))]
+    tok, parity, n, pos, doc, line = (c[order] for c in (tok, parity, n, pos, doc, line))
     m = len(tok)
     if not m:
         return
@@ -347,7 +368,7 @@ def _pairs(tok, fp, parity, n, pos, doc, line, percent, kept, wanted):
             earlier_all.append(rank[j])
             score_all.append(np.minimum(1000 * likely / (most + 1), 1e6))
             np.add.at(got, rank[i], 1)
-            near[rank[i[likely <= 0.9 * most]]] = True
+            near[rank[i[likely <= NEAR * most]]] = True
             held += len(i)
 
     edge = runs(tok)
@@ -393,8 +414,8 @@ def _ends(pairs: DataFrame) -> np.ndarray:
     return bitset_of(ends.select(line_key_column("doc", "line").alias("key")), "key", 25)
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """(doc, line) of the pairs' later lines that match their earlier one."""
+def _sets_of_ends(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(doc, line, tokens), stored, of the lines of the pairs (and few others)."""
     wanted = lines.sparkSession.sparkContext.broadcast(_ends(pairs))
 
     def few(batches):
@@ -402,7 +423,11 @@ def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
             key = line_key(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
             yield batch.filter(pa.array(in_bitset(wanted.value, key)))
 
-    sets = lines.select("doc", "line", "tokens").mapInArrow(few, "doc long, line long, tokens binary")
+    return stored(lines.select("doc", "line", "tokens").mapInArrow(few, "doc long, line long, tokens binary"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(doc, line) of the pairs' later lines that match their earlier one."""
     other = sets.select(F.col("doc").alias("with_doc"), F.col("line").alias("with_line"), F.col("tokens").alias("others"))
     both = sets.join(pairs.select(*PAIR).hint("shuffle_hash"), ["doc", "line"]).join(other.hint("shuffle_hash"), ["with_doc", "with_line"])
 
@@ -455,7 +480,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if n_buckets is None:
         n_posted = profile.where(F.col("kind") == POSTED).agg(F.sum("doc")).first()[0] or 0
         n_buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_posted // BUCKET_POSTINGS))
-    order = frequent_order(profile.where(F.col("kind") == FREQUENT).select(F.col("key").alias("token"), F.col("doc").alias("n")))
+    order = ranked(frequent_order(profile.where(F.col("kind") == FREQUENT).select(F.col("key").alias("token"), F.col("doc").alias("n"))))
     equal = stored(_equal(profile))
     lines = profile.where((F.col("kind") == FIRST) & (F.octet_length("tokens") > 0)).select("key", "doc", "line", "tokens")
     plain = share((order, None))
@@ -463,17 +488,19 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the likeliest candidate of each line is verified first; then, where it fails, the others found
     nearest = F.min(F.struct("score", "with_doc", "with_line")).alias("x")
     tried = stored(found.groupBy("doc", "line").agg(nearest, F.max("kind").alias("kind")))
-    first = _verified(tried.select("doc", "line", "x.with_doc", "x.with_line"), lines, percent)
+    sets = _sets_of_ends(found, lines)
+    first = _verified(tried.select("doc", "line", "x.with_doc", "x.with_line"), sets, percent)
     failed = stored(tried.join(first, ["doc", "line"], "left_anti"))
     others = stored(found.join(failed.select("doc", "line"), ["doc", "line"], "left_semi").select(*PAIR).distinct())
-    then = _verified(others, lines, percent)
+    then = _verified(others, sets, percent)
+    discard(sets)
     left = stored(failed.where(F.col("kind") == MORE).select("doc", "line").join(then, ["doc", "line"], "left_anti"))
     out = equal.union(first).union(then)
     if not left.isEmpty():
         bits = share(bitset_of(left.select(line_key_column("doc", "line").alias("key")), "key", 25))
         asked = share((order, _tokens_of(lines, plain, bits, percent)))
-        rest = _candidates(_blobs(lines, asked, percent, n_buckets), percent, None, bits).select(*PAIR).distinct()
-        out = out.union(_verified(stored(rest), lines, percent))
+        rest = stored(_candidates(_blobs(lines, asked, percent, n_buckets), percent, None, bits).select(*PAIR).distinct())
+        out = out.union(_verified(rest, _sets_of_ends(rest, lines), percent))
     out = stored(out.distinct())
     discard(profile)
     return out.select(F.col("doc").alias(id_col), "line")
