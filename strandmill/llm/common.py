@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text is hashed in slices of about this many bytes, so that a task's memory
 #: does not follow the size of its Arrow batches. One longer document is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -33,7 +33,7 @@ PERCENT = 80
 KEPT, NEAR = 8, 0.75
 NEWLINE = 10
 #: Postings of a bucket, about: one task sorts those of a bucket at once.
-BUCKET_POSTINGS = 1 << 19
+BUCKET_POSTINGS = 1 << 18
 #: Candidate pairs of a bucket that are held at once.
 HELD_PAIRS = 2_000_000
 #: Rows that are unpacked at once.
@@ -211,6 +211,7 @@ def _profile(rows: DataFrame, percent: int) -> DataFrame:
                 if size >= CHUNK:
                     yield often(held)
                     held, size = [], 0
+            pa.default_memory_pool().release_unused()
         if held:
             yield often(held)
 

@@ -26,7 +26,7 @@ WIDTH, PERCENT = 5, 80
 #: The frequent shingles whose exact place in the rarity order is kept: the bound of what is broadcast.
 FREQUENT = 1 << 17
 #: Shingles seen less often in a stretch of CHUNK shingles count as rare.
-CHUNK, SEEN = 1 << 22, 3
+CHUNK, SEEN = 1 << 21, 3
 #: Leaders tried for each group of candidates in a round, rounds of stars at most, rounds of
 #: peeling, seeds of the further orders.
 LEADERS, ROUNDS, PEELS, SEEDS = 4, 4, 2, (0x5851F42D4C957F2D, 0x14057B7EF767814F)
