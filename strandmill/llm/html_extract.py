@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,8 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|[^<]+|<", re.S)
-_CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: A quote counts only after "="; one that is not closed runs to the page's end. Nothing backtracks.
+_PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(>|\Z)|[^<]+|<""", re.S)
+_CLASS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: The marker of the labelled table.
 _KEEP = re.compile(r"(?:^|\s)data-keep=([01])(?=[\s/]|$)")
 #: Elements whose content is no text.
@@ -28,6 +30,7 @@ RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW_TEXT}
 _SCRIPT = re.compile(r"<!(?=--)|-->|</?script(?=[\s/>]|\Z)", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Kinds of region by tag, and by words in class, id or role.
 REGION_TAGS = {"nav": "nav", "menu": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form", "button": "form", "dialog": "notice", "article": "article", "main": "article", "head": "head"}
@@ -42,6 +45,9 @@ REGION_WORDS = {
     "comment": "comment comments disqus replies reply respond discussion",
     "article": "article content post story entry body main",
 }
+#: Kinds of region that hold for an article within them, too: by tag, or by a whole class, id or role.
+#: Others, and parts of names as in "has-comments", say nothing of an article or main element inside.
+FIRM_TAGS, FIRM_WORDS = frozenset({"nav", "footer", "aside", "dialog"}), frozenset({"comment", "ad"})
 _WORD_REGION = {w: kind for kind, words in REGION_WORDS.items() for w in words.split()}
 KINDS = ("nav", "header", "footer", "aside", "form", "notice", "ad", "comment", "article", "head")
 #: Elements that an opening tag of the same kind closes.
@@ -119,7 +125,8 @@ def blocks_of(page: str, labelled: bool = True) -> list[Block]:
     ``labelled``: the page is of the labelled table, and data-keep is read; else it means nothing.
     """
     out: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack: list[tuple[str, frozenset, frozenset]] = []  # tag, kinds of region, those that hold for articles
+    open_tags: Counter = Counter()
     block, links, raw = Block(), 0, None
     keep = None
 
@@ -130,6 +137,11 @@ def blocks_of(page: str, labelled: bool = True) -> list[Block]:
             out.append(block)
         block = Block()
 
+    def end(k):
+        tag = stack.pop(k)[0]
+        open_tags[tag] -= 1
+        return tag
+
     at = 0
     while m := _PIECE.match(page, at):
         at = m.end()
@@ -147,7 +159,7 @@ def blocks_of(page: str, labelled: bool = True) -> list[Block]:
                 continue
             if not block.parts:
                 block.regions = stack[-1][1] if stack else frozenset()
-                block.heading = bool(stack) and any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t, _ in stack[-2:])
+                block.heading = bool(stack) and any(s[0] in HEADINGS for s in stack[-2:])
                 block.keep = keep
             block.parts.append(piece)
             block.linked += len(piece.split()) if links else 0
@@ -176,26 +188,34 @@ def blocks_of(page: str, labelled: bool = True) -> list[Block]:
         close()
         links = links if tag == "a" else 0
         if m[1]:
-            opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if opened is not None:
-                del stack[opened:]
+            if open_tags[tag]:
+                while end(len(stack) - 1) != tag:
+                    pass
             continue
         if tag in VOID:
             continue
         if tag in SELF_CLOSING:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    while len(stack) > k:
+                        end(len(stack) - 1)
                     break
                 if stack[k][0] not in SELF_CLOSING:
                     break
-        above = stack[-1][1] if stack else frozenset()
+        above, firm = stack[-1][1:] if stack else (frozenset(), frozenset())
         kinds = {REGION_TAGS[tag]} if tag in REGION_TAGS else set()
-        if m[3]:
+        if tag in FIRM_TAGS:
+            firm = firm | kinds
+        if m[3] and tag not in ("html", "body"):
             for c in _CLASS.findall(m[3]):
                 for name in re.split(r"[\s_]+", " ".join(c).lower()):
                     kinds |= {_WORD_REGION[w] for w in (name, *name.split("-")) if w in _WORD_REGION}
-        stack.append((tag, above | kinds))
+                    if _WORD_REGION.get(name) in FIRM_WORDS:
+                        firm = firm | {_WORD_REGION[name]}
+        if tag in ("article", "main"):
+            above = firm
+        stack.append((tag, above | kinds, firm))
+        open_tags[tag] += 1
     close()
     return out
 

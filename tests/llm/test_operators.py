@@ -296,6 +296,27 @@ def test_raw_elements_of_html(raw):
     assert html_extract.main_text(page, tree) == "Before, with words." + "\nThe main text goes on after it." * ended
 
 
+@pytest.mark.parametrize("around", ['<body class="has-comments">', '<body class="search-enabled sidebar">', '<div class="tabs">', '<form action="/x">', '<div class="related-posts"><div id="has-comments">', "<p title=it's>Hm <a b \">"])
+def test_regions_around_an_article(around):
+    """What stands around an article or main element says nothing of it, unless it is a firm region."""
+    tree = html_extract.trained()
+    inner = "<h1>A title</h1><p>The main text stands here, in a fair number of words.</p><p>Yes.</p>"
+    for tag in ("article", "main"):
+        assert html_extract.main_text(f"<html>{around}<{tag}>{inner}</{tag}></form></div></body></html>", tree).endswith("A title\nThe main text stands here, in a fair number of words.\nYes.")
+    for firm in ('<section id="comments">', "<aside>", "<nav>", '<div class="ad">', "<footer>"):
+        assert html_extract.main_text(f"<article>{inner}</article>{firm}<article><p>Some words of a reader, or of an advert.</p></article>", tree) == "A title\nThe main text stands here, in a fair number of words.\nYes."
+
+
+@pytest.mark.parametrize("piece,last", [("<a b ", '"'), ("<div>", "</x>" * 100_000), ('<a class="', ""), ("<p x='", '"'), ("<", ">"), ("<!--", ""), ("</p", ""), ("= ", "<a")])
+def test_hostile_html_takes_linear_time(piece, last):
+    import time
+
+    tree = html_extract.trained()
+    began = time.process_time()
+    html_extract.main_text(piece * (1_000_000 // len(piece)) + last, tree)
+    assert time.process_time() - began < 5
+
+
 @pytest.mark.parametrize("mark", ["data-keep", 'data-keepalive="true"', "data-keep=0", 'data-keep="0"', "data-keep= 1", 'title="data-keep"'])
 def test_marker_in_real_pages(mark):
     tree = html_extract.trained()
