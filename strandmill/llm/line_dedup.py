@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, free_name, in_bitset, mix, release, runs, stored, text_slices
-from .ngram_join import CHUNK, SEEN, _often, frequent_order, prefix_length
+from .ngram_join import CHUNK, _often, frequent_order, prefix_length
 
 PERCENT = 80
 #: Candidates after which a line looks no further in a bucket; one that differs in no more than
@@ -33,7 +33,7 @@ PERCENT = 80
 KEPT, NEAR = 8, 0.75
 NEWLINE = 10
 #: Postings of a bucket, about: one task sorts those of a bucket at once.
-BUCKET_POSTINGS = 1 << 18
+BUCKET_POSTINGS = 3 << 17
 #: Candidate pairs of a bucket that are held at once.
 HELD_PAIRS = 2_000_000
 #: Rows that are unpacked at once.
@@ -43,6 +43,8 @@ CUT_ROWS = 256
 #: line within a slice sort as one integer. Two different words of a pair of lines are taken for
 #: one with a probability of about 1e-10.
 TOKEN_BITS = 44
+#: Words seen less often in a stretch of CHUNK words count as rare.
+SEEN = 5
 #: Sets of fewer words match equal sets only.
 LEAST_WORDS = 4
 #: 64-bit words of a line's parity sketch: each of its words flips one bit. Two sketches differ in
@@ -211,7 +213,6 @@ def _profile(rows: DataFrame, percent: int) -> DataFrame:
                 if size >= CHUNK:
                     yield often(held)
                     held, size = [], 0
-            pa.default_memory_pool().release_unused()
         if held:
             yield often(held)
 
