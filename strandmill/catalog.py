@@ -123,9 +123,51 @@ def cls_role_rules(spark, d):
     return t(spark, d, "part").select("p_partkey", rules.first_rule(ordered, "other").alias("r")).select("p_partkey", "r.role", "r.evidence")
 
 
-@query("SELECT p_partkey, CASE WHEN s >= 0.25 AND p_size*10 BETWEEN 150 AND 400 THEN 'heavy' WHEN s >= 0.25 THEN 'fusion' WHEN s >= 0.10 THEN 'ambiguous' ELSE 'other' END AS role FROM (SELECT *, (p_partkey % 100) / 100.0::double AS s FROM part)")
+HOMOLOGY_SQL = """SELECT *, CASE WHEN s >= 0.25 AND (n > 400 OR (n > 320 AND f)) THEN 'fusion' WHEN s >= 0.25 AND n BETWEEN 150 AND 400 THEN 'heavy' WHEN s >= 0.10 AND s < 0.25 THEN 'other' END AS role,
+    CASE WHEN s >= 0.25 AND (n > 400 OR (n > 320 AND f)) THEN printf('kmer_containment=%.3f, length=%d', s, n) WHEN s >= 0.25 AND n BETWEEN 150 AND 400 THEN printf('kmer_containment=%.3f', s) WHEN s >= 0.10 AND s < 0.25 THEN printf('ambiguous homology=%.3f', s) END AS evidence,
+    CASE WHEN s >= 0.25 AND (n > 400 OR (n > 320 AND f)) THEN 'single_chain_fusion' WHEN s >= 0.10 AND s < 0.25 THEN 'ambiguous_homology' ELSE '' END AS flags
+    FROM (SELECT p_partkey, p_name, (p_partkey % 100) / 100.0::double AS s, p_size * 10 AS n, p_type = 'ECONOMY' AS f FROM part)"""
+
+
+def homology(spark, d):
+    x = t(spark, d, "part").select("p_partkey", "p_name", (F.pmod("p_partkey", F.lit(100)) / F.lit(100.0)).alias("s"), (F.col("p_size") * 10).alias("n"), (F.col("p_type") == "ECONOMY").alias("f"))
+    return x.withColumn("r", rules.homology_role(F.col("s"), F.col("n"), F.col("f"))).select("*", "r.*").drop("r")
+
+
+@query(f"SELECT p_partkey, role, evidence, flags FROM ({HOMOLOGY_SQL})")
 def cls_homology_call(spark, d):
-    return t(spark, d, "part").select("p_partkey", rules.homology_call(F.pmod("p_partkey", F.lit(100)) / F.lit(100.0), F.col("p_size") * 10).alias("role"))
+    return homology(spark, d).select("p_partkey", "role", "evidence", F.array_join("flags", ",").alias("flags"))
+
+
+TAGGED_SQL = f"""SELECT p_partkey, s, CASE WHEN hit THEN 'light' ELSE role END AS role, CASE WHEN hit THEN printf('named + length %d (tagged construct), homology %.3f', n, s) ELSE evidence END AS evidence,
+    CASE WHEN NOT hit THEN flags WHEN flags = '' THEN 'expression_tag' ELSE flags || ',expression_tag' END AS flags
+    FROM (SELECT *, (role IS NULL OR role = 'other') AND contains(p_name, 'widget') AND n BETWEEN 80 AND 260 AND s < 0.25 AS hit FROM ({HOMOLOGY_SQL}))"""
+
+
+def tagged(spark, d):
+    return rules.tagged_recovery(homology(spark, d), "role", F.contains("p_name", F.lit("widget")), F.col("n"), F.col("s"), "light")
+
+
+@query(f"SELECT p_partkey, role, evidence, flags FROM ({TAGGED_SQL})")
+def cls_tagged_recovery(spark, d):
+    return tagged(spark, d).select("p_partkey", "role", "evidence", F.array_join("flags", ",").alias("flags"))
+
+
+@query(f"SELECT p_partkey, coalesce(role, 'other') AS role, CASE WHEN role IS NULL THEN printf('no rule matched; homology=%.3f', s) ELSE evidence END AS evidence FROM ({TAGGED_SQL})")
+def cls_default_evidence(spark, d):
+    return rules.default_evidence(tagged(spark, d), "role", F.col("s")).select("p_partkey", "role", "evidence")
+
+
+@query("SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(?i)\\bcold\\b') THEN 'alpha' WHEN regexp_matches(p_name, '(?i)\\bsmall\\b') THEN 'beta' WHEN regexp_matches(p_name, '(?i)gear') THEN 'gamma' ELSE 'unknown' END AS role FROM part")
+def cls_subrole_rules(spark, d):
+    patterns = [(r"\bcold\b", "alpha"), (r"\bSMALL\b", "beta"), ("gear", "gamma")]
+    return t(spark, d, "part").select("p_partkey", rules.sub_role(F.col("p_name"), patterns).alias("role"))
+
+
+@query("SELECT event_id, user_id, value FROM events WHERE NOT coalesce(user_id % 5 = 0, false) AND user_id IS NOT NULL AND value IS NOT NULL AND isfinite(value)")
+def flt_non_sanity(spark, d):
+    e = t(spark, d, "events")
+    return e.where(rules.scored(F.col("user_id") % 5 == 0, F.col("user_id"), F.array("value"))).select("event_id", "user_id", "value")
 
 
 @query("SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'drop' WHEN l.quality = 0 THEN 'difficult' WHEN l.doc_id IS NULL THEN 'unseen' WHEN d.n_chars < 500 THEN 'improve' ELSE 'rest' END AS class FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -165,9 +207,9 @@ def prj_bool_mask(spark, d):
 # leakage and checks
 
 
-@query(f"SELECT o_orderkey, split, CASE WHEN {RANK_SQL} = min({RANK_SQL}) OVER (PARTITION BY o_orderpriority, o_custkey) THEN 'keep' ELSE 'drop' END AS action FROM {SPLITS_SQL}")
+@query(f"SELECT o_orderkey, split, CASE WHEN {RANK_SQL} = b THEN 'keep' ELSE 'drop' END AS action, CASE b WHEN 0 THEN 'test' WHEN 1 THEN 'validation' ELSE 'train' END AS kept_in FROM (SELECT *, min({RANK_SQL}) OVER (PARTITION BY o_orderpriority, o_custkey) AS b FROM {SPLITS_SQL})")
 def win_keep_split(spark, d):
-    return windows.keep_split(split_orders(spark, d), ["o_orderpriority", "o_custkey"], "split", RANKS).select("o_orderkey", "split", "action")
+    return windows.keep_split(split_orders(spark, d), ["o_orderpriority", "o_custkey"], "split", RANKS).select("o_orderkey", "split", "action", "kept_in")
 
 
 @query(f"SELECT count(*) AS groups, coalesce(sum(n), 0)::bigint AS rows, count(*) FILTER (a = b) AS within, count(*) FILTER (a <> b) AS across FROM (SELECT count(*) AS n, min(split) AS a, max(split) AS b FROM {SPLITS_SQL} GROUP BY o_orderpriority, o_custkey HAVING count(*) > 1)")
@@ -586,11 +628,55 @@ def src_member_index(spark, d):
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS links FROM pages")
-def src_html_json_array(spark, d):
+def prj_html_links(spark, d):
     found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     return t(spark, d, "pages").select("page_id", F.size(found).cast("long").alias("links"))
 
 
+@query("SELECT o_orderkey, l_linenumber AS no, l_returnflag AS flag, CASE WHEN l_orderkey IS NULL THEN 'no array' END AS error FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND o_orderkey % 7 <> 0")
+def src_html_json_array(spark, d):
+    items = t(spark, d, "lineitem").where("l_orderkey % 7 <> 0").groupBy("l_orderkey").agg(F.to_json(F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_returnflag").alias("flag")))).alias("j"))
+    page = F.when(F.col("j").isNotNull(), F.concat(F.lit("<html><script>var rows = "), "j", F.lit(";</script></html>"))).otherwise("<html></html>")
+    pages = t(spark, d, "orders").join(items, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("o_orderkey", page.alias("html"))
+    return tables.html_json_array(pages, "o_orderkey", "html", r"var rows = (\[.*?\]);", "no int, flag string").select("o_orderkey", "no", "flag", "error")
+
+
+@query("SELECT l_orderkey, o.l_linenumber, o.l_partkey FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'N') o USING (l_orderkey)")
+def src_nested_second_list(spark, d):
+    item = F.struct("l_linenumber", "l_partkey")
+    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("l_returnflag") != "N", item)).alias("polymers"), F.collect_list(F.when(F.col("l_returnflag") == "N", item)).alias("others"))
+    return tables.flatten(nested, "l_orderkey", "others")
+
+
+@query("SELECT l_orderkey AS id, count(*) AS n_chains, sum(l_partkey)::bigint AS parts FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 200000) GROUP BY 1")
+def src_manifest_array(spark, d):
+    path = tables.shared_path(spark)
+    records = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(F.struct(F.col("l_linenumber").alias("chain_id"), F.col("l_partkey").alias("part"))).alias("chains"))
+    tables.write_manifest(records.withColumn("file", F.col("id") % 64), path, "file")
+    wanted = t(spark, d, "orders").where("o_totalprice > 200000").select(F.col("o_orderkey").alias("id"))
+    got = tables.read_manifest(spark, path, "id long, chains array<struct<chain_id int, part long>>", wanted, "id")
+    return got.select("id", F.size("chains").cast("long").alias("n_chains"), F.aggregate("chains", F.lit(0).cast("long"), lambda a, c: a + c["part"]).alias("parts"))
+
+
+@query("SELECT 'label' || label AS path, label::varchar AS chain, count(*) AS atoms, count(*) FILTER (vec_id % 3 > 0) AS present, round(sum(embedding[CASE WHEN label % 2 = 0 THEN 4 ELSE 1 END]::double), 4) AS sx FROM embeddings GROUP BY label")
+def src_structure_ingest(spark, d):
+    import io
+
+    import numpy as np
+    import pandas as pd
+
+    def packed(group):
+        out, e = io.BytesIO(), np.stack(group.embedding.to_numpy())[:, :6].astype(float)
+        label = int(group.label.iloc[0])
+        models = {"models": e[None, :, 3:6] if label % 2 == 0 else e[None, :-1, 3:6]}  # of odd labels the ensemble lacks an atom
+        np.savez(out, chain=group.label.to_numpy().astype(str), residue=group.vec_id.to_numpy() % 190, coords=e[:, :3], present=group.vec_id.to_numpy() % 3 > 0, **models)
+        return pd.DataFrame({"path": [f"label{label}"], "content": [out.getvalue()]})
+
+    files = t(spark, d, "embeddings").groupBy("label").applyInPandas(packed, "path string, content binary")
+    atoms = tables.structure_atoms(files).groupBy("path", "chain")
+    return atoms.agg(F.count("*").alias("atoms"), F.count_if("present").alias("present"), F.round(F.sum("x"), 4).alias("sx"))
+
+
 @query(f"SELECT CASE split WHEN 'test' THEN 'held' ELSE 'open' END AS side, split, count(*) AS n FROM {SPLITS_SQL} GROUP BY 1, 2")
 def sink_split_partitions(spark, d):
     a, b = tables.write_splits(split_orders(spark, d).select("o_orderkey", "split"), tables.shared_path(spark), "split", "test")
@@ -693,11 +779,19 @@ def join_name_crosscheck(spark, d):
     return e.join(ids, "event_type").agg(F.round(F.avg(hit), 6).alias("rate"), F.count("*").alias("n"))
 
 
-@query("SELECT label, count(*) AS atoms, count(*) FILTER (vec_id % 190 < 90) > 0 AND count(*) FILTER (vec_id % 190 >= 90) > 0 AS in_groove FROM embeddings GROUP BY 1")
+GROOVE_SQL = f"SELECT b.label, count(*) AS contacts, count(DISTINCT a.id % 190) FILTER (a.id % 190 < 90) AS lower, count(DISTINCT a.id % 190) FILTER (a.id % 190 >= 90) AS upper FROM {POINTS_SQL} a, {POINTS_SQL} b WHERE a.label = 0 AND b.label <> 0 AND (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 20.25 GROUP BY 1"
+
+
+def groove(spark, d):
+    p = points(spark, d)
+    rest = p.where("label <> 0")
+    hits = joins.radius_join(p.where("label = 0"), rest, 4.5).join(rest.select(F.col("id").alias("b_id"), "label"), "b_id")
+    return geometry.groove_halves(hits.withColumn("residue", F.col("a_id") % 190), "label", "residue")
+
+
+@query(f"SELECT *, lower > 0 AND upper > 0 AS in_groove FROM ({GROOVE_SQL})")
 def geo_groove_halves(spark, d):
-    pos = F.col("vec_id") % 190
-    both = (F.count_if(pos < 90) > 0) & (F.count_if(pos >= 90) > 0)
-    return t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("atoms"), both.alias("in_groove"))
+    return groove(spark, d)
 
 
 @query(f"SELECT DISTINCT b.label FROM {POINTS_SQL} b WHERE b.label <> 0 AND b.label NOT IN (SELECT q.label FROM {POINTS_SQL} p, {POINTS_SQL} q WHERE p.label = 0 AND q.label <> 0 AND (p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)+(p.z-q.z)*(p.z-q.z) <= 0.25)")
@@ -822,10 +916,10 @@ def agg_bucket_pivot(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("click", "view")})
 
 
-@query("SELECT event_type, user_id, round(avg(value), 6) AS mean, count(value) AS n FROM events WHERE event_id % 5 IN (0, 1) GROUP BY 1, 2")
+@query("SELECT event_type, user_id, round(avg(value), 6) AS mean, count(value) AS n FROM events GROUP BY 1, 2")
 def agg_pooled_draws(spark, d):
     e = t(spark, d, "events")
-    return stats.pooled_draws([e.where("event_id % 5 = 0"), e.where("event_id % 5 = 1")], "event_type", "user_id", "value").withColumn("mean", F.round("mean", 6))
+    return stats.pooled_draws([e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1")], "event_type", "user_id", "value").withColumn("mean", F.round("mean", 6))
 
 
 # scores, further checks and sinks
@@ -838,11 +932,10 @@ def geo_structure_scores(spark, d):
     return geometry.structure_scores(p, "label", "fit")
 
 
-@query("SELECT label, n >= 20 AND lo > 0 AND hi > 0 AS ok, CASE WHEN n < 20 THEN 'contacts' WHEN lo = 0 OR hi = 0 THEN 'halves' END AS review FROM (SELECT label, count(*) AS n, count(*) FILTER (vec_id % 190 < 90) AS lo, count(*) FILTER (vec_id % 190 >= 90) AS hi FROM embeddings GROUP BY 1)")
+@query(f"SELECT label, n >= 20 AND lo > 0 AND hi > 0 AS ok, CASE WHEN n < 20 THEN 'contacts' WHEN lo = 0 OR hi = 0 THEN 'halves' END AS review FROM (SELECT l.label, coalesce(contacts, 0) AS n, coalesce(lower, 0) AS lo, coalesce(upper, 0) AS hi FROM (SELECT DISTINCT label FROM embeddings WHERE label <> 0) l LEFT JOIN ({GROOVE_SQL}) USING (label))")
 def chk_groove(spark, d):
-    pos = F.col("vec_id") % 190
-    g = t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.count_if(pos < 90).alias("lo"), F.count_if(pos >= 90).alias("hi"))
-    review = F.when(F.col("n") < 20, "contacts").when((F.col("lo") == 0) | (F.col("hi") == 0), "halves")
+    g = t(spark, d, "embeddings").where("label <> 0").select("label").distinct().join(groove(spark, d), "label", "left").fillna(0, ["contacts"])
+    review = F.when(F.col("contacts") < 20, "contacts").when(~F.coalesce("in_groove", F.lit(False)), "halves")
     return g.select("label", review.isNull().alias("ok"), review.alias("review"))
 
 
@@ -869,13 +962,10 @@ def chk_flag_consistency(spark, d):
 _CAPS = [8, 4, 2, 1]
 
 
-@query(f"SELECT epoch, max(n) = {_CAPS}[epoch + 1] AS at_cap, max(n) <= {_CAPS}[epoch + 1] AS ok FROM (SELECT conv_id % 4 AS epoch, least(count(*), {_CAPS}[conv_id % 4 + 1]) AS n FROM conversations GROUP BY conv_id) GROUP BY epoch")
+@query(f"SELECT epoch, {_CAPS}[least(epoch, 3) + 1] AS cap, count(*) AS rows, count(*) FILTER (n <> {_CAPS}[least(epoch, 3) + 1]) AS n_off FROM (SELECT conv_id % 6 AS epoch, count(*) AS n FROM conversations GROUP BY conv_id) GROUP BY epoch")
 def chk_schedule_depth(spark, d):
-    cap = F.element_at(F.array(*map(F.lit, _CAPS)), (F.least(F.col("epoch"), F.lit(len(_CAPS) - 1)) + 1).cast("int"))
-    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
-    rows = t(spark, d, "conversations").withColumn("epoch", F.col("conv_id") % 4).withColumn("r", rank).where(F.col("r") <= cap)
-    seen = rows.groupBy("epoch", "conv_id").agg(F.count("*").alias("n")).groupBy("epoch").agg(F.max("n").alias("n"))
-    return seen.select("epoch", (F.col("n") == cap).alias("at_cap"), (F.col("n") <= cap).alias("ok"))
+    seen = t(spark, d, "conversations").withColumn("epoch", F.col("conv_id") % 6).groupBy("epoch", "conv_id").agg(F.count("*").alias("n"))
+    return windows.schedule_check(seen, "epoch", "n", _CAPS)
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'A' OR l_linenumber IN (1, 2)")
@@ -892,3 +982,84 @@ def sink_stage_report(spark, d):
     tables.write_report(split_orders(spark, d), path, "split")
     report = spark.read.schema("rows long, by map<string, long>").json(path)
     return report.select("rows", F.col("by")["train"].alias("train"), F.col("by")["test"].alias("test"))
+
+
+# partners, tables, coverage, pockets
+
+
+@query("SELECT l_orderkey, CASE WHEN n > 0 THEN l_partkey END AS l_partkey, CASE WHEN n <= 0 THEN 'present_but_not_contacting' END AS flag FROM (SELECT *, l_quantity - 25 AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_partkey) AS r FROM lineitem) WHERE r = 1")
+def win_best_partner(spark, d):
+    return windows.best_partner(t(spark, d, "lineitem").withColumn("n", F.col("l_quantity") - 25), "l_orderkey", "l_partkey", "n")
+
+
+@query("SELECT user_id, round(avg(value) FILTER (event_type = 'click'), 6) AS click, round(avg(value) FILTER (event_type = 'view'), 6) AS view, round(avg(value) FILTER (event_type = 'error'), 6) AS error FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 1")
+def ord_record_table(spark, d):
+    runs = ["click", "view", "error"]
+    rows = t(spark, d, "events").where(F.col("event_type").isin(runs))
+    return stats.record_table(rows, "user_id", "event_type", "value", runs, "click").withColumns({c: F.round(c, 6) for c in runs})
+
+
+@query("SELECT metric, weight, want FROM (SELECT l_returnflag || l_linestatus AS metric, count(*) AS want, count(*) FILTER (l_quantity < 50) AS weight FROM lineitem GROUP BY 1) WHERE weight <> want")
+def agg_coverage_check(spark, d):
+    x = t(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("metric"), "l_quantity")
+    count = lambda df, name: df.groupBy("metric").agg(F.count("*").alias(name))
+    return stats.coverage_check(count(x.where("l_quantity < 50"), "weight"), count(x, "want"), "metric", "weight", "want")
+
+
+@query("SELECT l_orderkey, round(avg(q), 6) AS mean, min(q) AS min, CASE WHEN count(q) > 0 THEN count(*) FILTER (q < 8) END AS n_low, CASE WHEN count(q) > 0 THEN count(*) FILTER (q > 40) END AS n_high, CASE WHEN count(q) > 0 THEN count(*) FILTER (q < 20) END AS n_partial FROM (SELECT l_orderkey, CASE WHEN l_returnflag = 'A' THEN l_quantity END AS q FROM lineitem) GROUP BY 1")
+def agg_residue_quality(spark, d):
+    v = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("l_returnflag") == "A", F.col("l_quantity"))).alias("v"))
+    return stats.residue_quality(v, "l_orderkey", "v", 8, 40, 20).withColumn("mean", F.round("mean", 6))
+
+
+@query("SELECT conv_id, count(*) AS rows, count(DISTINCT text) AS distinct_rows, count(*) FILTER (i >= 0.9) AS n90, count(*) FILTER (i >= 0.8) AS n80, round(avg(i), 6) AS identity FROM (SELECT c.conv_id, c.text, len(list_filter(list_zip(string_split(c.text, ''), string_split(q.text, '')), lambda z: z[1] = z[2])) / greatest(length(q.text), 1)::double AS i FROM conversations c JOIN conversations q ON q.conv_id = c.conv_id AND q.turn = 0 WHERE c.turn < 6) GROUP BY 1")
+def msa_redundancy(spark, d):
+    return stats.redundancy(t(spark, d, "conversations"), "conv_id", "turn", "text", 6).withColumn("identity", F.round("identity", 6)).withColumnRenamed("distinct", "distinct_rows")
+
+
+@query(f"WITH c AS (SELECT id % 10 AS chain, id % 2 AS entity, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM {POINTS_SQL} GROUP BY 1, 2) SELECT a.chain AS kept_chain, b.chain AS twin, round(sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)+power(a.z-b.z,2)), 6) AS dist FROM c a JOIN c b USING (entity, n) WHERE a.chain < 2 AND b.chain >= 2")
+def join_twin_copies(spark, d):
+    p = points(spark, d).withColumns({"chain": F.col("id") % 10, "entity": F.col("id") % 2})
+    return geometry.twin_copies(p, "entity", "chain", F.col("chain") < 2).withColumn("dist", F.round("dist", 6))
+
+
+@query("SELECT l_orderkey, h AS heavy, p AS peptide, CASE WHEN h = p OR hn <= 150 OR pn > 30 THEN 'chains do not look like heavy chain + peptide' END AS reason FROM (SELECT l_orderkey, arg_max(l_linenumber, {'n': l_quantity * 4, 'c': l_linenumber}) AS h, max(l_quantity * 4) AS hn, arg_min(l_linenumber, {'n': l_quantity * 4, 'c': l_linenumber}) AS p, min(l_quantity * 4) AS pn FROM lineitem GROUP BY 1)")
+def geo_chain_by_length(spark, d):
+    return geometry.chain_by_length(t(spark, d, "lineitem").withColumn("n", F.col("l_quantity") * 4), "l_orderkey", "l_linenumber", "n")
+
+
+@query("SELECT l_orderkey, count(*) FILTER (p) AS n_predicted, count(*) FILTER (o) AS n_observed, count(*) FILTER (p AND o) AS overlap FROM (SELECT l_orderkey, l_suppkey % 10 AS r, bool_or(l_returnflag <> 'N') AS p, bool_or(l_quantity > 15) AS o FROM lineitem WHERE l_returnflag <> 'N' OR l_quantity > 15 GROUP BY 1, 2) GROUP BY 1")
+def geo_pocket_overlap(spark, d):
+    x = t(spark, d, "lineitem").withColumn("r", F.col("l_suppkey") % 10)
+    return geometry.pocket_overlap(x.where("l_returnflag <> 'N'"), x.where("l_quantity > 15"), "l_orderkey", "r")
+
+
+def point_pairs(spark, d):
+    e = t(spark, d, "embeddings")
+    return e.select("label", (F.col("vec_id") % 3 > 0).alias("fit"), *[(F.get("embedding", F.lit(k)).cast("double") * 50).alias(c) for k, c in enumerate(["px", "py", "pz", "tx", "ty", "tz"])])
+
+
+@query()
+def geo_superpose_reflect(spark, d):
+    return geometry.superpose_reflect(point_pairs(spark, d), "label")
+
+
+@query()
+def geo_transfer_rmsd(spark, d):
+    return geometry.transfer_rmsd(point_pairs(spark, d), "label", "fit")
+
+
+@query()
+def geo_truth_deviation(spark, d):
+    return geometry.truth_deviation(point_pairs(spark, d), "label")
+
+
+@query()
+def seq_reference_mapping(spark, d):
+    x = t(spark, d, "customer").select(F.regexp_replace("c_name", "[^A-Za-z0-9]", "").alias("s"))
+    return alignment.reference_mapping(x, "s", "Customer000000500", [0, 3, 7, 10, 14, 16])
+
+
+@query()
+def seq_pair_identity_sample(spark, d):
+    return alignment.pair_identity_sample(t(spark, d, "orders").select("o_orderkey", F.concat_ws("", "o_orderpriority", "o_orderdate").alias("s")), "o_orderkey", "s", 200, 7)

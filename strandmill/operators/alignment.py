@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import wildcard_identity
@@ -109,3 +109,56 @@ def positional_align(df: DataFrame, key: str, a: str, b: str, keep: int = 4) ->
     bad = F.transform(F.filter(pairs, lambda p: ~p["a"].eqNullSafe(p["b"])), lambda p: p["i"])
     kind = F.when(F.size(a) != F.size(b), "count").when(F.size("bad") > 0, "name").otherwise("ok")
     return df.select(key, a, b, bad.alias("bad")).select(key, kind.alias("kind"), F.slice("bad", 1, keep).alias("bad"))
+
+
+def global_align(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -3) -> list[tuple[int, int]]:
+    """Pairs (place in a, place in b) of the best global alignment, on ties pairing before a gap in
+    b, and that before a gap in a. Rows are computed whole, gaps along them as a running maximum."""
+    x, y = np.array([ord(c) for c in a]), np.array([ord(c) for c in b])
+    at = np.arange(len(y) + 1)
+    rows = [gap * at]
+    for i, c in enumerate(x, 1):
+        best = np.append(i * gap, np.maximum(rows[-1][:-1] + np.where(y == c, match, mismatch), rows[-1][1:] + gap))
+        rows.append(np.maximum.accumulate(best - gap * at) + gap * at)
+    i, j, pairs = len(x), len(y), []
+    while i and j:
+        here = rows[i][j]
+        if here == rows[i - 1][j - 1] + (match if x[i - 1] == y[j - 1] else mismatch):
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+        elif here == rows[i - 1][j] + gap:
+            i -= 1
+        else:
+            j -= 1
+    return pairs[::-1]
+
+
+def reference_mapping(df: DataFrame, seq: str, reference: str, positions: list[int]) -> DataFrame:
+    """(seq, position, mapped, n_mapped, identity): where the positions of the reference stand in
+    each distinct sequence (null: nowhere), how many do, and the share of the reference's characters
+    that are paired with an equal one. Null and empty sequences give no row."""
+
+    def align(batches):
+        for batch in batches:
+            out = []
+            for s in batch.column(0).to_pylist():
+                pairs = dict(global_align(reference, s))
+                same = sum(reference[i] == s[j] for i, j in pairs.items()) / max(1, len(reference))
+                n = sum(p in pairs for p in positions)
+                out += [(s, p, pairs.get(p), n, same) for p in positions]
+            cols = list(zip(*out)) or [[]] * 5
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [seq, "position", "mapped", "n_mapped", "identity"])
+
+    distinct = df.where(F.col(seq) != "").select(seq).distinct()
+    return distinct.mapInArrow(align, f"{seq} string, position int, mapped int, n_mapped int, identity double")
+
+
+def pair_identity_sample(df: DataFrame, id_col: str, seq: str, k_pairs: int, seed: int) -> DataFrame:
+    """(pairs, median, p10, p90) of the aligned identities of ``k_pairs`` pairs of sequences, drawn
+    by a hash of their ids and the seed: the sample is the feature, its size a parameter."""
+    drawn = df.where(F.col(seq) != "").select(F.col(seq).alias("s"), F.xxhash64(id_col, F.lit(seed)).alias("h"), F.col(id_col).alias("i")).orderBy("h", "i").limit(2 * k_pairs)
+    ranked = drawn.withColumn("k", F.row_number().over(Window.orderBy("h", "i")) - 1)  # of a bounded sample
+    pairs = ranked.groupBy(F.floor(F.col("k") / 2).alias("pair")).agg(F.min_by("s", "k").alias("x"), F.max_by("s", "k").alias("y"), F.count("*").alias("n")).where("n = 2")
+    found = pairs.join(align_pairs(pairs), ["x", "y"])
+    return found.agg(F.count("*").alias("pairs"), *[F.percentile("identity", F.lit(q)).alias(name) for q, name in ((0.5, "median"), (0.1, "p10"), (0.9, "p90"))])

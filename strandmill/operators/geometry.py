@@ -102,3 +102,56 @@ def structure_scores(points: DataFrame, group: str, fit: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds))], [group, *names])
 
     return agg.mapInArrow(score, f"{group} {kind}, n_fit long, n_scored long, fit_rmsd double, mirror_rmsd double, transfer_rmsd double, mirrored boolean, reason string")
+
+
+def groove_halves(contacts: DataFrame, group: str, residue: str, cut1: int = 90, cut2: int = 190) -> DataFrame:
+    """(group, contacts, lower, upper, in_groove): the distinct touched residues before cut1 and from
+    it to cut2; in the groove if both are touched. ``contacts`` has a row for each contact."""
+    r = F.col(residue)
+    half = lambda cond: F.count_distinct(F.when(cond, r))
+    g = contacts.groupBy(group).agg(F.count("*").alias("contacts"), half(r < cut1).alias("lower"), half((r >= cut1) & (r < cut2)).alias("upper"))
+    return g.withColumn("in_groove", (F.col("lower") > 0) & (F.col("upper") > 0))
+
+
+def chain_by_length(chains: DataFrame, entry: str, chain: str, n: str, min_heavy: int = 150, max_peptide: int = 30) -> DataFrame:
+    """(entry, heavy, peptide, reason): the longest and the shortest chain, of equals the last and
+    the first; a reason if they are one, or not long or short enough."""
+    g = chains.groupBy(entry).agg(F.max(F.struct(n, chain)).alias("h"), F.min(F.struct(n, chain)).alias("p"))
+    bad = (F.col(f"h.{chain}") == F.col(f"p.{chain}")) | (F.col(f"h.{n}") <= min_heavy) | (F.col(f"p.{n}") > max_peptide)
+    return g.select(entry, F.col(f"h.{chain}").alias("heavy"), F.col(f"p.{chain}").alias("peptide"), F.when(bad, "chains do not look like heavy chain + peptide").alias("reason"))
+
+
+def superpose_reflect(points: DataFrame, group: str, times: float = 5.0) -> DataFrame:
+    """(group, n, rmsd, rmsd_reflect, mirrored): superposition with a reflection allowed; mirrored if
+    the proper one fits so many times worse."""
+    free = F.least("rmsd", "rmsd_mirror")
+    return superpose_rmsd(points, group).select(group, "n", "rmsd", free.alias("rmsd_reflect"), (F.col("rmsd") > times * F.col("rmsd_mirror")).alias("mirrored"))
+
+
+def transfer_rmsd(points: DataFrame, group: str, fit: str) -> DataFrame:
+    """(group, n_fit, n_scored, fit_rmsd, transfer_rmsd, reason): superposed on the points with
+    ``fit``, the others scored under that motion."""
+    return structure_scores(points, group, fit).select(group, "n_fit", "n_scored", "fit_rmsd", "transfer_rmsd", "reason")
+
+
+def truth_deviation(points: DataFrame, group: str, limit: float = 5.0, least: int = 3) -> DataFrame:
+    """(group, n, deviation, swapped): RMSD of one truth on the other; beyond the limit the reference
+    was swapped. Fewer than ``least`` points give no value."""
+    enough = F.col("n") >= least
+    return superpose_rmsd(points, group).select(group, "n", F.when(enough, F.col("rmsd")).alias("deviation"), F.when(enough, F.col("rmsd") > limit).alias("swapped"))
+
+
+def twin_copies(points: DataFrame, entity: str, chain: str, kept) -> DataFrame:
+    """(kept_chain, twin, dist): chains of one entity with as many atoms as a kept one, that are not
+    kept, and the distance of their centroids."""
+    c = points.groupBy(entity, chain).agg(F.count("*").alias("n"), *[F.avg(a).alias(a) for a in "xyz"])
+    a = c.where(kept).select(entity, "n", F.col(chain).alias("kept_chain"), *[F.col(v).alias(f"k{v}") for v in "xyz"])
+    b = c.where(~kept).withColumnRenamed(chain, "twin")
+    return a.join(b, [entity, "n"]).select("kept_chain", "twin", F.sqrt(sum((F.col(v) - F.col(f"k{v}")) ** 2 for v in "xyz")).alias("dist"))
+
+
+def pocket_overlap(predicted: DataFrame, observed: DataFrame, record: str, residue: str) -> DataFrame:
+    """(record, n_predicted, n_observed, overlap): sizes and common residues of two pockets."""
+    both = predicted.select(record, residue, F.lit(1).alias("p"), F.lit(0).alias("o")).union(observed.select(record, residue, F.lit(0), F.lit(1)))
+    each = both.groupBy(record, residue).agg(F.max("p").alias("p"), F.max("o").alias("o"))
+    return each.groupBy(record).agg(F.sum("p").alias("n_predicted"), F.sum("o").alias("n_observed"), F.sum(F.col("p") * F.col("o")).alias("overlap"))

@@ -65,12 +65,6 @@ def first_rule(rules: list[tuple[Column, str, Column]], default: str) -> Column:
     return out.otherwise(F.struct(F.lit(default).alias("role"), F.lit("default").alias("evidence")))
 
 
-def homology_call(score: Column, length: Column, call: float = 0.25, ambiguous: float = 0.10, bounds=(150, 400)) -> Column:
-    return (
-        F.when((score >= call) & length.between(*bounds), "heavy").when(score >= call, "fusion").when(score >= ambiguous, "ambiguous").otherwise("other")
-    )
-
-
 def flags_sorted(flags: Column) -> Column:
     return F.array_sort(F.array_distinct(flags))
 
@@ -86,3 +80,52 @@ def valid_flags(items: Column, keep: Column, key: str) -> Column:
 
 def bool_mask(n: Column, keep: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_contains(keep, i.cast("int")))).otherwise(F.array().cast("array<boolean>"))
+
+
+def sub_role(text: Column, patterns: list[tuple[str, str]], default: str = "unknown") -> Column:
+    """The role of the first pattern that the text holds, in any case; null text has the default."""
+    out = F.lit(default)
+    for pattern, role in reversed(patterns):
+        out = F.when(text.rlike(f"(?i){pattern}"), role).otherwise(out)
+    return out
+
+
+def homology_role(score: Column, length: Column, fused: Column, call: float = 0.25, ambiguous: float = 0.10, bounds=(150, 400), fusion_from: int = 320) -> Column:
+    """struct(role, evidence, flags) by bands of the score; role null where none holds.
+
+    From ``call`` on: ``fusion`` if longer than the upper bound, or than ``fusion_from`` with fused
+    partners named; ``heavy`` within the bounds; shorter ones stay unset. Below it, from
+    ``ambiguous`` on: ``other`` with a flag. A null score or length sets nothing.
+    """
+    of = lambda role, text, *flags: F.struct(F.lit(role).alias("role"), text.alias("evidence"), F.array(*map(F.lit, flags)).cast("array<string>").alias("flags"))
+    high = score >= call
+    fusion = high & ((length > bounds[1]) | ((length > fusion_from) & F.coalesce(fused, F.lit(False))))
+    return (
+        F.when(fusion, of("fusion", F.format_string("kmer_containment=%.3f, length=%d", score, length), "single_chain_fusion"))
+        .when(high & length.between(*bounds), of("heavy", F.format_string("kmer_containment=%.3f", score)))
+        .when((score >= ambiguous) & (score < call), of("other", F.format_string("ambiguous homology=%.3f", score), "ambiguous_homology"))
+        .otherwise(of(None, F.lit(None).cast("string")))
+    )
+
+
+def tagged_recovery(df: DataFrame, role: str, named: Column, length: Column, score: Column, to: str, call: float = 0.25, bounds=(80, 260)) -> DataFrame:
+    """Second pass over rows whose role is unset or ``other``: those that are named so, of a length
+    within the bounds and of a score below ``call`` (null counts as 0), get the role ``to``, evidence
+    and a flag; others stay as they are. ``df`` has the columns evidence and flags."""
+    s = F.coalesce(score, F.lit(0.0))
+    hit = F.coalesce((F.col(role).isNull() | (F.lower(role) == "other")) & named & length.between(*bounds) & (s < call), F.lit(False))
+    why = F.format_string("named + length %d (tagged construct), homology %.3f", length, s)
+    flags = F.coalesce("flags", F.array().cast("array<string>"))
+    return df.withColumns({role: F.when(hit, to).otherwise(F.col(role)), "evidence": F.when(hit, why).otherwise(F.col("evidence")), "flags": F.when(hit, F.array_append(flags, "expression_tag")).otherwise(flags)})
+
+
+def default_evidence(df: DataFrame, role: str, score: Column, default: str = "other") -> DataFrame:
+    """Rows without a role get the default and say so, with the score where there is one."""
+    tail = F.when(score.isNotNull(), F.format_string("; homology=%.3f", score)).otherwise("")
+    why = F.when(F.col(role).isNull(), F.concat(F.lit("no rule matched"), tail)).otherwise(F.col("evidence"))
+    return df.withColumns({"evidence": why, role: F.coalesce(role, F.lit(default))})
+
+
+def scored(sanity: Column, key: Column, values: Column) -> Column:
+    """Whether a row is no warm-up row, and has an id and a finite value."""
+    return ~F.coalesce(sanity, F.lit(False)) & key.isNotNull() & (F.size(finite(F.coalesce(values, F.array().cast("array<double>")))) > 0)

@@ -177,3 +177,34 @@ def pooled_draws(draws: list[DataFrame], arm: str, record: str, value: str) -> D
     for d in draws[1:]:
         rows = rows.unionByName(d)
     return rows.groupBy(arm, record).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
+
+
+def coverage_check(states: DataFrame, expected: DataFrame, metric: str, weight: str, want: str) -> DataFrame:
+    """The metrics whose weight is not the expected one; a metric without a state is left out."""
+    return states.join(expected, metric).where(F.col(weight).isNotNull() & (F.col(weight) != F.col(want))).select(metric, weight, want)
+
+
+def residue_quality(df: DataFrame, id_col: str, values: str, low: float, high: float, full: float) -> DataFrame:
+    """mean, min and counts below ``low``, above ``high`` and below ``full`` of a row's array; an
+    absent or empty array gives nulls, not zeros."""
+    v = F.when(F.size(values) > 0, F.col(values))
+    count = lambda test: F.when(v.isNotNull(), F.size(F.filter(v, test))).cast("long")
+    mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
+    return df.select(id_col, mean.alias("mean"), F.array_min(v).alias("min"), count(lambda x: x < low).alias("n_low"), count(lambda x: x > high).alias("n_high"), count(lambda x: x < full).alias("n_partial"))
+
+
+def record_table(rows: DataFrame, record: str, run: str, x: str, runs: list[str], first: str) -> DataFrame:
+    """record x run means, the record with the largest mean in run ``first`` first."""
+    return rows.groupBy(record).pivot(run, runs).agg(F.avg(x)).orderBy(F.desc_nulls_last(first), record)
+
+
+def redundancy(rows: DataFrame, group: str, idx: str, seq: str, first_n: int) -> DataFrame:
+    """(group, rows, distinct, n90, n80, identity) of the first rows of each alignment: how many are
+    at least 90 or 80 % identical, place by place, to row 0, and the mean identity to it."""
+    head = rows.where(F.col(idx) < first_n)
+    query = rows.where(F.col(idx) == 0).select(F.col(group), F.col(seq).alias("__q"))
+    both = head.join(query, group)
+    same = F.zip_with(F.split(seq, ""), F.split("__q", ""), lambda a, b: a == b)
+    identity = F.size(F.filter(same, lambda x: x)) / F.greatest(F.length("__q"), F.lit(1))
+    out = both.withColumn("__i", identity).groupBy(group)
+    return out.agg(F.count("*").alias("rows"), F.count_distinct(seq).alias("distinct"), F.count_if(F.col("__i") >= 0.9).alias("n90"), F.count_if(F.col("__i") >= 0.8).alias("n80"), F.avg("__i").alias("identity"))

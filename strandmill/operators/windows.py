@@ -19,10 +19,21 @@ def runner_up(pairs: DataFrame, entry: str, score: str, order: list[Column], rat
 
 
 def keep_split(df: DataFrame, keys: list[str], split: str, ranks: dict[str, int]) -> DataFrame:
-    """Leakage removal: rows of a key outside its most protected split are marked ``drop``."""
-    rank = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])[F.col(split)]
-    best = F.min(rank).over(W.partitionBy(*keys))
-    return df.withColumn("action", F.when(rank == best, "keep").otherwise("drop"))
+    """Leakage removal: action and kept_in, the most protected split of the row's key.
+
+    Rows of another split are marked ``drop``. A split that has no rank (as of a row without a date)
+    is ``undated``: it neither protects nor leaks, and is for the caller to see to. The best split
+    of a key is a partial aggregation joined back, so a frequent key is no single task; null keys
+    are a group of their own.
+    """
+    name = {v: k for k, v in ranks.items()}
+    table = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])
+    back = F.create_map(*[F.lit(x) for kv in name.items() for x in kv])
+    ranked = df.withColumn("__rank", table[F.col(split)])
+    best = ranked.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("__rank").alias("__best"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    action = F.when(F.col("__rank").isNull(), "undated").when(F.col("__rank") == F.col("__best"), "keep").otherwise("drop")
+    return ranked.join(best, same, "left").withColumns({"action": action, "kept_in": back[F.col("__best")]}).select(*df.columns, "action", "kept_in")
 
 
 def last_per_record(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -60,3 +71,18 @@ def high_water(df: DataFrame, group: str, order: list[str], x: str, eps: float =
     """Rows that pass the highest value before them by more than eps."""
     peak = F.max(x).over(W.partitionBy(group).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
     return df.withColumn("peak_before", peak).where(F.col("peak_before").isNull() | (F.col(x) > F.col("peak_before") + eps))
+
+
+def best_partner(pairs: DataFrame, anchor: str, partner: str, contacts: str) -> DataFrame:
+    """(anchor, partner, flag): the partner with most contacts, the smallest of equals; none has any: a flag."""
+    best = pairs.groupBy(anchor).agg(F.min(F.struct((-F.col(contacts)).alias("n"), F.col(partner))).alias("b"))
+    some = F.col("b.n") < 0
+    return best.select(anchor, F.when(some, F.col(f"b.{partner}")).alias(partner), F.when(~F.coalesce(some, F.lit(False)), "present_but_not_contacting").alias("flag"))
+
+
+def schedule_check(observed: DataFrame, epoch: str, depth: str, schedule: list[int]) -> DataFrame:
+    """(epoch, cap, rows, n_off): how many observed depths differ from the cap the schedule sets for
+    their epoch; its last value holds on. Depths are taken as observed, not cut to the cap."""
+    caps = F.array(*map(F.lit, schedule))
+    cap = F.element_at(caps, (F.least(F.col(epoch), F.lit(len(schedule) - 1)) + 1).cast("int"))
+    return observed.groupBy(epoch).agg(F.first(cap).alias("cap"), F.count("*").alias("rows"), F.count_if(F.col(depth) != cap).alias("n_off"))

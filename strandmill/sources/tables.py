@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,9 +41,12 @@ def member_index(rows: DataFrame, wanted: DataFrame, name: str = "name", file_no
 
 
 def write_splits(df: DataFrame, path: str, split: str, held_out: str) -> tuple[str, str]:
-    """The held-out split and the others in separate tables, so that a reader of one cannot meet the other."""
+    """The held-out split and the others in separate tables, so that a reader of one cannot meet the other.
+
+    Rows without a split are not held out: they are in the open table, in a partition of their own.
+    """
     open_path, held_path = f"{path}/open", f"{path}/{held_out}"
-    df.where(F.col(split) != held_out).write.partitionBy(split).parquet(open_path)
+    df.where(~F.col(split).eqNullSafe(held_out)).write.partitionBy(split).parquet(open_path)
     df.where(F.col(split) == held_out).write.parquet(held_path)
     return open_path, held_path
 
@@ -70,3 +76,50 @@ def write_report(df: DataFrame, path: str, by: str) -> None:
     """One JSON line: all rows, and a map of the rows of each value of ``by`` (one entry a value)."""
     n = df.groupBy(by).agg(F.count("*").alias("n"))
     n.agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct(by, "n"))).alias("by")).write.json(path)
+
+
+def html_json_array(pages: DataFrame, id_col: str, html: str, pattern: str, schema: str) -> DataFrame:
+    """One row for each element of the JSON array that ``pattern``'s first group finds in a page,
+    with the fields of ``schema`` and error null; a page without such an array is one row with an error."""
+    found = F.regexp_extract(F.coalesce(html, F.lit("")), pattern, 1)
+    rows = pages.select(id_col, F.from_json(found, f"array<struct<{schema}>>").alias("items"))
+    error = F.when(F.col("items").isNull(), "no array")
+    return rows.select(id_col, error.alias("error"), F.explode_outer("items").alias("item")).select(id_col, "item.*", "error")
+
+
+def write_manifest(df: DataFrame, path: str, part: str) -> None:
+    """JSON files of one array of records each, a file for each value of ``part``."""
+    body = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*[c for c in df.columns if c != part]))), ","), F.lit("]"))
+    df.groupBy(part).agg(body.alias("value")).write.partitionBy(part).text(path)
+
+
+def read_manifest(spark: SparkSession, path: str, schema: str, wanted: DataFrame, key: str) -> DataFrame:
+    """The wanted records of JSON files that are one array each. Spark's parser goes through a file
+    record by record, so none need fit in memory; write the result as Parquet to read it again."""
+    records = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    return records.join(wanted.select(key).distinct(), key, "left_semi")
+
+
+ATOMS = "path string, chain string, residue int, atom int, x double, y double, z double, present boolean"
+
+
+def structure_atoms(files: DataFrame) -> DataFrame:
+    """The atoms of structure files, from rows (path, content) as ``binaryFile`` gives them.
+
+    A file is an NPZ of the arrays chain, residue, coords, present (one entry an atom) and, if it has
+    an ensemble, models: those coordinates of model 0 are taken if they are as many as the atoms.
+    Files are small beside a partition; each is one row, and none is opened on the driver.
+    """
+
+    def read(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with np.load(io.BytesIO(content), allow_pickle=False) as f:
+                    chain, residue, present, xyz = f["chain"], f["residue"], f["present"], f["coords"]
+                    if "models" in f and len(f["models"]) and f["models"][0].shape == xyz.shape:
+                        xyz = f["models"][0]
+                n = len(chain)
+                cols = [pa.array([path] * n, pa.string()), pa.array(chain.astype(str).tolist(), pa.string()), pa.array(residue.astype(np.int32)), pa.array(np.arange(n, dtype=np.int32)), *(pa.array(xyz[:, k].astype(float)) for k in range(3)), pa.array(present.astype(bool))]
+                yield pa.RecordBatch.from_arrays(cols, ["path", "chain", "residue", "atom", "x", "y", "z", "present"])
+
+    return files.select("path", "content").mapInArrow(read, ATOMS)

@@ -118,3 +118,65 @@ def test_match_cascade_stages(spark):
     out = match_cascade(spark.createDataFrame([(1, k, s) for k, s in enumerate(seqs)], "entry int, k int, seq string"), e, "entry", "seq", "ent")
     got = {r.k: (r.ent, r.evidence) for r in out.collect()}
     assert got == {0: (9, "exact"), 1: (9, "wildcard"), 2: (7, "alignment"), 3: (None, "unmatched"), 4: (None, "unmatched"), 5: (None, "unmatched")}
+
+
+def test_rows_without_a_date_are_no_leak(spark):
+    from strandmill.operators.windows import keep_split
+    from strandmill.sources import tables
+
+    rows = [(1, "a", "test"), (2, "a", "train"), (3, "b", "unknown"), (4, None, "train"), (5, None, "validation"), (6, "a", None)]
+    df = spark.createDataFrame(rows, "id int, k string, split string")
+    got = {r.id: (r.action, r.kept_in) for r in keep_split(df, ["k"], "split", catalog.RANKS).collect()}
+    assert got == {1: ("keep", "test"), 2: ("drop", "test"), 3: ("undated", None), 4: ("drop", "validation"), 5: ("keep", "validation"), 6: ("undated", "test")}
+    a, b = tables.write_splits(df.select("id", "split"), tables.shared_path(spark), "split", "test")
+    assert sorted(r.id for r in spark.read.parquet(a).collect()) == [2, 3, 4, 5, 6] and [r.id for r in spark.read.parquet(b).collect()] == [1]
+
+
+def test_homology_of_short_and_unknown_lengths(spark):
+    from pyspark.sql import functions as F
+
+    from strandmill.operators.rules import homology_role
+
+    rows = [(0.5, 40, False), (0.5, None, False), (0.5, 200, False), (0.5, 350, True), (0.5, 350, None), (0.5, 500, False), (0.2, 40, False), (None, 200, False), (0.25, 400, False)]
+    out = spark.createDataFrame(rows, "s double, n int, f boolean").select(homology_role(F.col("s"), F.col("n"), F.col("f")).alias("r")).collect()
+    assert [r.r.role for r in out] == [None, None, "heavy", "fusion", "heavy", "fusion", "other", None, "heavy"]
+
+
+def test_global_alignment_against_recursion():
+    import functools
+    import random
+
+    from strandmill.operators.alignment import global_align
+
+    rng = random.Random(2)
+    for _ in range(40):
+        a, b = ("".join(rng.choices("ACD", k=rng.randint(0, 9))) for _ in range(2))
+
+        @functools.cache
+        def best(i, j):
+            if not i or not j:
+                return -3 * (i + j)
+            return max(best(i - 1, j - 1) + (2 if a[i - 1] == b[j - 1] else -1), best(i - 1, j) - 3, best(i, j - 1) - 3)
+
+        pairs = global_align(a, b)
+        assert pairs == sorted(pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+        assert sum(2 if a[i] == b[j] else -1 for i, j in pairs) - 3 * (len(a) + len(b) - 2 * len(pairs)) == best(len(a), len(b))
+
+
+def test_reflection_and_truth_deviation(spark):
+    import numpy as np
+
+    from strandmill.operators.geometry import superpose_reflect, transfer_rmsd, truth_deviation
+
+    x = np.random.default_rng(3).normal(size=(40, 3)) * 10
+    other = x.copy()
+    other[20:] += [40.0, 0, 0]
+    sets = {1: (x + 50, x), 2: (x * [1, 1, -1], x), 3: (other, x), 4: (x[:2], x[:2])}
+    rows = [(g, k < 20, *a, *b) for g, (p, t) in sets.items() for k, (a, b) in enumerate(zip(p.tolist(), t.tolist()))]
+    df = spark.createDataFrame(rows, "g int, fit boolean, px double, py double, pz double, tx double, ty double, tz double")
+    reflect = {r.g: r for r in superpose_reflect(df, "g").collect()}
+    assert not reflect[1].mirrored and reflect[2].mirrored and reflect[2].rmsd_reflect < 1e-4
+    truth = {r.g: r for r in truth_deviation(df, "g").collect()}
+    assert truth[1].deviation < 1e-4 and not truth[1].swapped and truth[3].swapped and truth[4].deviation is None
+    moved = {r.g: r for r in transfer_rmsd(df, "g", "fit").collect()}
+    assert moved[3].fit_rmsd < 1e-4 and abs(moved[3].transfer_rmsd - 40) < 1e-3 and moved[4].reason
