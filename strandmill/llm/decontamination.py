@@ -1,11 +1,12 @@
 """Benchmark decontamination by CGK embedding, bit-sampling LSH and exact edit verification.
 
 Texts and items are sequences of words. An item is found where a stretch of text is within
-k = floor(m * percent / 100) word edits of its m words. Windows of the item's size are cut at every
-place where the text holds one of the item's k + 1 chunks unchanged (within k edits one always is,
-so no window that could match is left out). The CGK random walk embeds windows and items so that
-edit distance becomes Hamming distance; windows that agree with their item on all sampled symbols
-of one of many samplings are aligned with it exactly.
+k = floor(m * percent / 100) word edits of its m words. The CGK random walk embeds items and
+item-sized windows of text so that edit distance becomes Hamming distance; windows and items of one
+size that agree on all sampled symbols of one of many samplings meet in a bucket, and are aligned
+exactly. To embed every window of a corpus costs far more than to read it, so windows are cut only
+where the text holds one of the k + 1 chunks of an item of that size unchanged: within k edits one
+always is, and no window that could match is left out.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ PERCENT = 15
 EMBEDDINGS, SAMPLINGS, SYMBOLS = 8, 8, 4
 #: Words of items that one pass over the text compares with: the bound of what is broadcast.
 BLOCK_WORDS = 100_000
+#: Symbols of windows that are embedded at once.
+BLOCK_SYMBOLS = 1 << 20
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -34,21 +37,33 @@ def grams(h: np.ndarray, q: int) -> np.ndarray:
     return mix(acc)
 
 
-def cgk(symbols: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
-    """Embeds each row (its first ``sizes`` symbols) into 3 x width symbols, 0 past its end."""
+def cgk(symbols: np.ndarray, steps: int, seed: int) -> np.ndarray:
+    """Embeds each row of symbols into ``steps`` symbols: at each step a row gives its current one, and
+    a coin drawn for the step and symbol moves on or not; past a row's end all symbols are 0."""
     n, width = symbols.shape
     padded = np.zeros((n, width + 1), np.uint64)
-    padded[:, :width] = np.where(np.arange(width) < sizes[:, None], symbols, np.uint64(0))
+    padded[:, :width] = symbols
     at, row = np.zeros(n, np.int64), np.arange(n)
-    out = np.zeros((n, 3 * width), np.uint64)
-    for t in range(3 * width):
+    out = np.empty((n, steps), np.uint64)
+    for t in range(steps):
         s = padded[row, at]
         out[:, t] = s
         step = mix(s + np.uint64((seed * 1_000_003 + t) * 2 + 1)) & np.uint64(1)
-        at = np.minimum(at + step.astype(np.int64), sizes)
+        at = np.minimum(at + step.astype(np.int64), width)
     return out
 
 
+def bucket_keys(symbols: np.ndarray, seed: int) -> np.ndarray:
+    """(SAMPLINGS, rows): the bucket of each row in each sampling of one embedding. The sampled places
+    lie in the first 2 m of the embedding, where the walk of m symbols is on its way."""
+    size = symbols.shape[1]
+    embedded = cgk(symbols, 2 * size, seed)
+    rng = np.random.default_rng(seed)
+    places = (rng.random((SAMPLINGS, SYMBOLS)) * 2 * size).astype(np.int64)
+    mixed = [mix((embedded[:, p] * _C[:SYMBOLS]).sum(1, dtype=np.uint64) + np.uint64(k)) for k, p in enumerate(places)]
+    return np.stack(mixed)
+
+
 def edits(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """(least word edits that turn some stretch of ``text`` into ``item``, where it ends)."""
     idx = np.arange(len(text) + 1)
@@ -86,60 +101,63 @@ class Items:
             near = np.zeros(1 << 16, bool)
             near[(hashes >> np.uint64(48)).astype(np.int64)] = True
             self.chunks[q] = (hashes, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), near)
-        width = int(self.size.max()) if len(self.size) else 0
-        table = np.zeros((len(self.words), width), np.uint64)
-        for j, w in enumerate(self.words):
-            table[j, : len(w)] = w
-        self.embedded = [cgk(table, self.size, e) for e in range(EMBEDDINGS)] if width else []
-        self.width = width
-
-    def seeds(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(item, first word) of all windows of the slice that hold a chunk of the item in place."""
-        items, starts = [], []
+        #: for each size, and each embedding and sampling of it: sorted bucket keys, and their items
+        self.buckets: dict[int, list[list[tuple[np.ndarray, np.ndarray]]]] = {}
+        for size in np.unique(self.size).tolist():
+            items = np.flatnonzero(self.size == size)
+            symbols = np.stack([self.words[j] for j in items.tolist()])
+            self.buckets[size] = []
+            for e in range(EMBEDDINGS):
+                keys = bucket_keys(symbols, e)
+                order = np.argsort(keys, axis=1, kind="stable")
+                self.buckets[size].append([(k[o], items[o]) for k, o in zip(keys, order)])
+
+    def windows(self, w: Words) -> dict[int, np.ndarray]:
+        """For each size the first words of the windows of the slice that hold a chunk of an item of
+        that size in place."""
+        found: dict[int, list] = {}
         for q, (hashes, item, offset, near) in self.chunks.items():
             g = grams(w.hash, q)
             at = np.flatnonzero(near[(g >> np.uint64(48)).astype(np.int64)])
             at = at[w.doc[at] == w.doc[at + q - 1]] if len(at) else at
             lo, hi = np.searchsorted(hashes, g[at], "left"), np.searchsorted(hashes, g[at], "right")
-            n = hi - lo
-            if not n.any():
+            at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            if not len(at):
                 continue
-            at = np.repeat(at, n)
-            which = np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            items.append(item[which])
-            # a window that starts before its row is moved to the row's start
-            starts.append(np.maximum(at - offset[which], w.first[w.doc[at]]))
-        if not items:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pair = np.unique(np.stack([np.concatenate(items), np.concatenate(starts)]), axis=1)
-        return pair[0], pair[1]
-
-    def sampled(self, w: Words, item: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """Which windows agree with their item on one whole sampling at least."""
-        ok = np.zeros(len(item), bool)
-        size = self.size[item]
-        take = np.minimum(start[:, None] + np.arange(self.width), len(w.hash) - 1)
-        last = w.first[w.doc[start] + 1]
-        symbols = np.where(start[:, None] + np.arange(self.width) < last[:, None], w.hash[take], np.uint64(0))
-        for e in range(EMBEDDINGS):
-            same = cgk(symbols, size, e) == self.embedded[e][item]
-            rng = np.random.default_rng(e)
-            for _ in range(SAMPLINGS):
-                place = (rng.random((1, SYMBOLS)) * (2 * size)[:, None]).astype(np.int64)
-                ok |= same[np.arange(len(item))[:, None], place].all(1)
-        return ok
+            # chunks of many items of one size and place give one window
+            kinds, of = np.unique(lo, return_inverse=True)
+            for k, first in enumerate(kinds.tolist()):
+                here = at[of == k]
+                last = first + int(n[of == k][0])
+                for size, back in set(zip(self.size[item[first:last]].tolist(), offset[first:last].tolist())):
+                    # a window that starts before its row is moved to the row's start
+                    found.setdefault(size, []).append(np.maximum(here - back, w.first[w.doc[here]]))
+        return {size: np.unique(np.concatenate(x)) for size, x in found.items()}
+
+    def candidates(self, w: Words) -> list[tuple[int, int]]:
+        """(item, first word) of the windows that share a bucket with an item of their size."""
+        out = set()
+        for size, starts in self.windows(w).items():
+            rows = max(1, BLOCK_SYMBOLS // size)
+            for lo in range(0, len(starts), rows):
+                start = starts[lo : lo + rows]
+                place = start[:, None] + np.arange(size)
+                last = w.first[w.doc[start] + 1]
+                symbols = np.where(place < last[:, None], w.hash[np.minimum(place, len(w.hash) - 1)], np.uint64(0))
+                for e, samplings in enumerate(self.buckets[size]):
+                    for mine, (keys, items) in zip(bucket_keys(symbols, e), samplings):
+                        a, b = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+                        for k in np.flatnonzero(b > a).tolist():
+                            out.update((j, int(start[k])) for j in items[a[k] : b[k]].tolist())
+        return sorted(out)
 
     def matches(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, object, int, int, int]]:
         """(row, item id, first word, past its last, edits): the best place of each item in each row."""
         w = Words(LOWER[data], offs, ALNUM)
         if not len(w.hash) or not self.words:
             return []
-        item, start = self.seeds(w)
-        if not len(item):
-            return []
-        ok = self.sampled(w, item, start)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for j, s in zip(item[ok].tolist(), start[ok].tolist()):
+        for j, s in self.candidates(w):
             d, k, words = int(w.doc[s]), self.k[j], self.words[j]
             first, last = int(w.first[d]), int(w.first[d + 1])
             if s + len(words) <= last and np.array_equal(w.hash[s : s + len(words)], words):

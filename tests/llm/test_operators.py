@@ -395,6 +395,55 @@ def test_decontamination(spark, docs, edge, none):
     assert np.mean([(n, sources[n % len(sources)].item_id) in found for n, _ in rows]) > 0.95
 
 
+def brute_edits(item, words):
+    """The least word edits between the item and any stretch of the words."""
+    before = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        now = [i]
+        for j, y in enumerate(words, 1):
+            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return min(before)
+
+
+def test_decontamination_against_edit_distance():
+    """Every find is within its edits; of the pairs within them nearly all are found, whatever the item's size."""
+    rng = np.random.default_rng(9)
+    items = {k: [f"w{x}" for x in rng.integers(0, 400, n)] for k, n in enumerate([6, 8, 13, 20, 40, 90] * 5)}
+    block = decontamination.Items(list(items), [" ".join(x) for x in items.values()], decontamination.PERCENT)
+    want, got = set(), set()
+    for n in range(240):
+        k = n % len(items)
+        w = list(items[k])
+        for _ in range(int(rng.integers(0, len(w) * 30 // 100 + 2))):
+            p, kind = int(rng.integers(len(w))), rng.integers(3)
+            w[p : p + 1] = [[f"z{n}"], [w[p], f"y{n}"], []][kind]
+            if not w:
+                break
+        text = [f"w{x}" for x in rng.integers(0, 400, 30)] + w + [f"w{x}" for x in rng.integers(0, 400, 30)]
+        raw = np.frombuffer(" ".join(text).encode(), np.uint8)
+        got |= {(n, m[1]) for m in block.matches(raw, np.array([0, len(raw)]))}
+        want |= {(n, j) for j, x in items.items() if brute_edits(x, text) <= len(x) * decontamination.PERCENT // 100}
+    assert got <= want and len(got) >= 0.95 * len(want)
+    for size in (6, 8, 13, 20, 40, 90):
+        mine = {p for p in want if len(items[p[1]]) == size}
+        assert len(mine & got) >= 0.9 * len(mine)
+
+
+def test_decontamination_of_long_items_and_shared_chunks():
+    import time
+
+    rng = np.random.default_rng(4)
+    long = " ".join(f"w{x}" for x in rng.integers(0, 10_000, 20_000))
+    shared = [f"the same start of all of them {' '.join(f'i{k}x{j}' for j in range(12))}" for k in range(300)]
+    block = decontamination.Items([*range(300), 300], [*shared, long], decontamination.PERCENT)
+    text = "the same start of all of them " * 300 + shared[7] + " " + long
+    raw = np.frombuffer(text.encode(), np.uint8)
+    began = time.process_time()
+    assert {m[1] for m in block.matches(raw, np.array([0, len(raw)]))} >= {7, 300}
+    assert time.process_time() - began < 60
+
+
 def test_empty_tables(none):
     for f in (license_scan.license_scan, secret_scan.secret_scan, ngram_join.ngram_join, line_dedup.line_dedup, exact_dedup):
         assert f(none).count() == 0
