@@ -57,6 +57,18 @@ def discard(df: DataFrame) -> None:
     df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.stored_at)
 
 
+#: Rows of texts that Spark hands to Python at once: its default of 10,000 makes batches of whole
+#: texts as large as all else a task holds.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the rows of an Arrow batch to BATCH_ROWS, unless the session has set its own number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, Words, mix, text_slices
+from .common import ALNUM, LOWER, Words, mix, small_batches, text_slices
 
 PERCENT = 15
 #: Embeddings, samplings of each, symbols of a sampling. A window of which a share s of the symbols
@@ -193,6 +193,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     take further passes over the text.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = None
@@ -216,6 +217,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` in which no item is found, all columns as they are, without a shuffle."""
     spark = docs.sparkSession
+    small_batches(spark)
     names = docs.columns
     at = names.index(text_col)
     for block in item_blocks(items, item_id, item_text, percent):

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, free_name, in_bitset, mix, release, runs, stored, text_slices
-from .ngram_join import CHUNK, _often, frequent_order, prefix_length
+from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, free_name, in_bitset, mix, release, runs, small_batches, stored, text_slices
+from .ngram_join import _often, frequent_order, prefix_length
 
 PERCENT = 80
 #: Candidates after which a line looks no further in a bucket; one that differs in no more than
@@ -44,7 +44,7 @@ CUT_ROWS = 256
 #: one with a probability of about 1e-10.
 TOKEN_BITS = 44
 #: Words seen less often in a stretch of CHUNK words count as rare.
-SEEN = 5
+CHUNK, SEEN = 1 << 22, 3
 #: Sets of fewer words match equal sets only.
 LEAST_WORDS = 4
 #: 64-bit words of a line's parity sketch: each of its words flips one bit. Two sketches differ in
@@ -476,6 +476,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read. An empty table gives no row.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     share = spark.sparkContext.broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     profile = stored(_profile(rows, percent))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, NOT_SPACE, Words, bitset_of, discard, in_bitset, mix, runs, stored, text_slices
+from .common import LOWER, NOT_SPACE, Words, bitset_of, discard, in_bitset, mix, runs, small_batches, stored, text_slices
 from .components import components
 
 WIDTH, PERCENT = 5, 80
@@ -307,6 +307,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without an id link others, but are never the smallest id. Other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     profile = stored(_profile(rows, width))
     nodes = profile.where("not hot").select("id", "n", "fp")

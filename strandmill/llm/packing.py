@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, Words, multi_arange, stored, text_slices
+from .common import NOT_SPACE, Words, multi_arange, small_batches, stored, text_slices
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
@@ -248,6 +248,7 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``capacity`` lengths; pieces stay in Spark.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     cut = stored(pieces(docs, id_col, text_col, path or tokenizer_path(), capacity))
 
     def ranked(batches):
