@@ -1,8 +1,8 @@
 """Secret scans with multipart credential linking.
 
-Strong parts are reported by themselves. Weak parts (short keys, identifiers, endpoints) are
-interval-joined with the other parts of their scope, a stretch of ``scope`` characters around
-them, and reported only when complementary parts stand there.
+Strong parts are reported by themselves. Weak parts (short identifiers, bare secrets, endpoints)
+are interval-joined with the parts of their scope, a stretch of ``scope`` characters around them,
+and reported only where a part that stands for something else is there.
 """
 
 from __future__ import annotations
@@ -23,13 +23,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: The order of kinds among spans with one start.
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
-#: Weak parts: the part each stands for, and the parts of which one must be in its scope.
+#: What each kind stands for; parts that stand for different things complement each other.
+STANDS_FOR = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
+#: The patterns of weak parts.
 WEAK = {
-    "weak_id": (re.compile(r"\b(?:AKIA[A-Z0-9]{8,15}|ASIA[A-Z0-9]{16,})(?![A-Z0-9])", re.ASCII), ("assign", "hex")),
-    "weak_secret": (re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=_-])", re.ASCII), ("access", "weak_id")),
-    "endpoint": (re.compile(r"\b(?:https?|jdbc|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqp|s3)://[A-Za-z0-9.:@/_-]+", re.ASCII), ("assign", "access", "hex")),
+    "weak_id": re.compile(r"\b(?:AKIA[A-Z0-9]{8,15}|ASIA[A-Z0-9]{16,})(?![A-Z0-9])", re.ASCII),
+    "weak_secret": re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=_-])", re.ASCII),
+    "endpoint": re.compile(r"\b(?:https?|jdbc|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqp|s3)://[A-Za-z0-9.:@/_-]+", re.ASCII),
 }
-#: A weak part needs one of these literals (or any capital-and-digit run for the secret).
+#: Literals of which a weak part of the kind holds one.
 _HINTS = {"weak_id": ("AKIA", "ASIA"), "endpoint": ("://",)}
 
 
@@ -43,36 +45,40 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+class Reach:
+    """Intervals by start with the furthest end so far: whether one of them meets a given interval."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.furthest = [], []
+        for s, e in sorted(spans):
+            self.starts.append(s)
+            self.furthest.append(max(e, self.furthest[-1]) if self.furthest else e)
+
+    def meets(self, low: int, high: int) -> bool:
+        k = bisect.bisect_right(self.starts, high)
+        return k > 0 and self.furthest[k - 1] >= low
+
+
 def linked_spans(text: str, base: list[tuple[int, int, str]], scope: int) -> list[tuple[int, int, str]]:
-    """Weak parts with a complementary part at most ``scope`` characters away, itself no weak
-    part that lacks one; base spans are never repeated."""
-    if not base and "AKIA" not in text and "ASIA" not in text:
-        return []  # every weak part needs a strong part or an identifier
-    taken = sorted((s, e) for s, e, _ in base)
-    parts = list(base)
+    """Weak parts with a complementary part, strong or weak, at most ``scope`` characters away.
+
+    Identifiers, secrets and endpoints complement each other, so two weak parts of different
+    kinds near each other are both reported. A weak part that overlaps a base span is that span
+    and is not repeated; parts that touch or overlap otherwise are at distance 0.
+    """
+    if not base and not any(h in text for hints in _HINTS.values() for h in hints):
+        return []  # weak secrets alone complement nothing
+    strong = Reach([(s, e - 1) for s, e, _ in base])
     weak = []
-    for kind, (pattern, _) in WEAK.items():
+    for kind, pattern in WEAK.items():
         if kind in _HINTS and not any(h in text for h in _HINTS[kind]):
             continue
-        for m in pattern.finditer(text):
-            k = bisect.bisect_left(taken, (m.end(), -1))
-            if not (k and taken[k - 1][1] > m.start()):
-                weak.append((m.start(), m.end(), kind))
-    starts: dict[str, list[tuple[int, int]]] = {}
-    for s, e, kind in parts + weak:
-        starts.setdefault(kind, []).append((s, e))
-    for v in starts.values():
-        v.sort()
-
-    def near(s: int, e: int, kinds) -> bool:
-        for kind in kinds:
-            at = starts.get(kind, ())
-            k = bisect.bisect_left(at, (s, s))
-            if k < len(at) and at[k][0] - e <= scope or k and s - at[k - 1][1] <= scope:
-                return True
-        return False
-
-    return [(s, e, kind) for s, e, kind in weak if near(s, e, WEAK[kind][1])]
+        weak += [(m.start(), m.end(), kind) for m in pattern.finditer(text) if not strong.meets(m.start(), m.end() - 1)]
+    of: dict[str, list[tuple[int, int]]] = {}
+    for s, e, kind in base + weak:
+        of.setdefault(STANDS_FOR[kind], []).append((s, e))
+    reach = {role: Reach(spans) for role, spans in of.items()}
+    return [(s, e, kind) for s, e, kind in weak if any(r.meets(s - scope, e + scope) for role, r in reach.items() if role != STANDS_FOR[kind])]
 
 
 STRUCT = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

@@ -233,6 +233,27 @@ def test_linked_parts():
     assert "weak_id" not in {k for _, _, k in secret_scan.linked_spans(far, secret_scan.base_spans(far), 200)}
 
 
+def test_linked_parts_complement_each_other():
+    key, bare, url = "AKIA" + "B" * 10, "aB3" * 12, "https://db.example.com/x"
+    kinds = lambda x: [k for _, _, k in sorted(secret_scan.linked_spans(x, secret_scan.base_spans(x), 200))]
+    assert kinds(f"{key} {bare}") == ["weak_id", "weak_secret"]
+    assert kinds(f"{bare} {url}") == ["weak_secret", "endpoint"]
+    assert kinds(f"{key} {key} {'x ' * 200} {bare} {bare}") == []
+    # an earlier, longer part reaches where the nearest by start does not
+    assert kinds(f"password={'p' * 300} {key}")[0] == "weak_id"
+
+
+def test_linked_parts_against_all_pairs():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        make = [lambda: "AKIA" + "B" * 10, lambda: "AKIA" + "C" * 16, lambda: "aB3" * 12, lambda: "https://h.example/" + "p" * int(rng.integers(1, 60)), lambda: "token: " + "v" * int(rng.integers(3, 60)), lambda: "0f" * 13, lambda: "w " * int(rng.integers(1, 40))]
+        x = " ".join(make[k]() for k in rng.integers(0, len(make), 8))
+        base = secret_scan.base_spans(x)
+        weak = [(m.start(), m.end(), k) for k, p in secret_scan.WEAK.items() for m in p.finditer(x) if not any(s < m.end() and m.start() < e for s, e, _ in base)]
+        near = lambda a, b: b[0] <= a[1] + 30 and b[1] >= a[0] - 30 and secret_scan.STANDS_FOR[a[2]] != secret_scan.STANDS_FOR[b[2]]
+        assert sorted(secret_scan.linked_spans(x, base, 30)) == sorted(a for a in weak if any(near(a, b) for b in base + weak))
+
+
 def test_language_id(spark, edge, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = language_id.held_out("doc_id")
