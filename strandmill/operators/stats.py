@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import ranks
+
 
 def counter(df: DataFrame, *cols: str) -> DataFrame:
     return df.groupBy(*cols).agg(F.count("*").alias("n"))
@@ -59,14 +61,15 @@ def failure_examples(df: DataFrame, checks: dict[str, Column], key: str, k: int
 
 def order_stats(df: DataFrame, by: str, x: str) -> DataFrame:
     """min, p05 at index int(0.05 (n - 1)), upper median (index n // 2) and max by rank."""
-    w = W.partitionBy(by)
-    r = df.where(F.col(x).isNotNull()).select(by, x, (F.row_number().over(w.orderBy(x)) - 1).alias("i"), F.count("*").over(w).alias("n"))
-    at = lambda i: F.max(F.when(F.col("i") == i, F.col(x)))
-    return r.groupBy(by).agg(F.min(x).alias("min"), at(F.floor((F.col("n") - 1) * 0.05)).alias("p05"), at(F.floor(F.col("n") / 2)).alias("upper_median"), F.max(x).alias("max"))
+    ends = df.where(F.col(x).isNotNull()).groupBy(by).agg(F.min(x).alias("min"), F.max(x).alias("max"))
+    at = ranks.at_ranks(df, [by], x, {"p05": lambda n: F.floor((n - 1) * 0.05), "upper_median": ranks.UPPER_MIDDLE})
+    return ranks.same_groups(ends, at, [by]).select(by, "min", "p05", "upper_median", "max")
 
 
 def median_mean(df: DataFrame, by: str, x: str) -> DataFrame:
-    return df.groupBy(by).agg(F.round(F.percentile(x, F.lit(0.5)), 6).alias("median"), F.round(F.avg(x), 6).alias("mean"), F.count(x).alias("n"))
+    means = df.groupBy(by).agg(F.round(F.avg(x), 6).alias("mean"), F.count(x).alias("n"))
+    out = ranks.same_groups(means, ranks.medians(df, [by], {"median": F.col(x)}), [by])
+    return out.select(by, F.round("median", 6).alias("median"), "mean", "n")
 
 
 def weighted_merge(states: DataFrame, metric: str, value: str, weight: str) -> DataFrame:
@@ -100,27 +103,41 @@ def paired_runs(rows: DataFrame, run: str, a: str, b: str, record: str, value: s
 
 
 def sign_test(df: DataFrame, k: str, n: str) -> DataFrame:
-    """Exact two-sided binomial sign test from (improved, n), in logs so that large n is no harm."""
+    """Exact two-sided binomial sign test from (improved, n); each term follows from the one before,
+    in logs so that large n is no harm."""
     kk = F.least(F.col(k), F.col(n) - F.col(k)).cast("int")
-    lf = lambda x: F.aggregate(F.when(x > 0, F.sequence(F.lit(1), x.cast("int"))).otherwise(F.array().cast("array<int>")), F.lit(0.0), lambda s, i: s + F.log(i.cast("double")))
-    term = lambda i: F.exp(F.col("__ln") - lf(i) - lf(F.col(n).cast("int") - i) - F.col(n) * math.log(2))
-    tail = F.aggregate(F.sequence(F.lit(0), kk), F.lit(0.0), lambda s, i: s + term(i))
-    return df.withColumn("__ln", lf(F.col(n).cast("int"))).withColumn("p", F.least(F.lit(1.0), 2 * tail)).drop("__ln")
+    first = F.col(n) * F.lit(-math.log(2))
+    start = F.struct(first.alias("ln"), F.exp(first).alias("p"))
+
+    def step(acc: Column, i: Column) -> Column:
+        ln = acc["ln"] + F.log((F.col(n) - i + 1) / i)
+        return F.struct(ln.alias("ln"), (acc["p"] + F.exp(ln)).alias("p"))
+
+    terms = F.when(kk > 0, F.sequence(F.lit(1), kk)).otherwise(F.array().cast("array<int>"))
+    return df.withColumn("p", F.least(F.lit(1.0), 2 * F.aggregate(terms, start, step, lambda acc: acc["p"])))
 
 
 def noise_floor(pairs: DataFrame) -> DataFrame:
     """Medians of two draws, median and p90 (index int(0.9 n)) of absolute differences."""
-    x = pairs.withColumn("d", F.abs("diff"))
-    top = x.agg(F.sort_array(F.collect_list("d")).alias("ds"), F.percentile("a", F.lit(0.5)).alias("ma"), F.percentile("b", F.lit(0.5)).alias("mb"), F.percentile("d", F.lit(0.5)).alias("md"), F.count("*").alias("n"))
-    return top.select(F.round("ma", 6).alias("median_a"), F.round("mb", 6).alias("median_b"), F.round("md", 6).alias("median_abs"), F.round(F.get("ds", F.floor(F.col("n") * 0.9).cast("int")), 6).alias("p90_abs"))
+    at = {"lo": ranks.LOWER_MIDDLE, "hi": ranks.UPPER_MIDDLE, "p90": lambda n: F.floor(n * 0.9)}
+    q = ranks.series_at_ranks(pairs, [], {"a": F.col("a"), "b": F.col("b"), "d": F.abs("diff")}, at)
+    of = lambda series, x: F.round(F.max(F.when(F.col("series") == series, x)), 6)
+    mid = (F.col("lo") + F.col("hi")) / 2
+    return q.agg(of("a", mid).alias("median_a"), of("b", mid).alias("median_b"), of("d", mid).alias("median_abs"), of("d", F.col("p90")).alias("p90_abs"))
 
 
 def rank_trend(df: DataFrame, x: str, y: str, by: str) -> DataFrame:
-    """Spearman correlation (mean ranks of ties) and slope of y over x in each group."""
-    w = W.partitionBy(by)
-    mean_rank = lambda c: F.rank().over(w.orderBy(c)) + (F.count("*").over(W.partitionBy(by, c)) - 1) / 2.0
-    r = df.select(by, x, y, mean_rank(x).alias("rx"), mean_rank(y).alias("ry"))
-    return r.groupBy(by).agg(F.round(F.corr("rx", "ry"), 6).alias("rho"), F.round(F.regr_slope(y, x), 6).alias("slope"))
+    """Spearman correlation (mean ranks of ties) and slope of y over x in each group, over the rows
+    that have both; null where either is constant."""
+    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(by, x, y).agg(F.count("*").alias("__pairs"))
+    full = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    centred = F.col("below") + (F.col("n") - F.col("size")) / 2
+    for c, r in ((x, "__rx"), (y, "__ry")):
+        pairs = ranks.same_groups(pairs, ranks.ranked(full, [by], c).select(by, c, centred.alias(r)), [by, c])
+    s = lambda a, b: F.sum(F.col("__pairs") * F.col(a) * F.col(b))
+    rho = pairs.groupBy(by).agg(F.round(s("__rx", "__ry") / F.nullif(F.sqrt(s("__rx", "__rx") * s("__ry", "__ry")), F.lit(0.0)), 6).alias("rho"))
+    slope = full.groupBy(by).agg(F.round(F.regr_slope(y, x), 6).alias("slope"))
+    return ranks.same_groups(rho, slope, [by]).select(by, "rho", "slope")
 
 
 def argmax_constraint(df: DataFrame, arg: str, peak: str, capacity: float, frac: float = 0.85) -> DataFrame:
@@ -144,9 +161,9 @@ def progress_buckets(df: DataFrame, step: str, value: str, rate: str, secs: str)
     for lo, hi in zip(edges[:-1], edges[1:]):
         bucket = F.when((F.col(step) >= lo) & (F.col(step) < hi), lo).otherwise(bucket)
     good = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
-    return df.groupBy(bucket.cast("long").alias("bucket")).agg(
-        F.count("*").alias("n"), F.avg(F.when(good, F.col(value))).alias("mean"), F.count_if(~good).alias("non_finite"), F.max_by(rate, step).alias("rate"), F.percentile(secs, 0.5).alias("secs")
-    )
+    rows = df.withColumn("bucket", bucket.cast("long"))
+    out = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.avg(F.when(good, F.col(value))).alias("mean"), F.count_if(~good).alias("non_finite"), F.max_by(rate, step).alias("rate"))
+    return ranks.same_groups(out, ranks.medians(rows, ["bucket"], {"secs": F.col(secs)}), ["bucket"])
 
 
 def validation_curve(samples: DataFrame, reference: DataFrame, step: str, record: str, sample: str, value: str) -> DataFrame:
@@ -154,21 +171,26 @@ def validation_curve(samples: DataFrame, reference: DataFrame, step: str, record
     and the best sample of a record, the mean, and the median difference of record means to
     ``reference`` (record, ref)."""
     per = samples.groupBy(step, record).agg(F.min(value).alias("best"), F.avg(value).alias("m"), F.min_by(value, sample).alias("first")).join(reference, record, "left")
-    records = per.groupBy(step).agg(
-        F.count("m").alias("ok"), F.count_if(F.col("m").isNull()).alias("failed"), F.percentile("first", 0.5).alias("first_median"), F.percentile("best", 0.5).alias("best_median"), F.percentile(F.col("m") - F.col("ref"), 0.5).alias("delta")
-    )
-    return samples.groupBy(step).agg(F.percentile(value, 0.5).alias("pooled_median"), F.avg(value).alias("mean")).join(records, step)
+    records = per.groupBy(step).agg(F.count("m").alias("ok"), F.count_if(F.col("m").isNull()).alias("failed"))
+    middle = ranks.medians(per, [step], {"first_median": F.col("first"), "best_median": F.col("best"), "delta": F.col("m") - F.col("ref")})
+    pooled = ranks.medians(samples, [step], {"pooled_median": F.col(value)})
+    out = samples.groupBy(step).agg(F.avg(value).alias("mean"))
+    for part in (pooled, records, middle):
+        out = ranks.same_groups(out, part, [step])
+    return out.select(step, "pooled_median", "mean", "ok", "failed", "first_median", "best_median", "delta")
 
 
 def eval_table(records: DataFrame, run: str, value: str, held: str, bucket: str, buckets: list) -> DataFrame:
     """For each run: records, medians over all and over held-out ones, and one for each bucket."""
-    cuts = [F.percentile(F.when(F.col(bucket) == b, F.col(value)), 0.5).alias(f"m_{b}") for b in buckets]
-    return records.groupBy(run).agg(F.count(value).alias("n"), F.percentile(value, 0.5).alias("median"), F.percentile(F.when(F.col(held), F.col(value)), 0.5).alias("held_median"), *cuts)
+    v = F.col(value)
+    series = {"median": v, "held_median": F.when(F.col(held), v)} | {f"m_{b}": F.when(F.col(bucket) == b, v) for b in buckets}
+    return ranks.same_groups(records.groupBy(run).agg(F.count(value).alias("n")), ranks.medians(records, [run], series), [run])
 
 
 def bucket_pivot(records: DataFrame, bucket: str, run: str, value: str, runs: list) -> DataFrame:
     """The median of each bucket, one column for each run."""
-    return records.groupBy(bucket).pivot(run, runs).agg(F.percentile(value, 0.5))
+    series = {r: F.when(F.col(run) == r, F.col(value)) for r in runs}
+    return ranks.same_groups(records.select(bucket).distinct(), ranks.medians(records, [bucket], series), [bucket])
 
 
 def pooled_draws(draws: list[DataFrame], arm: str, record: str, value: str) -> DataFrame:

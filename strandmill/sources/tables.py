@@ -15,10 +15,17 @@ from pyspark.sql.types import StructType
 
 def shared_path(spark: SparkSession) -> str:
     """A new path in the folder that all executors share; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def conform(df: DataFrame, target: StructType, default=0) -> DataFrame:
     """The target's fields in its order, by name; a field that ``df`` lacks gets ``default``."""
     have = set(df.columns)

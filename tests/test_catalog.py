@@ -180,3 +180,24 @@ def test_reflection_and_truth_deviation(spark):
     assert truth[1].deviation < 1e-4 and not truth[1].swapped and truth[3].swapped and truth[4].deviation is None
     moved = {r.g: r for r in transfer_rmsd(df, "g", "fit").collect()}
     assert moved[3].fit_rmsd < 1e-4 and abs(moved[3].transfer_rmsd - 40) < 1e-3 and moved[4].reason
+
+
+def test_ranks_of_ties_nulls_and_a_null_group(spark):
+    from pyspark.sql import functions as F
+
+    from strandmill.operators import ranks
+
+    rows = [(g, x) for g, xs in {"a": [3.0, 1.0, 1.0, None, 1.0, 2.0], None: [5.0], "b": [4.0, 8.0]}.items() for x in xs] + [("c", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.x): (r.n, r.below, r.size) for r in ranks.ranked(df, ["g"], "x").collect()}
+    assert got == {("a", 1.0): (3, 0, 5), ("a", 2.0): (1, 3, 5), ("a", 3.0): (1, 4, 5), (None, 5.0): (1, 0, 1), ("b", 4.0): (1, 0, 2), ("b", 8.0): (1, 1, 2)}
+    assert {r.g: r.m for r in ranks.medians(df, ["g"], {"m": F.col("x")}).collect()} == {"a": 1.0, None: 5.0, "b": 6.0}
+    assert ranks.medians(df.where("false"), ["g"], {"m": F.col("x")}).count() == 0
+
+
+def test_sign_test_of_many_rows(spark):
+    from strandmill.operators import stats
+
+    df = spark.createDataFrame([(0, 0), (0, 5), (5000, 10000), (4900, 10000)], "k long, n long")
+    got = [r.p for r in stats.sign_test(df, "k", "n").collect()]
+    assert got[0] == 1.0 and abs(got[1] - 0.0625) < 1e-12 and got[2] == 1.0 and abs(got[3] - 0.0466) < 5e-4
