@@ -13,47 +13,77 @@ from ..functions.seq import wildcard_identity
 GAP_OPEN, GAP_EXTEND, ALIGNED = -11, -1, 400
 
 
-def local_align(a: str, b: str, match: int = 5, mismatch: int = -4) -> tuple[int, float, int]:
-    """(score, identity, length) of the best local alignment with affine gaps; (0, 0.0, 0) if either
-    is empty. Rows are computed whole: a gap along the row is a running maximum, since it never pays
-    to open one out of another."""
-    if not a or not b:
-        return 0, 0.0, 0
-    y = np.array([ord(c) for c in b])
-    at = np.arange(len(b) + 1)
-    score, same, size = (np.zeros(len(b) + 1, np.int64) for _ in range(3))
-    down, down_same, down_size = np.full(len(b) + 1, -(1 << 40)), same.copy(), size.copy()
-    best = (0, 0, 0)
-    for c in a:
+#: Pairs that are aligned at once, of like lengths.
+BLOCK = 512
+
+
+def _codes(texts: list[str], pad: int) -> np.ndarray:
+    """A row of character codes for each text, filled up with ``pad``."""
+    width = max(map(len, texts))
+    codes = np.array(texts, dtype=f"<U{width}").view(np.uint32).reshape(len(texts), width).astype(np.int64)
+    codes[np.arange(width) >= np.array([len(x) for x in texts])[:, None]] = pad
+    return codes
+
+
+def _align_block(a: list[str], b: list[str], match: int, mismatch: int) -> list[tuple[int, float, int]]:
+    """Rows of all pairs are computed whole: a gap along the row is a running maximum, since it never
+    pays to open one out of another. Filled up places match nothing, so no best place lies there."""
+    xs, ys = _codes(a, -1), _codes(b, -2)
+    n, width = len(a), ys.shape[1] + 1
+    at, pairs = np.arange(width), np.arange(n)
+    score, same, size = (np.zeros((n, width), np.int64) for _ in range(3))
+    down, down_same, down_size = np.full((n, width), -(1 << 40)), same.copy(), size.copy()
+    best, best_same, best_size = (np.zeros(n, np.int64) for _ in range(3))
+    edge = np.zeros((n, 1), np.int64)
+    for x in xs.T:
         opened = score + GAP_OPEN >= down + GAP_EXTEND
         down = np.where(opened, score + GAP_OPEN, down + GAP_EXTEND)
         down_same, down_size = np.where(opened, same, down_same), np.where(opened, size, down_size) + 1
-        eq = y == ord(c)
-        diagonal = np.concatenate([[0], score[:-1] + np.where(eq, match, mismatch)])
-        d_same, d_size = np.concatenate([[0], same[:-1] + eq]), np.concatenate([[0], size[:-1] + 1])
+        eq = ys == x[:, None]
+        diagonal = np.hstack([edge, score[:, :-1] + np.where(eq, match, mismatch)])
+        d_same, d_size = np.hstack([edge, same[:, :-1] + eq]), np.hstack([edge, size[:, :-1] + 1])
         stop = np.maximum(diagonal, down) <= 0
         by_down = down > diagonal
         score = np.where(stop, 0, np.maximum(diagonal, down))
         same, size = (np.where(stop, 0, np.where(by_down, p, q)) for p, q in ((down_same, d_same), (down_size, d_size)))
         level = score - GAP_EXTEND * at
-        top = np.maximum.accumulate(level)
-        source = np.maximum.accumulate(np.where(level == top, at, 0))[:-1]
-        along = np.concatenate([[0], top[:-1] + GAP_OPEN + GAP_EXTEND * at[:-1]])
+        top = np.maximum.accumulate(level, axis=1)
+        source = np.hstack([edge, np.maximum.accumulate(np.where(level == top, at, 0), axis=1)[:, :-1]])
+        along = np.hstack([edge, top[:, :-1] + GAP_OPEN + GAP_EXTEND * at[:-1]])
         longer = along > score
-        source = np.concatenate([[0], source])
-        score, same, size = np.where(longer, along, score), np.where(longer, same[source], same), np.where(longer, size[source] + at - source, size)
-        k = int(score.argmax())
-        if score[k] > best[0]:
-            best = int(score[k]), int(same[k]), int(size[k])
-    return best[0], best[1] / best[2] if best[2] else 0.0, best[2]
+        score = np.where(longer, along, score)
+        same = np.where(longer, np.take_along_axis(same, source, 1), same)
+        size = np.where(longer, np.take_along_axis(size, source, 1) + at - source, size)
+        k = score.argmax(axis=1)
+        higher = score[pairs, k] > best
+        best = np.where(higher, score[pairs, k], best)
+        best_same, best_size = np.where(higher, same[pairs, k], best_same), np.where(higher, size[pairs, k], best_size)
+    identity = np.divide(best_same, best_size, out=np.zeros(n), where=best_size > 0)
+    return list(zip(best.tolist(), identity.tolist(), best_size.tolist()))
+
+
+def local_aligns(a: list[str], b: list[str], match: int = 5, mismatch: int = -4) -> list[tuple[int, float, int]]:
+    """(score, identity, length) of the best local alignment of each pair, with affine gaps;
+    (0, 0.0, 0) where either is empty."""
+    out = [(0, 0.0, 0)] * len(a)
+    order = sorted((i for i in range(len(a)) if a[i] and b[i]), key=lambda i: (len(b[i]), len(a[i])))
+    for lo in range(0, len(order), BLOCK):
+        block = order[lo : lo + BLOCK]
+        for i, found in zip(block, _align_block([a[i] for i in block], [b[i] for i in block], match, mismatch)):
+            out[i] = found
+    return out
+
+
+def local_align(a: str, b: str, match: int = 5, mismatch: int = -4) -> tuple[int, float, int]:
+    return local_aligns([a], [b], match, mismatch)[0]
 
 
-def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y") -> DataFrame:
-    """(a, b, score, identity, length) of distinct pairs of sequences, over their first characters."""
+def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int = ALIGNED) -> DataFrame:
+    """(a, b, score, identity, length) of distinct pairs of sequences, over their first ``aligned`` characters."""
 
     def align(batches):
         for batch in batches:
-            found = [local_align(p[:ALIGNED], q[:ALIGNED]) for p, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            found = local_aligns([p[:aligned] for p in batch.column(0).to_pylist()], [q[:aligned] for q in batch.column(1).to_pylist()])
             cols = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], [a, b, "score", "identity", "length"])
 
@@ -77,9 +107,12 @@ def wildcard_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: f
 
 def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8) -> DataFrame:
     """(entry, x, entity, value): the entity of the highest identity times coverage of ``least`` or
-    more, among those of a length within the larger of 60 and half of the sequence's own."""
-    near = F.abs(F.length("x") - F.length("y")) <= F.greatest(F.lit(60), F.length("x") * 0.5)
-    pairs = x.join(e, entry).where(near)
+    more, among those of a length within the larger of 60 and half of the sequence's own. Joined on
+    entry and the doublings of length within reach, four at most."""
+    reach = F.greatest(F.lit(60), F.length("x") * 0.5)
+    band = lambda n: F.floor(F.log2(F.greatest(n, F.lit(32)))).cast("int")
+    bands = x.withColumn("band", F.explode(F.sequence(band(F.length("x") - reach), band(F.length("x") + reach))))
+    pairs = bands.join(e.withColumn("band", band(F.length("y"))), [entry, "band"]).where(F.abs(F.length("x") - F.length("y")) <= reach)
     value = F.col("identity") * F.col("length") / F.least(F.length("x"), F.length("y"))
     scored = pairs.join(align_pairs(pairs), ["x", "y"]).withColumn("s", value).where(F.col("s") >= least)
     best = scored.groupBy(entry, "x").agg(F.min(F.struct((-F.col("s")).alias("s"), entity)).alias("b"))

@@ -96,7 +96,7 @@ def best_score(a, b, match=5, mismatch=-4):
 def test_local_alignment_against_all_gap_lengths():
     import random
 
-    from strandmill.operators.alignment import local_align
+    from strandmill.operators.alignment import local_align, local_aligns
 
     rng = random.Random(4)
     for _ in range(60):
@@ -106,6 +106,9 @@ def test_local_alignment_against_all_gap_lengths():
         if b:
             score, identity, length = local_align(a, b)
             assert score == best_score(a, b) and 0 <= identity <= 1 and length <= len(a) + len(b)
+    words = ["", "A", "ACDA", "ACXDACCA" * 9, "DDAC" * 3]
+    a, b = zip(*[(x, y) for x in words for y in words])
+    assert local_aligns(list(a), list(b)) == [local_align(x, y) for x, y in zip(a, b)]
     assert local_align("", "A") == (0, 0.0, 0) and local_align("ACDA", "ACDA") == (20, 1.0, 4)
 
 
