@@ -26,7 +26,18 @@ BASE_PHRASES = {
 #: label -> (anchor word that every match holds, templates)
 TEMPLATES = {
     "mit": ("license", ["[[released]] [[licensed]] [[distributed]] under the [[terms of the]] mit license", "the mit license [[mit]] [[copyright [[c]] <<1-8>>]] permission is hereby granted"]),
-    "mit-text": ("hereby", ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [[the software]]"]),
+    "mit-text": (
+        "hereby",
+        [
+            "permission is hereby granted free of charge to any person obtaining a copy of this software [[and associated documentation files [[the software]]"
+            " [[to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"
+            " and to permit persons to whom the software is furnished to do so subject to the following conditions"
+            " [[the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"
+            " [[the software is provided as is without warranty of any kind express or implied]]]]]]]]"
+        ],
+    ),
+    "isc-text": ("permission", ["permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted [[provided that the above copyright notice and this permission notice appear in all copies]]"]),
+    "zlib-text": ("liable", ["this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"]),
     "apache-2": ("apache", ["[[licensed under]] [[the]] apache license [[version]] 2 [[0]]"]),
     "gpl-2": ("gnu", ["[[this work is]] licensed under the gnu general public license [[gpl]] version 2 [[or [[at your option]] any later version]]"]),
     "gpl-3": ("gnu", ["[[this work is]] licensed under the gnu general public license [[gpl]] version 3 [[or [[at your option]] any later version]]"]),
@@ -35,6 +46,11 @@ TEMPLATES = {
     "mpl-2": ("mozilla", ["mozilla public license [[version]] [[v]] 2 [[0]]"]),
     "bsd": ("bsd", ["licensed under [[the]] [[a]] [[2 clause]] [[3 clause]] bsd [[style]] license"]),
     "bsd-text": ("redistributions", ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"]),
+    "bsd-3-text": ("endorse", ["neither the name of <<1-12>> nor the names of [[its]] [[<<1-3>>]] contributors may be used to endorse or promote products derived from this software without specific prior written permission"]),
+    "gpl-text": ("gnu", ["this <<1-2>> is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[affero]] general public license as published by the free software foundation [[either version <<1-1>> [[1]] of the license or at your option any later version]]"]),
+    "unlicense": ("unencumbered", ["this is free and unencumbered software released into the public domain"]),
+    "epl": ("eclipse", ["eclipse public license [[version]] [[v]] <<1-1>> 0"]),
+    "boost": ("boost", ["boost software license [[version 1 0]]"]),
     "cc-by": ("cc", ["licensed under [[a]] [[creative commons]] cc by <<1-1>> 0"]),
     "cc-by-sa": ("cc", ["licensed under cc by sa [[<<1-1>> 0]]"]),
     "cc-by-nc": ("cc", ["[[licensed under]] cc by nc [[4 0]]"]),
@@ -146,7 +162,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for lo, hi, data, offs in text_slices(batch):
                 data = LOWER[data]
                 w = Words(data, offs, ALNUM)
-                places: dict[int, list[tuple[int, str]]] = {}
+                places: dict[int, list[tuple[int, str, int]]] = {}
                 for p, hs in hashes.items():
                     if len(w.hash) < len(hs):
                         continue
@@ -157,7 +173,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     at = at[w.doc[at] == w.doc[at + len(hs) - 1]]
                     for i in at.tolist():
                         d = int(w.doc[i])
-                        places.setdefault(d, []).append((i - int(w.first[d]), base[p]))
+                        places.setdefault(d, []).append((i - int(w.first[d]), base[p], len(p)))
                 marked = set(w.doc[np.isin(w.hash, anchors)].tolist())
                 raw = data.tobytes()
                 rows = []
@@ -169,9 +185,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         a, b = int(w.first[d]), int(w.first[d + 1])
                         words = [raw[s:e].decode() for s, e in zip(w.starts[a:b].tolist(), w.ends[a:b].tolist())]
                         spans = scan_words(words, automata)
-                    covered = len({i for _, s, e in spans for i in range(s, e)} | {i + k for i, _ in mine for k in range(3)})
-                    own = {label for _, label in mine}
-                    starts = [i for i, _ in mine]
+                    covered = len({i for _, s, e in spans for i in range(s, e)} | {i + k for i, _, size in mine for k in range(size)})
+                    own = {label for _, label, _ in mine}
+                    starts = [i for i, _, _ in mine]
                     rows.append((n, len(mine), min(starts, default=None), max(starts, default=None), ",".join(sorted(own)), ",".join(sorted(own | {x[0] for x in spans})), min(1.0, covered / n) if n else 0.0, [{"label": x, "start": s, "end": e} for x, s, e in spans]))
                 cols = list(zip(*rows))
                 types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))]

@@ -209,6 +209,50 @@ def test_token_automaton():
     assert a.match("this work licensed under x license".split(), 0) is None
 
 
+LICENCES = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.": {"mit-text"},
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal': {"mit-text"},
+    "Permission is hereby granted, free of charge, to any body obtaining a copy of this software": set(),
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": {"isc-text"},
+    "Permission to use, copy, modify, and distribute this software for any purpose without fee is hereby granted": set(),
+    "Neither the name of the Example Organisation nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": {"bsd-3-text"},
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License": {"gpl-text"},
+    "This is free and unencumbered software released into the public domain.": {"unlicense"},
+    "Eclipse Public License - v 2.0": {"epl"},
+    "Licensed under the Apache License, Version 2.0": {"apache-2"},
+    "an essay on permission, software and the public domain": set(),
+}
+
+
+def test_labels_of_templates(spark):
+    df = spark.createDataFrame(list(enumerate(LICENCES)), "doc_id long, text string")
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in license_scan.license_scan(df).collect()}
+    assert got == dict(enumerate(LICENCES.values()))
+
+
+def spelled(template):
+    """All texts of a template without word counts, by trying each optional region both ways."""
+    m = re.search(r"\[\[((?:(?!\[\[|\]\]).)*)\]\]", template)
+    if not m:
+        return {" ".join(template.split())}
+    return spelled(template[: m.start()] + template[m.end() :]) | spelled(f"{template[: m.start()]} {m[1]} {template[m.end() :]}")
+
+
+def test_automata_against_all_spellings():
+    """Every spelling is accepted whole; a spelling that lost a word is, only if it is one itself."""
+    for _, texts in license_scan.TEMPLATES.values():
+        for t in texts:
+            if "<<" in t:
+                continue
+            a, all_texts = license_scan.TokenAutomaton(t), spelled(t)
+            for x in sorted(all_texts):
+                w = x.split()
+                assert a.match(w, 0) == len(w)
+                for k in range(len(w)):
+                    cut = w[:k] + w[k + 1 :]
+                    assert (a.match(cut, 0) == len(cut)) == (" ".join(cut) in all_texts)
+
+
 def test_secret_scan(docs, edge):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     for df in (docs, edge):
