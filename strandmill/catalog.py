@@ -563,10 +563,10 @@ def seq_prefix_identity(spark, d):
     return p.join(q, "p_partkey").select("p_partkey", F.round(seq.prefix_identity(F.col("p_name"), F.col("other")), 6).alias("identity"))
 
 
-@query("SELECT role, count(*) AS n, min(d) AS min, quantile_cont(d, .5) AS median, max(d) AS max FROM (SELECT role, conv_id, count(*) AS d FROM conversations GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT role, count(*) AS n, min(d) AS min, quantile_cont(d, .5) AS median, round(quantile_cont(d, .9), 6) AS p90, max(d) AS max FROM (SELECT role, conv_id, count(*) AS d FROM conversations GROUP BY 1, 2) GROUP BY 1")
 def msa_depth_by_kind(spark, d):
     c = t(spark, d, "conversations").groupBy("role", "conv_id").agg(F.count("*").alias("d"))
-    return c.groupBy("role").agg(F.count("*").alias("n"), F.min("d").alias("min"), F.percentile("d", F.lit(0.5)).alias("median"), F.max("d").alias("max"))
+    return stats.depth_by_kind(c, "role", "d")
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS double) AS k FROM events")
@@ -806,7 +806,7 @@ def geo_detached(spark, d):
 # sequences against a catalogue
 
 _SEQ = "string_agg(CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'R' ELSE 'X' END, '' ORDER BY l_linenumber, CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'R' ELSE 'X' END)"
-_SEQS_SQL = f"s AS (SELECT l_orderkey AS o, l_orderkey % 199 AS entry, {_SEQ} AS seq FROM lineitem GROUP BY 1)"
+_SEQS_SQL = f"s AS (SELECT l_orderkey AS o, l_orderkey // 100 AS entry, {_SEQ} AS seq FROM lineitem GROUP BY 1)"
 _IDENTITY = "len(list_filter(range(1, length(x) + 1), lambda i: x[i] <> 'X' AND y[i] <> 'X' AND x[i] = y[i])) / nullif(len(list_filter(range(1, length(x) + 1), lambda i: x[i] <> 'X' AND y[i] <> 'X')), 0)"
 _STAGES_SQL = f"""{_SEQS_SQL},
  e AS (SELECT entry, seq AS y, max(o) AS ent FROM s WHERE o % 10 = 0 GROUP BY 1, 2),
@@ -817,7 +817,7 @@ _STAGES_SQL = f"""{_SEQS_SQL},
 
 def _sequences(spark, d):
     s = rules.category_sequence(t(spark, d, "lineitem"), "l_orderkey", "l_linenumber", "l_returnflag", {"A": "A", "R": "R"})
-    s = s.select(F.col("l_orderkey").alias("o"), (F.col("l_orderkey") % 199).alias("entry"), "seq")
+    s = s.select(F.col("l_orderkey").alias("o"), F.floor(F.col("l_orderkey") / 100).alias("entry"), "seq")
     return s.where("o % 10 <> 0"), s.where("o % 10 = 0").select("entry", F.col("o").alias("ent"), "seq")
 
 
@@ -837,7 +837,7 @@ def join_alignment_fallback(spark, d):
 def seq_local_alignment(spark, d):
     chains, entities = _sequences(spark, d)
     x, e = alignment._sequences(chains, entities, "entry", "seq", "ent")
-    return alignment.align_pairs(x.join(e, "entry"))
+    return alignment.align_pairs(alignment.pairs_in_reach(x, e, "entry"))
 
 
 @query(f"""WITH {_STAGES_SQL}

@@ -17,6 +17,36 @@ GAP_OPEN, GAP_EXTEND, ALIGNED = -11, -1, 400
 BLOCK = 512
 
 
+class Substitution:
+    """Scores of pairs of characters. ``scores`` holds a pair in either order or both; a pair it lacks
+    scores ``other`` (below 0), and one with a character of ``neutral`` and one of the table 0."""
+
+    def __init__(self, scores: dict[tuple[str, str], int], other: int = -4, neutral: str = "X"):
+        if other >= 0:
+            raise ValueError("other must be below 0")
+        letters = sorted({c for pair in scores for c in pair} | set(neutral))
+        self.codes = np.array([ord(c) for c in letters])
+        self.table = np.full((len(letters) + 1,) * 2, other, np.int64)
+        place = {c: k for k, c in enumerate(letters)}
+        for (a, b), score in scores.items():
+            self.table[place[a], place[b]] = score
+            if (b, a) not in scores:
+                self.table[place[b], place[a]] = score
+        for c in neutral:
+            self.table[place[c], :-1] = self.table[:-1, place[c]] = 0
+
+    @classmethod
+    def parse(cls, text: str, other: int = -4, neutral: str = "X") -> Substitution:
+        """Of a matrix file: # comments, a line of column characters, then a character and its scores a line."""
+        head, *rows = [line.split() for line in text.splitlines() if line.strip() and not line.startswith("#")]
+        return cls({(row[0], c): int(v) for row in rows for c, v in zip(head, row[1:])}, other, neutral)
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """Where the characters stand in the table; its last place is for those it lacks."""
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at, len(self.codes))
+
+
 def _codes(texts: list[str], pad: int) -> np.ndarray:
     """A row of character codes for each text, filled up with ``pad``."""
     width = max(map(len, texts))
@@ -25,22 +55,25 @@ def _codes(texts: list[str], pad: int) -> np.ndarray:
     return codes
 
 
-def _align_block(a: list[str], b: list[str], match: int, mismatch: int) -> list[tuple[int, float, int]]:
+def _align_block(a: list[str], b: list[str], match: int, mismatch: int, table: Substitution | None) -> list[tuple[int, float, int]]:
     """Rows of all pairs are computed whole: a gap along the row is a running maximum, since it never
     pays to open one out of another. Filled up places match nothing, so no best place lies there."""
     xs, ys = _codes(a, -1), _codes(b, -2)
+    if table:
+        x_at, y_at = table.places(xs), table.places(ys)
     n, width = len(a), ys.shape[1] + 1
     at, pairs = np.arange(width), np.arange(n)
     score, same, size = (np.zeros((n, width), np.int64) for _ in range(3))
     down, down_same, down_size = np.full((n, width), -(1 << 40)), same.copy(), size.copy()
     best, best_same, best_size = (np.zeros(n, np.int64) for _ in range(3))
     edge = np.zeros((n, 1), np.int64)
-    for x in xs.T:
+    for i, x in enumerate(xs.T):
         opened = score + GAP_OPEN >= down + GAP_EXTEND
         down = np.where(opened, score + GAP_OPEN, down + GAP_EXTEND)
         down_same, down_size = np.where(opened, same, down_same), np.where(opened, size, down_size) + 1
         eq = ys == x[:, None]
-        diagonal = np.hstack([edge, score[:, :-1] + np.where(eq, match, mismatch)])
+        pair = table.table[x_at[:, i, None], y_at] if table else np.where(eq, match, mismatch)
+        diagonal = np.hstack([edge, score[:, :-1] + pair])
         d_same, d_size = np.hstack([edge, same[:, :-1] + eq]), np.hstack([edge, size[:, :-1] + 1])
         stop = np.maximum(diagonal, down) <= 0
         by_down = down > diagonal
@@ -62,28 +95,28 @@ def _align_block(a: list[str], b: list[str], match: int, mismatch: int) -> list[
     return list(zip(best.tolist(), identity.tolist(), best_size.tolist()))
 
 
-def local_aligns(a: list[str], b: list[str], match: int = 5, mismatch: int = -4) -> list[tuple[int, float, int]]:
+def local_aligns(a: list[str], b: list[str], match: int = 5, mismatch: int = -4, table: Substitution | None = None) -> list[tuple[int, float, int]]:
     """(score, identity, length) of the best local alignment of each pair, with affine gaps;
-    (0, 0.0, 0) where either is empty."""
+    (0, 0.0, 0) where either is empty. Characters score by ``table``, without one by match and mismatch."""
     out = [(0, 0.0, 0)] * len(a)
     order = sorted((i for i in range(len(a)) if a[i] and b[i]), key=lambda i: (len(b[i]), len(a[i])))
     for lo in range(0, len(order), BLOCK):
         block = order[lo : lo + BLOCK]
-        for i, found in zip(block, _align_block([a[i] for i in block], [b[i] for i in block], match, mismatch)):
+        for i, found in zip(block, _align_block([a[i] for i in block], [b[i] for i in block], match, mismatch, table)):
             out[i] = found
     return out
 
 
-def local_align(a: str, b: str, match: int = 5, mismatch: int = -4) -> tuple[int, float, int]:
-    return local_aligns([a], [b], match, mismatch)[0]
+def local_align(a: str, b: str, match: int = 5, mismatch: int = -4, table: Substitution | None = None) -> tuple[int, float, int]:
+    return local_aligns([a], [b], match, mismatch, table)[0]
 
 
-def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int = ALIGNED) -> DataFrame:
+def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
     """(a, b, score, identity, length) of distinct pairs of sequences, over their first ``aligned`` characters."""
 
     def align(batches):
         for batch in batches:
-            found = local_aligns([p[:aligned] for p in batch.column(0).to_pylist()], [q[:aligned] for q in batch.column(1).to_pylist()])
+            found = local_aligns([p[:aligned] for p in batch.column(0).to_pylist()], [q[:aligned] for q in batch.column(1).to_pylist()], table=table)
             cols = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], [a, b, "score", "identity", "length"])
 
@@ -105,21 +138,26 @@ def wildcard_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: f
     return best.select(entry, "x", f"b.{entity}", (-F.col("b.s")).alias("value"))
 
 
-def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8) -> DataFrame:
-    """(entry, x, entity, value): the entity of the highest identity times coverage of ``least`` or
-    more, among those of a length within the larger of 60 and half of the sequence's own. Joined on
-    entry and the doublings of length within reach, four at most."""
+def pairs_in_reach(x: DataFrame, e: DataFrame, entry: str) -> DataFrame:
+    """Pairs (x, y) of an entry with lengths within the larger of 60 and half of the sequence's own.
+    Joined on entry and the doublings of length within reach, four at most."""
     reach = F.greatest(F.lit(60), F.length("x") * 0.5)
     band = lambda n: F.floor(F.log2(F.greatest(n, F.lit(32)))).cast("int")
     bands = x.withColumn("band", F.explode(F.sequence(band(F.length("x") - reach), band(F.length("x") + reach))))
-    pairs = bands.join(e.withColumn("band", band(F.length("y"))), [entry, "band"]).where(F.abs(F.length("x") - F.length("y")) <= reach)
+    return bands.join(e.withColumn("band", band(F.length("y"))), [entry, "band"]).where(F.abs(F.length("x") - F.length("y")) <= reach)
+
+
+def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8, aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
+    """(entry, x, entity, value): the entity of the highest identity times coverage of ``least`` or
+    more, of :func:`pairs_in_reach`; of ties the smallest."""
+    pairs = pairs_in_reach(x, e, entry)
     value = F.col("identity") * F.col("length") / F.least(F.length("x"), F.length("y"))
-    scored = pairs.join(align_pairs(pairs), ["x", "y"]).withColumn("s", value).where(F.col("s") >= least)
+    scored = pairs.join(align_pairs(pairs, aligned=aligned, table=table), ["x", "y"]).withColumn("s", value).where(F.col("s") >= least)
     best = scored.groupBy(entry, "x").agg(F.min(F.struct((-F.col("s")).alias("s"), entity)).alias("b"))
     return best.select(entry, "x", f"b.{entity}", (-F.col("b.s")).alias("value"))
 
 
-def match_cascade(chains: DataFrame, entities: DataFrame, entry: str, seq: str, entity: str) -> DataFrame:
+def match_cascade(chains: DataFrame, entities: DataFrame, entry: str, seq: str, entity: str, aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
     """Chains with their entity, value and evidence: exact, wildcard, alignment or unmatched.
 
     Each stage sees only the distinct sequences that no earlier one matched. Null or empty sequences
@@ -130,7 +168,7 @@ def match_cascade(chains: DataFrame, entities: DataFrame, entry: str, seq: str,
     wild = wildcard_match(rest, e, entry, entity)
     rest = rest.join(wild, [entry, "x"], "left_anti")
     found = exact.withColumn("evidence", F.lit("exact")).unionByName(wild.withColumn("evidence", F.lit("wildcard")))
-    found = found.unionByName(alignment_match(rest, e, entry, entity).withColumn("evidence", F.lit("alignment")))
+    found = found.unionByName(alignment_match(rest, e, entry, entity, aligned=aligned, table=table).withColumn("evidence", F.lit("alignment")))
     out = chains.join(found.withColumnRenamed("x", seq), [entry, seq], "left")
     return out.withColumn("evidence", F.coalesce("evidence", F.lit("unmatched")))
 

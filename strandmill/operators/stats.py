@@ -66,6 +66,17 @@ def order_stats(df: DataFrame, by: str, x: str) -> DataFrame:
     return ranks.same_groups(ends, at, [by]).select(by, "min", "p05", "upper_median", "max")
 
 
+def depth_by_kind(df: DataFrame, kind: str, depth: str) -> DataFrame:
+    """(kind, n, min, median, p90, max) of the depths; between two ranks p90 is taken in proportion."""
+    ends = df.where(F.col(depth).isNotNull()).groupBy(kind).agg(F.count("*").alias("n"), F.min(depth).alias("min"), F.max(depth).alias("max"))
+    ninth = lambda n: (n - 1) * 0.9
+    wanted = {"lo": ranks.LOWER_MIDDLE, "hi": ranks.UPPER_MIDDLE, "below": lambda n: F.floor(ninth(n)), "above": lambda n: F.ceil(ninth(n))}
+    out = ranks.same_groups(ends, ranks.at_ranks(df, [kind], depth, wanted), [kind])
+    share = ninth(F.col("n")) - F.floor(ninth(F.col("n")))
+    p90 = F.round(F.col("below") + (F.col("above") - F.col("below")) * share, 6)
+    return out.select(kind, "n", "min", ((F.col("lo") + F.col("hi")) / 2).alias("median"), p90.alias("p90"), "max")
+
+
 def median_mean(df: DataFrame, by: str, x: str) -> DataFrame:
     means = df.groupBy(by).agg(F.round(F.avg(x), 6).alias("mean"), F.count(x).alias("n"))
     out = ranks.same_groups(means, ranks.medians(df, [by], {"median": F.col(x)}), [by])

@@ -112,6 +112,80 @@ def test_local_alignment_against_all_gap_lengths():
     assert local_align("", "A") == (0, 0.0, 0) and local_align("ACDA", "ACDA") == (20, 1.0, 4)
 
 
+def traced(a, b, score, gap_open=-11, gap_extend=-1):
+    """(score, identity, length) by cells that carry (score, same, size) of the path they end."""
+    def better(p, q):
+        return q if q[0] > p[0] else p
+
+    none = (0, 0, 0)
+    h = [[none] * (len(b) + 1) for _ in range(len(a) + 1)]
+    down = [(-(10**6), 0, 0)] * (len(b) + 1)
+    best = none
+    for i in range(1, len(a) + 1):
+        along = (-(10**6), 0, 0)
+        for j in range(1, len(b) + 1):
+            step = lambda p, cost: (p[0] + cost, p[1], p[2] + 1)
+            along = better(step(h[i][j - 1], gap_open), step(along, gap_extend))
+            down[j] = better(step(h[i - 1][j], gap_open), step(down[j], gap_extend))
+            d = h[i - 1][j - 1]
+            cell = better(better((d[0] + score(a[i - 1], b[j - 1]), d[1] + (a[i - 1] == b[j - 1]), d[2] + 1), down[j]), along)
+            h[i][j] = cell if cell[0] > 0 else none
+            best = better(best, h[i][j])
+    return best[0], best[1] / best[2] if best[2] else 0.0, best[2]
+
+
+MATRIX = """# a made-up table
+   A  C  D
+A  4 -1 -2
+C -1  9 -3
+D -2 -3  6
+"""
+
+
+def test_local_alignment_by_a_table():
+    import random
+
+    from strandmill.operators.alignment import Substitution, local_aligns
+
+    table = Substitution.parse(MATRIX)
+    rows = {(r, c): int(v) for r, line in zip("ACD", MATRIX.splitlines()[2:]) for c, v in zip("ACD", line.split()[1:])}
+    score = lambda p, q: rows.get((p, q), 0 if "X" in (p, q) and {p, q} <= set("ACDX") else -4)
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("ACDXZ", k=rng.randint(0, 30))) for _ in range(60)]
+    texts += [t[:7] + t[9:] for t in texts[:30]]
+    a, b = texts, texts[::-1]
+    a, b = a + texts[:30], b + texts[60:]
+    got = local_aligns(a, b, table=table)
+    assert [g[0] for g in got] == [traced(p, q, score)[0] for p, q in zip(a, b)]
+    assert got == local_aligns(a, b, table=Substitution({(p, q): v for (p, q), v in rows.items() if p <= q}))
+    assert local_aligns(["AXDC"], ["ACDC"], table=table) == [(4 + 0 + 6 + 9, 0.75, 4)]
+    with pytest.raises(ValueError):
+        Substitution({("A", "A"): 1}, other=0)
+
+
+def test_alignment_queries_against_brute_force(spark):
+    """Every pair of an entry, aligned cell by cell, against both queries over their whole tables."""
+    from collections import defaultdict
+
+    chains, entities = (df.toPandas() for df in catalog._sequences(spark, SF))
+    of = defaultdict(dict)
+    for r in entities.sort_values("ent").itertuples():
+        of[r.entry][r.seq] = r.ent
+    score = lambda p, q: 5 if p == q else -4
+    known, pairs, best = {}, set(), {}
+    for entry, x in set(zip(chains.entry, chains.seq)):
+        for y, ent in of[entry].items():
+            pairs.add((x, y))
+            _, identity, size = known.setdefault((x, y), traced(x, y, score))
+            value = identity * size / min(len(x), len(y))
+            if value >= 0.8:
+                best[entry, x] = min(best.get((entry, x), (0, 0)), (-value, ent))
+    got = catalog.queries()["seq_local_alignment"](spark, SF).collect()
+    assert len(got) == len(pairs) and {(r.x, r.y): (r.score, r.length) for r in got} == {k: (known[k][0], known[k][2]) for k in pairs}
+    out = catalog.queries()["join_alignment_fallback"](spark, SF).collect()
+    assert {(r.entry, r.x): (r.ent, round(r.value, 9)) for r in out} == {k: (ent, round(-v, 9)) for k, (v, ent) in best.items()}
+
+
 def test_match_cascade_stages(spark):
     from strandmill.operators.alignment import match_cascade
 
