@@ -1,10 +1,10 @@
 """Best-fit packing of tokenised documents into sequences, bulk-synchronously.
 
-Pieces are range-sorted by length, longest first. In each round the lengths still to be placed
-sweep over the open gaps: each asks for its successor, the smallest gap it fits; where several
-want one gap, rank decides, longest first; gaps are then updated, and the next round begins. Equal
-lengths and equal gaps form runs, so a sweep touches ``capacity`` runs at most however many pieces
-there are; what is placed by a run is found for each piece from its rank in its length.
+Pieces are range-sorted by length, longest first, and get their rank in their length. Equal lengths
+and the sequences that one match left with equal gaps form runs; a round range-sorts the runs of
+pieces and gaps by size, and each range is swept for successors, the smallest gap that a piece fits.
+Where several want one gap, rank decides, longest first. Gaps are then updated, and the next round
+begins. What is placed by a match is found for each piece from its rank.
 """
 
 from __future__ import annotations
@@ -163,78 +163,78 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int
     return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def sweep(want: np.ndarray, gaps: np.ndarray) -> list[tuple[int, int, int]]:
-    """One round's matches (length, gap, how many): every run of lengths asks for its successor
-    among the runs of gaps; of those that ask for one, the longest come first."""
-    lengths = np.flatnonzero(want)[::-1]
-    open_gaps = np.flatnonzero(gaps)
-    at = np.searchsorted(open_gaps, lengths)
-    asked: dict[int, int] = {}
-    out = []
-    for length, k in zip(lengths.tolist(), at.tolist()):
-        if k == len(open_gaps):
-            continue
-        gap = int(open_gaps[k])
-        left = int(gaps[gap]) - asked.get(gap, 0)
-        n = min(left, int(want[length]))
-        if n > 0:
-            asked[gap] = asked.get(gap, 0) + n
-            out.append((length, gap, n))
-    return out
-
-
-def plan(counts: np.ndarray, capacity: int) -> np.ndarray:
-    """Placements of all pieces by their counts per length: rows (length, first rank, how many,
-    first sequence, offset). Ranks of a length are given out in order; sequences too.
-
-    New sequences are opened for the longest lengths left, no more than needed for the length's own
-    pieces, and rounds of sweeps fill all gaps before the next length opens more.
+#: Kinds of rows of a round: runs of pieces, of gaps, of gaps that open in the next round, and matches.
+PIECES, GAPS, LATER, MATCH = range(4)
+RUNS = "kind int, size long, at long, n long, sequence long, gap long, each long"
+
+
+def sweep(batches):
+    """Matches the runs of one range of sizes, given by size, pieces before gaps: every gap takes the
+    longest pieces it fits that no smaller gap took, as many of one length as it holds.
+
+    Pieces wait on a stack as opening brackets do, gaps close them, so that the runs that are left in
+    two neighbouring ranges match one another as if both had been swept at once. Rows of matches:
+    ``n`` pieces of length ``size`` from rank ``at``, ``each`` to a sequence, from ``sequence`` on,
+    of a gap ``gap``. Other rows: ``n`` pieces from rank ``at``, or ``n`` sequences from number ``at``.
     """
-    want = counts.astype(np.int64).copy()
-    gaps = np.zeros(capacity + 1, np.int64)
-    open_at: dict[int, list[list[int]]] = {}  # gap -> runs of sequences [first, how many]
-    given = np.zeros(capacity + 1, np.int64)
-    rows, n_sequences = [], 0
-
-    def place(length: int, gap: int, n: int) -> None:
-        while n:
-            run = open_at[gap][-1]
-            k = min(n, run[1])
-            rows.append((length, int(given[length]), k, run[0], capacity - gap))
-            given[length] += k
-            want[length] -= k
-            gaps[gap] -= k
-            rest = gap - length
-            if rest:
-                open_at.setdefault(rest, []).append([run[0], k])
-                gaps[rest] += k
-            run[0] += k
-            run[1] -= k
-            if not run[1]:
-                open_at[gap].pop()
-            n -= k
-
-    while want.any():
-        longest = int(np.flatnonzero(want)[-1])
-        n = int(want[longest])
-        # sequences of several equal pieces are opened at once, so that n pieces need n / fits of them
-        fits = capacity // longest
-        opened = -(-n // fits)
-        open_at.setdefault(capacity, []).append([n_sequences, opened])
-        gaps[capacity] += opened
-        n_sequences += opened
-        gap = capacity
-        while want[longest]:
-            k = min(int(want[longest]), opened)
-            if gap < longest:
-                break
-            here = min(k, int(gaps[gap]))
-            place(longest, gap, here)
-            gap -= longest
-        while match := sweep(want, gaps):
-            for length, gap, n in match:
-                place(length, gap, n)
-    return np.array(rows, np.int64).reshape(-1, 5)
+    stack: list[list[int]] = []
+    out = []
+    for batch in batches:
+        for kind, size, at, n, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if kind == PIECES:
+                stack.append([size, at, n])
+            elif kind == GAPS:
+                while n and stack:
+                    length, rank, left = stack[-1]
+                    each = size // length
+                    used = min(n, -(-left // each))
+                    take = min(left, used * each)
+                    out.append((MATCH, length, rank, take, at, size, each))
+                    full, more = divmod(take, each)
+                    out += [(LATER, size - k * length, first, m, 0, 0, 0) for k, first, m in ((each, at, full), (more, at + full, 1)) if k and m and size > k * length]
+                    at, n = at + used, n - used
+                    stack[-1][1:] = rank + take, left - take
+                    if left == take:
+                        stack.pop()
+                if n:
+                    out.append((kind, size, at, n, 0, 0, 0))
+            else:
+                out.append((kind, size, at, n, *rest))
+    out += [(PIECES, *run, 0, 0, 0) for run in stack]
+    cols = list(zip(*out)) or [[]] * 7
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.int64()) for k, c in enumerate(cols)], [c.split()[0] for c in RUNS.split(", ")])
+
+
+def matched_round(runs: DataFrame) -> DataFrame:
+    """One round: ranges of sizes are swept side by side, then the runs that they leave, which are
+    few, across the ranges. Of those that want one gap the longer rank first."""
+    swept = runs.repartitionByRange("size", "kind").sortWithinPartitions("size", "kind", "at").mapInArrow(sweep, RUNS)
+    return stored(swept.repartition(1).sortWithinPartitions("size", "kind", "at").mapInArrow(sweep, RUNS))
+
+
+def matches(lengths: DataFrame, capacity: int) -> DataFrame:
+    """The MATCH rows that place all pieces of ``lengths`` (size, n).
+
+    Every piece of more than half the capacity opens a sequence. Rounds fill the gaps until none
+    fits a piece that is left; then as many sequences open as the rest must have at least."""
+    spark = lengths.sparkSession
+    zero = F.lit(0).cast("long")
+    state = lengths.select(F.lit(PIECES).alias("kind"), "size", zero.alias("at"), "n", zero.alias("sequence"), zero.alias("gap"), zero.alias("each"))
+    piece, found = F.col("kind") == PIECES, F.col("kind") == MATCH
+    figures = [F.sum(F.when(piece, F.col("size") * F.col("n"))).alias("tokens"), F.sum(F.when(piece & (F.col("size") * 2 > capacity), F.col("n"))).alias("long"),
+               F.min(F.when(piece, F.col("size"))).alias("shortest"), F.count(F.when(found, 1)).alias("found"), F.max(F.when(~piece & ~found, F.col("size"))).alias("widest")]
+    left, rounds, n_sequences = state.agg(*figures).first(), [], 0
+    while left.tokens:
+        if not left.found or (left.widest or 0) < left.shortest:
+            fresh = left.long or -(-left.tokens // capacity)
+            state = state.unionByName(spark.createDataFrame([(GAPS, capacity, n_sequences, fresh, 0, 0, 0)], RUNS))
+            n_sequences += fresh
+        swept = matched_round(state)
+        left = swept.agg(*figures).first()
+        rounds.append(swept.where(found))
+        # gaps that fit no piece are closed
+        state = swept.where(piece | (~found & (F.col("size") >= (left.shortest or capacity)))).withColumn("kind", F.when(piece, PIECES).otherwise(GAPS))
+    return functools.reduce(DataFrame.unionByName, rounds) if rounds else spark.createDataFrame([], RUNS)
 
 
 def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
@@ -244,8 +244,8 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tokens within them are one id each. Null and empty texts are the end id alone, one piece of
     length 1. Repeated rows are packed each;
     an empty table gives no row. Other columns are not read. Ties in length go by id, then piece.
-    The driver holds one count for each (sorted partition, length) and the plan over at most
-    ``capacity`` lengths; pieces stay in Spark.
+    The driver holds one count for each (sorted partition, length) and the matches of runs, which
+    go to all tasks; pieces stay in Spark.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -271,10 +271,10 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ordered = stored(cut.repartitionByRange(F.col("length").desc(), "id", "piece").sortWithinPartitions(F.col("length").desc(), "id", "piece").mapInArrow(ranked, f"{base}, part int, rank long"))
     # sorted by length, so partitions share at most one length with the next: capacity + partitions rows
     found = ordered.groupBy("length", "part").agg(F.count("*").alias("n")).toArrow().to_pandas().sort_values(["length", "part"])
-    counts = np.zeros(capacity + 1, np.int64)
-    np.add.at(counts, found["length"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
     before = {(int(a), int(b)): int(c) for a, b, c in zip(found["length"], found["part"], found.groupby("length")["n"].cumsum() - found["n"])}
-    rows = plan(counts, capacity)
+    lengths = ordered.groupBy(F.col("length").alias("size")).agg(F.count("*").alias("n"))
+    rows = matches(lengths, capacity).select("size", "at", "sequence", "gap", "each").toArrow()
+    rows = np.stack([c.to_numpy() for c in rows.columns], axis=1)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     edge = np.searchsorted(rows[:, 0], np.arange(capacity + 2))
     shared = spark.sparkContext.broadcast((rows, edge, before))
@@ -291,8 +291,9 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 mine = length == size
                 run = rows[edge[size] : edge[size + 1]]
                 at = np.searchsorted(run[:, 1], rank[mine], "right") - 1
-                sequence[mine] = run[at, 3] + rank[mine] - run[at, 1]
-                offset[mine] = run[at, 4]
+                nth, within = np.divmod(rank[mine] - run[at, 1], run[at, 4])
+                sequence[mine] = run[at, 2] + nth
+                offset[mine] = capacity - run[at, 3] + within * size
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
     return ordered.mapInArrow(placed, f"{base}, sequence_id long, offset long").withColumnRenamed("id", id_col)

@@ -1,5 +1,6 @@
 """The training-data operators against brute-force versions, and their edge rows."""
 
+import bisect
 import collections
 import hashlib
 import re
@@ -409,6 +410,51 @@ def test_packing(docs, edge, none):
     assert packing.best_fit_packing(none).count() == 0
 
 
+def placed_by(rows, counts, capacity):
+    """{sequence: [(offset, length), ...]} of MATCH rows; every piece is placed once."""
+    ranks, out = {}, {}
+    for r in rows:
+        ranks.setdefault(r.size, []).extend(range(r.at, r.at + r.n))
+        for k in range(r.n):
+            nth, within = divmod(k, r.each)
+            out.setdefault(r.sequence + nth, []).append((capacity - r.gap + within * r.size, r.size))
+    assert {size: sorted(v) for size, v in ranks.items()} == {size: list(range(n)) for size, n in counts.items()}
+    for seq in out.values():
+        end = 0
+        for offset, size in sorted(seq):
+            assert offset == end
+            end += size
+        assert end <= capacity
+    return out
+
+
+def best_fit_decreasing(counts, capacity):
+    gaps = []
+    for size in sorted((size for size, n in counts.items() for _ in range(n)), reverse=True):
+        at = bisect.bisect_left(gaps, size)
+        gap = gaps.pop(at) if at < len(gaps) else capacity
+        bisect.insort(gaps, gap - size)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("low, high, n", [(1, 101, 300), (1, 20, 400), (33, 60, 200), (100, 101, 40), (1, 2, 950), (40, 51, 3), (51, 101, 60)])
+def test_packing_rounds_against_best_fit_decreasing(spark, low, high, n):
+    sizes = np.random.default_rng(n).integers(low, high, n)
+    counts = dict(zip(*(x.tolist() for x in np.unique(sizes, return_counts=True))))
+    lengths = spark.createDataFrame(list(counts.items()), "size long, n long")
+    rows = packing.matches(lengths, 100).collect()
+    used = len(placed_by(rows, counts, 100))
+    assert -(-int(sizes.sum()) // 100) <= used <= 1.03 * best_fit_decreasing(counts, 100) + 1
+    # ranges of sizes change nothing
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        assert sorted(packing.matches(lengths, 100).collect()) == sorted(rows)
+    finally:
+        spark.conf.unset(key)
+    assert packing.matches(lengths.limit(0), 100).count() == 0
+
+
 def test_word_encoder_on_odd_texts():
     from tokenizers import Tokenizer
 
