@@ -14,8 +14,13 @@ from pyspark.sql.types import StructType
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+    """A new path in the folder that all executors share. Where none is set, a local one if Spark
+    runs in one process, else an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
