@@ -34,9 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new local one where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir, or a new local one where it is unset
+    and Spark runs in one process. A cluster without the setting is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
