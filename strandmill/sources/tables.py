@@ -18,7 +18,7 @@ def shared_path(spark: SparkSession) -> str:
     runs in one process, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
