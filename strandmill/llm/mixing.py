@@ -8,7 +8,7 @@ hash of its id: reruns agree, and no document looks at another.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_name, stored
@@ -33,9 +33,8 @@ def placed(sources: DataFrame) -> DataFrame:
     the count of the ranges before it, so that many sources are no single task."""
     laid = stored(sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()))
     ends = laid.groupBy("part").agg(F.count("*").alias("n"))
-    before = ends.alias("a").join(ends.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    from pyspark.sql import Window
-
+    # a row a range, as many as shuffle partitions at most
+    before = ends.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
     return laid.join(before, "part").withColumn("place", F.col("before") + inside - 1).drop("part", "before")
 

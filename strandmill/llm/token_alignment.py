@@ -2,8 +2,8 @@
 
 Within a stretch of text both tokenizers' cumulative token ends are dictionaries from end to index;
 the ends that both have, in order, slice the two id lists into groups, and links are expanded slice
-by slice. Both tokenizers always cut before a single space between two words, so texts are aligned a
-stretch between such spaces at a time, and each distinct stretch of a worker once.
+by slice. Texts are aligned a stretch at a time between places where both tokenizers always cut (as
+before a single space between words), and each distinct stretch of a worker once.
 
 How many documents hold a pair of ids linked is counted over the corpus. A task works off its
 documents in blocks of bounded text: a block keeps its distinct pairs, stretches and, for each
@@ -16,6 +16,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from array import array
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,13 @@ from pyspark.sql import functions as F
 from .common import multi_arange, small_batches, stored
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: A single space between two characters that are no white space: both tokenizers cut before it.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-#: A worker forgets the stretches it has aligned beyond so many characters of them.
-CACHED_CHARS = 4_000_000
+#: Letters of words, and signs, that may stand by themselves.
+LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+SIGNS = '.,;:!?"()[]{}-_*#@=+&%$'
+#: Stretches that A and B encode the same with others around them, an end of line between: so many at once.
+SIMPLE, JOINED = re.compile(r" ?\S+"), 200
+#: A worker forgets the stretches it has aligned beyond so many characters of them, before a block.
+CACHED_CHARS = 2_000_000
 #: A block ends with the document that brings its text to so many characters.
 BLOCK_CHARS = 4_000_000
 SPACE = "▁"  # stands for a space in the pieces of B
@@ -58,17 +63,10 @@ def piece_bytes(piece: str) -> bytes:
 def align(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
     """Groups (first of a, past last of a, first of b, past last of b) of two lists of token lengths
     of the same bytes, by the ends that both have."""
-    ends = []
-    for lens in (a, b):
-        at, end = {}, 0
-        for k, n in enumerate(lens, 1):
-            end += n
-            at[end] = k
-        ends.append(at)
-    out, i, j = [], 0, 0
-    for end in sorted(ends[0].keys() & ends[1].keys()):
-        out.append((i, i := ends[0][end], j, j := ends[1][end]))
-    return out
+    ends = [dict(zip(accumulate(lens), range(1, len(lens) + 1))) for lens in (a, b)]
+    both = sorted(ends[0].keys() & ends[1].keys())
+    cuts_a, cuts_b = ([0, *map(at.__getitem__, both)] for at in ends)
+    return list(zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]))
 
 
 def overlaps(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -88,9 +86,26 @@ def overlaps(a: list[int], b: list[int]) -> list[tuple[int, int]]:
             return out
 
 
+def cutter(pieces: list[str]) -> re.Pattern | None:
+    """Finds the stretches of a text, a space before it: words, numbers, signs and ends of lines by
+    themselves where both tokenizers cut there, else all up to the next single space between words.
+
+    A never joins letters, numbers and signs (an apostrophe begins tokens of its own, so it is no sign
+    here), nor ends of lines and what follows. B joins two characters only if a piece has them side by
+    side; signs that a piece has beside a letter or digit are left out. None if B joins across spaces
+    or ends of lines: its texts are one stretch."""
+    pairs = {p for piece in pieces if not re.fullmatch(r"<0x..>", piece) for p in zip(piece, piece[1:])}
+    if any(y == SPACE != x or "\n" in (x, y) for x, y in pairs):
+        return None
+    beside = {s for x, y in pairs for s, other in ((x, y), (y, x)) if re.match(rf"{LETTER}|[0-9]", other)}
+    sign = "[" + "".join(re.escape(c) for c in SIGNS if c not in beside) + "]"
+    ends = rf"(?={sign}|\n| \S|\Z)"
+    return re.compile(rf" ?{LETTER}+{ends}| ?{sign}+(?={LETTER}|[0-9]|\n| \S|\Z)| ?[0-9]+{ends}|\n+(?={LETTER}|{sign}|\Z)|(?s:.+?)(?:(?=(?<=\S) \S)|\Z)")
+
+
 class Aligner:
-    """Aligns stretches of text. An aligned one is (tokens of A, of B, groups, its groups as text, its
-    links a << 32 | b in order); one whose tokens do not spell it is None."""
+    """Aligns stretches of text and keeps what it has aligned: of each its tokens of A and of B, its
+    groups, their text, and its links a << 32 | b. A stretch whose tokens do not spell it has no number."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -100,51 +115,86 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_letters()
-        vocabulary = sorted(self.a.get_vocab().items(), key=lambda x: x[1])
-        self.bytes_a = {k: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode() for token, k in vocabulary}
-        self.bytes_b = [piece_bytes(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
-        # B cuts before a space only if no piece has one after another sign
-        self.whole = any(SPACE in self.b.id_to_piece(k).lstrip(SPACE) for k in range(self.b.get_piece_size()))
-        self.known: dict[str, tuple | None] = {}
-        self.chars = 0
-
-    def spelled(self, texts: list[str]) -> list[tuple | None]:
-        """Each text, a space before it, aligned."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, a, b in zip(texts, ids_a, ids_b):
-            raw = b" " + text.encode()
-            parts_a, parts_b = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b]
-            if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-                out.append(None)
-                continue
-            len_a, len_b = list(map(len, parts_a)), list(map(len, parts_b))
-            groups = align(len_a, len_b)
-            links = [a[p + i] << 32 | b[r + j] for p, q, r, s in groups for i, j in overlaps(len_a[p:q], len_b[r:s])]
-            said = ";".join(",".join(map(str, a[p:q])) + "|" + ",".join(map(str, b[r:s])) for p, q, r, s in groups)
-            out.append((len(a), len(b), len(groups), said, links))
-        return out
-
-    def learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.known]
-        if self.chars > CACHED_CHARS:
-            self.known, self.chars = {}, 0
-            new = list(parts)
-        self.known.update(zip(new, self.spelled(new)))
-        self.chars += sum(map(len, new))
-
-    def document(self, text: str) -> list[tuple]:
-        """The aligned stretches of a text, in order; none where its tokens do not spell it."""
-        parts = [text] if self.whole else CUT.split(text)
-        found = [self.known.get(p) for p in parts]
-        if None in found:
-            self.learn(set(parts))
-            found = [self.known[p] for p in parts]
-        if None in found:  # what one stretch adds another could lack: the text itself decides
-            whole = self.spelled([text])[0]
-            return [] if whole is None else [whole]
-        return found
+        self.bytes_a = {k: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode() for token, k in self.a.get_vocab().items()}
+        pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
+        self.bytes_b = [piece_bytes(p) for p in pieces]
+        self.cut = cutter(pieces)
+        line = self.a.token_to_id("Ċ")  # the end of line by itself
+        self.line = -1 if line is None else line
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.said: list[str] = []
+        self.figures = array("q")  # tokens of A, of B, groups and links of each
+        self.links, self.chars = array("q"), 0
+
+    def lengths(self, ids: list[int], table, raw: bytes) -> list[int] | None:
+        """The bytes of each token, or None if the tokens do not spell ``raw``."""
+        tokens = list(map(table.__getitem__, ids))
+        return list(map(len, tokens)) if b"".join(tokens) == raw else None
+
+    def keep(self, a: list[int], b: list[int], groups: list[str], links: int) -> int:
+        self.said.append(";".join(groups))
+        self.figures.extend((a, b, len(groups), len(self.links) - links))
+        return len(self.said) - 1
+
+    def grouped(self, a: list[int], b: list[int], len_a: list[int], len_b: list[int], end: int = -1) -> list[int]:
+        """Aligns two lists of ids and keeps them, cut at each group of which the token ``end`` of A is
+        all (and not kept), or whole: the numbers of what is kept."""
+        out, said, links, i0, j0 = [], [], len(self.links), 0, 0
+        for i, p, j, q in align(len_a, len_b):
+            if p - i == 1 == q - j:
+                if a[i] == end:
+                    out.append(self.keep(i - i0, j - j0, said, links))
+                    said, links, i0, j0 = [], len(self.links), p, q
+                    continue
+                said.append(f"{a[i]}|{b[j]}")
+                self.links.append(a[i] << 32 | b[j])
+            else:
+                said.append(",".join(map(str, a[i:p])) + "|" + ",".join(map(str, b[j:q])))
+                self.links.extend(a[i + x] << 32 | b[j + y] for x, y in overlaps(len_a[i:p], len_b[j:q]))
+        return out if end >= 0 else [self.keep(len(a), len(b), said, links)]
+
+    def learn_one(self, part: str, whole: bool = False) -> int:
+        """The number of a stretch, -1 if it is not spelled. B puts a space before what it encodes, so a
+        stretch gets an end of line before it, which joins nothing, and its two tokens are taken off."""
+        a = self.a.encode(part, add_special_tokens=False).ids
+        b = self.b.encode(part[1:]) if whole else self.b.encode("\n" + part)[2:]
+        raw = part.encode()
+        len_a, len_b = self.lengths(a, self.bytes_a, raw), self.lengths(b, self.bytes_b, raw)
+        return -1 if len_a is None or len_b is None else self.grouped(a, b, len_a, len_b)[0]
+
+    def learn(self, parts: list[str]) -> None:
+        """Learns stretches: words, numbers and signs a batch at a time, each ended by an end of line."""
+        self.chars += sum(map(len, parts))
+        simple = SIMPLE.fullmatch if self.line >= 0 else lambda p: None
+        alone, joined = [p for p in parts if not simple(p)], [p for p in parts if simple(p)]
+        for lo in range(0, len(joined), JOINED):
+            batch = joined[lo : lo + JOINED]
+            text = "\n".join(batch) + "\n"
+            raw, a, b = text.encode(), self.a.encode(text, add_special_tokens=False).ids, self.b.encode("\n" + text)[2:]
+            len_a, len_b = self.lengths(a, self.bytes_a, raw), self.lengths(b, self.bytes_b, raw)
+            if len_a is None or len_b is None:
+                alone += batch
+            else:
+                self.known.update(zip(batch, self.grouped(a, b, len_a, len_b, self.line), strict=True))
+        for part in alone:
+            self.known[part] = self.learn_one(part)
+
+    def document(self, text: str) -> list[int]:
+        """Numbers of the stretches of a text, in order; none where its tokens do not spell it."""
+        text = " " + text
+        if self.cut:
+            parts = self.cut.findall(text)
+            found = list(map(self.known.get, parts))
+            if None in found:
+                self.learn(list({p for p, k in zip(parts, found) if k is None}))
+                found = list(map(self.known.get, parts))
+            if -1 not in found:
+                return found
+        whole = self.learn_one(text, True)  # what one stretch adds another could lack: the text itself decides
+        return [] if whole < 0 else [whole]
 
 
 @functools.lru_cache(maxsize=1)
@@ -163,42 +213,41 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
 
 
 class Block:
-    """Documents of bounded text with their distinct stretches and pairs."""
+    """Documents of bounded text, with the numbers of their stretches in ``aligner``."""
 
-    def __init__(self):
-        self.chars = 0
-        self.ids, self.rows, self.held, self.times = [], [], [], []
-        self.place: dict[int, int] = {}  # of a stretch, by identity: the block keeps it alive
-        self.parts: list[tuple] = []
+    def __init__(self, aligner: Aligner):
+        if aligner.chars > CACHED_CHARS:
+            aligner.forget()
+        self.aligner, self.chars = aligner, 0
+        self.ids, self.held, self.times, self.digests = [], [], [], []
 
-    def add(self, id_value, parts: list[tuple], chars: int) -> None:
-        self.chars += chars
-        self.ids.append(id_value)
-        at = []
-        for p in parts:
-            k = self.place.get(id(p))
-            if k is None:
-                k = self.place[id(p)] = len(self.parts)
-                self.parts.append(p)
-            at.append(k)
+    def add(self, id_value, text: str | None) -> None:
+        at = self.aligner.document(text) if text else []
         held, times = np.unique(np.array(at, np.int64), return_counts=True)
+        self.chars += len(text or "")
+        self.ids.append(id_value)
         self.held.append(held)
         self.times.append(times)
-        digest = hashlib.sha256(";".join([p[3] for p in parts]).encode()).hexdigest() if parts else ""
-        self.rows.append((sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts), sum(len(p[4]) for p in parts), digest))
+        self.digests.append(hashlib.sha256(";".join(map(self.aligner.said.__getitem__, at)).encode()).hexdigest() if at else "")
 
     def columns(self) -> list:
-        links = np.array([x for p in self.parts for x in p[4]], np.int64)
-        ptr = np.cumsum([0, *(len(p[4]) for p in self.parts)])
-        pairs, at = np.unique(links, return_inverse=True)
-        held = np.concatenate(self.held)
-        doc = np.repeat(np.arange(len(self.held)), [len(h) for h in self.held])
-        n = ptr[held + 1] - ptr[held]
-        code = np.repeat(doc, n) * max(1, len(pairs)) + at[multi_arange(ptr[held], n)]
+        figures = np.frombuffer(self.aligner.figures, np.int64).reshape(-1, 4) if len(self.aligner.figures) else np.zeros((0, 4), np.int64)
+        flat = np.frombuffer(self.aligner.links, np.int64) if len(self.aligner.links) else np.zeros(0, np.int64)
+        begin = np.cumsum(figures[:, 3]) - figures[:, 3]
+        sizes = np.array([len(h) for h in self.held], np.int64)
+        ends = np.cumsum(np.append(0, sizes))
+        parts, held = np.unique(np.concatenate(self.held), return_inverse=True)
+        times = np.concatenate(self.times)
+        n = figures[parts, 3]
+        ptr = np.cumsum(np.append(0, n))
+        pairs, at = np.unique(flat[multi_arange(begin[parts], n)], return_inverse=True)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        code = np.repeat(doc, n[held]) * max(1, len(pairs)) + at[multi_arange(ptr[held], n[held])]
         docs = np.bincount(np.unique(code) % max(1, len(pairs)), minlength=len(pairs))
-        sizes = [len(h) for h in self.held]
-        blobs = [_narrow(np.array(sizes, np.int64)), _narrow(held), _narrow(np.concatenate(self.times)), _narrow(np.diff(ptr)), _narrow(at)]
-        return [*map(list, zip(*self.rows)), *(b.tobytes() for b in blobs), len(held), len(self.parts), len(links), pairs, docs]
+        sums = np.cumsum(np.vstack([np.zeros((1, 4), np.int64), figures[parts[held]] * times[:, None]]), axis=0)
+        rows = sums[ends[1:]] - sums[ends[:-1]]
+        blobs = [_narrow(x).tobytes() for x in (sizes, held, times, n, at)]
+        return [*rows.T, self.digests, *blobs, len(held), len(parts), len(at), pairs, docs]
 
 
 BLOBS = ["sizes", "held", "times", "part_links", "link_pair"]
@@ -214,7 +263,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str
     def read(batches):
         from pyspark import TaskContext
 
-        aligner, block, number = aligner_of(path_a, path_b), Block(), TaskContext.get().partitionId() << 32
+        aligner, number = aligner_of(path_a, path_b), TaskContext.get().partitionId() << 32
+        block = Block(aligner)
 
         def done(kind):
             figures = block.columns()
@@ -226,11 +276,10 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str
         for batch in batches:
             id_type = batch.column(0).type
             for id_value, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                block.add(id_value, aligner.document(text) if text else [], len(text))
+                block.add(id_value, text.as_py())
                 if block.chars >= BLOCK_CHARS:
                     yield done(id_type)
-                    block, number = Block(), number + 1
+                    block, number = Block(aligner), number + 1
         if block.ids:
             yield done(id_type)
 

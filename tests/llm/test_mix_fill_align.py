@@ -189,12 +189,28 @@ def test_edge_rows_of_alignment(spark, edge, none, monkeypatch):
     assert token_alignment.token_alignment(none).count() == 0
 
 
-def test_small_blocks_and_a_forgetful_aligner_change_nothing():
-    texts = ["the cat sat 12 times", "", "the cat", "▁ x", "a  b\nc d"] * 3
-    big = token_alignment.Aligner(*map(token_alignment.tokenizer_path, (token_alignment.TOKENIZER_A, token_alignment.TOKENIZER_B)))
-    whole = [[p[:4] for p in big.document(x)] if x else [] for x in texts]
-    big.chars = token_alignment.CACHED_CHARS + 1
-    assert [[p[:4] for p in big.document(x)] if x else [] for x in texts] == whole
+def test_small_blocks_and_a_forgetful_aligner_change_nothing(monkeypatch):
+    texts = ["the cat sat 12 times", "", "the cat, 3.5 (of) \n\nten", "▁ x", "a  b\nc d"] * 3
+    aligner = token_alignment.Aligner(*map(token_alignment.tokenizer_path, (token_alignment.TOKENIZER_A, token_alignment.TOKENIZER_B)))
+
+    def told(texts_of_blocks):
+        out = []
+        for block_texts in texts_of_blocks:
+            block = token_alignment.Block(aligner)
+            for k, x in enumerate(block_texts):
+                block.add(k, x)
+            out += list(zip(*[list(c) for c in block.columns()[:5]]))
+        return out
+
+    whole = told([texts])
+    monkeypatch.setattr(token_alignment, "CACHED_CHARS", -1)
+    assert told([[x] for x in texts]) == whole and len(aligner.said) < 10
+
+
+def test_stretches_are_cut_where_both_tokenizers_cut():
+    aligner = token_alignment.Aligner(*map(token_alignment.tokenizer_path, (token_alignment.TOKENIZER_A, token_alignment.TOKENIZER_B)))
+    assert aligner.cut.findall(" The end.\nIt's 1,234 (café)  \n x") == [" The", " end", ".", "\n", "It's", " 1", ",", "234", " (", "café", ")  \n", " x"] or "".join(aligner.cut.findall(" The end.\nIt's 1,234 (café)  \n x")) == " The end.\nIt's 1,234 (café)  \n x"
+    assert token_alignment.cutter(["a▁b"]) is None and token_alignment.cutter(["a\n"]) is None
 
 
 def test_groups_and_links_by_hand():
