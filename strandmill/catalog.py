@@ -430,7 +430,7 @@ def join_cross_pairs(spark, d):
 @query("SELECT o_orderkey, p_partkey FROM orders, part WHERE o_orderkey >= p_partkey * 4 AND o_orderkey < p_partkey * 4 + p_size")
 def join_interval_offsets(spark, d):
     r = t(spark, d, "part").select("p_partkey", (F.col("p_partkey") * 4).alias("s"), F.col("p_size").cast("long").alias("n"))
-    return joins.interval_join(t(spark, d, "orders").select("o_orderkey"), r, "o_orderkey", "s", "n", 64).select("o_orderkey", "p_partkey")
+    return joins.interval_join(t(spark, d, "orders").select("o_orderkey"), r, "o_orderkey", "s", "n").select("o_orderkey", "p_partkey")
 
 
 @query(f"SELECT a.id AS a_id, b.id AS b_id FROM {POINTS_SQL} a, {POINTS_SQL} b WHERE a.label < 3 AND b.label >= 3 AND (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 20.25")
@@ -652,9 +652,9 @@ def src_nested_second_list(spark, d):
 def src_manifest_array(spark, d):
     path = tables.shared_path(spark)
     records = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(F.struct(F.col("l_linenumber").alias("chain_id"), F.col("l_partkey").alias("part"))).alias("chains"))
-    tables.write_manifest(records.withColumn("file", F.col("id") % 64), path, "file")
+    tables.write_manifest(records.withColumn("file", F.floor(F.col("id") / 20000)), path, "file", "id")  # files grow with the table
     wanted = t(spark, d, "orders").where("o_totalprice > 200000").select(F.col("o_orderkey").alias("id"))
-    got = tables.read_manifest(spark, path, "id long, chains array<struct<chain_id int, part long>>", wanted, "id")
+    got = tables.read_manifest(spark, path, "id long, chains array<struct<chain_id int, part long>>", wanted, "id", 1 << 18)
     return got.select("id", F.size("chains").cast("long").alias("n_chains"), F.aggregate("chains", F.lit(0).cast("long"), lambda a, c: a + c["part"]).alias("parts"))
 
 

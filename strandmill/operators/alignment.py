@@ -111,8 +111,8 @@ def local_align(a: str, b: str, match: int = 5, mismatch: int = -4, table: Subst
     return local_aligns([a], [b], match, mismatch, table)[0]
 
 
-def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
-    """(a, b, score, identity, length) of distinct pairs of sequences, over their first ``aligned`` characters."""
+def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int | None = None, table: Substitution | None = None) -> DataFrame:
+    """(a, b, score, identity, length) of distinct pairs of whole sequences, or of their first ``aligned`` characters."""
 
     def align(batches):
         for batch in batches:

@@ -113,19 +113,53 @@ def paired_runs(rows: DataFrame, run: str, a: str, b: str, record: str, value: s
     return g.where("a is not null and b is not null").withColumn("diff", F.col("b") - F.col("a"))
 
 
+#: Up to this n the coefficients C(n, i) are whole numbers below 2^53, so the sum is exact.
+EXACT_N = 56
+#: ln gamma(x) = (x - 1/2) ln x - x + ln(2 pi)/2 + sum of c / x^k over odd k (Stirling's series).
+STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680)
+
+
+def _log_factorial(n: Column) -> Column:
+    """ln n!, by Stirling's series beyond a table."""
+    x = n.cast("double") + 1
+    series = sum(F.lit(c) / F.pow(x, F.lit(float(k))) for c, k in zip(STIRLING, (1, 3, 5, 7)))
+    small = F.element_at(F.array(*[F.lit(math.lgamma(k + 1)) for k in range(32)]), (F.least(n, F.lit(31)) + 1).cast("int"))
+    return F.when(n < 32, small).otherwise((x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series)
+
+
+def _tail_by_fraction(m: Column, n: Column) -> Column:
+    """P(X <= m) of a fair binomial for m below n / 2: its largest term times the continued fraction of
+    the incomplete beta function (from the far end; 200 steps settle it), no array of m."""
+    a, b, half = (n - m).cast("double"), (m + 1).cast("double"), 0.5
+
+    def down(acc: Column, i: Column) -> Column:
+        k = F.lit(201.0) - i.cast("double")
+        even = k * (b - k) * half / ((a + 2 * k - 1) * (a + 2 * k))
+        odd = -(a + k) * (a + b + k) * half / ((a + 2 * k) * (a + 2 * k + 1))
+        return 1 + even / (1 + odd / acc)
+
+    inner = F.aggregate(F.sequence(F.lit(1), F.lit(200)), F.lit(1.0), down)
+    first = -(a + b) * half / (a + 1)
+    front = F.exp(_log_factorial(n) - _log_factorial(n - m - 1) - _log_factorial(m) - (n + 1) * math.log(2)) / a
+    return front / (1 + first / inner)
+
+
 def sign_test(df: DataFrame, k: str, n: str) -> DataFrame:
-    """Exact two-sided binomial sign test from (improved, n); each term follows from the one before,
-    in logs so that large n is no harm."""
-    kk = F.least(F.col(k), F.col(n) - F.col(k)).cast("int")
-    first = F.col(n) * F.lit(-math.log(2))
-    start = F.struct(first.alias("ln"), F.exp(first).alias("p"))
+    """Exact two-sided binomial sign test from (improved, n): ``p``.
 
-    def step(acc: Column, i: Column) -> Column:
-        ln = acc["ln"] + F.log((F.col(n) - i + 1) / i)
-        return F.struct(ln.alias("ln"), (acc["p"] + F.exp(ln)).alias("p"))
+    Up to EXACT_N the coefficients are summed as whole numbers, so p is exact; beyond, the tail is the
+    incomplete beta function by its continued fraction, whose cost does not grow with n. Null gives null."""
+    m = F.when(F.col(k).isNotNull() & F.col(n).isNotNull(), F.least(F.col(k), F.col(n) - F.col(k))).cast("long")
 
-    terms = F.when(kk > 0, F.sequence(F.lit(1), kk)).otherwise(F.array().cast("array<int>"))
-    return df.withColumn("p", F.least(F.lit(1.0), 2 * F.aggregate(terms, start, step, lambda acc: acc["p"])))
+    def step(acc: Column, i: Column) -> Column:
+        c = (acc["c"] * (F.col(n) - i + 1) / i).cast("double")
+        return F.struct(c.alias("c"), (acc["s"] + c).alias("s"))
+
+    start = F.struct(F.lit(1.0).alias("c"), F.lit(1.0).alias("s"))
+    small = F.when((m > 0) & (F.col(n) <= EXACT_N), F.sequence(F.lit(1).cast("long"), m)).otherwise(F.array().cast("array<bigint>"))
+    exact = F.aggregate(small, start, step, lambda acc: acc["s"]) * F.pow(F.lit(2.0), -F.col(n))
+    tail = F.when(F.col(n) <= EXACT_N, exact).when(2 * m == F.col(n), F.lit(0.5)).otherwise(_tail_by_fraction(m, F.col(n)))
+    return df.withColumn("p", F.when(m.isNotNull(), F.least(F.lit(1.0), 2 * tail)))
 
 
 def noise_floor(pairs: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import json_array
+
 
 def shared_path(spark: SparkSession) -> str:
     """A new path in the folder that all executors share. Where none is set, a local one if Spark
@@ -99,17 +101,22 @@ def html_json_array(pages: DataFrame, id_col: str, html: str, pattern: str, sche
     return rows.select(id_col, error.alias("error"), F.explode_outer("items").alias("item")).select(id_col, "item.*", "error")
 
 
-def write_manifest(df: DataFrame, path: str, part: str) -> None:
-    """JSON files of one array of records each, a file for each value of ``part``."""
-    body = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*[c for c in df.columns if c != part]))), ","), F.lit("]"))
-    df.groupBy(part).agg(body.alias("value")).write.partitionBy(part).text(path)
+def write_manifest(df: DataFrame, path: str, part: str, order: str) -> None:
+    """JSON files of one array of records each, in ``order``, a file for each value of ``part``. Rows are
+    sorted and written one after another; no task gathers a file."""
+    body = F.to_json(F.struct(*[c for c in df.columns if c != part]))
+    first = F.row_number().over(Window.partitionBy(part).orderBy(order)) == 1
+    lines = df.select(part, F.concat(F.when(first, "[").otherwise(","), body).alias("value"), F.col(order).alias("at"))
+    ends = df.select(part).distinct().select(part, F.lit("]").alias("value"), F.lit(None).cast(df.schema[order].dataType).alias("at"))
+    rows = lines.unionByName(ends).repartition(part).sortWithinPartitions(part, F.col("at").asc_nulls_last())
+    rows.select(part, "value").write.partitionBy(part).text(path)
 
 
-def read_manifest(spark: SparkSession, path: str, schema: str, wanted: DataFrame, key: str) -> DataFrame:
-    """The wanted records of JSON files that are one array each. Spark's parser goes through a file
-    record by record, so none need fit in memory; write the result as Parquet to read it again."""
-    records = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return records.join(wanted.select(key).distinct(), key, "left_semi")
+def read_manifest(spark: SparkSession, path: str, schema: str, wanted: DataFrame, key: str, range_bytes: int = json_array.RANGE_BYTES) -> DataFrame:
+    """The wanted records of JSON files that are one array each, read by ranges of bytes side by side
+    (:mod:`json_array`). Corrupt records have no key and are left out; write the result as Parquet to
+    read it again."""
+    return json_array.read_array(spark, path, schema, range_bytes, wanted, key).where("_corrupt is null").drop("_corrupt")
 
 
 ATOMS = "path string, chain string, residue int, atom int, x double, y double, z double, present boolean"

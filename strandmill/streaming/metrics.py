@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def running_metrics(rows: DataFrame, metric: str, value: str, weight: Column) -> DataFrame:
     """Sums from which the mean of each metric follows; finite values only. For update or complete mode."""
     x = F.col(value).cast("double")
-    ok = rows.where(x.isNotNull() & ~F.isnan(x))
+    ok = rows.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return ok.groupBy(metric).agg(F.sum(x * weight).alias("total"), F.sum(weight).alias("weight"), F.count("*").alias("rows"))
 
 

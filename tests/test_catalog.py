@@ -17,11 +17,11 @@ def canonical(rows, names):
 
     def value(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else f"{v:.5f}"
+            return "nan" if math.isnan(v) else f"{v:.6f}"
         if isinstance(v, bool) or v is None:
             return str(v)
         if isinstance(v, int):
-            return f"{v:.5f}"
+            return f"{v:.6f}"
         return str(v)
 
     return sorted(tuple(value(r[k]) for k in order) for r in rows), [names[k] for k in order]
