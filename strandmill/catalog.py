@@ -591,16 +591,70 @@ def geo_pair_contacts(spark, d):
     return geometry.pair_contacts(p.where("label < 3").withColumn("grp", F.col("label")), p.where("label >= 3"))
 
 
-@query(f"SELECT round(sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)+power(a.z-b.z,2)), 6) AS dist FROM (SELECT avg(x) AS x, avg(y) AS y, avg(z) AS z FROM {POINTS_SQL} WHERE label = 0) a, (SELECT avg(x) AS x, avg(y) AS y, avg(z) AS z FROM {POINTS_SQL} WHERE label = 1) b")
+@query(f"WITH c AS (SELECT id % 50 AS entry, label, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM {POINTS_SQL} GROUP BY 1, 2) SELECT entry, a.label AS a, b.label AS b, round(sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)+power(a.z-b.z,2)), 6) AS dist FROM c a JOIN c b USING (entry) WHERE a.label < b.label")
 def geo_centroid_distance(spark, d):
-    return geometry.centroid_distance(points(spark, d), "label", 0, 1)
+    out = geometry.centroid_distances(points(spark, d).withColumn("entry", F.col("id") % 50), "entry", "label")
+    return out.withColumn("dist", F.round("dist", 6))
 
 
-@query()
+# superposition in SQL: moments about means, the quartic's largest root, and the adjoint for a transfer
+
+_P6 = ["px", "py", "pz", "tx", "ty", "tz"]
+_PAIRS_SQL = "(SELECT vec_id, label, vec_id % 3 > 0 AS fit, " + ", ".join(f"50*embedding[{k}]::double AS {c}" for k, c in enumerate(_P6, 1)) + " FROM embeddings)"
+_NINE = [c + e for c in "xyz" for e in "xyz"]
+
+
+def _moments_sql(src: str, by: str, fit: str, cond: str) -> str:
+    """Moments of the rows of ``cond`` about the means of those of ``fit``."""
+    means = f"(SELECT {by}, {', '.join(f'avg({c}) FILTER ({fit}) AS m{c}' for c in _P6)} FROM {src} GROUP BY ALL)"
+    nine = ", ".join(f"coalesce(sum((p{m[0]} - mp{m[0]}) * (t{m[1]} - mt{m[1]})) FILTER ({cond}), 0) AS {m}" for m in _NINE)
+    total = " + ".join(f"power({c} - m{c}, 2)" for c in _P6)
+    return f"(SELECT {by}, count(*) FILTER ({cond}) AS n, {nine}, coalesce(sum({total}) FILTER ({cond}), 0) AS total FROM {src} JOIN {means} USING ({by}) GROUP BY ALL)"
+
+
+def _root_sql(d: str) -> str:
+    f, slope = f"(((x*x - 2)*x - 8*({d}))*x + 1 - 4*e)", f"(4*(x*x - 1)*x - 8*({d}))"
+    return f"list_reduce(list_prepend(sqrt(3.0::double), list_transform(range(60), lambda i: 0.0::double)), lambda x, i: CASE WHEN {f} > 0 AND {slope} > 0 THEN x - {f}/{slope} ELSE x END)"
+
+
+def _fit_sql(src: str, by: str, cond: str) -> str:
+    """With n, total, scale, root and mirror; rmsd and rmsd_mirror follow."""
+    size = " + ".join(f"{m}*{m}" for m in _NINE)
+    minors = " + ".join(f"power({p[0]}{q[0]}*{p[1]}{q[1]} - {p[0]}{q[1]}*{p[1]}{q[0]}, 2)" for p in ("xy", "xz", "yz") for q in ("xy", "xz", "yz"))
+    det = "xx*(yy*zz - yz*zy) - xy*(yx*zz - yz*zx) + xz*(yx*zy - yy*zx)"
+    inner = f"(SELECT *, sqrt(f) AS scale, coalesce(({det}) / nullif(power(f, 1.5), 0), 0) AS d, coalesce(({minors}) / nullif(f*f, 0), 0) AS e FROM (SELECT *, {size} AS f FROM {_moments_sql(src, by, cond, cond)}))"
+    rooted = f"(SELECT *, {_root_sql('d')} AS root, {_root_sql('-d')} AS mirror FROM {inner})"
+    rmsd = lambda r: f"sqrt(greatest(0, total - 2*scale*{r}) / nullif(n, 0))"
+    return f"(SELECT *, {rmsd('root')} AS rmsd, {rmsd('mirror')} AS rmsd_mirror FROM {rooted})"
+
+
+def _transfer_sql(src: str, by: str, fit: str, cond: str) -> str:
+    """(by, m, moved): points of ``cond`` and their RMSD under the motion that fits ``fit``."""
+    key = lambda q: [[f"{q}xx+{q}yy+{q}zz", f"{q}yz-{q}zy", f"{q}zx-{q}xz", f"{q}xy-{q}yx"], [None, f"{q}xx-{q}yy-{q}zz", f"{q}xy+{q}yx", f"{q}zx+{q}xz"], [None, None, f"{q}yy-{q}xx-{q}zz", f"{q}yz+{q}zy"], [None, None, None, f"{q}zz-{q}xx-{q}yy"]]
+    upper = [(i, j) for i in range(4) for j in range(i, 4)]
+    ks = ", ".join(f"({key('a.')[i][j]})/nullif(a.scale, 0){' - a.root' if i == j else ''} AS k{i}{j}" for i, j in upper)
+    ms = ", ".join(f"({key('b.')[i][j]})/nullif(a.scale, 0) AS m{i}{j}" for i, j in upper)
+    k = lambda i, j: f"k{min(i, j)}{max(i, j)}"
+
+    def cofactor(i, j):
+        (a, b, c), (p, q, r) = ([n for n in range(4) if n != skip] for skip in (i, j))
+        det = f"({k(a, p)}*({k(b, q)}*{k(c, r)} - {k(b, r)}*{k(c, q)}) - {k(a, q)}*({k(b, p)}*{k(c, r)} - {k(b, r)}*{k(c, p)}) + {k(a, r)}*({k(b, p)}*{k(c, q)} - {k(b, q)}*{k(c, p)}))"
+        return det if (i + j) % 2 == 0 else f"(-{det})"
+
+    both = " + ".join(f"{1 if i == j else 2}*{cofactor(i, j)}*m{i}{j}" for i, j in upper)
+    trace = " + ".join(cofactor(i, i) for i in range(4))
+    cols = ", ".join(f"{alias}.{c}" for alias, c in (("a", "scale"),))
+    base = f"(SELECT {by}, {cols}, b.n AS m, b.total AS rest, {ks}, {ms} FROM {_fit_sql(src, by, fit)} a JOIN {_moments_sql(src, by, fit, cond)} b USING ({by}))"
+    return f"(SELECT {by}, m, sqrt(CASE WHEN rest - 2*scale*({both})/tr IS NOT NULL THEN greatest(0, rest - 2*scale*({both})/tr) END / nullif(m, 0)) AS moved FROM (SELECT *, CASE WHEN abs({trace}) > 1e-6 THEN {trace} END AS tr FROM {base}))"
+
+
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+@query(f"SELECT label, n, round(rmsd, 6) AS rmsd, round(rmsd_mirror, 6) AS rmsd_mirror FROM {_fit_sql(_PAIRS_SQL, 'label', 'true')}")
 def geo_superpose_rmsd(spark, d):
-    e = t(spark, d, "embeddings")
-    p = e.select("label", *[(F.get("embedding", F.lit(k)).cast("double") * 50).alias(c) for k, c in enumerate(["px", "py", "pz", "tx", "ty", "tz"])])
-    return geometry.superpose_rmsd(p, "label")
+    return _rounded(geometry.superpose_rmsd(point_pairs(spark, d), "label"), "rmsd", "rmsd_mirror")
 
 
 # sources and sinks
@@ -925,11 +979,37 @@ def agg_pooled_draws(spark, d):
 # scores, further checks and sinks
 
 
-@query()
+_SITES = "(SELECT label * 100000 + vec_id // 200 AS record, s AS sample, CASE WHEN vec_id % 200 < 40 THEN 'P' ELSE 'H' END AS chain, vec_id % 200 AS pos, vec_id % 7 > 0 AS ok, " + ", ".join(f"50*embedding[{k} + 3*s]::double AS {c}" for k, c in enumerate(_P6[:3], 1)) + ", " + ", ".join(f"50*embedding[{k}]::double AS {c}" for k, c in enumerate(_P6[3:], 20)) + " FROM embeddings, range(3) r(s))"
+
+
+def _scores_sql() -> str:
+    chains = "(SELECT record, chain, count(*) AS n, min(pos) FILTER (ok) AS start FROM sites WHERE sample = 0 GROUP BY 1, 2)"
+    found = f"(SELECT record, count(*) AS n_protein_chains, max(n) AS hc_len, min(n) AS pep_len, arg_max(chain, (n, chain)) AS heavy, arg_min(chain, (n, chain)) AS peptide FROM {chains} GROUP BY 1)"
+    by = "record, sample"
+    value = lambda x, c: f"list(CASE WHEN good THEN round({x}.{c}, 4) END ORDER BY sample)"
+    return f"""WITH sites AS {_SITES}, c AS {chains}, f AS (SELECT f.*, c.start FROM {found} f JOIN c ON c.record = f.record AND c.chain = f.heavy),
+        r AS (SELECT s.*, ok AND chain = heavy AND pos >= start AND pos < start + 100 AS g, ok AND chain = peptide AS p FROM sites s JOIN f USING (record)),
+        g AS {_fit_sql('r', by, 'g')}, p AS {_fit_sql('r', by, 'p')}, a AS {_fit_sql('r', by, 'ok')}, m AS {_transfer_sql('r', by, 'g', 'p')},
+        v AS (SELECT f.record, any_value(hc_len) AS hc_len, any_value(pep_len) AS pep_len, any_value(n_protein_chains) AS n_protein_chains, any_value(start) AS start,
+                     bool_or(odd) AS odd, min(g.n) AS ng, min(p.n) AS np, min(a.n) AS na, {value('m', 'moved')} AS pep, {value('p', 'rmsd')} AS own, {value('g', 'rmsd')} AS groove, {value('a', 'rmsd')} AS ca, {value('a', 'rmsd_mirror')} AS mirror
+              FROM (SELECT *, heavy = peptide OR hc_len <= 5 OR pep_len > 8 AS odd FROM f) f JOIN (SELECT *, n >= 3 AS good FROM g) g USING (record) JOIN p USING (record, sample) JOIN a USING (record, sample) JOIN m USING (record, sample) GROUP BY f.record),
+        w AS (SELECT *, CASE WHEN odd THEN 'no long chain with a short one' WHEN start IS NULL THEN 'heavy chain unresolved' WHEN ng < 3 OR np < 3 THEN 'fewer than three resolved residues' END AS reason FROM v)
+        SELECT record, hc_len, pep_len, n_protein_chains, CASE WHEN NOT odd THEN start END AS groove_start, CASE WHEN NOT odd THEN ng END AS n_groove_ca, CASE WHEN NOT odd THEN np END AS n_pep_ca, CASE WHEN NOT odd THEN na END AS n_all_ca, reason,
+               {', '.join(f"CASE WHEN reason IS NULL THEN array_to_string(list_transform({x}, lambda y: printf('%.4f', y)), ',') END AS {name}" for x, name in zip(('pep', 'own', 'groove', 'ca', 'mirror'), geometry.SCORES))},
+               CASE WHEN reason IS NULL THEN list_min(pep) END AS pep_rmsd_best, CASE WHEN reason IS NULL THEN round(list_avg(pep), 4) END AS pep_rmsd_mean FROM w"""
+
+
+@query(_scores_sql())
 def geo_structure_scores(spark, d):
-    e = t(spark, d, "embeddings")
-    p = e.select("label", (F.col("vec_id") % 3 > 0).alias("fit"), *[(F.get("embedding", F.lit(k)).cast("double") * 50).alias(c) for k, c in enumerate(["px", "py", "pz", "tx", "ty", "tz"])])
-    return geometry.structure_scores(p, "label", "fit")
+    e = t(spark, d, "embeddings").withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    at = lambda k: F.get("embedding", k).cast("double") * 50
+    site = F.col("vec_id") % 200
+    sites = e.select(
+        (F.col("label") * 100000 + F.floor(F.col("vec_id") / 200)).cast("long").alias("record"), "sample", F.when(site < 40, "P").otherwise("H").alias("chain"), site.alias("pos"), (F.col("vec_id") % 7 > 0).alias("ok"),
+        *[at(3 * F.col("sample") + k).alias("p" + c) for k, c in enumerate("xyz")], *[at(F.lit(19 + k)).alias("t" + c) for k, c in enumerate("xyz")],
+    )
+    out = geometry.score_rows(sites, "record", "sample", "chain", "pos", "ok", min_heavy=5, max_peptide=8, groove=100)
+    return out.withColumns({c: F.array_join(F.transform(c, lambda x: F.format_string("%.4f", x)), ",") for c in geometry.SCORES})
 
 
 @query(f"SELECT label, n >= 20 AND lo > 0 AND hi > 0 AS ok, CASE WHEN n < 20 THEN 'contacts' WHEN lo = 0 OR hi = 0 THEN 'halves' END AS review FROM (SELECT l.label, coalesce(contacts, 0) AS n, coalesce(lower, 0) AS lo, coalesce(upper, 0) AS hi FROM (SELECT DISTINCT label FROM embeddings WHERE label <> 0) l LEFT JOIN ({GROOVE_SQL}) USING (label))")
@@ -1023,7 +1103,7 @@ def join_twin_copies(spark, d):
     return geometry.twin_copies(p, "entity", "chain", F.col("chain") < 2).withColumn("dist", F.round("dist", 6))
 
 
-@query("SELECT l_orderkey, h AS heavy, p AS peptide, CASE WHEN h = p OR hn <= 150 OR pn > 30 THEN 'chains do not look like heavy chain + peptide' END AS reason FROM (SELECT l_orderkey, arg_max(l_linenumber, {'n': l_quantity * 4, 'c': l_linenumber}) AS h, max(l_quantity * 4) AS hn, arg_min(l_linenumber, {'n': l_quantity * 4, 'c': l_linenumber}) AS p, min(l_quantity * 4) AS pn FROM lineitem GROUP BY 1)")
+@query("SELECT l_orderkey, h AS heavy, p AS peptide, CASE WHEN h = p OR hn <= 150 OR pn > 30 THEN 'no long chain with a short one' END AS reason FROM (SELECT l_orderkey, arg_max(l_linenumber, {'n': l_quantity * 4, 'c': l_linenumber}) AS h, max(l_quantity * 4) AS hn, arg_min(l_linenumber, {'n': l_quantity * 4, 'c': l_linenumber}) AS p, min(l_quantity * 4) AS pn FROM lineitem GROUP BY 1)")
 def geo_chain_by_length(spark, d):
     return geometry.chain_by_length(t(spark, d, "lineitem").withColumn("n", F.col("l_quantity") * 4), "l_orderkey", "l_linenumber", "n")
 
@@ -1039,19 +1119,19 @@ def point_pairs(spark, d):
     return e.select("label", (F.col("vec_id") % 3 > 0).alias("fit"), *[(F.get("embedding", F.lit(k)).cast("double") * 50).alias(c) for k, c in enumerate(["px", "py", "pz", "tx", "ty", "tz"])])
 
 
-@query()
+@query(f"SELECT label, n, round(rmsd, 6) AS rmsd, round(least(rmsd, rmsd_mirror), 6) AS rmsd_reflect, rmsd > 5 * rmsd_mirror AS mirrored FROM {_fit_sql(_PAIRS_SQL, 'label', 'true')}")
 def geo_superpose_reflect(spark, d):
-    return geometry.superpose_reflect(point_pairs(spark, d), "label")
+    return _rounded(geometry.superpose_reflect(point_pairs(spark, d), "label"), "rmsd", "rmsd_reflect")
 
 
-@query()
+@query(f"SELECT label, a.n AS n_fit, m AS n_scored, CASE WHEN a.n >= 3 THEN round(rmsd, 6) END AS fit_rmsd, CASE WHEN a.n >= 3 THEN round(moved, 6) END AS transfer_rmsd, CASE WHEN a.n < 3 THEN 'too few points' WHEN m > 0 AND moved IS NULL THEN 'fit points on a line' END AS reason FROM {_fit_sql(_PAIRS_SQL, 'label', 'fit')} a JOIN {_transfer_sql(_PAIRS_SQL, 'label', 'fit', 'NOT fit')} USING (label)")
 def geo_transfer_rmsd(spark, d):
-    return geometry.transfer_rmsd(point_pairs(spark, d), "label", "fit")
+    return _rounded(geometry.transfer_rmsd(point_pairs(spark, d), "label", "fit"), "fit_rmsd", "transfer_rmsd")
 
 
-@query()
+@query(f"SELECT label, n, CASE WHEN n >= 3 THEN round(rmsd, 6) END AS deviation, CASE WHEN n >= 3 THEN rmsd > 5 END AS swapped FROM {_fit_sql(_PAIRS_SQL, 'label', 'true')}")
 def geo_truth_deviation(spark, d):
-    return geometry.truth_deviation(point_pairs(spark, d), "label")
+    return _rounded(geometry.truth_deviation(point_pairs(spark, d), "label"), "deviation")
 
 
 @query()
