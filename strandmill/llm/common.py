@@ -4,6 +4,7 @@ vectorised word hashing over whole Arrow string columns."""
 from __future__ import annotations
 
 import gc
+import hashlib
 import tempfile
 import uuid
 
@@ -25,8 +26,9 @@ NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 
-_MUL = np.uint64(0x9E3779B97F4A7C15)
-_POWERS: list[np.ndarray] = []
+_MUL, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Words of more bytes are hashed one by one, by a cryptographic hash.
+LONG_WORD = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,16 +98,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, SLICE_BYTES + SLICE_BYTES // 8)
-        inverse = np.uint64(pow(int(_MUL), -1, 1 << 64))
-        up, down = np.full(n, _MUL), np.full(n, inverse)
-        up[0] = down[0] = 1
-        _POWERS[:] = [np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)]
-    return _POWERS[0], _POWERS[1]
-
-
 def text_slices(batch: pa.RecordBatch, name: str = "text"):
     """(first row, last row, bytes, offsets) of consecutive rows; null counts as empty."""
     col = pc.fill_null(batch.column(batch.schema.get_field_index(name)).cast(pa.large_string()), "")
@@ -121,6 +113,25 @@ def text_slices(batch: pa.RecordBatch, name: str = "text"):
         lo = hi
 
 
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: eight bytes at a time are mixed in by a bijection, so that no sum of
+    powers makes words of one length collide. Two words of up to eight bytes and one length never do."""
+    lens = ends - starts
+    h = mix(lens.astype(np.uint64) * _ADD + _MUL)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,)) if len(data) else np.zeros(1, np.uint64)
+    at = np.flatnonzero(lens <= LONG_WORD)
+    done = 0
+    while len(at := at[lens[at] > done]):
+        rest = np.minimum(lens[at] - done, 8).astype(np.uint64)
+        part = eight[starts[at] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - rest * np.uint64(8)))
+        h[at] = mix((h[at] ^ part) * _MUL + _ADD)
+        done += 8
+    for k in np.flatnonzero(lens > LONG_WORD).tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 class Words:
     """All words of a slice: byte ``starts`` and ``ends``, 64-bit ``hash``, ``doc`` (row in the slice),
     and ``first`` (index of each row's first word, one more at the end)."""
@@ -139,11 +150,7 @@ class Words:
         after[:n] = inside
         after[offs] = after[cuts] = False
         self.ends = np.flatnonzero(inside & ~after[1:]) + 1
-        up, down = _powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * down[self.starts]
-        self.hash = mix(h + (self.ends - self.starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self.hash = hashes(data, self.starts, self.ends)
         self.first = np.searchsorted(self.starts, offs)
         self.doc = np.repeat(np.arange(len(offs) - 1), np.diff(self.first))
 

@@ -70,7 +70,7 @@ def exact_dedup(
 
     Null text counts as empty; empty texts are copies of each other. Of equal texts the smallest
     id stays. Repeated rows (equal id and text) count as copies, and ``kept`` is true for each row
-    with the smallest id. An empty table gives an empty result. Other columns are not read, so
+    with the smallest id. A null id is kept only where its text has no other. An empty table gives an empty result. Other columns are not read, so
     their names cannot clash. ``digest`` replaces the key and the digest of the chain (for tests of
     collisions); texts are compared byte by byte in any case.
     """
@@ -85,7 +85,7 @@ def exact_dedup(
     if not odd.isEmpty():
         out = _regrouped(out, odd)
     return out.select(
-        F.col("id").alias(id_col), "keep_id", "group_size", (F.col("id") == F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"), "depth", "bucket"
+        F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"), "depth", "bucket"
     )
 
 

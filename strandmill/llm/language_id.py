@@ -76,7 +76,8 @@ def _slices(batch: pa.RecordBatch):
 
 
 def held_out(id_col: str, parts: int = 5, held: int = 0) -> Column:
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)) == held
+    """By the id's crc32; a null id is not held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)) == held, F.lit(False))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN_ROWS) -> CodeModel:

@@ -62,10 +62,13 @@ class WordEncoder:
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
 
     def forget(self) -> None:
-        """Words known so far: sorted hashes, and where in ``flat`` the ids of each begin, and how many."""
+        """Words known so far: sorted hashes, their bytes, and where in ``flat`` the ids of each begin, and how many."""
         self.hashes = np.zeros(0, np.uint64)
         self.begin, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        #: the bytes of the known words one after another, and where each begins
+        self.spelt, self.spelt_at = bytearray(), np.zeros(0, np.int64)
+        self.spelt_sizes = np.zeros(0, np.int64)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         plain = [k for k, w in enumerate(words) if MARK not in w]
@@ -101,10 +104,14 @@ class WordEncoder:
         """All ids of a slice of texts, each text followed by END_ID, and where each text begins."""
         w = Words(data, offs, NOT_SPACE, self.cuts(data, offs))
         distinct, at, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
+        if not self.same(data, w, at[inverse]):
+            return self.encode_apart(data, offs, w)
         begin, sizes = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
         place = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
         new = np.ones(len(distinct), bool) if not len(self.hashes) else self.hashes[place] != distinct
         begin[~new], sizes[~new] = self.begin[place[~new]], self.sizes[place[~new]]
+        if not self.spelt_alike(data, w, at[~new], place[~new]):
+            return self.encode_apart(data, offs, w)
         if new.any():
             raw = data.tobytes()
             words = [raw[s:e].decode() for s, e in zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist())]
@@ -117,11 +124,42 @@ class WordEncoder:
             self.hashes = known[order]
             self.begin = np.concatenate([self.begin, begin[new]])[order]
             self.sizes = np.concatenate([self.sizes, sizes[new]])[order]
-        flat = self.flat
+            long = (w.ends - w.starts)[at[new]]
+            self.spelt_at = np.concatenate([self.spelt_at, len(self.spelt) + np.cumsum(long) - long])[order]
+            self.spelt_sizes = np.concatenate([self.spelt_sizes, long])[order]
+            self.spelt += data[multi_arange(w.starts[at[new]], long)].tobytes()
         lens = sizes[inverse]
-        ids = flat[multi_arange(begin[inverse], lens)]
+        ids = self.flat[multi_arange(begin[inverse], lens)]
         if len(self.hashes) > CACHED_WORDS:
             self.forget()
+        return self.ended(ids, lens, w, offs)
+
+    def same(self, data: np.ndarray, w: Words, other: np.ndarray) -> bool:
+        """Whether each word has the bytes of the word ``other``, which has its hash."""
+        lens = w.ends - w.starts
+        if (lens != lens[other]).any():
+            return False
+        return bool((data[multi_arange(w.starts, lens)] == data[multi_arange(w.starts[other], lens)]).all())
+
+    def spelt_alike(self, data: np.ndarray, w: Words, at: np.ndarray, place: np.ndarray) -> bool:
+        """Whether the words ``at`` have the bytes of the known ones at ``place``."""
+        lens = (w.ends - w.starts)[at]
+        if (lens != self.spelt_sizes[place]).any():
+            return False
+        known = np.frombuffer(bytes(self.spelt), np.uint8)
+        return bool((data[multi_arange(w.starts[at], lens)] == known[multi_arange(self.spelt_at[place], lens)]).all())
+
+    def encode_apart(self, data: np.ndarray, offs: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encode`, where two words of one hash differ: words are told apart by their bytes."""
+        raw = data.tobytes()
+        words = [raw[s:e] for s, e in zip(w.starts.tolist(), w.ends.tolist())]
+        known = dict.fromkeys(words)
+        known.update(zip(known, self.encode_words([x.decode() for x in known])))
+        parts = [known[x] for x in words]
+        return self.ended(np.frombuffer(b"".join(parts), np.uint32), np.array([len(p) >> 2 for p in parts], np.int64), w, offs)
+
+    def ended(self, ids: np.ndarray, lens: np.ndarray, w: Words, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each text with END_ID after them, and where each text begins."""
         # a text's ids come after those of the texts before it and their END_IDs
         total = np.concatenate([[0], np.cumsum(lens)])[w.first]
         n = len(offs) - 1

@@ -18,7 +18,7 @@ from .common import ALNUM, LOWER, Words, text_slices
 
 #: Labelled rows that training reads at most (those of smallest id hash).
 MAX_TRAIN_ROWS = 12_000
-#: Words that the model keeps, the most telling of those in ``MIN_ROWS`` training rows or more.
+#: Words that the model keeps, the most telling of those in so many training rows or more.
 MAX_WORDS, MIN_ROWS = 2_000, 5
 CUTS = np.zeros(256, bool)
 CUTS[[10, 33, 46, 63]] = True
@@ -33,7 +33,8 @@ class BagModel:
 
 
 def held_out(id_col: str, parts: int = 4, held: int = 2) -> Column:
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)) == held
+    """By the id's crc32; a null id is not held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)) == held, F.lit(False))
 
 
 def _sentences(data: np.ndarray, offs: np.ndarray):
@@ -71,10 +72,11 @@ def noisy_or(z: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return 1 - np.exp(np.bincount(row, np.log1p(-p), n)), p
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS, passes: int = 150) -> BagModel:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS, passes: int = 150, max_words: int = MAX_WORDS, min_rows: int = MIN_ROWS) -> BagModel:
     """Fit on at most ``max_rows`` rows of ``docs`` with a label (a documented bound, so the numpy
     descent on the driver is bounded too). Null labels are skipped; of repeated labels of one id the
-    largest holds; without labels every text scores 0.1."""
+    largest holds; without labels every text scores 0. The model keeps the ``max_words`` most telling
+    words of those in ``min_rows`` training rows or more (both bound the model, like the rows)."""
     marked = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).alias("y"))
     chosen = marked.orderBy(F.xxhash64("label_id"), "label_id").limit(max_rows)
     got = _features(docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("label_id")), id_col, text_col, "y")
@@ -91,8 +93,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows_of, pos = np.bincount(word, minlength=len(seen)), np.bincount(word, y[of], len(seen))
     base = y.mean()
     z = (pos - rows_of * base) / np.sqrt(rows_of * base * (1 - base) + 1e-9)
-    z[rows_of < MIN_ROWS] = 0
-    kept = np.sort(np.argsort(-np.abs(z), kind="stable")[:MAX_WORDS])
+    z[rows_of < min_rows] = 0
+    kept = np.sort(np.argsort(-np.abs(z), kind="stable")[:max_words])
     index = np.full(len(seen), -1)
     index[kept] = np.arange(len(kept))
     sizes = np.array([int(s.max()) + 1 if len(s) else 1 for s in sents])
