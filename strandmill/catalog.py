@@ -10,8 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions import seq
-from .operators import alignment, geometry, joins, rules, stats, windows
-from .sources import tables
+from .operators import alignment, checks, geometry, joins, rules, stats, windows
+from .sources import json_lines, structures, tables
 from .streaming import metrics
 
 _QUERIES: dict = {}
@@ -170,11 +170,11 @@ def flt_non_sanity(spark, d):
     return e.where(rules.scored(F.col("user_id") % 5 == 0, F.col("user_id"), F.array("value"))).select("event_id", "user_id", "value")
 
 
-@query("SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'drop' WHEN l.quality = 0 THEN 'difficult' WHEN l.doc_id IS NULL THEN 'unseen' WHEN d.n_chars < 500 THEN 'improve' ELSE 'rest' END AS class FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query("SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'drop' WHEN l.quality = 0 THEN 'difficult' WHEN l.doc_id IS NULL THEN 'unseen' WHEN d.n_chars < 500 THEN 'improve' ELSE 'rest' END AS class, CASE WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 0 THEN 'quality 0' WHEN l.doc_id IS NULL THEN 'no label' WHEN d.n_chars < 500 THEN d.n_chars || ' characters' END AS why FROM documents d LEFT JOIN labels l USING (doc_id)")
 def cls_triage(spark, d):
-    x = t(spark, d, "documents").join(t(spark, d, "labels").withColumn("has", F.lit(True)), "doc_id", "left")
-    call = F.when(F.col("toxic") == 1, "drop").when(F.col("quality") == 0, "difficult").when(F.col("has").isNull(), "unseen").when(F.col("n_chars") < 500, "improve").otherwise("rest")
-    return x.select("doc_id", call.alias("class"))
+    short = F.concat(F.col("n_chars").cast("string"), F.lit(" characters"))
+    ordered = [(F.col("toxic") == 1, "drop", F.lit("toxic")), (F.col("quality") == 0, "difficult", F.lit("quality 0")), (~F.col("has_error"), "unseen", F.lit("no label")), (F.col("n_chars") < 500, "improve", short)]
+    return checks.triage(t(spark, d, "documents"), t(spark, d, "labels"), "doc_id", ordered)
 
 
 @query("SELECT l_orderkey, count(*) FILTER (l_quantity > 25) AS n_ok, count(*) FILTER (NOT l_quantity > 25) AS n_dropped FROM lineitem GROUP BY 1")
@@ -263,11 +263,13 @@ def agg_key_presence(spark, d):
     return stats.counter(t(spark, d, "events").select(F.explode(F.json_object_keys("props")).alias("k")), "k")
 
 
-@query("SELECT event_id, user_id, event_type, (CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(json_extract(props, '$.k') AS double) END) AS k, event_id % 10 = 0 AS corrupt FROM events")
+@query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS double) AS k, false AS corrupt FROM events WHERE event_id % 10 <> 0 UNION ALL SELECT NULL, NULL, NULL, true FROM events WHERE event_id % 10 = 0")
 def src_jsonl_tolerant(spark, d):
-    cut = F.when(F.col("event_id") % 10 == 0, F.substring("props", 1, 4)).otherwise(F.col("props"))
-    e = t(spark, d, "events").select("event_id", "user_id", "event_type", F.from_json(cut, "k double, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("p"))
-    return e.select("event_id", "user_id", "event_type", "p.k", F.col("p._corrupt").isNotNull().alias("corrupt"))
+    path = tables.shared_path(spark)
+    line = F.to_json(F.struct("event_id", "user_id", F.get_json_object("props", "$.k").cast("double").alias("k")))
+    t(spark, d, "events").select(F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")).write.text(path)
+    rows, _ = json_lines.read_lines(spark, path, "event_id long, user_id long, k double")
+    return rows.select("event_id", "user_id", "k", F.col("_corrupt").isNotNull().alias("corrupt"))
 
 
 @query("SELECT md5(text) AS h, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -445,11 +447,11 @@ def join_min_distance(spark, d):
     return geometry.min_distance(p.where("label < 3"), p.where("label >= 3"), 6.0)
 
 
-@query("SELECT c_custkey, a, b FROM (SELECT c_custkey, c_nationkey AS a, CASE WHEN c_custkey % 7 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS b FROM customer) WHERE a IS DISTINCT FROM b")
+@query("SELECT c_custkey, a, b, a // 10 IS DISTINCT FROM b // 10 AS changes FROM (SELECT c_custkey, c_nationkey AS a, CASE WHEN c_custkey % 7 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS b FROM customer) WHERE a IS DISTINCT FROM b")
 def join_source_crosscheck(spark, d):
     c = t(spark, d, "customer")
     other = c.select("c_custkey", F.when(F.col("c_custkey") % 7 == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")).alias("c_nationkey"))
-    return joins.source_crosscheck(c, other, "c_custkey", "c_nationkey")
+    return joins.source_crosscheck(c, other, "c_custkey", "c_nationkey", lambda n: F.floor(n / 10))
 
 
 @query("SELECT l_partkey, count(DISTINCT l_orderkey) AS users, array_to_string(list_sort(list_distinct(list(l_orderkey)))[1:3], ',') AS used_by FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) GROUP BY 1")
@@ -459,17 +461,20 @@ def join_reference_exists(spark, d):
 
 @query("SELECT c_custkey AS k FROM customer UNION SELECT o_custkey FROM orders")
 def set_union_ids(spark, d):
-    return t(spark, d, "customer").select(F.col("c_custkey").alias("k")).union(t(spark, d, "orders").select("o_custkey")).distinct()
+    return joins.union_ids(t(spark, d, "customer").withColumnRenamed("c_custkey", "k"), t(spark, d, "orders").withColumnRenamed("o_custkey", "k"), "k")
 
 
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
 def set_difference_ids(spark, d):
-    return t(spark, d, "documents").select("doc_id").subtract(t(spark, d, "labels").select("doc_id"))
+    return joins.difference_ids(t(spark, d, "documents"), t(spark, d, "labels"), "doc_id")
 
 
-@query("SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders")
+@query("SELECT o_custkey, len(list_intersect(list(DISTINCT o_orderkey % 5), list(DISTINCT o_orderkey % 7))) AS shared FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1")
 def set_intersect_ids(spark, d):
-    return t(spark, d, "customer").select(F.col("c_custkey").alias("k")).intersect(t(spark, d, "orders").select("o_custkey"))
+    o = t(spark, d, "orders")
+    both = joins.intersect_ids(t(spark, d, "customer").withColumnRenamed("c_custkey", "o_custkey"), o, "o_custkey")
+    lists = o.groupBy("o_custkey").agg(F.collect_set(F.col("o_orderkey") % 5).alias("a"), F.collect_set(F.col("o_orderkey") % 7).alias("b"))
+    return lists.join(both, "o_custkey").select("o_custkey", joins.overlap(F.col("a"), F.col("b")).cast("long").alias("shared"))
 
 
 # windows and top-k
@@ -506,9 +511,10 @@ def win_islands(spark, d):
     return windows.islands(t(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
 
 
-@query("SELECT user_id, bool_and(ok) AS ok FROM (SELECT user_id, coalesce(value > lag(value) OVER (PARTITION BY user_id ORDER BY event_id), true) AS ok FROM events) GROUP BY 1")
+@query("SELECT user_id, bool_and(ok) AS ok, arg_max(event_id + value, event_id) = max(event_id) + 20 AS end_ok FROM (SELECT user_id, event_id, value, coalesce(value > lag(value) OVER (PARTITION BY user_id ORDER BY event_id), true) AS ok FROM (SELECT user_id, event_id, floor(value) AS value FROM events)) GROUP BY 1")
 def win_monotonic(spark, d):
-    return windows.monotonic(t(spark, d, "events"), "user_id", "event_id", "value")
+    e = t(spark, d, "events").withColumn("value", F.floor("value"))
+    return windows.monotonic(e, "user_id", "event_id", "value", F.col("event_id") + F.col("value"), F.col("event_id") + 20)
 
 
 @query("SELECT event_id, user_id, value FROM (SELECT *, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM events) WHERE p IS NULL OR value > p + 0.05")
@@ -569,10 +575,9 @@ def msa_depth_by_kind(spark, d):
     return stats.depth_by_kind(c, "role", "d")
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS double) AS k FROM events")
+@query("SELECT event_id, key AS name, CAST(json_extract(props, '$.\"' || key || '\"') AS double) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events) WHERE starts_with(key, 'k')")
 def json_dynamic_metrics(spark, d):
-    m = F.map_filter(F.from_json("props", "map<string,double>"), lambda k, v: k.startswith("k"))
-    return t(spark, d, "events").select("event_id", F.try_element_at(m, F.lit("k")).alias("k"))
+    return json_lines.dynamic_metrics(t(spark, d, "events"), "event_id", "props", ("k",), ())
 
 
 @query("SELECT l_orderkey, min(l_quantity) AS min, round(avg(l_quantity), 4) AS mean, max(l_quantity) AS max FROM lineitem GROUP BY 1")
@@ -712,23 +717,34 @@ def src_manifest_array(spark, d):
     return got.select("id", F.size("chains").cast("long").alias("n_chains"), F.aggregate("chains", F.lit(0).cast("long"), lambda a, c: a + c["part"]).alias("parts"))
 
 
-@query("SELECT 'label' || label AS path, label::varchar AS chain, count(*) AS atoms, count(*) FILTER (vec_id % 3 > 0) AS present, round(sum(embedding[CASE WHEN label % 2 = 0 THEN 4 ELSE 1 END]::double), 4) AS sx FROM embeddings GROUP BY label")
+_ENTRY_SQL = "(SELECT vec_id, 'e' || (vec_id // 60) AS path, vec_id % 60 AS i, vec_id // 60 % 2 = 0 AS whole, embedding FROM embeddings)"
+
+
+@query(f"SELECT path, count(DISTINCT i // 20) AS chains, count(DISTINCT i // 5) AS residues, count(*) AS atoms, count(*) FILTER (vec_id % 3 > 0) AS present, round(sum(embedding[CASE WHEN whole THEN 4 ELSE 1 END]::double), 4) AS sx, sum(DISTINCT i // 5 * 5)::bigint AS offsets FROM {_ENTRY_SQL} GROUP BY path")
 def src_structure_ingest(spark, d):
     import io
 
     import numpy as np
     import pandas as pd
 
-    def packed(group):
-        out, e = io.BytesIO(), np.stack(group.embedding.to_numpy())[:, :6].astype(float)
-        label = int(group.label.iloc[0])
-        models = {"models": e[None, :, 3:6] if label % 2 == 0 else e[None, :-1, 3:6]}  # of odd labels the ensemble lacks an atom
-        np.savez(out, chain=group.label.to_numpy().astype(str), residue=group.vec_id.to_numpy() % 190, coords=e[:, :3], present=group.vec_id.to_numpy() % 3 > 0, **models)
-        return pd.DataFrame({"path": [f"label{label}"], "content": [out.getvalue()]})
-
-    files = t(spark, d, "embeddings").groupBy("label").applyInPandas(packed, "path string, content binary")
-    atoms = tables.structure_atoms(files).groupBy("path", "chain")
-    return atoms.agg(F.count("*").alias("atoms"), F.count_if("present").alias("present"), F.round(F.sum("x"), 4).alias("sx"))
+    def packed(group):  # an entry of 60 atoms
+        group = group.sort_values("vec_id")
+        out, e, n = io.BytesIO(), np.stack(group.embedding.to_numpy())[:, :6].astype(float), len(group)
+        no = int(group.vec_id.iloc[0]) // 60
+        runs = lambda size: [(a, min(size, n - a)) for a in range(0, n, size)]
+        chains = np.array([(f"c{a}", True, a, m, a // 5, -(-m // 5)) for a, m in runs(20)], [("name", "U8"), ("present", "?"), *[(f, "<i4") for f in ("atom_idx", "atom_num", "res_idx", "res_num")]])
+        residues = np.array([("GLY", True, a, m) for a, m in runs(5)], [("name", "U3"), ("present", "?"), ("atom_idx", "<i4"), ("atom_num", "<i4")])
+        atoms = np.array([("CA", v % 3 > 0, tuple(x)) for v, x in zip(group.vec_id, e[:, :3])], [("name", "U4"), ("present", "?"), ("coords", "<f8", 3)])
+        model = e[:, 3:6] if no % 2 == 0 else e[:-1, 3:6]  # of odd entries the ensemble lacks an atom
+        coords = np.array([(tuple(x),) for x in model], [("coords", "<f8", 3)])
+        np.savez(out, chains=chains, residues=residues, atoms=atoms, coords=coords, ensemble=np.array([(0, len(model))], [("atom_coord_idx", "<i4"), ("atom_num", "<i4")]))
+        return pd.DataFrame({"path": [f"e{no}"], "content": [out.getvalue()]})
+
+    files = t(spark, d, "embeddings").groupBy(F.floor(F.col("vec_id") / 60)).applyInPandas(packed, "path string, content binary")
+    made = structures.write_structures(files, tables.shared_path(spark))
+    n = lambda kind, *more: made[kind].groupBy("path").agg(F.count("*").alias(kind), *more)
+    atoms = n("atoms", F.count_if("present").alias("present"), F.round(F.sum("x"), 4).alias("sx"))
+    return n("chains").join(n("residues", F.sum("atom_idx").alias("offsets")), "path").join(atoms, "path")
 
 
 @query(f"SELECT CASE split WHEN 'test' THEN 'held' ELSE 'open' END AS side, split, count(*) AS n FROM {SPLITS_SQL} GROUP BY 1, 2")
@@ -785,22 +801,18 @@ def st_append_rows(spark, d):
 @query("SELECT count(*) FILTER (a AND b) AS passed, count(*) AS total FROM (SELECT o_custkey IN (SELECT c_custkey FROM customer) AS a, o_orderkey IN (SELECT l_orderkey FROM lineitem) AS b FROM orders)")
 def chk_provenance(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
-    c = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")).distinct().withColumn("a", F.lit(True))
-    l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("b", F.lit(True))
-    both = o.join(c, "o_custkey", "left").join(l, "o_orderkey", "left")
-    return both.agg(F.count_if(F.col("a") & F.col("b")).alias("passed"), F.count("*").alias("total"))
+    known = o.join(t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")).distinct(), "o_custkey", "left_semi")
+    return checks.summed(checks.provenance(o, "o_orderkey", {"customer": (known, "o_orderkey"), "lineitem": (t(spark, d, "lineitem"), "l_orderkey")}))
 
 
 @query("SELECT count(*) FILTER (ok) AS passed, count(*) AS total FROM (SELECT bool_or(l_returnflag = 'A' AND l_quantity > 10) AS ok FROM lineitem GROUP BY l_orderkey)")
 def chk_role_present(spark, d):
-    ok = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.bool_or((F.col("l_returnflag") == "A") & (F.col("l_quantity") > 10)).alias("ok"))
-    return ok.agg(F.count_if("ok").alias("passed"), F.count("*").alias("total"))
+    return checks.summed(checks.role_present(t(spark, d, "lineitem"), "l_orderkey", "l_returnflag", ["A"], F.col("l_quantity") > 10))
 
 
-@query("SELECT count(*) FILTER (NOT lost) AS passed, count(*) AS total FROM (SELECT doc_id NOT IN (SELECT doc_id FROM documents) AS lost FROM labels)")
+@query("SELECT l_partkey, p_partkey IS NOT NULL AS passed, CASE WHEN p_partkey IS NULL THEN count(DISTINCT l_orderkey) END AS users, CASE WHEN p_partkey IS NULL THEN array_to_string(list_sort(list_distinct(list(l_orderkey)))[1:3], ',') END AS used_by FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 3) ON p_partkey = l_partkey WHERE l_partkey <> 7 GROUP BY l_partkey, p_partkey")
 def chk_references(spark, d):
-    have = t(spark, d, "documents").select("doc_id").distinct().withColumn("has", F.lit(True))
-    return t(spark, d, "labels").join(have, "doc_id", "left").agg(F.count("has").alias("passed"), F.count("*").alias("total"))
+    return checks.references(t(spark, d, "lineitem"), "l_partkey", "l_orderkey", t(spark, d, "part").where("p_size > 3"), "p_partkey", ("", "-1", "7"))
 
 
 @query(f"SELECT o_orderpriority, o_custkey FROM {SPLITS_SQL} GROUP BY 1, 2 HAVING count(DISTINCT split) > 1")
@@ -809,11 +821,11 @@ def chk_leakage(spark, d):
     return g.where("lo <> hi").select("o_orderpriority", "o_custkey")
 
 
-@query("SELECT count(*) = count(DISTINCT event_id) AND count(event_id) = count(*) AS ids_ok, count(*) FILTER (value >= 0 AND value < 30) AS in_range, count(*) AS total FROM events")
+@query("""WITH e AS (SELECT * FROM events WHERE user_id % 5 <> 0), c AS (SELECT count(*) AS n, count(*) - count(DISTINCT event_id) AS twice, count(*) FILTER (NOT (value >= 0 AND value < 30 AND value / 2 < 30 AND value - 1 >= 0)) AS bad FROM e)
+ SELECT unnest(['count', 'ids', 'values']) AS "check", unnest([n = 7976, twice = 0, bad = 0]) AS passed, unnest([n, twice, bad]) AS found FROM c""")
 def chk_eval_rows(spark, d):
-    e = t(spark, d, "events")
-    ids = (F.count("*") == F.count_distinct("event_id")) & (F.count("event_id") == F.count("*"))
-    return e.agg(ids.alias("ids_ok"), F.count_if((F.col("value") >= 0) & (F.col("value") < 30)).alias("in_range"), F.count("*").alias("total"))
+    e = t(spark, d, "events").withColumns({"v": F.array(F.col("value"), F.col("value") / 2, F.col("value") - 1), "sanity": F.col("user_id") % 5 == 0})
+    return checks.eval_rows(e, "event_id", "v", "sanity", 7976)
 
 
 # further joins and geometry
@@ -825,12 +837,11 @@ def join_exact_sequence(spark, d):
     return tables.last_wins(t(spark, d, "customer").select("c_custkey"), o, ["c_custkey"], "o_orderkey")
 
 
-@query("SELECT round(avg((list_contains(u, user_id % 7))::int), 6) AS rate, count(*) AS n FROM events JOIN (SELECT event_type, list(DISTINCT event_id % 7) AS u FROM events WHERE value > 30 GROUP BY 1) USING (event_type)")
+@query("SELECT round(avg((list_contains(u, user_id % 7))::int), 6) AS rate, count(*) FILTER (list_contains(u, user_id % 7)) AS n_match, count(*) AS n FROM events JOIN (SELECT event_type, list(DISTINCT event_id % 7) AS u FROM events WHERE value > 30 GROUP BY 1) USING (event_type)")
 def join_name_crosscheck(spark, d):
     e = t(spark, d, "events")
     ids = e.where("value > 30").groupBy("event_type").agg(F.collect_set(F.col("event_id") % 7).alias("u"))
-    hit = F.array_contains("u", F.col("user_id") % 7).cast("int")
-    return e.join(ids, "event_type").agg(F.round(F.avg(hit), 6).alias("rate"), F.count("*").alias("n"))
+    return joins.name_crosscheck(e.join(ids, "event_type"), F.col("user_id") % 7, "u").withColumn("rate", F.round("rate", 6))
 
 
 GROOVE_SQL = f"SELECT b.label, count(*) AS contacts, count(DISTINCT a.id % 190) FILTER (a.id % 190 < 90) AS lower, count(DISTINCT a.id % 190) FILTER (a.id % 190 >= 90) AS upper FROM {POINTS_SQL} a, {POINTS_SQL} b WHERE a.label = 0 AND b.label <> 0 AND (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 20.25 GROUP BY 1"
@@ -1026,17 +1037,44 @@ def chk_connected(spark, d):
     return kept.join(lost, "label", "left").agg(F.count_if(F.col("lost").isNull()).alias("passed"), F.count("*").alias("total"))
 
 
-@query("SELECT count(*) FILTER (n = hi AND n = k AND lo = 1) AS passed, count(*) AS total FROM (SELECT count(*) AS n, count(DISTINCT l_linenumber) AS k, min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM lineitem GROUP BY l_orderkey)")
+_CHAINS_SQL = """c AS (SELECT k, row_number() OVER w - 1 AS i, CASE WHEN k % 5 = 0 THEN -l ELSE l END AS number, kept, q AS atom_num, coalesce(sum(q) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS atom_idx
+ FROM (SELECT l_orderkey AS k, l_linenumber AS l, bool_or(l_returnflag <> 'N') AS kept, sum(l_quantity)::bigint AS q FROM lineitem GROUP BY 1, 2) WINDOW w AS (PARTITION BY k ORDER BY l)),
+ s AS (SELECT k, count(*) + (k % 13 = 0)::int AS n_mask, list(i + 99 * (k % 7 = 0)::int) FILTER (kept) AS keep, sum(atom_num) + (k % 9 = 0)::int AS n_atoms, count(*) + (k % 11 = 0)::int AS n_residues FROM c GROUP BY k)"""
+
+
+@query(f"""WITH {_CHAINS_SQL}, r AS (SELECT k, bool_and(coalesce(number > before, true)) AS rise FROM (SELECT k, number, lag(number) OVER (PARTITION BY k ORDER BY i) AS before FROM c WHERE kept) GROUP BY 1),
+ g AS (SELECT k, count(*) AS n, count(*) FILTER (kept) AS n_kept, arg_max(atom_idx + atom_num, i) AS atoms, max(i) + 1 AS res FROM c GROUP BY 1),
+ o AS (SELECT k, n_mask = n AS count_ok, n_kept = coalesce(len(keep), 0) AND len(list_filter(coalesce(keep, []), lambda x: x < 0 OR x >= n)) = 0 AS keep_ok, coalesce(rise, true) AS order_ok, atoms = n_atoms AS atoms_ok, res = n_residues AS residues_ok FROM s JOIN g USING (k) LEFT JOIN r USING (k))
+ SELECT *, count_ok AND keep_ok AND order_ok AND atoms_ok AND residues_ok AS passed FROM o""")
 def chk_integrity(spark, d):
-    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_distinct("l_linenumber").alias("k"), F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
-    return g.agg(F.count_if((F.col("n") == F.col("hi")) & (F.col("n") == F.col("k")) & (F.col("lo") == 1)).alias("passed"), F.count("*").alias("total"))
+    lines = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("l"))
+    c = lines.agg(F.bool_or(F.col("l_returnflag") != "N").alias("kept"), F.sum("l_quantity").cast("long").alias("atom_num"))
+    w = Window.partitionBy("k").orderBy("l")
+    before = F.coalesce(F.sum("atom_num").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    i = F.row_number().over(w) - 1
+    c = c.withColumns({"i": i, "number": F.when(F.col("k") % 5 == 0, -F.col("l")).otherwise(F.col("l")), "atom_idx": before, "res_idx": i, "res_num": F.lit(1)})
+    one = lambda n: F.when(F.col("k") % n == 0, 1).otherwise(0)
+    keep = F.collect_list(F.when(F.col("kept"), F.col("i") + 99 * one(7)))
+    s = c.groupBy("k").agg((F.count("*") + one(13)).alias("n_mask"), keep.alias("keep"), (F.sum("atom_num") + one(9)).alias("n_atoms"), (F.count("*") + one(11)).alias("n_residues"))
+    return checks.integrity(c, s, "k", "i", "number", "kept")
+
 
+_KEPT3_SQL = """(SELECT l_orderkey, coalesce(list_sort(list_distinct(list(i) FILTER (l_returnflag <> 'N'))), []) AS keep, coalesce(list_sort(list_distinct(list(i) FILTER (l_linestatus = 'F'))), []) AS mask,
+ coalesce(list_sort(list_distinct(list(i) FILTER (l_returnflag <> 'N' AND l_quantity > 2))), []) AS valid, list({'i': i, 'v': (l_returnflag <> 'N') <> (l_quantity > 49)}) AS itf FROM (SELECT *, l_linenumber - 1 AS i FROM lineitem) GROUP BY 1)"""
 
-@query("SELECT count(*) FILTER (a = b) AS passed, count(*) AS total FROM (SELECT coalesce(list(l_linenumber ORDER BY l_linenumber) FILTER (l_returnflag <> 'N'), []) AS a, coalesce(list(l_linenumber ORDER BY l_linenumber) FILTER (l_linestatus = 'F'), []) AS b FROM lineitem GROUP BY l_orderkey)")
+
+@query(f"SELECT l_orderkey, keep = mask AS mask_ok, keep = valid AS chains_ok, ok AS interfaces_ok, keep = mask AND keep = valid AND ok AS passed FROM (SELECT *, len(list_filter(itf, lambda x: x.v <> list_contains(keep, x.i))) = 0 AS ok FROM {_KEPT3_SQL})")
 def chk_flag_consistency(spark, d):
-    kept = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("l_linenumber"))))
-    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(kept(F.col("l_returnflag") != "N").alias("a"), kept(F.col("l_linestatus") == "F").alias("b"))
-    return g.agg(F.count_if(F.col("a") == F.col("b")).alias("passed"), F.count("*").alias("total"))
+    l = t(spark, d, "lineitem").withColumn("i", (F.col("l_linenumber") - 1).cast("int"))
+    lists = lambda c: F.collect_set(F.when(c, F.col("i")))
+    kept = F.col("l_returnflag") != "N"
+    g = l.groupBy("l_orderkey").agg(
+        lists(kept).alias("keep"), lists(F.col("l_linestatus") == "F").alias("m"),
+        F.collect_list(F.struct(F.col("i").alias("chain_id"), (kept & (F.col("l_quantity") > 2)).alias("valid"))).alias("chains"),
+        F.collect_list(F.struct(F.col("i").alias("chain_1"), F.col("i").alias("chain_2"), (kept != (F.col("l_quantity") > 49)).alias("valid"))).alias("interfaces"),
+    )
+    mask = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.array_contains("m", i))
+    return checks.flag_consistency(g.withColumn("mask", mask), "l_orderkey", "keep", "mask", "chains", "interfaces")
 
 
 _CAPS = [8, 4, 2, 1]

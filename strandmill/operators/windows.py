@@ -8,6 +8,8 @@ has chunks, and nothing is run or stored before the result is asked for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +35,10 @@ def chunk_of(df: DataFrame, order: str, chunk: Column | None = None) -> Column:
     return F.lit(0).cast("long")
 
 
+def all_of(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def best_pair(pairs: DataFrame, entry: str, order: list[Column]) -> DataFrame:
     return pairs.withColumn("__r", F.row_number().over(W.partitionBy(entry).orderBy(*order))).where("__r = 1").drop("__r")
 
