@@ -191,11 +191,14 @@ def flt_record_quality(spark, d):
     return o.join(n, F.col("l_orderkey") == F.col("o_orderkey")).where(F.col("n").between(2, 6)).select("o_orderkey")
 
 
-@query("SELECT l_orderkey, count(*) FILTER (l_linenumber IN (1,3)) AS n_valid, count(*) FILTER (l_linenumber NOT IN (1,3)) AS n_invalid FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, count(*) FILTER (l_linenumber IN (1,3)) AS n_valid, count(*) FILTER (l_linenumber NOT IN (1,3)) AS n_invalid, count(*) FILTER (l_linenumber IN (1,3) AND l_suppkey % 4 IN (1,3)) AS n_interfaces FROM lineitem GROUP BY 1")
 def prj_valid_flags(spark, d):
-    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber")).alias("items"))
-    v = nested.select("l_orderkey", rules.valid_flags(F.col("items"), F.array(F.lit(1), F.lit(3)), "l_linenumber").alias("v"))
-    return v.select("l_orderkey", F.size(F.filter("v", lambda x: x["valid"])).cast("long").alias("n_valid"), F.size(F.filter("v", lambda x: ~x["valid"])).cast("long").alias("n_invalid"))
+    ends = F.struct(F.col("l_linenumber").cast("long").alias("chain_1"), (F.col("l_suppkey") % 4).cast("long").alias("chain_2"))
+    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber")).alias("items"), F.collect_list(ends).alias("interfaces"))
+    keep = F.array(F.lit(1), F.lit(3))
+    v = nested.select("l_orderkey", rules.valid_flags(F.col("items"), keep, "l_linenumber").alias("v"), rules.valid_interfaces(F.col("interfaces"), keep.cast("array<long>")).alias("i"))
+    n = lambda c, want: F.size(F.filter(c, lambda x: x["valid"] == want)).cast("long")
+    return v.select("l_orderkey", n("v", True).alias("n_valid"), n("v", False).alias("n_invalid"), n("i", True).alias("n_interfaces"))
 
 
 @query("SELECT p_partkey, array_to_string(list_transform(range(0, p_size), lambda i: CASE WHEN i IN (0, 2, 5) THEN '1' ELSE '0' END), '') AS mask FROM part")
@@ -394,15 +397,17 @@ def agg_cohort_cut(spark, d):
     return stats.median_mean(t(spark, d, "events").select(F.explode(cohorts).alias("cohort"), "value"), "cohort", "value")
 
 
-@query("SELECT l_returnflag, l_linestatus, count(*) AS n, sum(CASE WHEN l_quantity > 10 THEN 1 ELSE 0 END)::bigint AS n_valid FROM lineitem GROUP BY 1, 2")
+@query("SELECT count(*) FILTER (l_quantity > 10) AS chains_valid, count(*) FILTER (l_quantity <= 10) AS chains_invalid, count(*) FILTER (l_returnflag = 'A') AS interfaces_valid, count(*) FILTER (l_returnflag <> 'A') AS interfaces_invalid FROM lineitem")
 def agg_valid_totals(spark, d):
-    return t(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.count_if(F.col("l_quantity") > 10).alias("n_valid"))
+    lists = {"chains": F.col("l_quantity") > 10, "interfaces": F.col("l_returnflag") == "A"}
+    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(*[F.collect_list(F.struct("l_linenumber", c.alias("valid"))).alias(k) for k, c in lists.items()])
+    return stats.valid_totals(g, {k: k for k in lists})
 
 
 @query("SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey <> -1")
 def agg_distinct_refs(spark, d):
-    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("refs"))
-    return nested.select(F.explode("refs").alias("l_partkey")).where("l_partkey is not null and l_partkey <> -1").distinct()
+    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_partkey")).alias("refs"))
+    return stats.distinct_refs(nested, "refs", "l_partkey")
 
 
 # joins and sets
@@ -524,7 +529,7 @@ def win_high_water(spark, d):
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 6")
 def top_hardest(spark, d):
-    return t(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(6).select("o_orderkey", "o_totalprice")
+    return stats.top_rows(t(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
 
 
 @query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey DESC LIMIT 6")
@@ -580,11 +585,11 @@ def json_dynamic_metrics(spark, d):
     return json_lines.dynamic_metrics(t(spark, d, "events"), "event_id", "props", ("k",), ())
 
 
-@query("SELECT l_orderkey, min(l_quantity) AS min, round(avg(l_quantity), 4) AS mean, max(l_quantity) AS max FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, min(l_quantity) AS min, round(avg(l_quantity), 4) AS mean, arg_min(l_quantity, (l_linenumber, l_quantity)) AS first FROM lineitem GROUP BY 1")
 def arr_sample_stats(spark, d):
-    a = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_quantity").alias("v"))
-    mean = F.aggregate("v", F.lit(0.0), lambda s, x: s + x) / F.size("v")
-    return a.select("l_orderkey", F.array_min("v").alias("min"), F.round(mean, 4).alias("mean"), F.array_max("v").alias("max"))
+    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity")))
+    a = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.transform(ordered, lambda x: x["l_quantity"]).alias("v"))
+    return a.select("l_orderkey", stats.sample_stats(F.col("v")).alias("s")).select("l_orderkey", "s.*")
 
 
 # geometry
@@ -673,10 +678,12 @@ def schema_conform(spark, d):
     return tables.conform(t(spark, d, "orders"), target)
 
 
-@query("SELECT l_orderkey, l_linenumber, upper(l_returnflag) AS flag FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, upper(l_returnflag || l_linestatus) AS seq, 2 AS length, array_to_string(CASE WHEN l_suppkey % 2 = 0 THEN ['a', 'b'] ELSE ['b'] END, ',') AS accessions FROM lineitem")
 def src_nested_metadata(spark, d):
-    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_returnflag")).alias("items"))
-    return tables.flatten(nested, "l_orderkey", "items").select("l_orderkey", "l_linenumber", F.upper("l_returnflag").alias("flag"))
+    names = F.when(F.col("l_suppkey") % 2 == 0, F.array(F.lit("b"), F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("b"), F.lit(None).cast("string")))
+    item = F.struct("l_linenumber", F.concat(F.lower("l_returnflag"), F.lit("\n"), "l_linestatus").alias("seq"), names.alias("accessions"))
+    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
+    return tables.polymer_entities(nested, "l_orderkey", "items", "seq", ("accessions",)).withColumn("accessions", F.array_join("accessions", ","))
 
 
 @query("SELECT o_orderkey AS name, m.o AS \"offset\", m.s AS size, m IS NOT NULL AS found FROM orders LEFT JOIN (SELECT l_orderkey, max({'f': l_linenumber, 'o': l_partkey, 's': l_suppkey}) AS m FROM lineitem WHERE l_quantity > 25 GROUP BY 1) ON l_orderkey = o_orderkey")
@@ -831,12 +838,6 @@ def chk_eval_rows(spark, d):
 # further joins and geometry
 
 
-@query("SELECT c_custkey, o_orderkey, o_totalprice FROM customer JOIN (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) ON o_custkey = c_custkey WHERE r = 1")
-def join_exact_sequence(spark, d):
-    o = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
-    return tables.last_wins(t(spark, d, "customer").select("c_custkey"), o, ["c_custkey"], "o_orderkey")
-
-
 @query("SELECT round(avg((list_contains(u, user_id % 7))::int), 6) AS rate, count(*) FILTER (list_contains(u, user_id % 7)) AS n_match, count(*) AS n FROM events JOIN (SELECT event_type, list(DISTINCT event_id % 7) AS u FROM events WHERE value > 30 GROUP BY 1) USING (event_type)")
 def join_name_crosscheck(spark, d):
     e = t(spark, d, "events")
@@ -886,6 +887,11 @@ def _sequences(spark, d):
     return s.where("o % 10 <> 0"), s.where("o % 10 = 0").select("entry", F.col("o").alias("ent"), "seq")
 
 
+@query(f"WITH {_SEQS_SQL} SELECT c.o, c.entry, c.seq, e.ent FROM s c JOIN (SELECT entry, seq, max(o) AS ent FROM s WHERE o % 10 = 0 GROUP BY 1, 2) e USING (entry, seq) WHERE c.o % 10 <> 0")
+def join_exact_sequence(spark, d):
+    return joins.exact_sequence(*_sequences(spark, d), "entry", "seq", "ent")
+
+
 @query(f"WITH {_STAGES_SQL} SELECT entry, x, ent, round(v, 6) AS value FROM b")
 def join_wildcard_sequence(spark, d):
     x, e = alignment._sequences(*_sequences(spark, d), "entry", "seq", "ent")
@@ -947,17 +953,18 @@ def agg_progress_buckets(spark, d):
     return out.withColumns({"mean": F.round("mean", 6), "secs": F.round("secs", 6)})
 
 
-@query("""WITH s AS (SELECT event_type, user_id, event_id, CASE WHEN value > 5 THEN value END AS v FROM events),
- r AS (SELECT user_id, avg(value) AS ref FROM events GROUP BY 1),
- p AS (SELECT event_type, user_id, min(v) AS best, avg(v) AS m, min_by(coalesce(v, -1), event_id) AS first, any_value(ref) AS ref FROM s LEFT JOIN r USING (user_id) GROUP BY 1, 2)
- SELECT event_type, round(pooled, 6) AS pooled_median, round(mean, 6) AS mean, ok, failed, round(fm, 6) AS first_median, round(bm, 6) AS best_median, round(dm, 6) AS delta
- FROM (SELECT event_type, quantile_cont(v, .5) AS pooled, avg(v) AS mean FROM s GROUP BY 1)
- JOIN (SELECT event_type, count(m) AS ok, count(*) FILTER (m IS NULL) AS failed, quantile_cont(nullif(first, -1), .5) AS fm, quantile_cont(best, .5) AS bm, quantile_cont(m - ref, .5) AS dm FROM p GROUP BY 1) USING (event_type)""")
+@query("""WITH s AS (SELECT event_type, user_id, event_id, event_id % 97 = 0 AS odd, CASE WHEN value > 5 AND event_id % 97 <> 0 THEN value END AS v, value > 90 AS swap FROM events),
+ r AS (SELECT user_id, avg(value) AS ref FROM events WHERE user_id % 10 <> 0 GROUP BY 1),
+ p AS (SELECT event_type, user_id, min(v) AS best, avg(v) AS m, min_by(coalesce(v, -1), event_id) AS first, any_value(ref) AS ref, count(*) FILTER (odd OR v IS NOT NULL) AS filled FROM s LEFT JOIN r USING (user_id) GROUP BY 1, 2)
+ SELECT event_type, round(pooled, 6) AS pooled_median, round(mean, 6) AS mean, ok, failed, round(fm, 6) AS first_median, round(bm, 6) AS best_median, non_finite, swaps, paired, improved, round(dm, 6) AS delta
+ FROM (SELECT event_type, quantile_cont(v, .5) AS pooled, avg(v) AS mean, count(*) FILTER (odd) AS non_finite, count(*) FILTER (swap) AS swaps FROM s GROUP BY 1)
+ JOIN (SELECT event_type, count(*) FILTER (filled > 0) AS ok, count(*) FILTER (filled = 0) AS failed, quantile_cont(nullif(first, -1), .5) AS fm, quantile_cont(best, .5) AS bm, quantile_cont(m - ref, .5) AS dm, count(m - ref) AS paired, count(*) FILTER (m < ref) AS improved FROM p GROUP BY 1) USING (event_type)""")
 def agg_validation_curve(spark, d):
     e = t(spark, d, "events")
-    samples = e.select("event_type", "user_id", "event_id", F.when(F.col("value") > 5, F.col("value")).alias("v"))
-    out = stats.validation_curve(samples, e.groupBy("user_id").agg(F.avg("value").alias("ref")), "event_type", "user_id", "event_id", "v")
-    return out.withColumns({c: F.round(c, 6) for c in ("pooled_median", "mean", "first_median", "best_median", "delta")})
+    v = F.when(F.col("event_id") % 97 == 0, F.when(F.col("event_id") % 2 == 0, float("nan")).otherwise(float("inf"))).when(F.col("value") > 5, F.col("value"))
+    samples = e.select("event_type", "user_id", "event_id", v.alias("v"), "value")
+    out = stats.validation_curve(samples, e.where("user_id % 10 <> 0").groupBy("user_id").agg(F.avg("value").alias("ref")), "event_type", "user_id", "event_id", "v", "value", 90.0)
+    return _rounded(out, "pooled_median", "mean", "first_median", "best_median", "delta")
 
 
 _RECORDS_SQL = "(SELECT event_type, user_id, avg(value) AS m, user_id % 3 = 0 AS held, (user_id % 4)::varchar AS bucket FROM events GROUP BY 1, 2)"
@@ -969,22 +976,35 @@ def _records(spark, d):
     return r.withColumns({"held": F.col("user_id") % 3 == 0, "bucket": (F.col("user_id") % 4).cast("string")})
 
 
-@query(f"SELECT event_type, count(m) AS n, round(quantile_cont(m, .5), 6) AS median, round(quantile_cont(m, .5) FILTER (held), 6) AS held_median, {', '.join(f'''round(quantile_cont(m, .5) FILTER (bucket = '{b}'), 6) AS m_{b}''' for b in _BUCKETS)} FROM {_RECORDS_SQL} GROUP BY 1")
+@query(f"""WITH e AS (SELECT *, user_id % 3 = 0 AS held, (user_id % 4)::varchar AS bucket FROM events), r AS (SELECT user_id, avg(value) AS ref FROM events WHERE user_id % 10 <> 0 GROUP BY 1),
+ p AS (SELECT event_type, user_id, avg(value) AS m, arg_min(value, event_id) AS first, any_value(held) AS held, any_value(ref) AS ref FROM e LEFT JOIN r USING (user_id) GROUP BY 1, 2)
+ SELECT * FROM (SELECT event_type, round(avg(value), 6) AS mean, round(quantile_cont(value, .5), 6) AS median, {', '.join(f"round(quantile_cont(value, .5) FILTER (bucket = '{b}'), 6) AS m_{b}" for b in _BUCKETS)} FROM e GROUP BY 1)
+ JOIN (SELECT event_type, count(*) AS n, count(*) FILTER (m < ref) AS improved, count(m - ref) AS paired, count(*) FILTER (m < ref AND held) AS held_improved, count(m - ref) FILTER (held) AS held_paired,
+   round(quantile_cont(first, .5), 6) AS first_median, round(quantile_cont(m - ref, .5), 6) AS delta, round(quantile_cont(m - ref, .5) FILTER (held), 6) AS held_delta FROM p GROUP BY 1) USING (event_type)""")
 def agg_eval_table(spark, d):
-    out = stats.eval_table(_records(spark, d), "event_type", "m", "held", "bucket", _BUCKETS)
-    return out.withColumns({c: F.round(c, 6) for c in out.columns if c not in ("event_type", "n")})
+    e = t(spark, d, "events").withColumns({"held": F.col("user_id") % 3 == 0, "bucket": (F.col("user_id") % 4).cast("string")})
+    ref = e.where("user_id % 10 <> 0").groupBy("user_id").agg(F.avg("value").alias("ref"))
+    out = stats.eval_table(e, ref, "event_type", "user_id", "event_id", "value", "held", "bucket", _BUCKETS)
+    return _rounded(out, "mean", "median", "first_median", "delta", "held_delta", *[f"m_{b}" for b in _BUCKETS])
+
 
+_RUNS = ['click', 'error', 'purchase', 'signup', 'view']  # of the SQL; the query finds them in the table
 
-@query(f"SELECT bucket, round(quantile_cont(m, .5) FILTER (event_type = 'click'), 6) AS click, round(quantile_cont(m, .5) FILTER (event_type = 'view'), 6) AS view FROM {_RECORDS_SQL} GROUP BY 1")
+
+@query(f"SELECT bucket, {', '.join(f"round(quantile_cont(m, .5) FILTER (event_type = '{r}'), 6) AS {r}" for r in _RUNS)} FROM {_RECORDS_SQL} GROUP BY 1")
 def agg_bucket_pivot(spark, d):
-    out = stats.bucket_pivot(_records(spark, d), "bucket", "event_type", "m", ["click", "view"])
-    return out.withColumns({c: F.round(c, 6) for c in ("click", "view")})
+    r = _records(spark, d)
+    runs = stats.distinct_runs(r, "event_type")
+    return _rounded(stats.bucket_pivot(r, "bucket", "event_type", "m", runs), *runs)
 
 
-@query("SELECT event_type, user_id, round(avg(value), 6) AS mean, count(value) AS n FROM events GROUP BY 1, 2")
+@query("""WITH m AS (SELECT event_type, user_id, avg(value) AS mean FROM events GROUP BY 1, 2), p AS (SELECT a.event_type, a.mean - b.mean AS d FROM m a JOIN m b USING (user_id) WHERE b.event_type = 'click' AND a.event_type <> 'click' AND a.mean IS NOT NULL AND b.mean IS NOT NULL)
+ SELECT event_type, count(*) AS paired, count(*) FILTER (d < 0) AS improved, round(quantile_cont(d, .5), 6) AS delta,
+ round(least(1.0, 2 * list_sum(list_transform(range(0, least(count(*) FILTER (d < 0), count(*) FILTER (d >= 0)) + 1), lambda i: exp(lgamma(count(*) + 1) - lgamma(i + 1) - lgamma(count(*) - i + 1) - count(*) * ln(2))))), 6) AS p FROM p GROUP BY 1""")
 def agg_pooled_draws(spark, d):
     e = t(spark, d, "events")
-    return stats.pooled_draws([e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1")], "event_type", "user_id", "value").withColumn("mean", F.round("mean", 6))
+    pooled = stats.pooled_draws([e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1")], "event_type", "user_id", "value")
+    return _rounded(stats.compare_arms(pooled, "event_type", "user_id", "click"), "delta", "p")
 
 
 # scores, further checks and sinks
@@ -1110,11 +1130,11 @@ def win_best_partner(spark, d):
     return windows.best_partner(t(spark, d, "lineitem").withColumn("n", F.col("l_quantity") - 25), "l_orderkey", "l_partkey", "n")
 
 
-@query("SELECT user_id, round(avg(value) FILTER (event_type = 'click'), 6) AS click, round(avg(value) FILTER (event_type = 'view'), 6) AS view, round(avg(value) FILTER (event_type = 'error'), 6) AS error FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 1")
+@query(f"SELECT user_id, {', '.join(f"round(avg(value) FILTER (event_type = '{r}'), 6) AS {r}" for r in _RUNS)} FROM events GROUP BY 1")
 def ord_record_table(spark, d):
-    runs = ["click", "view", "error"]
-    rows = t(spark, d, "events").where(F.col("event_type").isin(runs))
-    return stats.record_table(rows, "user_id", "event_type", "value", runs, "click").withColumns({c: F.round(c, 6) for c in runs})
+    e = t(spark, d, "events")
+    runs = stats.distinct_runs(e, "event_type")
+    return _rounded(stats.record_table(e, "user_id", "event_type", "value", runs, runs[0]), *runs)
 
 
 @query("SELECT metric, weight, want FROM (SELECT l_returnflag || l_linestatus AS metric, count(*) AS want, count(*) FILTER (l_quantity < 50) AS weight FROM lineitem GROUP BY 1) WHERE weight <> want")

@@ -30,6 +30,11 @@ def wildcard_identity(a: Column, b: Column) -> Column:
     return F.when((F.length(a) == F.length(b)) & (F.size(used) > 0), same / F.size(used))
 
 
+def clean(s: Column) -> Column:
+    """A sequence as metadata should have it: without line ends and blanks, in upper case."""
+    return F.upper(F.regexp_replace(s, r"\s+", ""))
+
+
 def prefix_identity(a: Column, b: Column) -> Column:
     """Identity over the common length of both strings' beginnings; null if either is empty."""
     n = F.least(F.length(a), F.length(b))

@@ -78,6 +78,11 @@ def valid_flags(items: Column, keep: Column, key: str) -> Column:
     return F.transform(items, lambda c: c.withField("valid", F.array_contains(keep, c[key])))
 
 
+def valid_interfaces(items: Column, keep: Column, a: str = "chain_1", b: str = "chain_2") -> Column:
+    """Each nested interface with ``valid`` set to whether both its ends are among those kept."""
+    return F.transform(items, lambda i: i.withField("valid", F.coalesce(F.array_contains(keep, i[a]) & F.array_contains(keep, i[b]), F.lit(False))))
+
+
 def bool_mask(n: Column, keep: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_contains(keep, i.cast("int")))).otherwise(F.array().cast("array<boolean>"))
 

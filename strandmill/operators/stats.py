@@ -211,25 +211,55 @@ def progress_buckets(df: DataFrame, step: str, value: str, rate: str, secs: str)
     return ranks.same_groups(out, ranks.medians(rows, ["bucket"], {"secs": F.col(secs)}), ["bucket"])
 
 
-def validation_curve(samples: DataFrame, reference: DataFrame, step: str, record: str, sample: str, value: str) -> DataFrame:
-    """For each step: records with values and without, the pooled median, the medians of the first
-    and the best sample of a record, the mean, and the median difference of record means to
-    ``reference`` (record, ref)."""
-    per = samples.groupBy(step, record).agg(F.min(value).alias("best"), F.avg(value).alias("m"), F.min_by(value, sample).alias("first")).join(reference, record, "left")
-    records = per.groupBy(step).agg(F.count("m").alias("ok"), F.count_if(F.col("m").isNull()).alias("failed"))
-    middle = ranks.medians(per, [step], {"first_median": F.col("first"), "best_median": F.col("best"), "delta": F.col("m") - F.col("ref")})
-    pooled = ranks.medians(samples, [step], {"pooled_median": F.col(value)})
-    out = samples.groupBy(step).agg(F.avg(value).alias("mean"))
+def _finite(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
+def distinct_runs(rows: DataFrame, run: str, most: int = 1000) -> list:
+    """The names of the runs, in order, for the columns of a pivot. More than ``most`` is an error: a
+    table cannot have so many columns."""
+    found = [r[0] for r in rows.where(F.col(run).isNotNull()).select(run).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} runs")
+    return sorted(found)
+
+
+def validation_curve(samples: DataFrame, reference: DataFrame, step: str, record: str, sample: str, value: str, deviation: str | None = None, limit: float = 5.0) -> DataFrame:
+    """For each step: the pooled median, the medians of the first and the best sample of a record, the
+    mean, records with values (ok) and without (failed), values that are no finite number, swaps
+    (``deviation`` above ``limit``), and against ``reference`` (record, ref): records in both (paired),
+    how many have a lower mean (improved), and the median difference of record means (delta).
+
+    Only finite values enter medians and means; a null value is none, not a failure to be finite."""
+    x = F.col(value).cast("double")
+    rows = samples.withColumns({"__v": F.when(_finite(x), x), "__odd": x.isNotNull() & ~_finite(x), "__swap": F.lit(False) if deviation is None else F.coalesce(F.col(deviation) > limit, F.lit(False))})
+    first = F.min_by(F.struct("__v"), sample)["__v"]
+    per = rows.groupBy(step, record).agg(F.min("__v").alias("best"), F.avg("__v").alias("m"), first.alias("first"), F.count(value).alias("__some")).join(reference, record, "left")
+    per = per.withColumn("__d", F.col("m") - F.col("ref"))
+    records = per.groupBy(step).agg(F.count_if(F.col("__some") > 0).alias("ok"), F.count_if(F.col("__some") == 0).alias("failed"), F.count("__d").alias("paired"), F.count_if(F.col("__d") < 0).alias("improved"))
+    middle = ranks.medians(per, [step], {"first_median": F.col("first"), "best_median": F.col("best"), "delta": F.col("__d")})
+    pooled = ranks.medians(rows, [step], {"pooled_median": F.col("__v")})
+    out = rows.groupBy(step).agg(F.avg("__v").alias("mean"), F.count_if("__odd").alias("non_finite"), F.count_if("__swap").alias("swaps"))
     for part in (pooled, records, middle):
         out = ranks.same_groups(out, part, [step])
-    return out.select(step, "pooled_median", "mean", "ok", "failed", "first_median", "best_median", "delta")
-
-
-def eval_table(records: DataFrame, run: str, value: str, held: str, bucket: str, buckets: list) -> DataFrame:
-    """For each run: records, medians over all and over held-out ones, and one for each bucket."""
-    v = F.col(value)
-    series = {"median": v, "held_median": F.when(F.col(held), v)} | {f"m_{b}": F.when(F.col(bucket) == b, v) for b in buckets}
-    return ranks.same_groups(records.groupBy(run).agg(F.count(value).alias("n")), ranks.medians(records, [run], series), [run])
+    return out.select(step, "pooled_median", "mean", "ok", "failed", "first_median", "best_median", "non_finite", "swaps", "paired", "improved", "delta")
+
+
+def eval_table(samples: DataFrame, reference: DataFrame, run: str, record: str, sample: str, value: str, held: str, bucket: str, buckets: list) -> DataFrame:
+    """For each run: records (n), pooled median and mean, median of first samples, and against
+    ``reference`` (record, ref) the median difference of record means, how many are lower and of how
+    many, over all records and over those ``held`` out; then the pooled median of each bucket."""
+    x = F.col(value).cast("double")
+    rows = samples.withColumn("__v", F.when(_finite(x), x))
+    per = rows.groupBy(run, record).agg(F.avg("__v").alias("m"), F.min_by(F.struct("__v"), sample)["__v"].alias("first"), F.bool_or(held).alias("__h")).join(reference, record, "left")
+    d, h = F.col("m") - F.col("ref"), F.col("__h")
+    counts = per.groupBy(run).agg(F.count("*").alias("n"), F.count_if(d < 0).alias("improved"), F.count(d).alias("paired"), F.count_if((d < 0) & h).alias("held_improved"), F.count(F.when(h, d)).alias("held_paired"))
+    middle = ranks.medians(per, [run], {"first_median": F.col("first"), "delta": d, "held_delta": F.when(h, d)})
+    pooled = ranks.medians(rows, [run], {"median": F.col("__v")} | {f"m_{b}": F.when(F.col(bucket) == b, F.col("__v")) for b in buckets})
+    out = rows.groupBy(run).agg(F.avg("__v").alias("mean"))
+    for part in (counts, middle, pooled):
+        out = ranks.same_groups(out, part, [run])
+    return out
 
 
 def bucket_pivot(records: DataFrame, bucket: str, run: str, value: str, runs: list) -> DataFrame:
@@ -246,6 +276,41 @@ def pooled_draws(draws: list[DataFrame], arm: str, record: str, value: str) -> D
     return rows.groupBy(arm, record).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
 
 
+def compare_arms(pooled: DataFrame, arm: str, record: str, base) -> DataFrame:
+    """(arm, paired, improved, delta, p) of each arm but ``base``: records of both, how many have a lower
+    mean, the median difference, and the sign test of it. ``pooled`` as :func:`pooled_draws` gives it."""
+    ref = pooled.where(F.col(arm) == base).select(record, F.col("mean").alias("__ref"))
+    both = pooled.where(F.col(arm) != base).join(ref, record).withColumn("__d", F.col("mean") - F.col("__ref")).where("__d is not null")
+    counts = both.groupBy(arm).agg(F.count("*").alias("paired"), F.count_if(F.col("__d") < 0).alias("improved"))
+    out = ranks.same_groups(counts, ranks.medians(both, [arm], {"delta": F.col("__d")}), [arm])
+    return sign_test(out, "improved", "paired").select(arm, "paired", "improved", "delta", "p")
+
+
+def valid_totals(records: DataFrame, lists: dict[str, str]) -> DataFrame:
+    """One row: for each name the elements of the list column (structs with ``valid``) of all records
+    that are valid and that are not: <name>_valid, <name>_invalid. Null lists have none."""
+    size = lambda c, want: F.coalesce(F.size(F.filter(c, lambda x: F.coalesce(x["valid"], F.lit(False)) == want)), F.lit(0))
+    return records.agg(*[F.coalesce(F.sum(F.greatest(size(c, want), F.lit(0))), F.lit(0)).alias(f"{name}_{label}") for name, c in lists.items() for label, want in (("valid", True), ("invalid", False))])
+
+
+def distinct_refs(records: DataFrame, items: str, field: str, sentinels: tuple = ("", "-1")) -> DataFrame:
+    """The distinct references in a nested list's field, but null and ``sentinels``."""
+    refs = records.select(F.explode(items).alias("item")).select(F.col(f"item.{field}").alias(field))
+    return refs.where(F.col(field).isNotNull() & ~F.col(field).cast("string").isin(*sentinels)).distinct()
+
+
+def sample_stats(arr: Column, places: int = 4) -> Column:
+    """struct(min, mean, first) of an array of samples, the mean rounded; nulls where it is null or empty."""
+    n = F.nullif(F.size(arr), F.lit(0))
+    mean = F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / n, places)
+    return F.struct(F.array_min(arr).alias("min"), mean.alias("mean"), F.get(arr, F.lit(0)).alias("first"))
+
+
+def top_rows(df: DataFrame, x: str, key: str, k: int = 6) -> DataFrame:
+    """The k rows of the largest ``x``, of equals the smallest key first: the limit is the feature."""
+    return df.orderBy(F.desc_nulls_last(x), key).limit(k)
+
+
 def coverage_check(states: DataFrame, expected: DataFrame, metric: str, weight: str, want: str) -> DataFrame:
     """The metrics whose weight is not the expected one; a metric without a state is left out."""
     return states.join(expected, metric).where(F.col(weight).isNotNull() & (F.col(weight) != F.col(want))).select(metric, weight, want)

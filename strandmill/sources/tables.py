@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.seq import clean
 from . import json_array
 
 
@@ -44,6 +45,14 @@ def flatten(df: DataFrame, key: str, items: str) -> DataFrame:
     return df.select(key, F.explode_outer(items).alias("item")).select(key, "item.*")
 
 
+def polymer_entities(entries: DataFrame, key: str, items: str, seq: str, lists: tuple[str, ...]) -> DataFrame:
+    """One row for each polymer entity of an entry (:func:`flatten`): its sequence without line ends and
+    in upper case, its length, and each of ``lists`` sorted and distinct, without nulls (null: empty)."""
+    rows = flatten(entries, key, items).withColumn(seq, clean(F.col(seq))).withColumn("length", F.length(seq))
+    tidy = lambda c: F.array_sort(F.array_distinct(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: x.isNotNull())))
+    return rows.withColumns({c: tidy(F.col(c)) for c in lists})
+
+
 def member_index(rows: DataFrame, wanted: DataFrame, name: str = "name", file_no: str = "file_no") -> DataFrame:
     """Wanted names with the offset and size that the last file gives, or found = false.
 
