@@ -33,3 +33,26 @@ def run_available(stream: DataFrame, path: str, mode: str = "append") -> DataFra
         started = writer.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/table")).start()
     started.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def append_once(stream: DataFrame, path: str, bad: Column) -> tuple[DataFrame, DataFrame]:
+    """Appends what is there to two tables below ``path`` and returns them: good rows, and to the side
+    those for which ``bad`` holds; each with the number of its batch in ``batch``.
+
+    A batch is a partition of its own in both and is written whole in place of what it left before. The
+    checkpoint gives a batch that was not committed the same rows and number again, so a run that is
+    killed between a write and the commit, and started again, leaves every row once. Null of ``bad``
+    counts as good. ``maxFilesPerTrigger`` of the stream sets the size of batches.
+    """
+    spark, fields = stream.sparkSession, stream.schema
+    side = F.coalesce(bad, F.lit(False))
+
+    def write(batch: DataFrame, number: int) -> None:
+        for name, rows in (("table", batch.where(~side)), ("side", batch.where(side))):
+            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
+
+    writer = stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+    writer.foreachBatch(write).start().awaitTermination()
+    schema = type(fields)([*fields.fields]).add("batch", "long")
+    table, aside = (spark.read.schema(schema).parquet(f"{path}/{name}") for name in ("table", "side"))
+    return table, aside
