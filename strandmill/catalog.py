@@ -567,11 +567,17 @@ def seq_wildcard_identity(spark, d):
     return p.join(q, "p_partkey").select("p_partkey", F.round(seq.wildcard_identity(F.col("p_name"), F.col("other")), 6).alias("identity"))
 
 
-@query("SELECT a.p_partkey, round(list_sum(list_transform(range(1, least(length(a.p_name), length(b.p_name)) + 1), lambda i: CASE WHEN a.p_name[i] = b.p_name[i] THEN 1.0 ELSE 0 END)) / least(length(a.p_name), length(b.p_name)), 6) AS identity FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1")
+@query("""SELECT p_partkey, round(list_sum(list_transform(range(1, n + 1), lambda i: CASE WHEN a[i] = o[i] THEN 1.0 ELSE 0 END)) / n, 6) AS identity,
+ contains(replace(b, 'X', ''), replace(x, 'X', '')) OR coalesce(len(list_filter(range(1, least(length(x), length(b)) + 1), lambda i: x[i] <> 'X' AND x[i] = b[i])) / nullif(len(list_filter(range(1, least(length(x), length(b)) + 1), lambda i: x[i] <> 'X')), 0), 0) >= 0.9 AS ok
+ FROM (SELECT p.p_partkey, p.p_name AS a, q.p_name AS o, least(length(p.p_name), length(q.p_name)) AS n, replace(p.p_name, 'e', 'X') AS x,
+ CASE p.p_partkey % 3 WHEN 0 THEN q.p_name || replace(p.p_name, 'e', '') WHEN 1 THEN replace(p.p_name, 'a', 'o') ELSE q.p_name END AS b
+ FROM part p JOIN part q ON q.p_partkey = p.p_partkey + 1)""")
 def seq_prefix_identity(spark, d):
     p = t(spark, d, "part").select("p_partkey", "p_name")
-    q = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other"))
-    return p.join(q, "p_partkey").select("p_partkey", F.round(seq.prefix_identity(F.col("p_name"), F.col("other")), 6).alias("identity"))
+    pairs = p.join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other")), "p_partkey")
+    masked, k = F.replace("p_name", F.lit("e"), F.lit("X")), F.col("p_partkey") % 3
+    full = F.when(k == 0, F.concat("other", F.replace("p_name", F.lit("e"), F.lit("")))).when(k == 1, F.replace("p_name", F.lit("a"), F.lit("o"))).otherwise(F.col("other"))
+    return pairs.select("p_partkey", F.round(seq.prefix_identity(F.col("p_name"), F.col("other")), 6).alias("identity"), seq.agrees(masked, full).alias("ok"))
 
 
 @query("SELECT role, count(*) AS n, min(d) AS min, quantile_cont(d, .5) AS median, round(quantile_cont(d, .9), 6) AS p90, max(d) AS max FROM (SELECT role, conv_id, count(*) AS d FROM conversations GROUP BY 1, 2) GROUP BY 1")
@@ -921,6 +927,29 @@ def join_match_cascade(spark, d):
     return out.groupBy(F.when(early, F.col("evidence")).otherwise("later").alias("stage")).agg(F.count("*").alias("n"), F.sum(F.when(early, F.col("ent"))).alias("ents"))
 
 
+def long_sequences(spark, d):
+    """A letter for each line of a customer, by part. Entities are all customers, 20 an entry; chains are
+    theirs too: whole, with X for dear lines, without large lines, or with small lines only."""
+    lines = t(spark, d, "lineitem").join(t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("cust")), "l_orderkey")
+    lines = lines.withColumn("at", F.col("l_orderkey") * 100 + F.col("l_linenumber")).withColumn("part", (F.col("l_partkey") % 20).cast("string"))
+    letters = {str(k): c for k, c in enumerate("ACDEFGHIKLMNPQRSTVWY")}
+    kind, n = F.col("cust") % 4, F.col("l_quantity")
+    kept = lines.where((kind < 2) | (n <= F.when(kind == 2, 45).otherwise(20))).withColumn("part", F.when((kind == 1) & (n > 45), "X").otherwise(F.col("part")))
+    whole, cut = (rules.category_sequence(x, "cust", "at", "part", letters).withColumn("entry", F.floor(F.col("cust") / 20)) for x in (lines, kept))
+    return cut, whole.select("entry", F.col("cust").alias("ent"), "seq")
+
+
+@query()
+def join_match_cascade_long(spark, d):
+    return alignment.match_cascade(*long_sequences(spark, d), "entry", "seq", "ent").select("cust", "entry", "ent", F.round("value", 6).alias("value"), "evidence")
+
+
+@query()
+def join_alignment_share(spark, d):
+    x, e = alignment._sequences(*long_sequences(spark, d), "entry", "seq", "ent")
+    return alignment.aligned_share(alignment.pairs_in_reach(x, e, "entry"))
+
+
 @query("""SELECT l_orderkey, CASE WHEN len(a) <> len(b) THEN 'count' WHEN a <> b THEN 'name' ELSE 'ok' END AS kind,
  array_to_string(list_filter(range(0, greatest(len(a), len(b))), lambda i: a[i + 1] IS DISTINCT FROM b[i + 1])[1:4], ',') AS bad
  FROM (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) AS a, coalesce(list(l_linenumber ORDER BY l_linenumber) FILTER (l_quantity < 45), []) AS b FROM lineitem GROUP BY 1)""")
@@ -1115,12 +1144,21 @@ def sink_fixed_width(spark, d):
     return spark.read.text(path).select(cut(1, 12, "long").alias("l_orderkey"), cut(13, 4, "int").alias("l_linenumber"), cut(17, 10, "double").alias("l_quantity"))
 
 
-@query(f"SELECT count(*) AS rows, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'test') AS test FROM {SPLITS_SQL}")
+@query(f"""WITH r AS (SELECT split, o_orderkey, CASE WHEN o_totalprice < 50000 THEN 'small' WHEN o_orderstatus = 'P' THEN 'pending' END AS reason FROM {SPLITS_SQL})
+ SELECT count(*) AS rows, count(*) FILTER (reason IS NULL) AS kept, count(reason) AS dropped,
+ count(*) FILTER (split = 'train' AND reason IS NULL) AS train, count(*) FILTER (split = 'test' AND reason IS NULL) AS test,
+ count(*) FILTER (split = 'train' AND reason = 'small') AS train_small, count(*) FILTER (split = 'test' AND reason = 'pending') AS test_pending,
+ array_to_string((list(o_orderkey ORDER BY o_orderkey) FILTER (split = 'train' AND reason = 'small'))[1:3], ',') AS first_small,
+ count(reason) AS listed FROM r""")
 def sink_stage_report(spark, d):
-    path = tables.shared_path(spark)
-    tables.write_report(split_orders(spark, d), path, "split")
-    report = spark.read.schema("rows long, by map<string, long>").json(path)
-    return report.select("rows", F.col("by")["train"].alias("train"), F.col("by")["test"].alias("test"))
+    reason = F.when(F.col("o_totalprice") < 50000, "small").when(F.col("o_orderstatus") == "P", "pending")
+    line, lost = tables.write_stage_report(split_orders(spark, d).withColumn("reason", reason), tables.shared_path(spark), "split", "reason", "o_orderkey")
+    cell = "map<string, struct<n: long, first: array<long>>>"
+    report = spark.read.schema(f"rows long, kept long, dropped long, by map<string, long>, reasons map<string, {cell}>").json(line)
+    small = F.col("reasons")["small"]["train"]
+    counts = [F.col("by")["train"].alias("train"), F.col("by")["test"].alias("test"), small["n"].alias("train_small"), F.col("reasons")["pending"]["test"]["n"].alias("test_pending")]
+    listed = spark.read.schema("o_orderkey long").json(lost).agg(F.count("o_orderkey").alias("listed"))
+    return report.select("rows", "kept", "dropped", *counts, F.array_join(F.transform(small["first"], lambda x: x.cast("string")), ",").alias("first_small")).join(listed)
 
 
 # partners, tables, coverage, pockets

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import wildcard_identity
@@ -111,16 +113,64 @@ def local_align(a: str, b: str, match: int = 5, mismatch: int = -4, table: Subst
     return local_aligns([a], [b], match, mismatch, table)[0]
 
 
-def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int | None = None, table: Substitution | None = None) -> DataFrame:
-    """(a, b, score, identity, length) of distinct pairs of whole sequences, or of their first ``aligned`` characters."""
+def common_order(a: str, b: str) -> int:
+    """Characters of the longest common subsequence: no alignment pairs more equal ones. A bit of a
+    whole number stands for each character of ``a``, so a character of ``b`` is a few operations."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    free = full
+    for c in b:
+        hit = free & places.get(c, 0)
+        free = ((free + hit) | (free - hit)) & full
+    return len(a) - free.bit_count()
+
+
+def common_letters(a: Column, b: Column) -> Column:
+    """Characters that two strings share in any order: no alignment pairs more equal ones."""
+    count = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
+    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.least(count(a, c), count(b, c)))
+
+
+def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int | None = None, table: Substitution | None = None, least: float | None = None) -> DataFrame:
+    """(a, b, score, identity, length) of distinct pairs of whole sequences, or of their first ``aligned`` characters.
+
+    With ``least``, only of pairs whose identity times length may be that share of the shorter sequence:
+    both bounds (:func:`common_letters`, then :func:`common_order`) are of what is aligned, and lose no
+    such pair."""
 
     def align(batches):
         for batch in batches:
-            found = local_aligns([p[:aligned] for p in batch.column(0).to_pylist()], [q[:aligned] for q in batch.column(1).to_pylist()], table=table)
+            whole = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            at = range(len(whole)) if least is None else [i for i, (p, q) in enumerate(whole) if common_order(p[:aligned], q[:aligned]) >= least * min(len(p), len(q)) - 1e-9]
+            found = local_aligns([whole[i][0][:aligned] for i in at], [whole[i][1][:aligned] for i in at], table=table)
             cols = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], [a, b, "score", "identity", "length"])
+            ends = [pa.array([whole[i][k] for i in at], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ends, *cols], [a, b, "score", "identity", "length"])
+
+    distinct = pairs.select(a, b).distinct()
+    if least is not None:
+        part = lambda c: F.col(c) if aligned is None else F.substring(c, 1, aligned)
+        distinct = distinct.where(common_letters(part(a), part(b)) >= least * F.least(F.length(a), F.length(b)) - 1e-9)
+    return distinct.mapInArrow(align, f"{a} string, {b} string, score long, identity double, length long")
+
+
+def aligned_share(pairs: DataFrame, least: float = 0.8, aligned: int | None = ALIGNED) -> DataFrame:
+    """(pairs, by_letters, by_order) in one row: distinct pairs (x, y), and those that each bound of
+    :func:`align_pairs` leaves; only the last are aligned."""
+    part = lambda c: F.col(c) if aligned is None else F.substring(c, 1, aligned)
+    need = least * F.least(F.length("x"), F.length("y")) - 1e-9
+    found = pairs.select("x", "y").distinct().withColumn("by_letters", (common_letters(part("x"), part("y")) >= need).cast("long"))
+
+    def order(batches):
+        for batch in batches:
+            ends = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            held = [int(n and common_order(p[:aligned], q[:aligned]) >= least * min(len(p), len(q)) - 1e-9) for p, q, n in ends]
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(held, pa.int64())], ["by_letters", "by_order"])
 
-    return pairs.select(a, b).distinct().mapInArrow(align, f"{a} string, {b} string, score long, identity double, length long")
+    rows = found.mapInArrow(order, "by_letters long, by_order long")
+    return rows.agg(F.count("*").alias("pairs"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("by_letters", "by_order")])
 
 
 def _sequences(chains: DataFrame, entities: DataFrame, entry: str, seq: str, entity: str) -> tuple[DataFrame, DataFrame]:
@@ -149,10 +199,10 @@ def pairs_in_reach(x: DataFrame, e: DataFrame, entry: str) -> DataFrame:
 
 def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8, aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
     """(entry, x, entity, value): the entity of the highest identity times coverage of ``least`` or
-    more, of :func:`pairs_in_reach`; of ties the smallest."""
+    more, of :func:`pairs_in_reach`; of ties the smallest. Only pairs that may reach ``least`` are aligned."""
     pairs = pairs_in_reach(x, e, entry)
     value = F.col("identity") * F.col("length") / F.least(F.length("x"), F.length("y"))
-    scored = pairs.join(align_pairs(pairs, aligned=aligned, table=table), ["x", "y"]).withColumn("s", value).where(F.col("s") >= least)
+    scored = pairs.join(align_pairs(pairs, aligned=aligned, table=table, least=least), ["x", "y"]).withColumn("s", value).where(F.col("s") >= least)
     best = scored.groupBy(entry, "x").agg(F.min(F.struct((-F.col("s")).alias("s"), entity)).alias("b"))
     return best.select(entry, "x", f"b.{entity}", (-F.col("b.s")).alias("value"))
 
@@ -184,23 +234,45 @@ def positional_align(df: DataFrame, key: str, a: str, b: str, keep: int = 4) ->
 
 def global_align(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -3) -> list[tuple[int, int]]:
     """Pairs (place in a, place in b) of the best global alignment, on ties pairing before a gap in
-    b, and that before a gap in a. Rows are computed whole, gaps along them as a running maximum."""
-    x, y = np.array([ord(c) for c in a]), np.array([ord(c) for c in b])
-    at = np.arange(len(y) + 1)
-    rows = [gap * at]
-    for i, c in enumerate(x, 1):
-        best = np.append(i * gap, np.maximum(rows[-1][:-1] + np.where(y == c, match, mismatch), rows[-1][1:] + gap))
-        rows.append(np.maximum.accumulate(best - gap * at) + gap * at)
+    b, and that before a gap in a. Rows are computed whole, gaps along them as a running maximum.
+
+    Only every ``step``-th row of scores is kept. From the last stretch of rows to the first, a stretch
+    is computed again from the row before it, up to where the path enters it, with two bits a cell:
+    memory is some 5 bytes times len(b) times the root of len(a)."""
+    x, y = (np.array([ord(c) for c in s], np.int32) for s in (a, b))
+    slope = np.int32(gap) * np.arange(len(y) + 1, dtype=np.int32)
+
+    def below(row, i):
+        width = len(row)
+        paired = row[:-1] + np.where(y[: width - 1] == x[i], np.int32(match), np.int32(mismatch))
+        best = np.empty(width, np.int32)
+        best[0] = (i + 1) * gap
+        np.maximum(paired, row[1:] + np.int32(gap), out=best[1:])
+        return np.maximum.accumulate(best - slope[:width]) + slope[:width], paired
+
+    step = math.isqrt(len(x)) + 1
+    row, marks = slope, []
+    for i in range(len(x)):
+        if i % step == 0:
+            marks.append(row)
+        row = below(row, i)[0]
     i, j, pairs = len(x), len(y), []
     while i and j:
-        here = rows[i][j]
-        if here == rows[i - 1][j - 1] + (match if x[i - 1] == y[j - 1] else mismatch):
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-        elif here == rows[i - 1][j] + gap:
-            i -= 1
-        else:
-            j -= 1
+        low = (i - 1) // step * step
+        row, ways = marks[low // step][: j + 1], []
+        for k in range(low, i):
+            new, paired = below(row, k)
+            ways.append((np.packbits(new[1:] == paired), np.packbits(new[1:] == row[1:] + np.int32(gap))))
+            row = new
+        while i > low and j:
+            at, bit = (j - 1) >> 3, 128 >> (j - 1 & 7)
+            if ways[i - low - 1][0][at] & bit:
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+            elif ways[i - low - 1][1][at] & bit:
+                i -= 1
+            else:
+                j -= 1
     return pairs[::-1]
 
 

@@ -95,10 +95,34 @@ def write_fixed_width(df: DataFrame, path: str, keep, columns: list[tuple[str, s
     df.where(keep).select(F.format_string("".join(f for _, f in columns), *[F.col(c) for c, _ in columns]).alias("value")).write.text(path)
 
 
-def write_report(df: DataFrame, path: str, by: str) -> None:
-    """One JSON line: all rows, and a map of the rows of each value of ``by`` (one entry a value)."""
-    n = df.groupBy(by).agg(F.count("*").alias("n"))
-    n.agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct(by, "n"))).alias("by")).write.json(path)
+def write_stage_report(df: DataFrame, path: str, by: str, reason: str, key: str, k: int = 3) -> tuple[str, str]:
+    """The report of a stage as one JSON line, and the table of all rows it took out as JSON lines; their paths.
+
+    The line has rows, kept and dropped; ``by``: the kept rows of each value; ``reasons``: for each
+    reason and each value of ``by`` the dropped rows and the ``k`` smallest keys. A row is kept if its
+    ``reason`` is null. Both names stand in the line as text, null as "". Only counts and ``k`` keys a
+    cell are gathered, so the line grows with the reasons and values, never with the rows."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = df.select(text(by).alias("by"), F.col(reason).cast("string").alias("reason"), F.col(key).alias("key"))
+    cells = rows.groupBy("by", "reason").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("by", "reason").orderBy(F.col("key").asc_nulls_last()))
+    first = rows.where("reason is not null").withColumn("nth", nth).where(F.col("nth") <= k)
+    first = first.groupBy("by", "reason").agg(F.array_sort(F.collect_list("key")).alias("first"))
+    cells = cells.join(first, ["by", "reason"], "left")
+    listed = lambda *cols: F.sort_array(F.collect_list(F.struct(*cols)))
+    by_reason = cells.groupBy("reason").agg(F.sum("n").alias("n"), listed("by", F.struct("n", "first").alias("cell")).alias("cells"))
+    kept = F.flatten(F.collect_list(F.when(F.col("reason").isNull(), F.col("cells"))))
+    dropped = F.filter(listed("reason", "cells"), lambda r: r["reason"].isNotNull())
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    line = by_reason.agg(
+        total(F.lit(True)).alias("rows"), total(F.col("reason").isNull()).alias("kept"), total(F.col("reason").isNotNull()).alias("dropped"),
+        F.map_from_entries(F.transform(kept, lambda c: F.struct(c["by"], c["cell"]["n"]))).alias("by"),
+        F.map_from_entries(F.transform(dropped, lambda r: F.struct(r["reason"], F.map_from_entries(r["cells"])))).alias("reasons"),
+    )
+    report, lost = f"{path}/report", f"{path}/dropped"
+    line.coalesce(1).write.json(report)
+    df.where(F.col(reason).isNotNull()).write.json(lost)
+    return report, lost
 
 
 def html_json_array(pages: DataFrame, id_col: str, html: str, pattern: str, schema: str) -> DataFrame:
