@@ -1,8 +1,9 @@
 """Main text of HTML pages from flat text blocks and a decision tree.
 
 A page is cut into flat blocks at block-level tags. A block's features are its word count and
-link density, those of its neighbours, and the kinds of region it stands in. A small decision
-tree, grown on the labelled pages below, tells content from boilerplate.
+link density, those of its neighbours, and the kinds of region it stands in. A decision tree, grown on the labelled pages
+below and on those of ``labelled_pages``, tells content from boilerplate: by region where a page
+names its regions, by counts and neighbours where it does not.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .labelled_pages import labelled_pages
+
 #: A quote counts only after "="; one that is not closed runs to the page's end. Nothing backtracks.
 _PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(>|\Z)|[^<]+|<""", re.S)
 _CLASS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -81,6 +84,8 @@ LABELLED = (
     *(f"{around}<{tag}>{boiler}</{tag}>" for tag in ("nav", "header", "footer", "aside", "form") for boiler, around in VARIANTS),
     *(f'<article><h1 data-keep=1>Title</h1>{around}{SHORT}<div class="{name}">{boiler}</div><p data-keep=1>So it ends.</p></article>' for name in ("cookie", "ad", "comments", "related", "newsletter", "breadcrumb", "colophon") for boiler, around in VARIANTS),
 )
+#: Further labelled pages made by rule: their number and seed.
+PAGES, SEED = 400, 1
 
 
 @dataclass
@@ -238,23 +243,28 @@ def features_of(blocks: list[Block]) -> np.ndarray:
     return out
 
 
+#: What a split prefers where several are equally good: a region, then the block's own counts.
+_PREFERRED = np.array([0 if f > 5 else 1 if f < 2 else 2 for f in range(len(FEATURES))])
+
+
 def grow(x: np.ndarray, y: np.ndarray, depth: int = 30):
     """A decision tree by Gini impurity: a leaf's share of 1, or (feature, cut, below, above)."""
-    if depth == 0 or len(set(y.tolist())) == 1:
+    if depth == 0 or y.min() == y.max():
         return float(y.mean())
-    best = None
+    found = []
     for f in range(x.shape[1]):
-        values = np.unique(x[:, f])
-        for cut in (values[1:] + values[:-1]) / 2:
-            low = x[:, f] <= cut
-            gini = sum(part.sum() * (y[part].mean() * (1 - y[part].mean())) for part in (low, ~low))
-            # counts offer many cuts by chance, those of neighbours the more so: a region is preferred
-            key = (gini / len(y) + (0.0 if f > 6 else 0.02 if f < 2 else 0.06), f)
-            if best is None or key < best[0]:
-                best = (key, f, cut, low)
-    if best is None:
+        order = np.argsort(x[:, f], kind="stable")
+        v, ones = x[order, f], np.cumsum(y[order])
+        at = np.flatnonzero(v[1:] != v[:-1])
+        if len(at):
+            n, k = at + 1.0, ones[at]
+            gini = k * (1 - k / n) + (ones[-1] - k) * (1 - (ones[-1] - k) / (len(y) - n))
+            best = int(np.argmin(gini))
+            found.append((round(float(gini[best]), 6), int(_PREFERRED[f]), f, float(v[at[best]] + v[at[best] + 1]) / 2))
+    if not found:
         return float(y.mean())
-    _, f, cut, low = best
+    _, _, f, cut = min(found)
+    low = x[:, f] <= cut
     return (f, cut, grow(x[low], y[low], depth - 1), grow(x[~low], y[~low], depth - 1))
 
 
@@ -264,13 +274,15 @@ def classify(tree, row) -> float:
     return tree
 
 
-def trained(labelled=LABELLED):
-    x, y = [], []
-    for page in labelled:
-        blocks = blocks_of(page)
-        x.append(features_of(blocks))
-        y += [b.keep == "1" for b in blocks]
-    return grow(np.concatenate(x), np.array(y, float))
+def examples(labelled) -> tuple[np.ndarray, np.ndarray]:
+    """(features, labels) of the blocks of labelled pages."""
+    pages = [blocks_of(page) for page in labelled]
+    return np.concatenate([features_of(blocks) for blocks in pages]), np.array([b.keep == "1" for blocks in pages for b in blocks], float)
+
+
+def trained(labelled=None):
+    """The tree of ``labelled`` pages, by default of LABELLED and PAGES pages made by rule."""
+    return grow(*examples([*LABELLED, *labelled_pages(PAGES, SEED)] if labelled is None else labelled))
 
 
 def main_text(page: str, tree) -> str:
@@ -283,8 +295,9 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """id, url, text, n_chars (code points), a row per row of ``pages``.
 
     Null and empty pages, and pages without main text, give an empty text. Unclosed elements end
-    with the page; a tag cut off by its end is no text. Repeated rows give repeated results; other
-    columns are not read. Nothing is shuffled.
+    with the page; a tag cut off by its end is no text. Repeated rows give repeated results, rows
+    without an id keep theirs, an empty table gives no row; other columns are not read. Nothing is
+    shuffled.
     """
     tree = trained() if tree is None else tree
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
