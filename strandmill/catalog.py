@@ -793,13 +793,13 @@ def _stream(spark, d):
 @query("SELECT event_type, round(sum(value * (user_id % 3 + 1)) / sum(user_id % 3 + 1), 6) AS mean, count(value) AS n FROM events WHERE value IS NOT NULL GROUP BY 1")
 def st_running_metrics(spark, d):
     sums = metrics.running_metrics(_stream(spark, d), "event_type", "value", F.col("user_id") % 3 + 1)
-    out = metrics.run_available(sums, tables.shared_path(spark), "complete")
+    out = metrics.run_updates(sums, tables.shared_path(spark), ["event_type"])
     return out.select("event_type", F.round(F.col("total") / F.col("weight"), 6).alias("mean"), F.col("rows").alias("n"))
 
 
 @query("SELECT user_id, max(value) AS peak FROM events GROUP BY 1")
 def st_running_peak(spark, d):
-    return metrics.run_available(metrics.running_peak(_stream(spark, d), "user_id", "value"), tables.shared_path(spark), "complete")
+    return metrics.run_updates(metrics.running_peak(_stream(spark, d), "user_id", "value"), tables.shared_path(spark), ["user_id"]).drop("batch")
 
 
 @query("SELECT event_id, CASE WHEN value IS NULL THEN 'no value' WHEN value > 50 THEN 'too far' END AS reason FROM events")
