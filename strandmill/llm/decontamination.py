@@ -215,7 +215,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, all columns as they are, without a shuffle."""
+    """The rows of ``docs`` in which no item is found, all columns as they are, without a shuffle.
+
+    Null and empty texts hold no item and stay; so do rows without an id and repeated ones, each by
+    its own text. Without items every row stays; an empty table gives no row.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     names = docs.columns

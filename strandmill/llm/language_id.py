@@ -134,7 +134,8 @@ def predict(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col:
 
     ``und`` with score 0 where text is null or holds no letter, or no language was learned. Texts of
     one or two letters have no trigram: every language is as near, the first is taken, ambiguous.
-    The whole text counts. Repeated rows give repeated results; nothing is shuffled.
+    The whole text counts. Repeated rows give repeated results, rows without an id keep theirs, an
+    empty table gives no row; nothing is shuffled.
     """
     fields = [docs.schema[id_col], *(docs.schema[c] for c in keep)]
     code = model

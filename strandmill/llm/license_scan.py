@@ -147,8 +147,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of ``docs``: n_words, base phrase places, labels, score (share of words that
     matches cover) and the matches themselves as word spans.
 
-    Null and empty texts have no words, no labels and score 0. Repeated rows give repeated results.
-    Other columns are not read. Nothing is shuffled; a task holds one slice of text at a time.
+    Null and empty texts have no words, no labels and score 0. Repeated rows give repeated results,
+    rows without an id keep theirs, an empty table gives no row. Other columns are not read. Nothing
+    is shuffled; a task holds one slice of text at a time.
     """
     automata = compiled(TEMPLATES if templates is None else templates)
     base = {tuple(_MARK.findall(p)): label for p, label in (BASE_PHRASES if phrases is None else phrases).items()}

@@ -280,8 +280,8 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Texts are encoded as the tokenizer does by default, without special tokens around them; added
     tokens within them are one id each. Null and empty texts are the end id alone, one piece of
-    length 1. Repeated rows are packed each;
-    an empty table gives no row. Other columns are not read. Ties in length go by id, then piece.
+    length 1. Repeated rows and rows
+    without an id are packed each; an empty table gives no row. Other columns are not read. Ties in length go by id, then piece.
     The driver holds one count for each (sorted partition, length) and the matches of runs, which
     go to all tasks; pieces stay in Spark.
     """

@@ -93,7 +93,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     as text and as an array of (kind, start, end) in code points.
 
     Null and empty texts have no spans (the digest is that of the empty string). Repeated rows give
-    repeated results; other columns are not read. Nothing is shuffled.
+    repeated results, rows without an id keep theirs, an empty table gives no row; other columns are
+    not read. Nothing is shuffled.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -123,7 +123,8 @@ def score(docs: DataFrame, model: BagModel, id_col: str = "doc_id", text_col: st
     """id, score (0 to 1), predicted (0 or 1), offending: (start, end, score) in bytes of the UTF-8
     text from the first to past the last word of each sentence at ``sentence_cut`` or above.
 
-    Null, empty and wordless texts score 0. Whole texts count. A row per row; nothing is shuffled.
+    Null, empty and wordless texts score 0. Whole texts count. A row per row, those without an id and
+    repeated ones, too; an empty table gives none. Nothing is shuffled.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
