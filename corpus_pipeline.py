@@ -16,13 +16,16 @@ from strandmill.llm.packing import best_fit_packing
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null, or without a letter. Ambiguous ones stay."""
+    """Drops documents without a language: null, empty, or without a letter. Ambiguous ones stay. Where
+    no row has a language to learn from, none is known and all go. As in all stages but the last, the columns of documents
+    are kept and further ones go; repeated rows stay; an empty table gives no row."""
     model = language_id.train(docs.where(~language_id.held_out("doc_id")))
     return language_id.predict(docs, model, keep=["text", "lang", "source", "n_chars"]).where(F.col("lang_pred") != language_id.UNDETERMINED).select("doc_id", "text", "lang", "source", "n_chars")
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out lines that match an earlier one; n_chars follows the text. No document goes."""
+    """Takes out lines that match an earlier one; n_chars follows the text. No document goes; null
+    texts stay null, with a null n_chars."""
     return line_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -34,11 +37,14 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item. Null and empty texts hold none; without items every
+    document stays."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences: see :func:`best_fit_packing`. Null and empty texts
+    are one piece of one token."""
     return best_fit_packing(docs)
 
 
