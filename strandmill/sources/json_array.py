@@ -4,9 +4,11 @@
 record belongs to the range in which its opening brace lies. A task finds its place by the depth of
 braces and brackets and by quotes: it reads blocks of bounded size, never the array.
 
-Where a range begins within a string or a record, that cannot be seen from the range alone. Each
-range is therefore summed up first, in its own task and for both answers (begins within a string or
-not): how depth and quotes change across it. The sums of the ranges before one give its state.
+A task takes consecutive ranges, of many small files or a part of a large one, so that tasks grow with
+the bytes and not with the ranges. Where one begins within a file, it cannot be seen from there whether
+that is within a string or a record. The stretches before it are therefore summed up first, in tasks and
+for both answers (begins within a string or not): how depth and quotes change across them. Files that
+one task reads whole need no sums.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Bytes of a range, and bytes that a task holds at once beside the record it reads.
 RANGE_BYTES, BLOCK_BYTES = 64 << 20, 1 << 20
+#: Bytes of ranges that a task reads one after another, about; of small inputs a quarter of a core's share.
+TASK_BYTES = 32 << 20
 BATCH_ROWS = 2_000
 #: Wanted ids that the readers are given by name.
 WANTED_IDS = 1_000
@@ -31,6 +35,9 @@ QUOTE, BACKSLASH = 34, 92
 DEPTH = np.zeros(256, np.int64)
 DEPTH[[ord("{"), ord("[")]] = 1
 DEPTH[[ord("}"), ord("]")]] = -1
+#: Bytes that change depth or quotes.
+TELLING = DEPTH != 0
+TELLING[QUOTE] = True
 
 
 class Scanner:
@@ -60,6 +67,25 @@ class Scanner:
         self.escaped = bool(run[-1] % 2)
         return depth, outside
 
+    def changes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places where the depth changes, depth after each); the state moves to the end. Without
+        backslashes only braces, brackets and quotes are looked at."""
+        if self.escaped or (data == BACKSLASH).any():
+            depth, outside = self.block(data)
+            at = np.flatnonzero(outside & (DEPTH[data] != 0))
+            return at, depth[at]
+        at = np.flatnonzero(TELLING[data])
+        kind = data[at]
+        quote = kind == QUOTE
+        inside = (np.cumsum(quote) + int(self.inside)) % 2 == 1
+        found = np.flatnonzero(~inside & ~quote)
+        depth = self.depth + np.cumsum(DEPTH[kind[found]])
+        if len(at):
+            self.inside = bool(inside[-1])
+        if len(found):
+            self.depth = int(depth[-1])
+        return at[found], depth
+
 
 def blocks(path: str, start: int, end: int | None, size: int = BLOCK_BYTES) -> Iterator[np.ndarray]:
     """The bytes from ``start`` on, to ``end`` or the end of the file, a block at a time."""
@@ -78,7 +104,7 @@ def blocks(path: str, start: int, end: int | None, size: int = BLOCK_BYTES) -> I
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     """A byte range of a file; ``depth``, ``inside`` and ``escaped`` as its first byte finds them."""
 
     path: str
@@ -89,24 +115,71 @@ class Range(InputPartition):
     escaped: bool = False
 
 
+@dataclass
+class Share(InputPartition):
+    """The ranges that a task reads."""
+
+    parts: list[Range]
+
+
 def summed(path: str, start: int, end: int) -> list[tuple[int, bool, bool]]:
     """(change of depth, within a string at the end, escaped at the end) of a range that begins outside
     and inside a string, each unescaped and escaped."""
     scanners = [Scanner(0, inside, escaped) for inside in (False, True) for escaped in (False, True)]
+    first = True
     for data in blocks(path, start, end):
-        for s in scanners:
-            s.block(data)
+        if first and data[0] not in (QUOTE, BACKSLASH):  # an escaped sign that tells nothing is as any other
+            scanners = [scanners[0]] * 2 + [scanners[2]] * 2
+        first = False
+        for s in {id(s): s for s in scanners}.values():
+            s.changes(data)
     return [(s.depth, s.inside, s.escaped) for s in scanners]
 
 
-def ranges(spark: SparkSession, path: str, size: int) -> list[Range]:
-    """The ranges of all files below ``path`` with the state that each begins with.
+def dealt(files: list[tuple[str, int]], size: int, task: int) -> list[list[tuple[str, int, int]]]:
+    """(path, start, end) of the stretches of each task: ranges of ``size`` bytes in the files' order
+    until they have ``task`` bytes, those that follow each other in a file as one."""
+    out, held = [], 0
+    for path, length in files:
+        for lo in range(0, length, size):
+            hi = min(lo + size, length)
+            if not out or held >= task:
+                out.append([])
+                held = 0
+            last = out[-1][-1] if out[-1] else ("", 0, 0)
+            if lo and last[0] == path:
+                out[-1][-1] = (path, last[1], hi)
+            else:
+                out[-1].append((path, lo, hi))
+            held += hi - lo
+    return out
+
+
+def ranges(spark: SparkSession, path: str, size: int) -> list[list[Range]]:
+    """The ranges of each task, of all files below ``path``, with the state that each begins with.
+
+    The driver gets four small sums a range of a file that several tasks read; the bytes are read by tasks."""
+    files = [tuple(f) for f in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length").collect()]
+    task = min(TASK_BYTES, sum(n for _, n in files) // (4 * spark.sparkContext.defaultParallelism))
+    shares = dealt(files, size, task)
+    length = dict(files)
+    cuts = [c for share in shares for c in share if c[2] < length[c[0]]]
+    found = sums_of(spark, cuts) if cuts else {}
+    out, depth, inside, escaped = [], 0, False, False
+    for share in shares:
+        out.append([])
+        for name, lo, hi in share:
+            if not lo:
+                depth, inside, escaped = 0, False, False
+            out[-1].append(Range(name, lo, hi, depth, inside, escaped))
+            if (name, lo) in found:
+                change, inside, escaped = found[name, lo][2 * inside + escaped]
+                depth += change
+    return out
 
-    The driver gets four small sums a range; the bytes are read by tasks."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length").collect()
-    cuts = [(f.path, lo, min(lo + size, f.length)) for f in files for lo in range(0, f.length, size)]
-    if not cuts:
-        return []
+
+def sums_of(spark: SparkSession, cuts: list[tuple[str, int, int]]) -> dict[tuple[str, int], list[tuple[int, bool, bool]]]:
+    """:func:`summed` of each of the stretches, by path and start."""
     kinds = "k long, depth array<long>, inside array<boolean>, escaped array<boolean>"
 
     def sums(batches):
@@ -116,15 +189,7 @@ def ranges(spark: SparkSession, path: str, size: int) -> list[Range]:
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["k", "depth", "inside", "escaped"])
 
     rows = spark.createDataFrame([(k, *c) for k, c in enumerate(cuts)], "k long, path string, start long, stop long")
-    found = {r.k: r for r in rows.repartition(len(cuts), "k").mapInArrow(sums, kinds).collect()}
-    out, depth, inside, escaped = [], 0, False, False
-    for k, (name, lo, hi) in enumerate(cuts):
-        if not lo:
-            depth, inside, escaped = 0, False, False
-        out.append(Range(name, lo, hi, depth, inside, escaped))
-        s = 2 * inside + escaped
-        depth, inside, escaped = depth + found[k].depth[s], found[k].inside[s], found[k].escaped[s]
-    return out
+    return {cuts[r.k][:2]: list(zip(r.depth, r.inside, r.escaped)) for r in rows.repartition(len(cuts), "k").mapInArrow(sums, kinds).collect()}
 
 
 def records(part: Range) -> Iterator[tuple[bytes, bool]]:
@@ -137,25 +202,25 @@ def records(part: Range) -> Iterator[tuple[bytes, bool]]:
         yield from blocks(part.path, part.end, None)
 
     for data in parts():
-        depth, outside = scanner.block(data)
-        change = np.flatnonzero(outside & (DEPTH[data] != 0))
-        after = depth[change]
-        begins = change[(after == 2) & (data[change] == ord("{"))]
-        ends = change[(after == 1) & (data[change] == ord("}"))]
-        lo = 0
+        change, after = scanner.changes(data)
+        begins = change[(after == 2) & (data[change] == ord("{"))].tolist()
+        ends = change[(after == 1) & (data[change] == ord("}"))].tolist()
+        raw, lo, b, e = data.tobytes(), 0, 0, 0
         while True:
             if open_:
-                stop = ends[np.searchsorted(ends, lo) :]
-                if not len(stop):
-                    held.append(data[lo:].tobytes())
+                while e < len(ends) and ends[e] < lo:
+                    e += 1
+                if e == len(ends):
+                    held.append(raw[lo:])
                     break
-                held.append(data[lo : stop[0] + 1].tobytes())
+                held.append(raw[lo : ends[e] + 1])
                 yield b"".join(held), True
-                held, open_, lo = [], False, int(stop[0]) + 1
-            start = begins[np.searchsorted(begins, lo) :]
-            if not len(start) or at + start[0] >= part.end:
+                held, open_, lo = [], False, ends[e] + 1
+            while b < len(begins) and begins[b] < lo:
+                b += 1
+            if b == len(begins) or at + begins[b] >= part.end:
                 break
-            open_, lo = True, int(start[0])
+            open_, lo = True, begins[b]
         at += len(data)
         if at >= part.end and not open_:
             return
@@ -164,22 +229,23 @@ def records(part: Range) -> Iterator[tuple[bytes, bool]]:
 
 
 class JsonArrayReader(DataSourceReader):
-    def __init__(self, parts: list[Range], key: str | None, wanted: set | None):
-        self.parts, self.key, self.wanted = parts, key, wanted
+    def __init__(self, shares: list[list[Range]], key: str | None, wanted: set | None):
+        self.shares, self.key, self.wanted = shares, key, wanted
 
     def partitions(self):
-        return self.parts or [Range("", 0, 0)]
+        return [Share(parts) for parts in self.shares] or [Share([])]
 
-    def read(self, part: Range):
+    def read(self, share: Share):
         rows = []
-        for raw, whole in records(part) if part.path else ():
-            text = raw.decode(errors="replace")
-            if whole and self.wanted is not None and self.unwanted(text):
-                continue
-            rows.append((text, part.path, whole))
-            if len(rows) == BATCH_ROWS:
-                yield self.batch(rows)
-                rows = []
+        for part in share.parts:
+            for raw, whole in records(part):
+                text = raw.decode(errors="replace")
+                if whole and self.wanted is not None and self.unwanted(text):
+                    continue
+                rows.append((text, part.path, whole))
+                if len(rows) == BATCH_ROWS:
+                    yield self.batch(rows)
+                    rows = []
         if rows:
             yield self.batch(rows)
 
@@ -206,23 +272,23 @@ class JsonArraySource(DataSource):
         return "record string, path string, whole boolean"
 
     def reader(self, schema):
-        parts = [Range(*x) for x in json.loads(self.options["ranges"])]
+        shares = [[Range(*x) for x in share] for share in json.loads(self.options["ranges"])]
         wanted = self.options.get("wanted")
-        return JsonArrayReader(parts, self.options.get("key"), None if wanted is None else set(json.loads(wanted)))
+        return JsonArrayReader(shares, self.options.get("key"), None if wanted is None else set(json.loads(wanted)))
 
 
 def read_array(spark: SparkSession, path: str, schema: str, range_bytes: int = RANGE_BYTES, wanted: DataFrame | None = None, key: str = "id") -> DataFrame:
     """The records of all files below ``path``, each one JSON array of objects: the fields of
     ``schema`` and ``_corrupt``, the record where it is no JSON of that schema or is cut short.
 
-    A file is read by as many tasks as it has ranges, through pyarrow's file systems. An empty file or
+    A file is read by up to as many tasks as it has ranges, through pyarrow's file systems. An empty file or
     array gives no row. Signs between records are not looked at; an array within the array is no
     record. With ``wanted`` (a column ``key``) only its records and corrupt ones: up to WANTED_IDS
-    ids go to the readers, which pass over the others; more are a semi-join.
+    ids go to the readers, which pass over the others; more are joined. The files are read once.
     """
     spark.dataSource.register(JsonArraySource)
-    parts = [(p.path, p.start, p.end, p.depth, p.inside, p.escaped) for p in ranges(spark, path, range_bytes)]
-    source = spark.read.format("json_array").option("ranges", json.dumps(parts))
+    shares = [[(p.path, p.start, p.end, p.depth, p.inside, p.escaped) for p in share] for share in ranges(spark, path, range_bytes)]
+    source = spark.read.format("json_array").option("ranges", json.dumps(shares))
     if wanted is not None:
         wanted = wanted.select(key).where(F.col(key).isNotNull()).distinct()
         few = [r[0] for r in wanted.limit(WANTED_IDS + 1).collect()]
@@ -233,5 +299,5 @@ def read_array(spark: SparkSession, path: str, schema: str, range_bytes: int = R
     rows = rows.withColumn("_corrupt", F.when(F.col("_corrupt").isNotNull() | ~F.col("whole"), F.col("record"))).drop("record", "whole")
     if wanted is None:
         return rows
-    known = rows.where("_corrupt is null").join(wanted, key, "left_semi")
-    return known.select(*rows.columns).unionByName(rows.where("_corrupt is not null"))
+    marked = rows.join(wanted.withColumn("__wanted", F.lit(True)), key, "left")
+    return marked.where("_corrupt is not null or __wanted").select(*rows.columns)

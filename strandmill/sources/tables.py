@@ -136,13 +136,13 @@ def html_json_array(pages: DataFrame, id_col: str, html: str, pattern: str, sche
 
 def write_manifest(df: DataFrame, path: str, part: str, order: str) -> None:
     """JSON files of one array of records each, in ``order``, a file for each value of ``part``. Rows are
-    sorted and written one after another; no task gathers a file."""
+    sorted once and written one after another; no task gathers a file."""
     body = F.to_json(F.struct(*[c for c in df.columns if c != part]))
-    first = F.row_number().over(Window.partitionBy(part).orderBy(order)) == 1
-    lines = df.select(part, F.concat(F.when(first, "[").otherwise(","), body).alias("value"), F.col(order).alias("at"))
-    ends = df.select(part).distinct().select(part, F.lit("]").alias("value"), F.lit(None).cast(df.schema[order].dataType).alias("at"))
-    rows = lines.unionByName(ends).repartition(part).sortWithinPartitions(part, F.col("at").asc_nulls_last())
-    rows.select(part, "value").write.partitionBy(part).text(path)
+    w = Window.partitionBy(part).orderBy(order)
+    begin = F.when(F.row_number().over(w) == 1, "[").otherwise(",")
+    end = F.when(F.lead(F.lit(1)).over(w).isNull(), "]").otherwise("")
+    lines = df.select(part, F.concat(begin, body, end).alias("value"), F.col(order).alias("at"))
+    lines.sortWithinPartitions(part, "at").select(part, "value").write.partitionBy(part).text(path)
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str, wanted: DataFrame, key: str, range_bytes: int = json_array.RANGE_BYTES) -> DataFrame:

@@ -219,3 +219,26 @@ def test_crosschecks_and_sets(spark):
     entities = spark.createDataFrame([("e", "AA", 1), ("e", "AA", 2), ("f", "", 3)], "entry string, seq string, ent int")
     chains = spark.createDataFrame([("e", "AA", "c1"), ("f", "", "c2"), ("e", None, "c3")], "entry string, seq string, chain string")
     assert [tuple(r) for r in joins.exact_sequence(chains, entities, "entry", "seq", "ent").collect()] == [("e", "AA", "c1", 2)]
+
+
+def test_ranges_are_dealt_to_tasks_by_bytes_and_read_once(spark, tmp_path):
+    """Tasks and sums do not follow the number of ranges, records keep their order and nulls their file."""
+    small = [(f"f{k}", 30_000) for k in range(100)]
+    shares = json_array.dealt([*small, ("large", 500_000), ("empty", 0)], 1000, 100_000)
+    assert len(shares) == 35 and all(sum(hi - lo for _, lo, hi in s) == 100_000 for s in shares)
+    for name, size in (*small, ("large", 500_000)):
+        mine = [c[1:] for s in shares for c in s if c[0] == name]
+        assert mine[0][0] == 0 and mine[-1][1] == size and all(a[1] == b[0] for a, b in zip(mine, mine[1:]))
+    df = spark.createDataFrame([(k, f"t{k}\"", k % 7) for k in range(700)], "id long, t string, file int")
+    tables.write_manifest(df, str(tmp_path / "m"), "file", "id")
+    assert [r["id"] for r in json.loads(next((tmp_path / "m/file=3").glob("*.txt")).read_text())] == list(range(3, 700, 7))
+    wanted = spark.range(0, 2000, 2)
+    out = json_array.read_array(spark, str(tmp_path / "m"), "id long, t string", 50, wanted.union(wanted))
+    assert sorted(r.id for r in out.collect()) == list(range(0, 700, 2)) and out.rdd.getNumPartitions() < 60
+    json_array.WANTED_IDS, most = 10, json_array.WANTED_IDS
+    try:
+        out = json_array.read_array(spark, str(tmp_path / "m"), "id long, t string", 50, wanted.union(wanted))
+        assert sorted(r.id for r in out.collect()) == list(range(0, 700, 2))
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("RelationV2") == 1
+    finally:
+        json_array.WANTED_IDS = most
