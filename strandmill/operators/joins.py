@@ -28,7 +28,8 @@ def cross_pairs(df: DataFrame, entry: str, item: str, role: str, a: str, b: str)
 
 def dyadic_cover(start: Column, count: Column) -> Column:
     """Array of (level, place): the fewest blocks [place * 2^level, (place + 1) * 2^level) that make up
-    [start, start + count), two a level at most. Empty for no or a negative count, null for nulls."""
+    [start, start + count), two a level at most. Empty for no or a negative count, null for nulls. Only
+    the levels of blocks that are no longer than the range are looked at."""
     lo, hi = start.cast("long"), (start + count).cast("long")
 
     def blocks(k: Column) -> Column:
@@ -37,7 +38,8 @@ def dyadic_cover(start: Column, count: Column) -> Column:
         one = lambda cond, at: F.when((first < end) & cond, F.struct(k.alias("level"), at.alias("place")))
         return F.array_compact(F.array(one(odd(first), first), one(odd(end), end - 1)))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), blocks))
+    top = F.length(F.bin(F.greatest(hi - lo, F.lit(1)))) - 1
+    return F.when(hi > lo, F.flatten(F.transform(F.sequence(F.lit(0), top), blocks))).when(hi <= lo, F.array().cast("array<struct<level:int,place:bigint>>"))
 
 
 def interval_join(points: DataFrame, ranges: DataFrame, pos: str, start: str, count: str) -> DataFrame:

@@ -242,3 +242,15 @@ def test_ranges_are_dealt_to_tasks_by_bytes_and_read_once(spark, tmp_path):
         assert out._jdf.queryExecution().optimizedPlan().toString().count("RelationV2") == 1
     finally:
         json_array.WANTED_IDS = most
+
+
+def test_dyadic_cover_looks_at_the_levels_of_its_range_only(spark):
+    """A short range costs as many levels as its length has bits, wherever it lies."""
+    short = spark.range(150_000).select((F.col("id") * 4 - 300_000).alias("s"), (F.col("id") % 50).cast("long").alias("n")).repartition(8)
+    cost = lambda c: c.agg(F.sum(F.size("c")), F.sum(F.aggregate("c", F.lit(0).cast("long"), lambda n, b: n + F.call_function("shiftleft", F.lit(1).cast("long"), b["level"])))).first()
+    covers = short.withColumn("c", joins.dyadic_cover(F.col("s"), F.col("n")))
+    levels = covers._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 62" not in levels and "[0,1,2,3,4,5,6,7,8" not in levels
+    assert cost(covers)[1] == sum(k % 50 for k in range(150_000))
+    assert covers.where("n = 0").agg(F.max(F.size("c"))).first()[0] == 0
+    assert spark.range(1).select(joins.dyadic_cover(F.lit(None).cast("long"), F.lit(3)).alias("c")).first().c is None
