@@ -99,15 +99,31 @@ def name_crosscheck(df: DataFrame, name: Column, ids: str) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.count_if(F.array_contains(ids, name)).alias("n_match")).withColumn("rate", F.try_divide("n_match", "n"))
 
 
+#: Parts of a reference's users, each in one task.
+PARTS = 32
+
+
 def reference_exists(refs: DataFrame, ref: str, user: str, have: DataFrame, key: str, k: int = 3) -> DataFrame:
-    """References to nothing, with their number of users and the k first of them. Each task keeps k
-    users of a reference before they are shuffled."""
+    """References to nothing, with their number of users and the k first of them.
+
+    Users of a reference are dealt to PARTS parts, which are made distinct and leave their number and
+    their k first; so a reference that many rows name is many tasks' work. Both shuffles keep the
+    session's number of partitions: the pairs compress so well that adaptive execution would gather
+    those of a large table in a few tasks.
+    """
     from pyspark.sql import Window as W
 
-    lost = refs.where(F.col(ref).isNotNull()).join(have.select(F.col(key).alias(ref)).distinct(), ref, "left_anti").select(ref, user).distinct()
-    first = lost.withColumn("r", F.row_number().over(W.partitionBy(ref).orderBy(user))).where(F.col("r") <= k)
-    names = first.groupBy(ref).agg(F.array_join(F.transform(F.array_sort(F.collect_list(user)), lambda x: x.cast("string")), ",").alias("used_by"))
-    return lost.groupBy(ref).agg(F.count("*").alias("users")).join(names, ref)
+    n = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lost = refs.where(F.col(ref).isNotNull()).join(have.select(F.col(key).alias(ref)), ref, "left_anti")
+    pairs = lost.select(ref, F.pmod(F.xxhash64(user), F.lit(PARTS)).alias("__part"), F.col(user).alias("__user")).repartition(n, ref, "__part").distinct()
+    nth = pairs.withColumn("__nth", F.row_number().over(W.partitionBy(ref, "__part").orderBy("__user")))
+    # a null user is one, comes first and has no name
+    first = [F.max(F.when(F.col("__nth") == i, F.col("__user"))).alias(f"__{i}") for i in range(1, k + 1)]
+    part = nth.groupBy(ref, "__part").agg(F.count("*").alias("__n"), F.bool_or(F.col("__user").isNull()).alias("__null"), *first)
+    names = F.array_sort(F.flatten(F.collect_list(F.array_compact(F.array(*[f"__{i}" for i in range(1, k + 1)])))))
+    whole = part.repartition(n, ref).groupBy(ref).agg(F.sum("__n").alias("users"), names.alias("__names"), F.bool_or("__null").alias("__null"))
+    kept = F.slice("__names", F.lit(1), k - F.col("__null").cast("int"))
+    return whole.select(ref, "users", F.array_join(F.transform(kept, lambda x: x.cast("string")), ",").alias("used_by"))
 
 
 def exact_sequence(chains: DataFrame, entities: DataFrame, entry: str, seq: str, order: str) -> DataFrame:

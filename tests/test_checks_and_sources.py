@@ -142,3 +142,24 @@ def test_arms_totals_entities_and_samples(spark):
     with pytest.raises(ValueError):
         stats.distinct_runs(pooled, "rec", 3)
     assert spark.range(1).select(seq.clean(F.lit("a\r\nB"))).first()[0] == "AB"
+
+
+def test_users_of_a_reference_are_dealt_to_many_small_tasks(spark):
+    """Of one reference with nearly all rows and many with few, with null users; by what a plain loop gives."""
+    from strandmill.operators import joins
+
+    rows = [(1, k % 5000) for k in range(20_000)] + [(k, k % 11) for k in range(2, 3000)] + [(7, None), (7, 3), (8, None), (None, 1)]
+    refs = spark.createDataFrame(rows, "r long, u long").repartition(4)
+    have = spark.createDataFrame([(k,) for k in range(2, 3000) if k % 3] * 2, "k long")
+    known, want = {k for k in range(2, 3000) if k % 3}, {}
+    for r, u in set(rows):
+        if r is not None and r not in known:
+            want.setdefault(r, set()).add(u)
+    first = lambda us: ",".join(map(str, sorted(u for u in us if u is not None)[: 3 - (None in us)]))
+    out = joins.reference_exists(refs, "r", "u", have, "k")
+    assert {r.r: (r.users, r.used_by) for r in out.collect()} == {r: (len(us), first(us)) for r, us in want.items()}
+    plan = out._jdf.queryExecution().toString()
+    assert plan.count("REPARTITION_BY_NUM") > 0 and "WindowGroupLimit" not in plan
+    checked = checks.references(refs, "r", "u", have, "k")
+    got = {r.r: (r.passed, r.users) for r in checked.collect()}
+    assert got == {r: (r not in want, len(want[r]) if r in want else None) for r in {r for r, _ in rows if r is not None}}
