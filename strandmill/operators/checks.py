@@ -91,7 +91,7 @@ def references(refs: DataFrame, ref: str, user: str, have: DataFrame, key: str,
     and of those that do not exist how many users they have and the first ``k``."""
     named = refs.where(F.col(ref).isNotNull() & ~F.col(ref).cast("string").isin(*sentinels))
     lost = joins.reference_exists(named, ref, user, have, key, k)
-    return same_groups(named.select(ref).distinct(), lost, [ref]).select(ref, F.col("users").isNull().alias("passed"), "users", "used_by")
+    return named.select(ref).distinct().join(lost, ref, "left").select(ref, F.col("users").isNull().alias("passed"), "users", "used_by")
 
 
 def eval_rows(rows: DataFrame, record: str, values: str, sanity: str | None = None, expected: int | None = None, n_values: int = 3, limit: float = 30.0) -> DataFrame:
