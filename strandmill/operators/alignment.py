@@ -276,24 +276,88 @@ def global_align(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int =
     return pairs[::-1]
 
 
+#: Cells of the tables of scores that :func:`global_aligns` holds at once.
+CELLS = 1 << 21
+
+
+def _global_block(a: str, texts: list[str], match: int, mismatch: int, gap: int) -> np.ndarray:
+    """Where each place of ``a`` stands in each text, or -1: :func:`global_align` of all texts at once.
+    Rows of all texts are computed whole with two bits a cell; filled up places lie behind every path."""
+    x, y = np.array([ord(c) for c in a], np.int64), _codes(texts, -1)
+    n, width = y.shape
+    slope = np.int32(gap) * np.arange(width + 1, dtype=np.int32)
+    row, ways = np.broadcast_to(slope, (n, width + 1)), np.empty((len(x), n, width), np.uint8)
+    for i, c in enumerate(x):
+        paired = row[:, :-1] + np.where(y == c, np.int32(match), np.int32(mismatch))
+        down = row[:, 1:] + np.int32(gap)
+        new = np.empty((n, width + 1), np.int32)
+        new[:, 0] = (i + 1) * gap
+        np.maximum(paired, down, out=new[:, 1:])
+        row = np.maximum.accumulate(new - slope, axis=1) + slope
+        ways[i] = (row[:, 1:] == paired) + 2 * (row[:, 1:] == down).astype(np.uint8)
+    out = np.full((n, len(x)), -1, np.int64)
+    at, i, j = np.arange(n), np.full(n, len(x)), np.array([len(t) for t in texts])
+    while len(at := at[(i[at] > 0) & (j[at] > 0)]):
+        way = ways[i[at] - 1, at, j[at] - 1]
+        pair, down = (way & 1) == 1, way == 2
+        out[at[pair], i[at[pair]] - 1] = j[at[pair]] - 1
+        i[at] -= pair | down
+        j[at] -= ~down
+    return out
+
+
+def global_aligns(a: str, texts: list[str], match: int = 2, mismatch: int = -1, gap: int = -3) -> list[np.ndarray]:
+    """Of each text the place of each character of ``a`` in it by :func:`global_align`, or -1. Texts of
+    like lengths are aligned at once, CELLS cells a block; a longer one alone, in little memory."""
+    out = [np.full(len(a), -1, np.int64)] * len(texts)
+    order, block = sorted((k for k, t in enumerate(texts) if t and a), key=lambda k: len(texts[k])), []
+
+    def done():
+        for k, found in zip(block, _global_block(a, [texts[k] for k in block], match, mismatch, gap) if block else ()):
+            out[k] = found
+        block.clear()
+
+    for k in order:
+        cells = len(a) * len(texts[k])
+        if cells > CELLS:
+            out[k] = np.full(len(a), -1, np.int64)
+            for i, j in global_align(a, texts[k], match, mismatch, gap):
+                out[k][i] = j
+            continue
+        if (len(block) + 1) * cells > CELLS:
+            done()
+        block.append(k)
+    done()
+    return out
+
+
 def reference_mapping(df: DataFrame, seq: str, reference: str, positions: list[int]) -> DataFrame:
     """(seq, position, mapped, n_mapped, identity): where the positions of the reference stand in
     each distinct sequence (null: nowhere), how many do, and the share of the reference's characters
     that are paired with an equal one. Null and empty sequences give no row."""
 
+    letters = np.array([ord(c) for c in reference], np.int64)
+    asked = np.array(positions, np.int64)
+    inside = (asked >= 0) & (asked < len(reference))
+
     def align(batches):
         for batch in batches:
-            out = []
-            for s in batch.column(0).to_pylist():
-                pairs = dict(global_align(reference, s))
-                same = sum(reference[i] == s[j] for i, j in pairs.items()) / max(1, len(reference))
-                n = sum(p in pairs for p in positions)
-                out += [(s, p, pairs.get(p), n, same) for p in positions]
-            cols = list(zip(*out)) or [[]] * 5
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [seq, "position", "mapped", "n_mapped", "identity"])
-
-    distinct = df.where(F.col(seq) != "").select(seq).distinct()
+            texts, m = batch.column(0).to_pylist(), len(positions)
+            found = np.array(global_aligns(reference, texts), np.int64).reshape(len(texts), len(reference))
+            codes = [np.array([ord(c) for c in s], np.int64) for s in texts]
+            same = [int((letters[f >= 0] == c[f[f >= 0]]).sum()) / max(1, len(reference)) for f, c in zip(found, codes)]
+            mapped = np.full((len(texts), m), -1, np.int64)
+            mapped[:, inside] = found[:, asked[inside]]
+            n = (mapped >= 0).sum(1)
+            cols = [
+                batch.column(0).take(pa.array(np.repeat(np.arange(len(texts)), m))), pa.array(np.tile(asked, len(texts)), pa.int32()),
+                pa.array(mapped.ravel(), pa.int32(), mask=mapped.ravel() < 0), pa.array(np.repeat(n, m), pa.int32()), pa.array(np.repeat(same, m), pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(cols, [seq, "position", "mapped", "n_mapped", "identity"])
+
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # short texts are few bytes and much work: as many tasks as the session has partitions
+    distinct = df.where(F.col(seq) != "").select(seq).distinct().repartition(tasks, seq)
     return distinct.mapInArrow(align, f"{seq} string, position int, mapped int, n_mapped int, identity double")
 
 

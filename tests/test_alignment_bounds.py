@@ -138,3 +138,29 @@ def test_stage_report_with_reasons(spark):
     assert got["reasons"]["far"][""]["n"] == 1 and spark.read.json(lost).count() == got["dropped"]
     line, lost = tables.write_stage_report(df.limit(0), tables.shared_path(spark), "part", "why", "id")
     assert json.loads(spark.read.text(line).first().value) == {"rows": 0, "kept": 0, "dropped": 0, "by": {}, "reasons": {}}
+
+
+def test_texts_are_mapped_side_by_side_in_many_tasks(spark):
+    """A block of texts of any lengths equals the texts one by one; few bytes of texts are many tasks."""
+    rng = random.Random(14)
+    a = "".join(rng.choices("ACDE", k=40))
+    texts = ["".join(rng.choices("ACDEé\U0001f926", k=rng.randint(0, 70))) for _ in range(300)] + [a, a[5:], "", "Z" * 90]
+    for cells in (1, 3000, alignment.CELLS):
+        most, alignment.CELLS = alignment.CELLS, cells
+        try:
+            got = alignment.global_aligns(a, texts)
+        finally:
+            alignment.CELLS = most
+        assert [[(i, j) for i, j in enumerate(g.tolist()) if j >= 0] for g in got] == [alignment.global_align(a, t) for t in texts]
+    assert [len(g) for g in alignment.global_aligns("", ["A", ""])] == [0, 0]
+    positions = [3, 0, 39, 40, -1]
+    df = spark.createDataFrame([(t,) for t in [*texts, *texts]] + [(None,)], "s string").coalesce(1)
+    out = alignment.reference_mapping(df, "s", a, positions)
+    want = set()
+    for t in {*texts} - {""}:
+        pairs = dict(alignment.global_align(a, t))
+        n, same = sum(p in pairs for p in positions), sum(a[i] == t[j] for i, j in pairs.items()) / len(a)
+        want |= {(t, p, pairs.get(p), n, same) for p in positions}
+    rows = [tuple(r) for r in out.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert out.rdd.getNumPartitions() == 8
