@@ -133,44 +133,112 @@ def common_letters(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.least(count(a, c), count(b, c)))
 
 
-def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int | None = None, table: Substitution | None = None, least: float | None = None) -> DataFrame:
-    """(a, b, score, identity, length) of distinct pairs of whole sequences, or of their first ``aligned`` characters.
-
-    With ``least``, only of pairs whose identity times length may be that share of the shorter sequence:
-    both bounds (:func:`common_letters`, then :func:`common_order`) are of what is aligned, and lose no
-    such pair."""
+#: Pairs whose bounds are computed at once, and bytes of their tables.
+BOUND_PAIRS, BOUND_BYTES = 2048, 16 << 20
+
+
+def _bounds_block(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(characters shared in any order, longest common subsequence) of pairs of strings that are not
+    empty: :func:`common_order` of all pairs at once, on words of 64 bits with a carry between them."""
+    xs, ys = _codes(a, -1), _codes(b, -1)
+    n = len(a)
+    place = np.zeros(max(int(xs.max()), int(ys.max())) + 2, np.int64)
+    place[xs[xs >= 0]] = place[ys[ys >= 0]] = 1
+    k = int(place.sum()) + 1
+    place = np.where(place > 0, np.cumsum(place) - 1, k - 1)  # the last is the filling, at place -1 as well
+    xs, ys, at = place[xs], place[ys], np.arange(n)
+    count = lambda codes: np.bincount((at[:, None] * k + codes).ravel(), minlength=n * k).reshape(n, k)[:, :-1]
+    letters = np.minimum(count(xs), count(ys)).sum(1)
+    words = -(-xs.shape[1] // 64)
+    hits = np.zeros((words, n, k), np.uint64)
+    for i, c in enumerate(xs.T):
+        hits[i >> 6, at, c] |= np.uint64(1) << np.uint64(i & 63)
+    hits[:, :, -1] = 0
+    free = np.full((words, n), ~np.uint64(0))
+    for c in ys.T:
+        carry = np.zeros(n, np.uint64)
+        for w in range(words):
+            old = free[w]
+            hit = old & hits[w, at, c]
+            once = old + hit
+            more = once + carry
+            carry = ((once < old) | (more < once)).astype(np.uint64)
+            free[w] = more | (old ^ hit)
+    size = np.array([len(t) for t in a])
+    order = np.zeros(n, np.int64)
+    for w in range(words):
+        bits = np.clip(size - 64 * w, 0, 64).astype(np.uint64)
+        mask = np.where(bits == 64, ~np.uint64(0), (np.uint64(1) << (bits & np.uint64(63))) - np.uint64(1))
+        order += np.bitwise_count(~free[w] & mask)
+    return letters, order
+
+
+def shared_bounds(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(:func:`common_letters`, :func:`common_order`) of each pair of strings, of like lengths at once."""
+    letters, order = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+    by_size = sorted((i for i in range(len(a)) if a[i] and b[i]), key=lambda i: (len(a[i]), len(b[i])))
+    lo = 0
+    while lo < len(by_size):
+        hi = min(lo + BOUND_PAIRS, len(by_size))
+        longest = max(len(a[i]) + len(b[i]) for i in by_size[lo:hi])
+        # a character of a pair has a place in every word of the other's table
+        hi = max(lo + 1, min(hi, lo + BOUND_BYTES // (16 * longest + 8 * min(longest, 64) * (longest // 64 + 1))))
+        at = by_size[lo:hi]
+        letters[at], order[at] = _bounds_block([a[i] for i in at], [b[i] for i in at])
+        lo = hi
+    return letters, order
+
+
+def _reach(a: list[str], b: list[str], least: float, aligned: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each bound leaves a pair: letters, and letters and order."""
+    need = least * np.array([min(len(p), len(q)) for p, q in zip(a, b)]) - 1e-9
+    letters, order = shared_bounds([p[:aligned] for p in a], [q[:aligned] for q in b])
+    return letters >= need, (letters >= need) & (order >= need)
+
+
+def _aligner(keep: list[str], a: str, b: str, aligned: int | None, table: Substitution | None, least: float | None):
+    """Batches of ``keep`` with a and b to those that may reach ``least``, with score, identity and length."""
 
     def align(batches):
         for batch in batches:
-            whole = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            at = range(len(whole)) if least is None else [i for i, (p, q) in enumerate(whole) if common_order(p[:aligned], q[:aligned]) >= least * min(len(p), len(q)) - 1e-9]
-            found = local_aligns([whole[i][0][:aligned] for i in at], [whole[i][1][:aligned] for i in at], table=table)
+            p, q = batch.column(a).to_pylist(), batch.column(b).to_pylist()
+            if least is not None:
+                at = np.flatnonzero(_reach(p, q, least, aligned)[1])
+                batch, p, q = batch.take(pa.array(at)), [p[i] for i in at], [q[i] for i in at]
+            found = local_aligns([t[:aligned] for t in p], [t[:aligned] for t in q], table=table)
             cols = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))]
-            ends = [pa.array([whole[i][k] for i in at], pa.string()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*ends, *cols], [a, b, "score", "identity", "length"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *cols], [*keep, "score", "identity", "length"])
+
+    return align
+
 
-    distinct = pairs.select(a, b).distinct()
-    if least is not None:
-        part = lambda c: F.col(c) if aligned is None else F.substring(c, 1, aligned)
-        distinct = distinct.where(common_letters(part(a), part(b)) >= least * F.least(F.length(a), F.length(b)) - 1e-9)
-    return distinct.mapInArrow(align, f"{a} string, {b} string, score long, identity double, length long")
+def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int | None = None, table: Substitution | None = None, least: float | None = None) -> DataFrame:
+    """(a, b, score, identity, length) of distinct pairs of whole sequences, or of their first ``aligned`` characters.
+
+    With ``least``, only of pairs whose identity times length may be that share of the shorter sequence:
+    both bounds (:func:`shared_bounds`) are of what is aligned, and lose no such pair."""
+    return pairs.select(a, b).distinct().mapInArrow(_aligner([a, b], a, b, aligned, table, least), f"{a} string, {b} string, score long, identity double, length long")
 
 
 def aligned_share(pairs: DataFrame, least: float = 0.8, aligned: int | None = ALIGNED) -> DataFrame:
     """(pairs, by_letters, by_order) in one row: distinct pairs (x, y), and those that each bound of
     :func:`align_pairs` leaves; only the last are aligned."""
-    part = lambda c: F.col(c) if aligned is None else F.substring(c, 1, aligned)
-    need = least * F.least(F.length("x"), F.length("y")) - 1e-9
-    found = pairs.select("x", "y").distinct().withColumn("by_letters", (common_letters(part("x"), part("y")) >= need).cast("long"))
 
-    def order(batches):
+    def bounds(batches):
         for batch in batches:
-            ends = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            held = [int(n and common_order(p[:aligned], q[:aligned]) >= least * min(len(p), len(q)) - 1e-9) for p, q, n in ends]
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(held, pa.int64())], ["by_letters", "by_order"])
+            found = _reach(batch.column(0).to_pylist(), batch.column(1).to_pylist(), least, aligned)
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)]), *(pa.array([int(f.sum())]) for f in found)], ["pairs", "by_letters", "by_order"])
+
+    # the pairs of an entry are distinct, so nothing is gained by making them so before they are dealt
+    distinct = pairs.select("x", "y").repartition(_tasks(pairs), "x", "y").distinct()
+    rows = distinct.mapInArrow(bounds, "pairs long, by_letters long, by_order long")
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", "by_letters", "by_order")])
+
 
-    rows = found.mapInArrow(order, "by_letters long, by_order long")
-    return rows.agg(F.count("*").alias("pairs"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("by_letters", "by_order")])
+def _tasks(df: DataFrame) -> int:
+    """The session's number of partitions, which adaptive execution keeps where it is asked for:
+    sequences are few bytes and much work, and would be gathered in a few tasks."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _sequences(chains: DataFrame, entities: DataFrame, entry: str, seq: str, entity: str) -> tuple[DataFrame, DataFrame]:
@@ -194,15 +262,19 @@ def pairs_in_reach(x: DataFrame, e: DataFrame, entry: str) -> DataFrame:
     reach = F.greatest(F.lit(60), F.length("x") * 0.5)
     band = lambda n: F.floor(F.log2(F.greatest(n, F.lit(32)))).cast("int")
     bands = x.withColumn("band", F.explode(F.sequence(band(F.length("x") - reach), band(F.length("x") + reach))))
-    return bands.join(e.withColumn("band", band(F.length("y"))), [entry, "band"]).where(F.abs(F.length("x") - F.length("y")) <= reach)
+    n = _tasks(x)
+    bands, known = bands.repartition(n, entry, "band"), e.withColumn("band", band(F.length("y"))).repartition(n, entry, "band")
+    return bands.join(known, [entry, "band"]).where(F.abs(F.length("x") - F.length("y")) <= reach)
 
 
 def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8, aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
     """(entry, x, entity, value): the entity of the highest identity times coverage of ``least`` or
-    more, of :func:`pairs_in_reach`; of ties the smallest. Only pairs that may reach ``least`` are aligned."""
-    pairs = pairs_in_reach(x, e, entry)
+    more, of :func:`pairs_in_reach`; of ties the smallest. Only pairs that may reach ``least`` are aligned,
+    where they are made: neither pairs nor what is found of them are shuffled, but for the best by task."""
+    pairs = pairs_in_reach(x, e, entry).select(entry, entity, "x", "y")
     value = F.col("identity") * F.col("length") / F.least(F.length("x"), F.length("y"))
-    scored = pairs.join(align_pairs(pairs, aligned=aligned, table=table, least=least), ["x", "y"]).withColumn("s", value).where(F.col("s") >= least)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema) + ", score long, identity double, length long"
+    scored = pairs.mapInArrow(_aligner(pairs.columns, "x", "y", aligned, table, least), schema).withColumn("s", value).where(F.col("s") >= least)
     best = scored.groupBy(entry, "x").agg(F.min(F.struct((-F.col("s")).alias("s"), entity)).alias("b"))
     return best.select(entry, "x", f"b.{entity}", (-F.col("b.s")).alias("value"))
 
@@ -355,9 +427,7 @@ def reference_mapping(df: DataFrame, seq: str, reference: str, positions: list[i
             ]
             yield pa.RecordBatch.from_arrays(cols, [seq, "position", "mapped", "n_mapped", "identity"])
 
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # short texts are few bytes and much work: as many tasks as the session has partitions
-    distinct = df.where(F.col(seq) != "").select(seq).distinct().repartition(tasks, seq)
+    distinct = df.where(F.col(seq) != "").select(seq).distinct().repartition(_tasks(df), seq)
     return distinct.mapInArrow(align, f"{seq} string, position int, mapped int, n_mapped int, identity double")
 
 

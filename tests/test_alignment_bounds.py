@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from strandmill import catalog
 from strandmill.operators import alignment
 from strandmill.sources import tables
@@ -164,3 +166,31 @@ def test_texts_are_mapped_side_by_side_in_many_tasks(spark):
     rows = [tuple(r) for r in out.collect()]
     assert set(rows) == want and len(rows) == len(want)
     assert out.rdd.getNumPartitions() == 8
+
+
+def test_bounds_of_many_pairs_at_once(spark):
+    """Against one pair at a time, across words of 64 bits; pairs of an alignment are not shuffled."""
+    rng = random.Random(15)
+    texts = ["".join(rng.choices("ACDEé\U0001f926", k=n)) for n in (0, 1, 2, 30, 63, 64, 65, 127, 128, 129, 200, 450)] + ["A" * 64, "A" * 130, "AC" * 70]
+    a, b = zip(*[(p, q) for p in texts for q in texts] * 2)
+    few, alignment.BOUND_BYTES = alignment.BOUND_BYTES, 1 << 16
+    try:
+        found = [alignment.shared_bounds(a, b)]
+    finally:
+        alignment.BOUND_BYTES = few
+    found.append(alignment.shared_bounds(a, b))
+    for letters, order in found:
+        assert letters.tolist() == [(Counter(p) & Counter(q)).total() for p, q in zip(a, b)]
+        assert order.tolist() == [alignment.common_order(p, q) for p, q in zip(a, b)]
+    e = spark.createDataFrame([(1, t, k) for k, t in enumerate(texts) if t] + [(2, texts[5], 99)], "entry int, y string, ent int")
+    x = e.select("entry", F.concat("y", F.lit("A")).alias("x"))
+    out = alignment.alignment_match(x, e, "entry", "ent")
+    keys = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(x" in line]
+    assert not keys
+    want = {}
+    for entry, y, ent in (tuple(r) for r in e.collect()):
+        for x1 in (t + "A" for t in (texts if entry == 1 else texts[5:6]) if t):
+            _, identity, n = alignment.local_align(x1[:400], y[:400])
+            if abs(len(x1) - len(y)) <= max(60, len(x1) / 2) and (value := identity * n / min(len(x1), len(y))) >= 0.8:
+                want[entry, x1] = min(want.get((entry, x1), (0, 0)), (-value, ent))
+    assert {(r.entry, r.x): (-r.value, r.ent) for r in out.collect()} == want and len(want) > 5
