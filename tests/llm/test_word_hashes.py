@@ -68,3 +68,16 @@ def test_null_ids_have_defined_flags(spark):
     assert got == [("1", 2, True), ("None", 1, True), ("None", 2, False)]
     for held in (toxicity.held_out("doc_id"), language_id.held_out("doc_id")):
         assert [r[0] for r in docs.where("doc_id is null").select(held).collect()] == [False, False]
+
+
+def test_orders_of_postings_equal_lexsorts():
+    from strandmill.llm.line_dedup import order_of, order_of_places
+
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5, 4000):
+        major = rng.integers(0, 300, n).astype(np.uint64) << np.uint64(40)
+        minor = rng.integers(0, 1 << 32, n).astype(np.uint32)
+        assert (order_of(major, minor) == np.lexsort((minor, major))).all()
+        doc, line = rng.permutation(n).astype(np.int64), rng.integers(0, 9, n)
+        for d in (doc, doc - 5, doc + (1 << 45)):
+            assert (order_of_places(d, line) == np.lexsort((line, d))).all()
