@@ -3,8 +3,12 @@ vectorised word hashing over whole Arrow string columns."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import gc
 import hashlib
+import os
 import tempfile
 import uuid
 
@@ -74,6 +78,54 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+#: Memory of its own above which a worker gives back what is free: an idle one has some 75 MB.
+IDLE_BYTES = 128 << 20
+#: Functions whose results a worker keeps for further tasks (``lru_cache``).
+KEPT: list = []
+
+
+def own_bytes() -> int:
+    """Memory of this process without mapped files; 0 where that is not told."""
+    try:
+        with open("/proc/self/statm") as f:
+            pages = f.read().split()
+    except OSError:
+        return 0
+    return (int(pages[1]) - int(pages[2])) * os.sysconf("SC_PAGE_SIZE")
+
+
+def give_back() -> None:
+    """Free memory goes back to the system, once the process has more than IDLE_BYTES."""
+    if own_bytes() <= IDLE_BYTES:
+        return
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def forget(keep: tuple = ()) -> None:
+    """Drops what KEPT but ``keep`` hold in this process."""
+    for kept in KEPT:
+        if kept not in keep:
+            kept.cache_clear()
+
+
+def lean(read, keep: tuple = ()):
+    """``read`` for mapInArrow, so that a task leaves little behind in its worker. Spark uses workers
+    again for all that follows: what one step has freed but not given back, or keeps for its next
+    tasks (all of KEPT but ``keep``), else adds up with the memory of later ones."""
+
+    @functools.wraps(read)
+    def run(batches):
+        forget(keep)
+        try:
+            yield from read(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, Words, mix, small_batches, text_slices
+from .common import ALNUM, LOWER, Words, lean, mix, small_batches, text_slices
 
 PERCENT = 15
 #: Embeddings, samplings of each, symbols of a sampling. A window of which a share s of the symbols
@@ -209,7 +209,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                         row, item, a, b, n = zip(*found)
                         yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array(item), *(pa.array(x, pa.int64()) for x in (a, b, n))], ["id", "item", "first_word", "end_word", "edits"])
 
-        part = rows.mapInArrow(scan, f"id {kinds[0]}, item {kinds[1]}, first_word long, end_word long, edits long")
+        part = rows.mapInArrow(lean(scan), f"id {kinds[0]}, item {kinds[1]}, first_word long, end_word long, edits long")
         out = part if out is None else out.union(part)
     return out.withColumnsRenamed({"id": id_col, "item": item_id})
 
@@ -236,5 +236,5 @@ def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
                     keep[[lo + m[0] for m in block.matches(data, offs)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(scan, docs.schema)
+        docs = docs.mapInArrow(lean(scan), docs.schema)
     return docs

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import lean, small_batches, text_slices
 
 BUCKET_BITS = 15
 UNDETERMINED = "und"
@@ -64,9 +64,9 @@ def _lowered(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([low], ["text"])
 
 
-def _slices(batch: pa.RecordBatch):
+def _slices(batch: pa.RecordBatch, name: str = "text"):
     """(first row, last row, buckets, the row of each) without trigrams across rows."""
-    for lo, hi, data, offs in text_slices(_lowered(batch, "text")):
+    for lo, hi, data, offs in text_slices(_lowered(batch, name)):
         if len(data) < 3:
             yield lo, hi, np.zeros(0, np.uint32), np.zeros(0, np.int64)
             continue
@@ -85,6 +85,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     Trigram counts by language are summed by Spark; at most languages x 2**15 sums reach the driver.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     ids = rows.select(F.xxhash64(F.col(id_col)).alias("h")).orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
     rows = rows.where(F.xxhash64(F.col(id_col)) <= F.lit(ids)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -101,7 +102,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             if total is not None and (at := np.flatnonzero(total)).size:
                 yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(at // size)), pa.array((at % size).astype(np.int32)), pa.array(total[at].astype(np.int64))], ["lang", "bucket", "n"])
 
-    sums = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    sums = rows.mapInArrow(lean(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     languages = sorted(sums["lang"].unique())
     share = np.zeros((1 << BUCKET_BITS, max(1, len(languages))))
     for k, lang in enumerate(languages):
@@ -139,13 +140,16 @@ def predict(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col:
     """
     fields = [docs.schema[id_col], *(docs.schema[c] for c in keep)]
     code = model
+    small_batches(docs.sparkSession)
+    # a text that is kept goes to the workers once
+    name = f"k{[*keep].index(text_col)}" if text_col in keep else "text"
 
     def scan(batches):
         for batch in batches:
             lang, score, unsure = [], [], []
-            text = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
+            text = pc.fill_null(batch.column(batch.schema.get_field_index(name)), "")
             letters = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False)
-            for lo, hi, bucket, row in _slices(batch):
+            for lo, hi, bucket, row in _slices(batch, name):
                 n, bits = hi - lo, code.weights.shape[1]
                 sums = np.stack([np.bincount(row, code.weights[bucket, b], n) for b in range(bits)], 1)
                 count = np.maximum(1, np.bincount(row, minlength=n))[:, None]
@@ -162,7 +166,7 @@ def predict(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col:
                 kept = [batch.column(k) for k in range(1 + len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())], ["id", *(f"k{i}" for i in range(len(keep))), "lang_pred", "score", "ambiguous"])
 
-    rows = docs.select(F.col(id_col).alias("id"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), *([] if text_col in keep else [F.col(text_col).alias("text")]))
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(["id", *(f"k{i}" for i in range(len(keep)))], fields)) + ", lang_pred string, score double, ambiguous boolean"
-    out = rows.mapInArrow(scan, schema)
+    out = rows.mapInArrow(lean(scan), schema)
     return out.select(F.col("id").alias(id_col), *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "ambiguous")

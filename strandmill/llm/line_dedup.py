@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, free_name, in_bitset, mix, release, runs, small_batches, stored, text_slices
+from .common import LOWER, NOT_SPACE, SLICE_BYTES, Words, bitset_of, discard, free_name, in_bitset, lean, mix, release, runs, small_batches, stored, text_slices
 from .ngram_join import _often, frequent_order, prefix_length
 
 PERCENT = 80
@@ -238,7 +238,7 @@ def _profile(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield often(held)
 
-    return rows.mapInArrow(read, "kind int, key long, doc long, line long, tokens binary")
+    return rows.mapInArrow(lean(read), "kind int, key long, doc long, line long, tokens binary")
 
 
 def _equal(profile: DataFrame) -> DataFrame:
@@ -292,7 +292,7 @@ def _blobs(lines: DataFrame, shared, percent: int, n_buckets: int) -> DataFrame:
                 parts = list(zip(*_split((tok % np.uint64(n_buckets)).astype(np.int64), cols)))
                 yield pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int32()), *(pa.array(c, pa.binary()) for c in parts[1:])], ["bucket", *(c for c, _ in _POSTED)])
 
-    return lines.mapInArrow(emit, "bucket int, " + ", ".join(f"{c} binary" for c, _ in _POSTED))
+    return lines.mapInArrow(lean(emit), "bucket int, " + ", ".join(f"{c} binary" for c, _ in _POSTED))
 
 
 def _split(bucket: np.ndarray, cols) -> list[tuple]:
@@ -447,7 +447,7 @@ def _sets_of_ends(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             key = line_key(batch.column("doc").to_numpy(), batch.column("line").to_numpy())
             yield batch.filter(pa.array(in_bitset(wanted.value, key)))
 
-    return stored(lines.select("doc", "line", "tokens").mapInArrow(few, "doc long, line long, tokens binary"))
+    return stored(lines.select("doc", "line", "tokens").mapInArrow(lean(few), "doc long, line long, tokens binary"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -465,7 +465,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep = 100 * shared >= percent * (x.n + y.n - shared)
                 yield batch.select(["doc", "line"]).filter(pa.array(keep))
 
-    return stored(both.select("doc", "line", "tokens", "others").mapInArrow(verify, "doc long, line long").distinct())
+    return stored(both.select("doc", "line", "tokens", "others").mapInArrow(lean(verify), "doc long, line long").distinct())
 
 
 def line_key_column(doc: str, line: str):
@@ -484,7 +484,7 @@ def _tokens_of(lines: DataFrame, order, left, percent: int) -> np.ndarray:
                     index, _, _ = x.prefixes(prefix_length(x.n, percent), order.value[0])
                     yield pa.RecordBatch.from_arrays([pa.array(np.unique(x.tokens[index]).view(np.int64))], ["token"])
 
-    return bitset_of(lines.mapInArrow(read, "token long"), "token")
+    return bitset_of(lines.mapInArrow(lean(read), "token long"), "token")
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n_buckets: int | None = None) -> DataFrame:
@@ -571,7 +571,7 @@ def _marked(rows: DataFrame, key: str, text_col: str, touched, hit: bool) -> Dat
                 batch = pa.RecordBatch.from_arrays([raw if k == at else c for k, c in enumerate(batch.columns)], batch.schema.names)
             yield batch
 
-    return rows.mapInArrow(mark, T.StructType(fields))
+    return rows.mapInArrow(lean(mark), T.StructType(fields))
 
 
 def _cut(rows: DataFrame, schema: T.StructType, text_col: str, lost: str) -> DataFrame:
@@ -598,4 +598,4 @@ def _cut(rows: DataFrame, schema: T.StructType, text_col: str, lost: str) -> Dat
                 cols = [pa.array(texts, pa.binary()).cast(pa.string()) if k == at else c for k, c in enumerate(part.columns[:-1])]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int32()), pa.array(n_lost, pa.int32())], schema.names)
 
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(lean(cut), schema)

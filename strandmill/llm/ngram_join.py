@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, NOT_SPACE, Words, bitset_of, discard, in_bitset, mix, runs, small_batches, stored, text_slices
+from .common import LOWER, NOT_SPACE, Words, bitset_of, discard, in_bitset, lean, mix, runs, small_batches, stored, text_slices
 from .components import components
 
 WIDTH, PERCENT = 5, 80
@@ -159,7 +159,7 @@ def _profile(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield often()
 
-    return docs.mapInArrow(read, "id long, n long, fp long, hot boolean")
+    return docs.mapInArrow(lean(read), "id long, n long, fp long, hot boolean")
 
 
 def _postings(docs: DataFrame, width: int, percent: int, shared, n_buckets: int) -> DataFrame:
@@ -203,7 +203,7 @@ def _postings(docs: DataFrame, width: int, percent: int, shared, n_buckets: int)
         tok, fp, n = tok[keep], fp[keep], n[keep]
         return pa.table({"token": tok, "fp": fp, "n": n.astype(np.int64)})
 
-    blobs = docs.mapInArrow(emit, "bucket int, tok binary, fp binary, n binary")
+    blobs = docs.mapInArrow(lean(emit), "bucket int, tok binary, fp binary, n binary")
     return blobs.groupBy("bucket").applyInArrow(groups, "token long, fp long, n long")
 
 
@@ -231,7 +231,7 @@ def _sets(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(fps[keep]), pa.array([len(sets[k]) for k in keep], pa.int64()), *(pa.array(folds[:, k]) for k in range(FOLDS)), *(pa.array(c, pa.binary()) for c in binary)], SETS)
 
     # a repeated row gives its set again; pairs are made distinct in the end
-    return docs.mapInArrow(read, "fp long, n long, " + ", ".join(f"f{k} long" for k in range(FOLDS)) + ", sketch binary, orders binary, tokens binary")
+    return docs.mapInArrow(lean(read), "fp long, n long, " + ", ".join(f"f{k} long" for k in range(FOLDS)) + ", sketch binary, orders binary, tokens binary")
 
 
 def _with_both(pairs: DataFrame, sets: DataFrame, *cols: str) -> DataFrame:
@@ -266,7 +266,7 @@ def _agree(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[k] = shared(p[k].as_py(), q[k].as_py())
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return _with_both(pairs, sets, "n", "sketch", "orders").mapInArrow(compare, "a long, b long")
+    return _with_both(pairs, sets, "n", "sketch", "orders").mapInArrow(lean(compare), "a long, b long")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -281,7 +281,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_both(pairs, sets, "tokens").mapInArrow(verify, "a long, b long").distinct()
+    return _with_both(pairs, sets, "tokens").mapInArrow(lean(verify), "a long, b long").distinct()
 
 
 FOLDED = [f"f{k}" for k in range(FOLDS)]

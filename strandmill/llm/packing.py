@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, Words, multi_arange, small_batches, stored, text_slices
+from .common import KEPT, NOT_SPACE, Words, lean, multi_arange, small_batches, stored, text_slices
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
@@ -176,6 +176,9 @@ def encoder_of(path: str) -> WordEncoder:
     return WordEncoder(path, added=True)
 
 
+KEPT.append(encoder_of)
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of each row; only texts beyond the capacity are cut."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -198,7 +201,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int
                 yield pa.RecordBatch.from_arrays(cols, ["id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(lean(cut, keep=(encoder_of,)), f"id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 #: Kinds of rows of a round: runs of pieces, of gaps, of gaps that open in the next round, and matches.
@@ -246,8 +249,8 @@ def sweep(batches):
 def matched_round(runs: DataFrame) -> DataFrame:
     """One round: ranges of sizes are swept side by side, then the runs that they leave, which are
     few, across the ranges. Of those that want one gap the longer rank first."""
-    swept = runs.repartitionByRange("size", "kind").sortWithinPartitions("size", "kind", "at").mapInArrow(sweep, RUNS)
-    return stored(swept.repartition(1).sortWithinPartitions("size", "kind", "at").mapInArrow(sweep, RUNS))
+    swept = runs.repartitionByRange("size", "kind").sortWithinPartitions("size", "kind", "at").mapInArrow(lean(sweep), RUNS)
+    return stored(swept.repartition(1).sortWithinPartitions("size", "kind", "at").mapInArrow(lean(sweep), RUNS))
 
 
 def matches(lengths: DataFrame, capacity: int) -> DataFrame:
@@ -306,7 +309,7 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     kind = docs.schema[id_col].dataType.simpleString()
     base = f"id {kind}, piece int, start long, length long, ids_crc32 long"
-    ordered = stored(cut.repartitionByRange(F.col("length").desc(), "id", "piece").sortWithinPartitions(F.col("length").desc(), "id", "piece").mapInArrow(ranked, f"{base}, part int, rank long"))
+    ordered = stored(cut.repartitionByRange(F.col("length").desc(), "id", "piece").sortWithinPartitions(F.col("length").desc(), "id", "piece").mapInArrow(lean(ranked), f"{base}, part int, rank long"))
     # sorted by length, so partitions share at most one length with the next: capacity + partitions rows
     found = ordered.groupBy("length", "part").agg(F.count("*").alias("n")).toArrow().to_pandas().sort_values(["length", "part"])
     before = {(int(a), int(b)): int(c) for a, b, c in zip(found["length"], found["part"], found.groupby("length")["n"].cumsum() - found["n"])}
@@ -334,4 +337,4 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 offset[mine] = capacity - run[at, 3] + within * size
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ordered.mapInArrow(placed, f"{base}, sequence_id long, offset long").withColumnRenamed("id", id_col)
+    return ordered.mapInArrow(lean(placed), f"{base}, sequence_id long, offset long").withColumnRenamed("id", id_col)
