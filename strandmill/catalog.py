@@ -908,7 +908,7 @@ def join_wildcard_sequence(spark, d):
 @query()
 def join_alignment_fallback(spark, d):
     x, e = alignment._sequences(*_sequences(spark, d), "entry", "seq", "ent")
-    return alignment.alignment_match(x, e, "entry", "ent")
+    return alignment.alignment_match(x, e, "entry", "ent", aligned=None)
 
 
 @query()

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions.seq import wildcard_identity
 
-#: Gap opening and extension, the characters of a sequence that are aligned.
+#: Gap opening and extension, the characters that :func:`alignment_match` aligns unless told otherwise.
 GAP_OPEN, GAP_EXTEND, ALIGNED = -11, -1, 400
 
 
-#: Pairs that are aligned at once, of like lengths.
-BLOCK = 512
+#: Pairs that are aligned at once, of like lengths, and cells of a row of all of them.
+BLOCK, BLOCK_CELLS = 512, 1 << 18
 
 
 class Substitution:
@@ -102,8 +102,11 @@ def local_aligns(a: list[str], b: list[str], match: int = 5, mismatch: int = -4,
     (0, 0.0, 0) where either is empty. Characters score by ``table``, without one by match and mismatch."""
     out = [(0, 0.0, 0)] * len(a)
     order = sorted((i for i in range(len(a)) if a[i] and b[i]), key=lambda i: (len(b[i]), len(a[i])))
-    for lo in range(0, len(order), BLOCK):
+    lo = 0
+    while lo < len(order):
         block = order[lo : lo + BLOCK]
+        block = block[: max(1, BLOCK_CELLS // max(max(len(a[i]), len(b[i])) for i in block))]
+        lo += len(block)
         for i, found in zip(block, _align_block([a[i] for i in block], [b[i] for i in block], match, mismatch, table)):
             out[i] = found
     return out
@@ -267,10 +270,11 @@ def pairs_in_reach(x: DataFrame, e: DataFrame, entry: str) -> DataFrame:
     return bands.join(known, [entry, "band"]).where(F.abs(F.length("x") - F.length("y")) <= reach)
 
 
-def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8, aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
+def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least: float = 0.8, aligned: int | None = ALIGNED, table: Substitution | None = None) -> DataFrame:
     """(entry, x, entity, value): the entity of the highest identity times coverage of ``least`` or
-    more, of :func:`pairs_in_reach`; of ties the smallest. Only pairs that may reach ``least`` are aligned,
-    where they are made: neither pairs nor what is found of them are shuffled, but for the best by task."""
+    more, of :func:`pairs_in_reach`; of ties the smallest. With ``aligned`` None sequences are aligned whole,
+    else their first ``aligned`` characters. Only pairs that may reach ``least`` are aligned, where they are
+    made: neither pairs nor what is found of them are shuffled, but for the best by task."""
     pairs = pairs_in_reach(x, e, entry).select(entry, entity, "x", "y")
     value = F.col("identity") * F.col("length") / F.least(F.length("x"), F.length("y"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema) + ", score long, identity double, length long"
@@ -279,11 +283,11 @@ def alignment_match(x: DataFrame, e: DataFrame, entry: str, entity: str, least:
     return best.select(entry, "x", f"b.{entity}", (-F.col("b.s")).alias("value"))
 
 
-def match_cascade(chains: DataFrame, entities: DataFrame, entry: str, seq: str, entity: str, aligned: int = ALIGNED, table: Substitution | None = None) -> DataFrame:
+def match_cascade(chains: DataFrame, entities: DataFrame, entry: str, seq: str, entity: str, aligned: int | None = None, table: Substitution | None = None) -> DataFrame:
     """Chains with their entity, value and evidence: exact, wildcard, alignment or unmatched.
 
-    Each stage sees only the distinct sequences that no earlier one matched. Null or empty sequences
-    are unmatched."""
+    Sequences are aligned whole unless ``aligned`` is given. Each stage sees only the distinct sequences
+    that no earlier one matched. Null or empty sequences are unmatched."""
     x, e = _sequences(chains, entities, entry, seq, entity)
     exact = x.join(e.withColumnRenamed("y", "x"), [entry, "x"]).select(entry, "x", entity, F.lit(1.0).alias("value"))
     rest = x.join(exact, [entry, "x"], "left_anti")
