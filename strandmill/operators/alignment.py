@@ -193,7 +193,7 @@ def shared_bounds(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _reach(a: list[str], b: list[str], least: float, aligned: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each bound leaves a pair: letters, and letters and order."""
+    """Whether each bound leaves a pair: letters, and letters and order. Of whole sequences if ``aligned`` is None."""
     need = least * np.array([min(len(p), len(q)) for p, q in zip(a, b)]) - 1e-9
     letters, order = shared_bounds([p[:aligned] for p in a], [q[:aligned] for q in b])
     return letters >= need, (letters >= need) & (order >= need)
@@ -223,9 +223,9 @@ def align_pairs(pairs: DataFrame, a: str = "x", b: str = "y", aligned: int | Non
     return pairs.select(a, b).distinct().mapInArrow(_aligner([a, b], a, b, aligned, table, least), f"{a} string, {b} string, score long, identity double, length long")
 
 
-def aligned_share(pairs: DataFrame, least: float = 0.8, aligned: int | None = ALIGNED) -> DataFrame:
+def aligned_share(pairs: DataFrame, least: float = 0.8, aligned: int | None = None) -> DataFrame:
     """(pairs, by_letters, by_order) in one row: distinct pairs (x, y), and those that each bound of
-    :func:`align_pairs` leaves; only the last are aligned."""
+    :func:`align_pairs` leaves, of whole sequences unless ``aligned`` is given; only the last are aligned."""
 
     def bounds(batches):
         for batch in batches:

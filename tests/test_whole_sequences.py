@@ -1,7 +1,7 @@
 """Sequences longer than any default are aligned to their ends."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -46,6 +46,15 @@ def test_cascade_aligns_long_sequences_whole(spark, tables):
     assert all(got[c][0] == c and got[c][1] > 0.95 and got[c][2] == "alignment" for c in (2, 6, 22))
 
 
+def test_share_counts_pairs_by_whole_sequences(spark, tables):
+    pairs = {(x, y) for _, x, known in in_reach(spark, tables) for y in known}
+    need = lambda x, y: 0.8 * min(len(x), len(y)) - 1e-9
+    letters = {(x, y) for x, y in pairs if (Counter(x) & Counter(y)).total() >= need(x, y)}
+    order = {(x, y) for x, y in letters if alignment.common_order(x, y) >= need(x, y)}
+    assert tuple(catalog.queries()["join_alignment_share"](spark, tables).first()) == (len(pairs), len(letters), len(order))
+    assert sum(min(map(len, p)) > 500 for p in order) > 3
+
+
 def test_entity_is_chosen_by_whole_sequences(spark):
     rng = random.Random(22)
     x = "".join(rng.choices("ACDEFG", k=480))
